@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import lifecycle
+from tessera.plans import finance, lifecycle
 from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables
 
@@ -27,7 +27,25 @@ def churn_user_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.user_month_states(fx.journeys(t), fx.AS_OF)
 
 
+def finance_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return finance.finance_report(fx.finance_daily(t), fx.partner_costs(t), fx.journeys(t), "week", "week")
+
+
+def finance_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return finance.finance_report(fx.finance_daily(t), fx.partner_costs(t), fx.journeys(t), "month", "month")
+
+
+def finance_partner_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return finance.partner_split(fx.partner_costs(t), fx.journeys(t), "month", "period")
+
+
 QUERIES: dict[str, Query] = {
+    "finance_weekly": finance_weekly,
+    "finance_monthly": finance_monthly,
+    "finance_partner_split": finance_partner_split,
     "churn_monthly": churn_monthly,
     "churn_user_states": churn_user_states,
 }

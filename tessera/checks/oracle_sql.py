@@ -83,7 +83,115 @@ CHURN_USER_STATES = with_ctes(GEO_CUSTOMERS, JOURNEYS, CHURN_STATES, """
 SELECT passenger_id, month, is_new, is_retained, is_reactivated, is_churned FROM stats_union""")
 
 
+# --- C2 finance -----------------------------------------------------------------
+
+def _dec(c):
+    return f"CAST({c} AS DECIMAL(12,2))"
+
+
+FIN_PER_ORDER = f"""per_order AS (
+  SELECT l_orderkey,
+         sum({_dec('l_extendedprice')}) AS gross,
+         sum({_dec('l_extendedprice')} * (1 - {_dec('l_discount')})) AS net,
+         sum({_dec('l_extendedprice')} * {_dec('l_discount')}) AS disc,
+         sum({_dec('l_extendedprice')} * {_dec('l_tax')}) AS tax
+  FROM lineitem GROUP BY l_orderkey)"""
+
+
+def _finance_daily_cte() -> str:
+    cols = []
+    for metric, base, weight in fx.FINANCE_METRICS:
+        for cur, rate in fx.CURRENCY_RATES:
+            v = f"sum(p.{base}) * CAST('{weight}' AS DECIMAL(3,2)) * CAST('{rate}' AS DECIMAL(4,1))"
+            if metric in fx.NULLABLE_METRICS:
+                v = f"CASE WHEN j.segment <> '{fx.NULL_METRIC_SEGMENT}' THEN {v} END"
+            cols.append(f"CAST({v} AS DECIMAL(38,8)) AS {metric}_{cur}")
+    return ("finance_daily AS (\n  SELECT j.completed_dt_loc AS day, j.segment, j.country, j.city,\n"
+            "         count(DISTINCT j.journey_id) AS n_journeys,\n         "
+            + ",\n         ".join(cols)
+            + "\n  FROM per_order p JOIN journeys j ON p.l_orderkey = j.journey_id\n  GROUP BY 1, 2, 3, 4)")
+
+
+def _partner_costs_cte() -> str:
+    cols = []
+    for cur, rate in fx.CURRENCY_RATES:
+        cols.append(f"CAST({_dec('l_extendedprice')} * {_dec('l_discount')} * CAST('{rate}' AS DECIMAL(4,1)) "
+                    f"AS DECIMAL(38,8)) AS partner_cost_{cur}")
+    return f"""partner_costs AS (
+  SELECT l_orderkey AS journey_id, l_shipdate AS completed_ts_loc,
+         CASE l_suppkey % 10 WHEN 0 THEN NULL WHEN 1 THEN 'PARTNER1' WHEN 2 THEN 'PARTNER2'
+              WHEN 3 THEN 'PARTNER3' ELSE 'P_OTHER' END AS partner_name,
+         {", ".join(cols)}
+  FROM lineitem)"""
+
+
+FIN_METRICS = ("gross_bookings", "parking", "toll_roads", "tips", "net_bookings", "gross_revenue",
+               "chauffeur_fines", "net_revenue_b2c", "net_revenue_b2b", "net_revenue_total",
+               "passenger_bonuses", "vat", "chauffeur_total_bonuses")
+FIN_CURRENCIES = ("rub", "gbp", "eur", "usd")
+
+
+def _money(x):
+    return f"CAST(round({x}, 2) AS DOUBLE)"
+
+
+def _partnership_cte(gran, period):
+    cols = []
+    for cur in FIN_CURRENCIES:
+        for p in ("PARTNER1", "PARTNER2", "PARTNER3"):
+            cols.append(f"SUM(CASE WHEN p.partner_name = '{p}' THEN p.partner_cost_{cur} END) AS {p}_privileges_revenue_{cur}")
+        cols.append(f"SUM(CASE WHEN p.partner_name NOT IN ('PARTNER1', 'PARTNER2', 'PARTNER3') "
+                    f"THEN p.partner_cost_{cur} END) AS other_privileges_revenue_{cur}")
+        cols.append(f"SUM(p.partner_cost_{cur}) AS privileges_revenue_total_{cur}")
+    return f"""partnership_data AS (
+  SELECT date_trunc('{gran}', (p.completed_ts_loc)::timestamp)::date AS {period}, j.segment, j.country, j.city,
+         {", ".join(cols)}
+  FROM partner_costs p INNER JOIN journeys j ON p.journey_id = j.journey_id
+  GROUP BY 1, 2, 3, 4)"""
+
+
+def finance_sql(gran: str, period: str) -> str:
+    main_cols = ", ".join(f"SUM(d.{m}_{c}) AS {m}_{c}" for m in FIN_METRICS for c in FIN_CURRENCIES)
+    main = f"""main AS (
+  SELECT date_trunc('{gran}', d.day)::date AS {period}, d.segment, d.country AS country, d.city AS city,
+         SUM(d.n_journeys) AS n_journeys, {main_cols}
+  FROM finance_daily d GROUP BY 1, 2, 3, 4)"""
+    out = [f"m.{period}", "m.segment", "m.country", "m.city", "m.n_journeys"]
+    for c in FIN_CURRENCIES:
+        for x in ("gross_bookings", "parking", "toll_roads", "tips", "net_bookings", "gross_revenue"):
+            out.append(f"{_money(f'm.{x}_{c}')} AS {x}_{c}")
+        out.append(f"{_money(f'COALESCE(m.chauffeur_total_bonuses_{c}, 0)')} AS chauffeur_total_bonuses_{c}")
+        out.append(f"{_money(f'COALESCE(m.passenger_bonuses_{c}, 0)')} AS passenger_bonuses_{c}")
+        for p in ("PARTNER1", "PARTNER2", "PARTNER3", "other"):
+            out.append(f"{_money(f'COALESCE(pd.{p}_privileges_revenue_{c}, 0)')} AS {p}_privileges_revenue_{c}")
+        out.append(f"{_money(f'COALESCE(pd.privileges_revenue_total_{c}, 0)')} AS privileges_revenue_total_{c}")
+        for x in ("net_revenue_b2c", "net_revenue_b2b", "net_revenue_total"):
+            out.append(f"{_money(f'm.{x}_{c}')} AS {x}_{c}")
+        out.append(f"{_money(f'COALESCE(m.chauffeur_fines_{c}, 0)')} AS chauffeur_fines_{c}")
+        out.append(f"{_money(f'COALESCE(m.chauffeur_fines_{c}, 0) - COALESCE(m.chauffeur_total_bonuses_{c}, 0)')} "
+                   f"AS chauffeurs_fines_minus_bonuses_{c}")
+    body = f"""
+SELECT {", ".join(out)}
+FROM main m LEFT JOIN partnership_data pd
+  ON m.{period} = pd.{period} AND m.segment = pd.segment AND m.country = pd.country AND m.city = pd.city"""
+    return with_ctes(GEO_CUSTOMERS, JOURNEYS, FIN_PER_ORDER, _finance_daily_cte(), _partner_costs_cte(),
+                     main, _partnership_cte(gran, period), body)
+
+
+def partner_split_sql(gran: str, period: str) -> str:
+    cols = []
+    for c in FIN_CURRENCIES:
+        for p in ("PARTNER1", "PARTNER2", "PARTNER3", "other"):
+            cols.append(f"{_money(f'{p}_privileges_revenue_{c}')} AS {p}_privileges_revenue_{c}")
+        cols.append(f"{_money(f'privileges_revenue_total_{c}')} AS privileges_revenue_total_{c}")
+    return with_ctes(GEO_CUSTOMERS, JOURNEYS, _partner_costs_cte(), _partnership_cte(gran, period),
+                     f"SELECT {period}, segment, country, city, {', '.join(cols)} FROM partnership_data")
+
+
 ORACLE = {
+    "finance_weekly": finance_sql("week", "week"),
+    "finance_monthly": finance_sql("month", "month"),
+    "finance_partner_split": partner_split_sql("month", "period"),
     "churn_monthly": CHURN_MONTHLY,
     "churn_user_states": CHURN_USER_STATES,
 }

@@ -117,7 +117,7 @@ def finance_daily(t: Tables) -> DataFrame:
             v = F.col(base) * F.lit(weight).cast("decimal(3,2)") * F.lit(rate).cast("decimal(4,1)")
             if metric in NULLABLE_METRICS:
                 v = F.when(F.col("segment") != NULL_METRIC_SEGMENT, v)
-            cols.append(v.cast("decimal(38,6)").alias(f"{metric}_{cur}"))
+            cols.append(v.cast("decimal(38,8)").alias(f"{metric}_{cur}"))
     return daily.select(*cols)
 
 
@@ -134,7 +134,7 @@ def partner_costs(t: Tables) -> DataFrame:
             F.col("l_shipdate").alias("completed_ts_loc"),
             partner.alias("partner_name")]
     for cur, rate in CURRENCY_RATES:
-        cols.append((cost * F.lit(rate).cast("decimal(4,1)")).cast("decimal(38,6)")
+        cols.append((cost * F.lit(rate).cast("decimal(4,1)")).cast("decimal(38,8)")
                     .alias(f"partner_cost_{cur}"))
     return t.lineitem.select(*cols)
 
