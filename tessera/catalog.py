@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import finance, lifecycle
+from tessera.plans import finance, lifecycle, reconcile
 from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables
 
@@ -42,7 +42,38 @@ def finance_partner_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finance.partner_split(fx.partner_costs(t), fx.journeys(t), "month", "period")
 
 
+def _recon(spark, sf_dir, mode, windows=None):
+    t = Tables(spark, sf_dir)
+    spec = reconcile.ReconcileSpec(**fx.RECON_SPEC)
+    if windows is None:
+        a, b = fx.RECON_SINGLE_WINDOW
+        return reconcile.reconcile_window(fx.recon_source(t), fx.recon_target(t), spec, mode, a, b, fx.RUN_TS)
+    return reconcile.reconcile_batch({spec.source_collection: fx.recon_source(t)},
+                                     {spec.target_table: fx.recon_target(t)},
+                                     [spec], [mode], windows, fx.RUN_TS)[mode]
+
+
+def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recon(spark, sf_dir, "docs_level")
+
+
+def reconcile_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recon(spark, sf_dir, "fields_level")
+
+
+def reconcile_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recon(spark, sf_dir, "docs_level", fx.RECON_WINDOWS)
+
+
+def reconcile_batch_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recon(spark, sf_dir, "fields_level", fx.RECON_WINDOWS)
+
+
 QUERIES: dict[str, Query] = {
+    "reconcile_counts": reconcile_counts,
+    "reconcile_sums": reconcile_sums,
+    "reconcile_batch_counts": reconcile_batch_counts,
+    "reconcile_batch_sums": reconcile_batch_sums,
     "finance_weekly": finance_weekly,
     "finance_monthly": finance_monthly,
     "finance_partner_split": finance_partner_split,

@@ -188,7 +188,92 @@ def partner_split_sql(gran: str, period: str) -> str:
                      f"SELECT {period}, segment, country, city, {', '.join(cols)} FROM partnership_data")
 
 
+# --- C3-C5 reconciliation --------------------------------------------------------
+
+def _oid(ts_sql):
+    return f"lower(lpad(hex(epoch(CAST({ts_sql} AS TIMESTAMP))::BIGINT), 8, '0') || '0000000000000000')"
+
+
+RECON_SOURCE = f"""recon_source AS (
+  SELECT lower(lpad(hex(epoch(o_orderdate)::BIGINT), 8, '0') || lpad(hex(o_orderkey), 16, '0')) AS _id,
+         o_orderdate AS created_at,
+         CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS price,
+         CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CAST('0.05' AS DECIMAL(3,2)) AS DOUBLE) AS credit
+  FROM orders)"""
+
+RECON_TARGET = """recon_target AS (
+  SELECT o_orderdate AS requested_ts_utc,
+         CAST(CASE WHEN o_orderkey % 97 = 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) + 1
+                   ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DOUBLE) AS price_loc,
+         CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CAST('0.05' AS DECIMAL(3,2)) AS DOUBLE) AS discount_loc
+  FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))"""
+
+
+def _windows_cte(windows):
+    vals = ", ".join(f"(DATE '{a}', DATE '{b}')" for a, b in windows)
+    return f"windows AS (SELECT * FROM (VALUES {vals}) w(window_from, window_to))"
+
+
+RECON_HEAD = (f"TIMESTAMP '{RUN_TS}' AS run_ts_utc, '{fx.RECON_SPEC['source_collection']}' AS source_collection, "
+              f"'{fx.RECON_SPEC['target_table']}' AS target_table")
+
+
+def recon_counts_sql(windows, keep_window: bool) -> str:
+    src = f"""src AS (
+  SELECT w.window_from, w.window_to, CAST(s.created_at AS DATE) AS day, count(s._id) AS source_cnt
+  FROM recon_source s JOIN windows w ON s._id >= {_oid('w.window_from')} AND s._id < {_oid('w.window_to')}
+  WHERE s.created_at IS NOT NULL GROUP BY 1, 2, 3)"""
+    tgt = """tgt AS (
+  SELECT w.window_from, w.window_to, CAST(t.requested_ts_utc AS DATE) AS day, count(*) AS target_cnt
+  FROM recon_target t JOIN windows w ON t.requested_ts_utc >= w.window_from AND t.requested_ts_utc < w.window_to
+  GROUP BY 1, 2, 3)"""
+    win = "s.window_from, s.window_to, " if keep_window else ""
+    body = f"""
+SELECT {RECON_HEAD}, {win}s.day, s.source_cnt, COALESCE(t.target_cnt, 0) AS target_cnt,
+       round_even(CAST(s.source_cnt - COALESCE(t.target_cnt, 0) AS DOUBLE), 2) AS diff_abs,
+       round_even(100.0 * round_even(CAST(s.source_cnt - COALESCE(t.target_cnt, 0) AS DOUBLE), 2)
+                  / nullif(CAST(s.source_cnt AS DOUBLE), 0), 2) AS diff_pct
+FROM src s LEFT JOIN tgt t ON s.window_from = t.window_from AND s.window_to = t.window_to AND s.day = t.day"""
+    return with_ctes(RECON_SOURCE, RECON_TARGET, _windows_cte(windows), src, tgt, body)
+
+
+def recon_sums_sql(windows, keep_window: bool) -> str:
+    cmap = fx.RECON_SPEC["columns_map"]
+    d = "DECIMAL(38,10)"
+    src_cols = ", ".join(f"COALESCE(sum(CAST(s.{f} AS {d})), CAST(0 AS {d})) AS {f}" for f in cmap)
+    tgt_cols = ", ".join(f"sum(CAST(t.{c} AS {d})) AS {c}" for c in cmap.values())
+    src_wide = f"""src_wide AS (
+  SELECT w.window_from, w.window_to, CAST(s.created_at AS DATE) AS day, {src_cols}
+  FROM recon_source s JOIN windows w ON s._id >= {_oid('w.window_from')} AND s._id < {_oid('w.window_to')}
+  WHERE s.created_at IS NOT NULL GROUP BY 1, 2, 3)"""
+    tgt_wide = f"""tgt_wide AS (
+  SELECT w.window_from, w.window_to, CAST(t.requested_ts_utc AS DATE) AS day, {tgt_cols}
+  FROM recon_target t JOIN windows w ON t.requested_ts_utc >= w.window_from AND t.requested_ts_utc < w.window_to
+  GROUP BY 1, 2, 3)"""
+    mapping = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in cmap.items())
+    src = "src AS (" + " UNION ALL ".join(
+        f"SELECT window_from, window_to, day, '{f}' AS source_field, round_even({f}, 2) AS source_sum, "
+        f"CASE '{f}' {mapping} END AS target_column FROM src_wide" for f in cmap) + ")"
+    tgt = "tgt AS (" + " UNION ALL ".join(
+        f"SELECT window_from, window_to, day, '{c}' AS target_column, round_even({c}, 2) AS target_sum FROM tgt_wide"
+        for c in dict.fromkeys(cmap.values())) + ")"
+    win = "s.window_from, s.window_to, " if keep_window else ""
+    diff = "round_even(s.source_sum - COALESCE(t.target_sum, 0), 2)"
+    body = f"""
+SELECT {RECON_HEAD}, {win}s.day, s.source_field, s.target_column,
+       CAST(s.source_sum AS DOUBLE) AS source_sum, CAST(COALESCE(t.target_sum, 0) AS DOUBLE) AS target_sum,
+       CAST({diff} AS DOUBLE) AS diff_abs,
+       round_even(100.0 * CAST({diff} AS DOUBLE) / nullif(CAST(s.source_sum AS DOUBLE), 0), 2) AS diff_pct
+FROM src s LEFT JOIN tgt t ON s.window_from = t.window_from AND s.window_to = t.window_to
+  AND s.day = t.day AND s.target_column = t.target_column"""
+    return with_ctes(RECON_SOURCE, RECON_TARGET, _windows_cte(windows), src_wide, tgt_wide, src, tgt, body)
+
+
 ORACLE = {
+    "reconcile_counts": recon_counts_sql([fx.RECON_SINGLE_WINDOW], False),
+    "reconcile_sums": recon_sums_sql([fx.RECON_SINGLE_WINDOW], False),
+    "reconcile_batch_counts": recon_counts_sql(fx.RECON_WINDOWS, True),
+    "reconcile_batch_sums": recon_sums_sql(fx.RECON_WINDOWS, True),
     "finance_weekly": finance_sql("week", "week"),
     "finance_monthly": finance_sql("month", "month"),
     "finance_partner_split": partner_split_sql("month", "period"),

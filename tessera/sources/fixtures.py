@@ -48,6 +48,12 @@ RECON_WINDOWS = (
     ("1999-01-01", "2000-01-01"), ("2000-01-01", "2001-01-01"),
     ("2001-01-01", "2002-01-01"), ("1997-01-01", "1997-12-31"),
 )
+# The first run of the iterator script on our dates: 1995-01-01 .. 1996-12-31 (exclusive).
+RECON_SINGLE_WINDOW = ("1995-01-01", "1996-12-31")
+# Comparison spec of the "orders" collection (settings file of the reference).
+RECON_SPEC = dict(source_collection="orders", target_table="analytics.f_requests",
+                  target_ts_column="requested_ts_utc",
+                  columns_map={"price": "price_loc", "credit": "discount_loc"})
 CAMPAIGN_TARGET = "purchase"
 DUPLICATE_CAMPAIGN_ROW = (30, "error")
 
