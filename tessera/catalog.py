@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.plans import finance, lifecycle, reconcile
+from tessera.operators import cleaning
+from tessera.plans import finance, lifecycle, reconcile, sessions
 from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables
 
@@ -69,7 +71,65 @@ def reconcile_batch_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _recon(spark, sf_dir, "fields_level", fx.RECON_WINDOWS)
 
 
+def _sessions(spark, sf_dir):
+    return fx.sessions(Tables(spark, sf_dir))
+
+
+def _clean_sessions(spark, sf_dir):
+    return sessions.clean(sessions.enrich(_sessions(spark, sf_dir)))
+
+
+def sessions_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.enrich(_sessions(spark, sf_dir))
+
+
+def sessions_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.anomalies(_sessions(spark, sf_dir))
+
+
+def sessions_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clean_sessions(spark, sf_dir)
+
+
+def sessions_by_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.conversion_distribution(_clean_sessions(spark, sf_dir), "session_duration_range")
+
+
+def sessions_by_clickouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.conversion_distribution(_clean_sessions(spark, sf_dir), "clickouts")
+
+
+def sessions_chi2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.notebook_tests(_clean_sessions(spark, sf_dir), stats_only=True)
+
+
+def sessions_chi2_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.notebook_tests(_clean_sessions(spark, sf_dir))
+
+
+SESSION_MEASURES = ("clickouts", "booking", "session_duration_sec", "session_start_hour", "session_duration_min")
+
+
+def sessions_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = cleaning.describe(_clean_sessions(spark, sf_dir), SESSION_MEASURES)
+    return d.select("column", "count", *[F.bround(c, 6).alias(c) if c not in ("min", "max") else F.col(c)
+                                         for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+def sessions_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.histogram(_sessions(spark, sf_dir), "booking", 10)
+
+
 QUERIES: dict[str, Query] = {
+    "sessions_enriched": sessions_enriched,
+    "sessions_anomalies": sessions_anomalies,
+    "sessions_clean": sessions_clean,
+    "sessions_by_duration": sessions_by_duration,
+    "sessions_by_clickouts": sessions_by_clickouts,
+    "sessions_chi2": sessions_chi2,
+    "sessions_chi2_test": sessions_chi2_test,
+    "sessions_describe": sessions_describe,
+    "sessions_hist": sessions_hist,
     "reconcile_counts": reconcile_counts,
     "reconcile_sums": reconcile_sums,
     "reconcile_batch_counts": reconcile_batch_counts,

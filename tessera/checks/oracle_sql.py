@@ -269,7 +269,130 @@ FROM src s LEFT JOIN tgt t ON s.window_from = t.window_from AND s.window_to = t.
     return with_ctes(RECON_SOURCE, RECON_TARGET, _windows_cte(windows), src_wide, tgt_wide, src, tgt, body)
 
 
+# --- C14-C16 sessions, A12/A14/P16-P18 profiling ---------------------------------
+
+SESSIONS = """sessions AS (
+  SELECT event_id AS session,
+         strftime(ts, '%H:%M:%S') AS session_start_text,
+         strftime(ts + to_seconds(4 * CAST(json_extract_string(props, '$.k') AS INTEGER)), '%H:%M:%S') AS session_end_text,
+         CAST(event_id % 8 AS INTEGER) AS clickouts,
+         CAST(event_type = 'purchase' AS INTEGER) AS booking
+  FROM events)"""
+
+
+def _hms(t):
+    return (f"(CAST(split_part({t}, ':', 1) AS INTEGER) * 3600 + CAST(split_part({t}, ':', 2) AS INTEGER) * 60 "
+            f"+ CAST(split_part({t}, ':', 3) AS INTEGER))")
+
+
+ENRICHED = f"""enriched AS (
+  SELECT session, session_start_text, session_end_text, clickouts, booking,
+         dur AS session_duration_sec,
+         CAST({_hms('session_start_text')} // 3600 AS INTEGER) AS session_start_hour,
+         CAST(round_even(dur / 60.0, 0) AS INTEGER) AS session_duration_min,
+         CAST(dur // 60 AS VARCHAR) || '-' || CAST(dur // 60 + 1 AS VARCHAR) AS session_duration_range
+  FROM (SELECT *, CASE WHEN {_hms('session_end_text')} - {_hms('session_start_text')} < 0
+                       THEN {_hms('session_end_text')} - {_hms('session_start_text')} + 86400
+                       ELSE {_hms('session_end_text')} - {_hms('session_start_text')} END AS dur
+        FROM sessions) x)"""
+
+CLEAN = """clean AS (
+  SELECT * FROM enriched WHERE NOT COALESCE(clickouts = 0 AND booking = 1, FALSE))"""
+
+
+def ratio_half_even_sql(num, den, digits):
+    scale = 10 ** digits
+    s = f"(CAST({num} AS BIGINT) * {scale})"
+    d = f"CAST({den} AS BIGINT)"
+    q = f"({s} // {d})"
+    r = f"({s} % {d})"
+    return (f"(CASE WHEN {d} IS NULL OR {d} = 0 THEN NULL "
+            f"WHEN {r} * 2 > {d} OR ({r} * 2 = {d} AND {q} % 2 = 1) THEN {q} + 1 ELSE {q} END / {float(scale)})")
+
+
+def distribution_sql(var):
+    body = f"""
+SELECT {var}, COALESCE(n0, 0) AS n_not_booked, COALESCE(n1, 0) AS n_booked,
+       COALESCE(n0 + n1, 0) AS total_sessions,
+       COALESCE({ratio_half_even_sql('n1', 'n0 + n1', 4)}, 0.0) AS pct_booked
+FROM (SELECT {var}, sum(CASE WHEN booking = 0 THEN 1 END) AS n0, sum(CASE WHEN booking = 1 THEN 1 END) AS n1
+      FROM clean WHERE {var} IS NOT NULL AND booking IS NOT NULL GROUP BY {var}) x"""
+    return with_ctes(SESSIONS, ENRICHED, CLEAN, body)
+
+
+def _chi2_block(name, src, label):
+    return f"""{name}_cells AS (SELECT booking AS rv, {label} AS cv, count(*) AS n FROM {src}
+    WHERE booking IS NOT NULL AND {label} IS NOT NULL GROUP BY 1, 2),
+{name}_j AS (
+  SELECT c.rv, c.cv, c.n, r.r, r.k_r, k.c, k.k_c FROM {name}_cells c
+  JOIN (SELECT rv, sum(n) AS r, count(*) AS k_r FROM {name}_cells GROUP BY rv) r ON c.rv = r.rv
+  JOIN (SELECT cv, sum(n) AS c, count(*) AS k_c FROM {name}_cells GROUP BY cv) k ON c.cv = k.cv),
+{name}_agg AS (
+  SELECT sum(n) AS big_n, count(DISTINCT rv) AS nr, count(DISTINCT cv) AS nc,
+         sum(CAST(n AS DOUBLE) * n / (CAST(r AS DOUBLE) * c)) AS s1,
+         sum(1.0 / (CAST(r AS DOUBLE) * k_r)) AS inv_r, sum(1.0 / (CAST(c AS DOUBLE) * k_c)) AS inv_c,
+         (SELECT CAST(n AS DOUBLE) FROM {name}_j ORDER BY rv, cv LIMIT 1) AS o1,
+         (SELECT CAST(r AS DOUBLE) FROM {name}_j ORDER BY rv, cv LIMIT 1) AS r1,
+         (SELECT CAST(c AS DOUBLE) FROM {name}_j ORDER BY rv, cv LIMIT 1) AS c1
+  FROM {name}_j),
+{name} AS (
+  SELECT '{label}' AS variable, big_n AS n, CAST((nr - 1) * (nc - 1) AS BIGINT) AS dof,
+         round_even(CASE WHEN (nr - 1) * (nc - 1) = 1
+                         THEN pow(abs(o1 - r1 * c1 / big_n) - least(0.5, abs(o1 - r1 * c1 / big_n)), 2)
+                              * big_n * inv_r * inv_c
+                         WHEN (nr - 1) * (nc - 1) = 0 THEN 0.0
+                         ELSE big_n * s1 - big_n END, 6) AS stat
+  FROM {name}_agg)"""
+
+
+CHI2_STATS = with_ctes(
+    SESSIONS, ENRICHED, CLEAN,
+    "clean_nz AS (SELECT * FROM clean WHERE clickouts <> 0)",
+    _chi2_block("t1", "clean", "session_start_hour"),
+    _chi2_block("t2", "clean", "session_duration_min"),
+    _chi2_block("t3", "clean_nz", "clickouts"),
+    "SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3")
+
+DESCRIBE_COLS = ("clickouts", "booking", "session_duration_sec", "session_start_hour", "session_duration_min")
+
+
+def describe_sql(src_cte_chain, src, cols):
+    parts = []
+    for c in cols:
+        parts.append(f"""SELECT '{c}' AS "column", count(x) AS count, round_even(avg(x), 6) AS mean,
+       round_even(stddev_samp(x), 6) AS std, min(x) AS min, round_even(quantile_cont(x, 0.25), 6) AS p25,
+       round_even(quantile_cont(x, 0.5), 6) AS p50, round_even(quantile_cont(x, 0.75), 6) AS p75, max(x) AS max
+FROM (SELECT CAST({c} AS DOUBLE) AS x FROM {src}) t""")
+    return with_ctes(*src_cte_chain, "\nUNION ALL\n".join(parts))
+
+
+def histogram_sql(src_cte_chain, src, col, bins=10):
+    body = f"""
+SELECT bin, lo + bin * w AS bin_lower, lo + (bin + 1) * w AS bin_upper, count(*) AS count
+FROM (SELECT least(CAST(floor((x - lo) / w) AS INTEGER), {bins - 1}) AS bin, lo, w
+      FROM (SELECT CAST({col} AS DOUBLE) AS x FROM {src}) d,
+           (SELECT lo, (hi - lo) / {float(bins)} AS w FROM
+              (SELECT CASE WHEN min(CAST({col} AS DOUBLE)) = max(CAST({col} AS DOUBLE)) THEN min(CAST({col} AS DOUBLE)) - 0.5
+                           ELSE min(CAST({col} AS DOUBLE)) END AS lo,
+                      CASE WHEN min(CAST({col} AS DOUBLE)) = max(CAST({col} AS DOUBLE)) THEN max(CAST({col} AS DOUBLE)) + 0.5
+                           ELSE max(CAST({col} AS DOUBLE)) END AS hi FROM {src}) m) s
+      WHERE x IS NOT NULL) b
+GROUP BY bin, lo, w"""
+    return with_ctes(*src_cte_chain, body)
+
+
 ORACLE = {
+    "sessions_enriched": with_ctes(SESSIONS, ENRICHED, "SELECT * FROM enriched"),
+    "sessions_anomalies": with_ctes(SESSIONS, """
+SELECT count(*) AS n_sessions, count(*) FILTER (WHERE COALESCE(clickouts = 0 AND booking = 1, FALSE)) AS n_anomalies,
+       100.0 * count(*) FILTER (WHERE COALESCE(clickouts = 0 AND booking = 1, FALSE)) / count(*) AS pct_anomalies
+FROM sessions"""),
+    "sessions_clean": with_ctes(SESSIONS, ENRICHED, CLEAN, "SELECT * FROM clean"),
+    "sessions_by_duration": distribution_sql("session_duration_range"),
+    "sessions_by_clickouts": distribution_sql("clickouts"),
+    "sessions_chi2": CHI2_STATS,
+    "sessions_describe": describe_sql((SESSIONS, ENRICHED, CLEAN), "clean", DESCRIBE_COLS),
+    "sessions_hist": histogram_sql((SESSIONS,), "sessions", "booking"),
     "reconcile_counts": recon_counts_sql([fx.RECON_SINGLE_WINDOW], False),
     "reconcile_sums": recon_sums_sql([fx.RECON_SINGLE_WINDOW], False),
     "reconcile_batch_counts": recon_counts_sql(fx.RECON_WINDOWS, True),

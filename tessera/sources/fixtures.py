@@ -177,7 +177,7 @@ def trips(t: Tables) -> DataFrame:
     """Completed trips with straight-line pickup/dropoff coordinates in the unit square."""
     k = F.col("o_orderkey")
     pickup_lon = F.when(k % 500 == 0, F.lit(None).cast("double")).otherwise(_coord("o_orderkey", 7919, 1000))
-    dropoff_ts = F.timestampadd("MINUTE", (k % 120).cast("int"), F.col("o_orderdate"))
+    dropoff_ts = F.timestamp_add("MINUTE", (k % 120).cast("int"), F.col("o_orderdate"))
     return (t.orders.where(F.col("o_orderstatus") == "F")
             .select(F.col("o_orderkey").alias("journey_id"),
                     F.col("o_custkey").alias("chauffeur_id"),
@@ -205,7 +205,7 @@ def sessions(t: Tables) -> DataFrame:
     return t.events.select(
         F.col("event_id").alias("session"),
         F.date_format("ts", "HH:mm:ss").alias("session_start_text"),
-        F.date_format(F.timestampadd("SECOND", k * 4, F.col("ts")), "HH:mm:ss").alias("session_end_text"),
+        F.date_format(F.timestamp_add("SECOND", k * 4, F.col("ts")), "HH:mm:ss").alias("session_end_text"),
         (F.col("event_id") % 8).cast("int").alias("clickouts"),
         (F.col("event_type") == "purchase").cast("int").alias("booking"))
 
