@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import cleaning
-from tessera.plans import finance, lifecycle, reconcile, sessions
+from tessera.plans import campaigns, finance, lifecycle, reconcile, sessions
 from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables
 
@@ -120,7 +120,57 @@ def sessions_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.histogram(_sessions(spark, sf_dir), "booking", 10)
 
 
+def _campaigns(spark, sf_dir):
+    return fx.campaigns(Tables(spark, sf_dir))
+
+
+def campaign_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return campaigns.campaign_kpis(_campaigns(spark, sf_dir))
+
+
+def market_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return campaigns.market_kpis(_campaigns(spark, sf_dir))
+
+
+def campaign_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return campaigns.growth_summary(campaigns.series_table(_campaigns(spark, sf_dir)))
+
+
+def campaign_metric_dev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = campaigns.series_table(_campaigns(spark, sf_dir))
+    return campaigns.metric_development(s, "RPV").unionByName(campaigns.metric_development(s, "ROMI"))
+
+
+def campaign_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return campaigns.spend_scenario(_campaigns(spark, sf_dir), fx.CAMPAIGN_TARGET)
+
+
+def forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return campaigns.spend_scenario_ffill(_campaigns(spark, sf_dir), fx.CAMPAIGN_TARGET)
+
+
+def campaign_ols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return campaigns.ols_fit(_campaigns(spark, sf_dir), fx.CAMPAIGN_TARGET)
+
+
+def market_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return campaigns.market_forecast(_campaigns(spark, sf_dir), fx.CAMPAIGN_TARGET)
+
+
+def chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return campaigns.chart_series(_campaigns(spark, sf_dir), fx.CAMPAIGN_TARGET)
+
+
 QUERIES: dict[str, Query] = {
+    "campaign_kpis": campaign_kpis,
+    "market_kpis": market_kpis,
+    "campaign_growth": campaign_growth,
+    "campaign_metric_dev": campaign_metric_dev,
+    "campaign_scenario": campaign_scenario,
+    "forward_fill": forward_fill,
+    "campaign_ols": campaign_ols,
+    "market_forecast": market_forecast,
+    "chart_series": chart_series,
     "sessions_enriched": sessions_enriched,
     "sessions_anomalies": sessions_anomalies,
     "sessions_clean": sessions_clean,

@@ -381,7 +381,172 @@ GROUP BY bin, lo, w"""
     return with_ctes(*src_cte_chain, body)
 
 
+# --- C8-C13, C20 campaigns ---------------------------------------------------------
+
+CAMPAIGNS = """campaigns_raw AS (
+  SELECT CAST(day(ts) AS INTEGER) AS Week, event_type AS Campaign, count(*) AS Visits,
+         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS Revenue,
+         CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS DOUBLE) AS Cost
+  FROM events GROUP BY 1, 2),
+campaigns AS (
+  SELECT * FROM campaigns_raw
+  UNION ALL SELECT * FROM campaigns_raw WHERE Week = 30 AND Campaign = 'error'),
+dedup AS (SELECT DISTINCT * FROM campaigns)"""
+
+D8 = "DECIMAL(38,8)"
+
+
+def div_half_even_sql(n, d, digits):
+    scale = 10 ** digits
+    an = f"(abs({n}) * {scale})"
+    ad = f"abs({d})"
+    q = f"({an} // {ad})"
+    r = f"({an} % {ad})"
+    up = f"(CASE WHEN {r} * 2 > {ad} OR ({r} * 2 = {ad} AND {q} % 2 = 1) THEN {q} + 1 ELSE {q} END)"
+    return (f"(CASE WHEN {d} = 0 OR {d} IS NULL OR {n} IS NULL THEN NULL "
+            f"ELSE sign({n}) * sign({d}) * {up} / {float(scale)} END)")
+
+
+def _cents(x):
+    return f"CAST(CAST({x} AS {D8}) * 100 AS BIGINT)"
+
+
+CAMPAIGN_KPIS = f"""campaign_kpis AS (
+  SELECT Week, Campaign, Visits, Revenue, Cost,
+         CAST(CAST(Revenue AS {D8}) - CAST(Cost AS {D8}) AS DOUBLE) AS Profit,
+         {div_half_even_sql(f"({_cents('Revenue')} - {_cents('Cost')})", _cents('Cost'), 4)} AS ROMI,
+         Revenue / nullif(CAST(Visits AS DOUBLE), 0) AS RPV
+  FROM dedup)"""
+
+MARKET_KPIS = f"""market_wk AS (
+  SELECT Week, sum(Visits) AS Visits, sum(CAST(Revenue AS {D8})) AS rev, sum(CAST(Cost AS {D8})) AS cost
+  FROM dedup GROUP BY Week),
+market_kpis AS (
+  SELECT Week, CAST(Visits AS BIGINT) AS Visits, CAST(rev AS DOUBLE) AS Revenue, CAST(cost AS DOUBLE) AS Cost,
+         CAST(rev - cost AS DOUBLE) AS Profit,
+         {div_half_even_sql(f"({_cents('rev')} - {_cents('cost')})", _cents('cost'), 4)} AS ROMI,
+         CAST(rev AS DOUBLE) / nullif(CAST(Visits AS DOUBLE), 0) AS RPV
+  FROM market_wk)"""
+
+SERIES = """series_t AS (
+  SELECT Week, Campaign AS series, Visits, Revenue, Cost, Profit, ROMI, RPV FROM campaign_kpis
+  UNION ALL SELECT Week, 'Overall', Visits, Revenue, Cost, Profit, ROMI, RPV FROM market_kpis)"""
+
+ALL_METRICS = ("Visits", "Revenue", "Cost", "Profit", "ROMI", "RPV")
+
+
+def _long_sql(name, src, metrics):
+    return f"{name} AS (" + " UNION ALL ".join(
+        f"SELECT series, Week, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {src}" for m in metrics) + ")"
+
+
+def _growth(x, prev):
+    return f"(abs({x} / nullif({prev}, 0) - 1) * sign({x} - {prev}))"
+
+
+GROWTH_SUMMARY = with_ctes(CAMPAIGNS, CAMPAIGN_KPIS, MARKET_KPIS, SERIES, _long_sql("lng", "series_t", ALL_METRICS), f"""
+SELECT series, metric,
+       round_even(CAST(sum(CAST(value AS {D8})) AS DOUBLE) / count(value), 10) AS mean_abs,
+       round_even(avg(g), 10) AS mean_wow_growth
+FROM (SELECT series, metric, value,
+             {_growth('value', 'lag(value) OVER (PARTITION BY series, metric ORDER BY Week)')} AS g
+      FROM lng) x
+GROUP BY series, metric""")
+
+
+def metric_dev_sql(metric):
+    return f"""
+SELECT series, '{metric}' AS metric, round_even(mn, 2) AS min, round_even(mx, 2) AS max,
+       round_even(mean_abs, 2) AS mean_abs, round_even(w_first, 2) AS week1, round_even(w_last, 2) AS week30,
+       round_even({_growth('w_last', 'w_first')}, 10) AS w1_to_w30_growth,
+       round_even(mean_g, 10) AS mean_wow_growth
+FROM (SELECT series, min(x) AS mn, max(x) AS mx, CAST(sum(CAST(x AS {D8})) AS DOUBLE) / count(x) AS mean_abs,
+             max(CASE WHEN Week = 1 THEN x END) AS w_first, max(CASE WHEN Week = 30 THEN x END) AS w_last,
+             avg(g) AS mean_g
+      FROM (SELECT series, Week, CAST({metric} AS DOUBLE) AS x,
+                   {_growth(f'CAST({metric} AS DOUBLE)', f'lag(CAST({metric} AS DOUBLE)) OVER (PARTITION BY series ORDER BY Week)')} AS g
+            FROM series_t) a
+      GROUP BY series) b"""
+
+
+METRIC_DEV = with_ctes(CAMPAIGNS, CAMPAIGN_KPIS, MARKET_KPIS, SERIES,
+                       metric_dev_sql("RPV") + "\nUNION ALL" + metric_dev_sql("ROMI"))
+
+TARGET = fx.CAMPAIGN_TARGET
+
+SCENARIO = f"""last_w AS (SELECT * FROM dedup WHERE Week = 30),
+scenario AS (
+  SELECT Week, Visits, Campaign, Revenue, Cost FROM last_w
+  UNION ALL
+  SELECT CAST(w.range AS INTEGER) AS Week, l.Visits, l.Campaign, l.Revenue,
+         CASE WHEN l.Campaign = '{TARGET}' THEN l.Cost + 250.0 * (w.range - 30) ELSE l.Cost END AS Cost
+  FROM last_w l CROSS JOIN range(31, 46) w)"""
+
+
+def _ols_cte(y):
+    return f"""ols_{y} AS (
+  SELECT slope, (sy - slope * sx) / n AS intercept FROM (
+    SELECT (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope, sx, sy, n FROM (
+      SELECT CAST(count(*) FILTER (WHERE is_train) AS DOUBLE) AS n,
+             CAST(sum(CAST(Cost AS {D8})) FILTER (WHERE is_train) AS DOUBLE) AS sx,
+             CAST(sum(CAST({y} AS {D8})) FILTER (WHERE is_train) AS DOUBLE) AS sy,
+             CAST(CAST(sum(CAST(Cost AS {D8}) * CAST(Cost AS {D8})) FILTER (WHERE is_train) AS DECIMAL(38,2)) AS DOUBLE) AS sxx,
+             CAST(CAST(sum(CAST(Cost AS {D8}) * CAST({y} AS {D8})) FILTER (WHERE is_train) AS DECIMAL(38,2)) AS DOUBLE) AS sxy
+      FROM ranked) a) b)"""
+
+
+RANKED = f"""ranked AS (
+  SELECT *, row_number() OVER (ORDER BY Week) <= 25 AS is_train FROM dedup WHERE Campaign = '{TARGET}')"""
+
+
+def _mae_sql(y):
+    err = f"abs(CAST(r.{y} AS DOUBLE) - (o.intercept + o.slope * CAST(r.Cost AS DOUBLE)))"
+    return f"""SELECT '{y}' AS target, round_even(o.slope, 10) AS slope, round_even(o.intercept, 10) AS intercept,
+       round_even(CAST(sum(CAST({err} AS {D8})) AS DOUBLE) / count({err}), 2) AS mae
+FROM ranked r CROSS JOIN ols_{y} o WHERE NOT r.is_train GROUP BY o.slope, o.intercept"""
+
+
+OLS = with_ctes(CAMPAIGNS, RANKED, _ols_cte("Revenue"), _ols_cte("Visits"),
+                _mae_sql("Revenue") + "\nUNION ALL\n" + _mae_sql("Visits"))
+
+FORECAST_CTE = f"""future AS (
+  SELECT s.Week,
+         sum(CASE WHEN s.Campaign = '{TARGET}' THEN CAST(trunc(ov.intercept + ov.slope * CAST(s.Cost AS DOUBLE)) AS BIGINT)
+                  ELSE s.Visits END) AS Visits,
+         sum(CAST(CASE WHEN s.Campaign = '{TARGET}' THEN orv.intercept + orv.slope * CAST(s.Cost AS DOUBLE)
+                       ELSE s.Revenue END AS {D8})) AS rev,
+         sum(CAST(s.Cost AS {D8})) AS cost
+  FROM scenario s CROSS JOIN ols_Revenue orv CROSS JOIN ols_Visits ov GROUP BY s.Week),
+forecast AS (
+  SELECT Week, Visits, Revenue, Cost, Profit, FALSE AS is_forecast FROM market_kpis
+  UNION ALL
+  SELECT Week, CAST(Visits AS BIGINT), CAST(rev AS DOUBLE), CAST(cost AS DOUBLE), CAST(rev - cost AS DOUBLE), TRUE
+  FROM future)"""
+
+FORECAST = with_ctes(CAMPAIGNS, MARKET_KPIS, RANKED, _ols_cte("Revenue"), _ols_cte("Visits"), SCENARIO,
+                     FORECAST_CTE, "SELECT * FROM forecast")
+
+CHART = with_ctes(CAMPAIGNS, CAMPAIGN_KPIS, MARKET_KPIS, SERIES, RANKED, _ols_cte("Revenue"), _ols_cte("Visits"),
+                  SCENARIO, FORECAST_CTE, _long_sql("kpi_long", "series_t", ("ROMI", "RPV")), """
+SELECT 'market_development' AS chart, 'Overall' AS series, Week, metric, value, is_forecast FROM (
+  SELECT Week, is_forecast, 'Visits' AS metric, CAST(Visits AS DOUBLE) AS value FROM forecast
+  UNION ALL SELECT Week, is_forecast, 'Revenue', Revenue FROM forecast
+  UNION ALL SELECT Week, is_forecast, 'Cost', Cost FROM forecast
+  UNION ALL SELECT Week, is_forecast, 'Profit', Profit FROM forecast) f
+UNION ALL
+SELECT lower(metric) AS chart, series, Week, metric, value, FALSE AS is_forecast FROM kpi_long""")
+
+
 ORACLE = {
+    "campaign_kpis": with_ctes(CAMPAIGNS, CAMPAIGN_KPIS, "SELECT * FROM campaign_kpis"),
+    "market_kpis": with_ctes(CAMPAIGNS, MARKET_KPIS, "SELECT * FROM market_kpis"),
+    "campaign_growth": GROWTH_SUMMARY,
+    "campaign_metric_dev": METRIC_DEV,
+    "campaign_scenario": with_ctes(CAMPAIGNS, SCENARIO, "SELECT * FROM scenario"),
+    "forward_fill": with_ctes(CAMPAIGNS, SCENARIO, "SELECT * FROM scenario"),
+    "campaign_ols": OLS,
+    "market_forecast": FORECAST,
+    "chart_series": CHART,
     "sessions_enriched": with_ctes(SESSIONS, ENRICHED, "SELECT * FROM enriched"),
     "sessions_anomalies": with_ctes(SESSIONS, """
 SELECT count(*) AS n_sessions, count(*) FILTER (WHERE COALESCE(clickouts = 0 AND booking = 1, FALSE)) AS n_anomalies,
