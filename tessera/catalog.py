@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import cleaning
-from tessera.plans import campaigns, finance, lifecycle, reconcile, sessions
+from tessera.plans import campaigns, finance, lifecycle, reconcile, sessions, zones
 from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables
 
@@ -161,7 +161,17 @@ def chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return campaigns.chart_series(_campaigns(spark, sf_dir), fx.CAMPAIGN_TARGET)
 
 
+def zone_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zones.zone_flags(fx.trips(Tables(spark, sf_dir)), fx.ZONES)
+
+
+def zone_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zones.zone_summary(zone_flags(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "zone_flags": zone_flags,
+    "zone_summary": zone_summary,
     "campaign_kpis": campaign_kpis,
     "market_kpis": market_kpis,
     "campaign_growth": campaign_growth,

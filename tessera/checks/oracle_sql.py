@@ -537,7 +537,101 @@ UNION ALL
 SELECT lower(metric) AS chart, series, Week, metric, value, FALSE AS is_forecast FROM kpi_long""")
 
 
+# --- C6/C7 zones (edge-table formulation: trips × edges, parity per group) ---------
+
+def _coord_sql(mult, mod):
+    return f"CAST(((o_orderkey % {mod}) * {mult % mod}) % {mod} AS DOUBLE) / CAST(1000 AS DOUBLE)"
+
+
+TRIPS = f"""trips AS (
+  SELECT o_orderkey AS journey_id, o_custkey AS chauffeur_id, o_orderdate AS pickup_ts_loc,
+         CAST(o_orderdate AS DATE) AS pickup_dt_loc,
+         o_orderdate + to_minutes(CAST(o_orderkey % 120 AS INTEGER)) AS dropoff_ts_loc,
+         CAST(o_orderdate + to_minutes(CAST(o_orderkey % 120 AS INTEGER)) AS DATE) AS dropoff_dt_loc,
+         {_coord_sql(104729, 997)} AS pickup_position_lat,
+         CASE WHEN o_orderkey % 500 = 0 THEN NULL ELSE {_coord_sql(7919, 1000)} END AS pickup_position_lon,
+         {_coord_sql(15485863, 983)} AS dropoff_position_lat,
+         {_coord_sql(1299709, 991)} AS dropoff_position_lon
+  FROM orders WHERE o_orderstatus = 'F'),
+pts AS (
+  SELECT journey_id, chauffeur_id, pickup_ts_loc, pickup_dt_loc, dropoff_ts_loc, dropoff_dt_loc,
+         pickup_position_lon AS px, pickup_position_lat AS py, dropoff_position_lon AS qx, dropoff_position_lat AS qy
+  FROM trips
+  WHERE journey_id IS NOT NULL AND chauffeur_id IS NOT NULL AND pickup_ts_loc IS NOT NULL AND pickup_dt_loc IS NOT NULL
+    AND dropoff_ts_loc IS NOT NULL AND dropoff_dt_loc IS NOT NULL AND pickup_position_lat IS NOT NULL
+    AND pickup_position_lon IS NOT NULL AND dropoff_position_lat IS NOT NULL AND dropoff_position_lon IS NOT NULL)"""
+
+
+def _edges_cte():
+    rows = []
+    for zi, ring in enumerate(fx.ZONES):
+        n = len(ring)
+        for i in range(n):
+            (a, b), (c, d) = ring[i], ring[(i + 1) % n]
+            rows.append(f"({zi}, {a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE, {d}::DOUBLE)")
+    return f"edges AS (SELECT * FROM (VALUES {', '.join(rows)}) e(zone, x1, y1, x2, y2))"
+
+
+def _or(ax, ay, bx, by, px, py):
+    return f"(({bx} - {ax}) * ({py} - {ay}) - ({by} - {ay}) * ({px} - {ax}))"
+
+
+def _btw(v, a, b):
+    return f"({v} >= least({a}, {b}) AND {v} <= greatest({a}, {b}))"
+
+
+def _inside_cte(name, x, y):
+    o = _or("e.x1", "e.y1", "e.x2", "e.y2", x, y)
+    return f"""{name} AS (
+  SELECT journey_id, bool_or(inside) AS flag FROM (
+    SELECT p.journey_id, e.zone,
+           sum(CASE WHEN (e.y1 <= {y} AND e.y2 > {y} AND {o} > 0) OR (e.y1 > {y} AND e.y2 <= {y} AND {o} < 0)
+                    THEN 1 ELSE 0 END) % 2 = 1
+           AND NOT bool_or({o} = 0 AND {_btw(x, 'e.x1', 'e.x2')} AND {_btw(y, 'e.y1', 'e.y2')}) AS inside
+    FROM pts p CROSS JOIN edges e GROUP BY p.journey_id, e.zone) z
+  GROUP BY journey_id)"""
+
+
+def _path_cte():
+    d1 = _or("e.x1", "e.y1", "e.x2", "e.y2", "p.px", "p.py")
+    d2 = _or("e.x1", "e.y1", "e.x2", "e.y2", "p.qx", "p.qy")
+    d3 = _or("p.px", "p.py", "p.qx", "p.qy", "e.x1", "e.y1")
+    d4 = _or("p.px", "p.py", "p.qx", "p.qy", "e.x2", "e.y2")
+    touch = (f"((({d1} > 0 AND {d2} < 0) OR ({d1} < 0 AND {d2} > 0)) AND (({d3} > 0 AND {d4} < 0) OR ({d3} < 0 AND {d4} > 0)))"
+             f" OR ({d1} = 0 AND {_btw('p.px', 'e.x1', 'e.x2')} AND {_btw('p.py', 'e.y1', 'e.y2')})"
+             f" OR ({d2} = 0 AND {_btw('p.qx', 'e.x1', 'e.x2')} AND {_btw('p.qy', 'e.y1', 'e.y2')})"
+             f" OR ({d3} = 0 AND {_btw('e.x1', 'p.px', 'p.qx')} AND {_btw('e.y1', 'p.py', 'p.qy')})"
+             f" OR ({d4} = 0 AND {_btw('e.x2', 'p.px', 'p.qx')} AND {_btw('e.y2', 'p.py', 'p.qy')})")
+    o = _or("e.x1", "e.y1", "e.x2", "e.y2", "p.px", "p.py")
+    return f"""path AS (
+  SELECT journey_id, bool_or(hit) AS flag FROM (
+    SELECT p.journey_id, e.zone,
+           bool_or({touch})
+           OR (sum(CASE WHEN (e.y1 <= p.py AND e.y2 > p.py AND {o} > 0) OR (e.y1 > p.py AND e.y2 <= p.py AND {o} < 0)
+                        THEN 1 ELSE 0 END) % 2 = 1
+               AND NOT bool_or({o} = 0 AND {_btw('p.px', 'e.x1', 'e.x2')} AND {_btw('p.py', 'e.y1', 'e.y2')})) AS hit
+    FROM pts p CROSS JOIN edges e GROUP BY p.journey_id, e.zone) z
+  GROUP BY journey_id)"""
+
+
+ZONE_FLAGS = f"""flags AS (
+  SELECT p.journey_id, p.chauffeur_id, p.pickup_ts_loc, p.pickup_dt_loc, p.dropoff_ts_loc, p.dropoff_dt_loc,
+         CAST(a.flag AS INTEGER) AS is_pickup_ccz, CAST(b.flag AS INTEGER) AS is_dropoff_ccz,
+         CASE WHEN a.flag OR b.flag THEN 0 ELSE CAST(c.flag AS INTEGER) END AS is_pass_through_ccz,
+         CASE WHEN a.flag OR b.flag OR c.flag THEN 1 ELSE 0 END AS is_ccz
+  FROM pts p JOIN pick a USING (journey_id) JOIN dropc b USING (journey_id) JOIN path c USING (journey_id))"""
+
+ZONES_ALL = (TRIPS, _edges_cte(), _inside_cte("pick", "p.px", "p.py"), _inside_cte("dropc", "p.qx", "p.qy"),
+             _path_cte(), ZONE_FLAGS)
+
+
 ORACLE = {
+    "zone_flags": with_ctes(*ZONES_ALL, "SELECT * FROM flags"),
+    "zone_summary": with_ctes(*ZONES_ALL, """
+SELECT count(*) AS n_trips, count(*) FILTER (WHERE is_pass_through_ccz = 1) AS n_pass_through,
+       count(*) FILTER (WHERE is_pickup_ccz = 1) AS n_pickup, count(*) FILTER (WHERE is_dropoff_ccz = 1) AS n_dropoff,
+       count(*) FILTER (WHERE is_ccz = 1) AS n_any
+FROM flags"""),
     "campaign_kpis": with_ctes(CAMPAIGNS, CAMPAIGN_KPIS, "SELECT * FROM campaign_kpis"),
     "market_kpis": with_ctes(CAMPAIGNS, MARKET_KPIS, "SELECT * FROM market_kpis"),
     "campaign_growth": GROWTH_SUMMARY,
