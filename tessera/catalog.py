@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import cleaning
-from tessera.plans import campaigns, finance, lifecycle, reconcile, sessions, zones
+from tessera.plans import campaigns, finance, heatmap, licences, lifecycle, reconcile, sessions, zones
 from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables
 
@@ -169,7 +169,62 @@ def zone_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.zone_summary(zone_flags(spark, sf_dir))
 
 
+def fixed_vs_tariff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heatmap.fixed_vs_tariff(fx.heatmap_trips(Tables(spark, sf_dir)))
+
+
+def heatmap_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return heatmap.heatmap_cells(heatmap.fixed_vs_tariff(fx.heatmap_trips(t)), fx.airports(t))
+
+
+def heatmap_new_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return heatmap.heatmap_cells(heatmap.fixed_vs_tariff(fx.heatmap_trips(t)), fx.airports(t),
+                                 direction="from", values_field="price_tariff_rub_discounted",
+                                 is_new_prices=True)
+
+
+def licence_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return licences.licence_check(fx.licence_lines(t), fx.licence_registry(t))
+
+
+def profile_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.null_counts(_sessions(spark, sf_dir))
+
+
+def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.profile(_sessions(spark, sf_dir))
+
+
+def profile_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.duplicate_summary(_campaigns(spark, sf_dir))
+
+
+def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.duplicate_rows(_campaigns(spark, sf_dir))
+
+
+def dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.dedupe(_campaigns(spark, sf_dir))
+
+
+def distinct_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.distinct_values(_campaigns(spark, sf_dir), "Campaign")
+
+
 QUERIES: dict[str, Query] = {
+    "fixed_vs_tariff": fixed_vs_tariff,
+    "heatmap_cells": heatmap_cells,
+    "heatmap_new_prices": heatmap_new_prices,
+    "licence_check": licence_check,
+    "profile_nulls": profile_nulls,
+    "profile_columns": profile_columns,
+    "profile_duplicates": profile_duplicates,
+    "duplicate_rows": duplicate_rows,
+    "dedupe": dedupe,
+    "distinct_campaigns": distinct_campaigns,
     "zone_flags": zone_flags,
     "zone_summary": zone_summary,
     "campaign_kpis": campaign_kpis,

@@ -625,7 +625,165 @@ ZONES_ALL = (TRIPS, _edges_cte(), _inside_cte("pick", "p.px", "p.py"), _inside_c
              _path_cte(), ZONE_FLAGS)
 
 
+# --- C17/C18 heatmap ---------------------------------------------------------------
+
+HEAT_TRIPS = """heat_trips AS (
+  SELECT r.r_name AS airport, p.p_brand AS hexagon_id,
+         CASE WHEN l.l_returnflag = 'R' THEN 'to' ELSE 'from' END AS direction,
+         l.l_extendedprice AS fixed_price, p.p_retailprice * l.l_quantity AS tariff_price
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+
+def _d4(x):
+    return f"CAST({x} AS DECIMAL(10,4))"
+
+
+def _pt(x, y):
+    return f"'[' || CAST({_d4(x)} AS VARCHAR) || ', ' || CAST({_d4(y)} AS VARCHAR) || ']'"
+
+
+CELL_N = "CAST(CAST(regexp_extract(hexagon_id, '(\\d+)$', 1) AS INTEGER) AS DECIMAL(10,4))"
+LAT = f"CAST(CAST('55.5' AS DECIMAL(10,4)) + {CELL_N} * CAST('0.01' AS DECIMAL(10,4)) AS DECIMAL(10,4))"
+LON = f"CAST(CAST('37.3' AS DECIMAL(10,4)) + {CELL_N} * CAST('0.01' AS DECIMAL(10,4)) AS DECIMAL(10,4))"
+H = "CAST('0.005' AS DECIMAL(10,4))"
+GEO = ("'{\"type\": \"Polygon\", \"coordinates\": [[' || "
+       + " || ', ' || ".join([_pt(f"{LON} - {H}", f"{LAT} - {H}"), _pt(f"{LON} + {H}", f"{LAT} - {H}"),
+                              _pt(f"{LON} + {H}", f"{LAT} + {H}"), _pt(f"{LON} - {H}", f"{LAT} + {H}"),
+                              _pt(f"{LON} - {H}", f"{LAT} - {H}")])
+       + " || ']]}'")
+
+
+def _cents2(x):
+    return f"CAST(CAST({x} AS DECIMAL(30,8)) * 100 AS BIGINT)"
+
+
+CELLS = f"""cells0 AS (
+  SELECT airport, hexagon_id,
+         sum(CASE WHEN direction = 'from' THEN CAST(fixed_price AS DECIMAL(18,2)) END) AS f_from,
+         sum(CASE WHEN direction = 'from' THEN CAST(tariff_price AS DECIMAL(18,2)) END) AS t_from,
+         sum(CASE WHEN direction = 'to' THEN CAST(fixed_price AS DECIMAL(18,2)) END) AS f_to,
+         sum(CASE WHEN direction = 'to' THEN CAST(tariff_price AS DECIMAL(18,2)) END) AS t_to,
+         sum(CAST(tariff_price AS DECIMAL(18,2))) AS t, count(*) AS n_trips
+  FROM heat_trips GROUP BY 1, 2),
+cells AS (
+  SELECT airport, hexagon_id, n_trips,
+         {div_half_even_sql(f"(({_cents2('f_from')} - {_cents2('t_from')}) * 100)", _cents2('t_from'), 2)} AS fixed_vs_tariff_from_price_pct,
+         {div_half_even_sql(f"(({_cents2('f_to')} - {_cents2('t_to')}) * 100)", _cents2('t_to'), 2)} AS fixed_vs_tariff_to_price_pct,
+         {div_half_even_sql(_cents2('t'), 'n_trips * 100', 2)} AS price_tariff_rub_weighted,
+         {div_half_even_sql(f"({_cents2('t')} * 90)", 'n_trips * 10000', 2)} AS price_tariff_rub_discounted,
+         CAST({LAT} AS DOUBLE) AS centre_lat, CAST({LON} AS DOUBLE) AS centre_lon,
+         {GEO} AS geojson_polygon, hexagon_id AS okrug_name
+  FROM cells0)"""
+
+
+def _colour_sql(v, vmin, vmax):
+    mid = (vmin + vmax) / 2.0
+    half = (vmax - vmin) / 2.0
+    stops = ((1.0, 0.0, 0.0), (1.0, 1.0, 0.0), (0.0, 128.0 / 255.0, 0.0))
+    lo = f"(({v} - CAST({vmin!r} AS DOUBLE)) / CAST({half!r} AS DOUBLE))"
+    up = f"(({v} - CAST({mid!r} AS DOUBLE)) / CAST({half!r} AS DOUBLE))"
+    ch = []
+    for j in range(3):
+        a, b, c = (f"CAST({stops[k][j]!r} AS DOUBLE)" for k in range(3))
+        f = (f"(CASE WHEN {v} <= {vmin!r} THEN {a} WHEN {v} >= {vmax!r} THEN {c} "
+             f"WHEN {v} <= {mid!r} THEN {a} * (1 - {lo}) + {b} * {lo} ELSE {b} * (1 - {up}) + {c} * {up} END)")
+        ch.append(f"lpad(lower(hex(CAST(floor({f} * CAST(255.9999 AS DOUBLE)) AS INTEGER))), 2, '0')")
+    return f"(CASE WHEN {v} IS NULL THEN NULL ELSE '#' || {' || '.join(ch)} END)"
+
+
+AIRPORT_MARKERS = """markers AS (
+  SELECT airport, lat_lon[1] AS airport_lat, lat_lon[2] AS airport_lon FROM (
+    SELECT r.r_name AS airport,
+           arg_min([CAST(55.0 AS DOUBLE) + CAST(n.n_nationkey AS DOUBLE) / CAST(100.0 AS DOUBLE),
+                    CAST(37.0 AS DOUBLE) + CAST(n.n_nationkey AS DOUBLE) / CAST(100.0 AS DOUBLE)], n.n_nationkey) AS lat_lon
+    FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name) a)"""
+
+HEATMAP = with_ctes(HEAT_TRIPS, CELLS, AIRPORT_MARKERS, f"""
+SELECT h.airport, h.direction, h.hexagon_id, h.value,
+       h.hexagon_id || ': ' || CAST(h.value AS VARCHAR) || '%' AS label,
+       CAST(h.value AS VARCHAR) || '%' AS marker_text,
+       {_colour_sql('h.value', -60.0, 60.0)} AS colour,
+       h.centre_lat, h.centre_lon, h.geojson_polygon, m.airport_lat, m.airport_lon
+FROM (SELECT airport, 'from' AS direction, hexagon_id, fixed_vs_tariff_from_price_pct AS value,
+             centre_lat, centre_lon, geojson_polygon FROM cells
+      UNION ALL
+      SELECT airport, 'to', hexagon_id, fixed_vs_tariff_to_price_pct, centre_lat, centre_lon, geojson_polygon
+      FROM cells) h
+LEFT JOIN markers m ON h.airport = m.airport""")
+
+HEATMAP_NEW = with_ctes(HEAT_TRIPS, CELLS, AIRPORT_MARKERS, f"""
+SELECT h.airport, 'from' AS direction, h.hexagon_id, h.price_tariff_rub_discounted AS value,
+       CAST(h.price_tariff_rub_discounted AS VARCHAR) AS label,
+       CAST(h.price_tariff_rub_discounted AS VARCHAR) AS marker_text,
+       {_colour_sql('h.price_tariff_rub_weighted', 1500.0, 4500.0)} AS colour,
+       h.centre_lat, h.centre_lon, h.geojson_polygon, m.airport_lat, m.airport_lon
+FROM cells h LEFT JOIN markers m ON h.airport = m.airport""")
+
+
+# --- C19 licences -----------------------------------------------------------------
+
+LICENCES = """licence_lines AS (
+  SELECT 'drivers' || CAST(s_suppkey % 3 + 1 AS VARCHAR) || '.txt' AS file_name, s_suppkey * 2 AS line_no,
+         CASE WHEN s_suppkey % 3 = 0 THEN s_name || ' ' || chr(9) ELSE s_name END AS value
+  FROM supplier
+  UNION ALL
+  SELECT 'drivers' || CAST(s_suppkey % 3 + 1 AS VARCHAR) || '.txt', s_suppkey * 2 + 1, '   '
+  FROM supplier WHERE s_suppkey % 7 = 0),
+reg AS (
+  SELECT s.s_suppkey, s.s_name AS licence_number, n.n_name AS holder_name,
+         strftime(DATE '2024-01-01' + CAST(s.s_suppkey AS INTEGER), '%d/%m/%Y') AS expiry_date
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey WHERE s.s_suppkey % 20 <> 1),
+registry AS (
+  SELECT licence_number, holder_name, expiry_date FROM reg
+  UNION ALL SELECT licence_number, holder_name || ' (2)', expiry_date FROM reg WHERE s_suppkey % 20 = 0)"""
+
+LICENCE_CHECK = with_ctes(LICENCES, """
+SELECT l.file_name, l.line_no, l.value AS licence_number,
+       CASE WHEN r.n = 1 THEN r.holder END AS licence_holder_name,
+       CASE WHEN r.n = 1 THEN r.expiry END AS licence_expiry_date,
+       CASE WHEN r.n IS NULL THEN 'NOT FOUND' WHEN r.n = 1 THEN 'OK' ELSE 'TO CHECK' END AS status
+FROM (SELECT file_name, line_no, regexp_replace(value, '\\s+$', '') AS value FROM licence_lines) l
+LEFT JOIN (SELECT licence_number, count(*) AS n, min(holder_name) AS holder, min(expiry_date) AS expiry
+           FROM registry GROUP BY licence_number) r ON l.value = r.licence_number
+WHERE length(l.value) > 0
+ORDER BY l.file_name, l.line_no""")
+
+
+# --- P17/P18/P19/U4/A13 profiling ------------------------------------------------------
+
+SESSION_COLS = (("session", "bigint"), ("session_start_text", "string"), ("session_end_text", "string"),
+                ("clickouts", "int"), ("booking", "int"))
+CAMPAIGN_COLS = ("Week", "Campaign", "Visits", "Revenue", "Cost")
+
+PROFILE_NULLS = with_ctes(SESSIONS, "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM sessions"
+    for c, _ in SESSION_COLS))
+
+PROFILE_COLUMNS = with_ctes(SESSIONS, "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", '{t}' AS dtype, count(*) AS n_rows, count({c}) AS n_non_null, "
+    f"count(DISTINCT {c}) AS n_distinct FROM sessions" for c, t in SESSION_COLS))
+
+_ccols = ", ".join(CAMPAIGN_COLS)
+PROFILE_DUPLICATES = with_ctes(CAMPAIGNS, f"""
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_distinct_rows, CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS n_duplicate_rows
+FROM (SELECT {_ccols}, count(*) AS n FROM campaigns GROUP BY ALL) g""")
+
+DUPLICATE_ROWS = with_ctes(CAMPAIGNS, f"""
+SELECT {_ccols} FROM (SELECT *, row_number() OVER (PARTITION BY {_ccols}) AS rn FROM campaigns) x WHERE rn > 1""")
+
+
 ORACLE = {
+    "fixed_vs_tariff": with_ctes(HEAT_TRIPS, CELLS, "SELECT * FROM cells"),
+    "heatmap_cells": HEATMAP,
+    "heatmap_new_prices": HEATMAP_NEW,
+    "licence_check": LICENCE_CHECK,
+    "profile_nulls": PROFILE_NULLS,
+    "profile_columns": PROFILE_COLUMNS,
+    "profile_duplicates": PROFILE_DUPLICATES,
+    "duplicate_rows": DUPLICATE_ROWS,
+    "dedupe": with_ctes(CAMPAIGNS, "SELECT * FROM dedup"),
+    "distinct_campaigns": with_ctes(CAMPAIGNS, "SELECT Campaign, count(*) AS n_rows FROM campaigns GROUP BY Campaign"),
     "zone_flags": with_ctes(*ZONES_ALL, "SELECT * FROM flags"),
     "zone_summary": with_ctes(*ZONES_ALL, """
 SELECT count(*) AS n_trips, count(*) FILTER (WHERE is_pass_through_ccz = 1) AS n_pass_through,

@@ -37,6 +37,29 @@ def exact_sum(x, scale: int = 4) -> Column:
     return F.sum(_c(x).cast(f"decimal(38,{scale})")).cast("double")
 
 
+def div_half_even(num, den, digits: int) -> Column:
+    """Signed integer num/den rounded half-even to ``digits`` decimals.
+
+    Done in exact 64-bit integer arithmetic (quotient, remainder, tie rule),
+    so the double it returns is the same on every engine and layout.
+    """
+    scale = 10 ** digits
+    n = _c(num).cast("long")
+    d = _c(den).cast("long")
+    an = F.abs(n) * F.lit(scale)
+    ad = F.abs(d)
+    r = F.pmod(an, ad)
+    q = ((an - r) / ad).cast("long")      # exact: an exact multiple of ad
+    up = F.when(r * 2 > ad, q + 1).when((r * 2 == ad) & (q % 2 == 1), q + 1).otherwise(q)
+    sign = F.signum(n) * F.signum(d)
+    return F.when((d == 0) | d.isNull() | n.isNull(), F.lit(None)).otherwise(sign * up / F.lit(float(scale)))
+
+
+def cents(x) -> Column:
+    """A 2-dp amount as a whole number of cents (exact via DECIMAL)."""
+    return (_c(x).cast("decimal(30,8)") * 100).cast("long")
+
+
 def to_decimal(x, scale: int = 4) -> Column:
     return _c(x).cast(f"decimal(38,{scale})")
 

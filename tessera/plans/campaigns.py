@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import bround
+from tessera.functions.exprs import bround, div_half_even
 from tessera.operators.windows import wow_growth
 
 # Fixed values of the analysis: the scenario adds 250 per week to the target
@@ -36,20 +36,6 @@ def _diff(a, b) -> F.Column:
     return a.cast("decimal(30,8)") - b.cast("decimal(30,8)")
 
 
-def div_half_even(num, den, digits: int) -> F.Column:
-    """Signed integer num/den rounded half-even to ``digits`` decimals, exactly."""
-    scale = 10 ** digits
-    n = num.cast("long")
-    d = den.cast("long")
-    an = F.abs(n) * F.lit(scale)
-    ad = F.abs(d)
-    r = F.pmod(an, ad)
-    q = ((an - r) / ad).cast("long")
-    up = F.when(r * 2 > ad, q + 1).when((r * 2 == ad) & (q % 2 == 1), q + 1).otherwise(q)
-    sign = F.signum(n) * F.signum(d)
-    return F.when((d == 0) | d.isNull() | n.isNull(), F.lit(None)).otherwise(sign * up / F.lit(float(scale)))
-
-
 def _romi(revenue, cost) -> F.Column:
     """ROMI = (Revenue − Cost)/Cost to 4 dp; revenue has cents, cost is whole."""
     cents = lambda c: (_dec(c) * 100).cast("long")
