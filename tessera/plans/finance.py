@@ -39,29 +39,25 @@ def partner_revenue(partner_costs: DataFrame, journeys: DataFrame, granularity:
                     period_col: str) -> DataFrame:
     """CTE ``partnership_data``: costs per named partner, "other" and total.
 
-    ``NOT IN`` keeps SQL's three-valued logic: a NULL partner is in the total
-    but in no named bucket and not in "other".
+    Cost lines are first summed per (journey, period, partner) — four decimal
+    sums per row, map-side combined — so the fact↔fact join and the 20
+    conditional buckets run on pre-aggregated rows.  ``NOT IN`` keeps SQL's
+    three-valued logic: a NULL partner is in the total but in no named bucket
+    and not in "other".
     """
+    period = trunc_date(granularity, F.col("completed_ts_loc").cast("timestamp_ntz")).alias(period_col)
+    per_journey = (partner_costs
+                   .groupBy("journey_id", period, "partner_name")
+                   .agg(*[F.sum(f"partner_cost_{cur}").alias(f"cost_{cur}") for cur in CURRENCIES]))
+    joined = per_journey.join(journeys.select("journey_id", *KEYS), "journey_id")
     named = F.col("partner_name")
     buckets = [(p, named == p) for p in PARTNERS] + [("other", ~named.isin(*PARTNERS))]
-    per_journey_aggs = []
-    for cur in CURRENCIES:
-        cost = F.col(f"partner_cost_{cur}")
-        for label, cond in buckets:
-            per_journey_aggs.append(F.sum(F.when(cond, cost)).alias(f"{label}_{cur}"))
-        per_journey_aggs.append(F.sum(cost).alias(f"total_{cur}"))
-    per_journey = (partner_costs
-                   .groupBy("journey_id", trunc_date(granularity, F.col("completed_ts_loc").cast("timestamp_ntz"))
-                            .alias(period_col))
-                   .agg(*per_journey_aggs))
-    j = journeys.select("journey_id", *KEYS)
-    joined = per_journey.join(j, "journey_id")
     out_aggs = []
     for cur in CURRENCIES:
-        for label, _ in buckets:
-            name = (f"{label}_privileges_revenue_{cur}")
-            out_aggs.append(F.sum(f"{label}_{cur}").alias(name))
-        out_aggs.append(F.sum(f"total_{cur}").alias(f"privileges_revenue_total_{cur}"))
+        cost = F.col(f"cost_{cur}")
+        for label, cond in buckets:
+            out_aggs.append(F.sum(F.when(cond, cost)).alias(f"{label}_privileges_revenue_{cur}"))
+        out_aggs.append(F.sum(cost).alias(f"privileges_revenue_total_{cur}"))
     return joined.groupBy(period_col, *KEYS).agg(*out_aggs)
 
 
