@@ -63,7 +63,7 @@ def partner_revenue(partner_costs: DataFrame, journeys: DataFrame, granularity:
 
 def finance_report(daily: DataFrame, partner_costs: DataFrame, journeys: DataFrame,
                    granularity: str = "week", period_col: str = "period") -> DataFrame:
-    """``looker_fin_ops(date_granularity, periods_field_name)`` as one plan."""
+    """The period report for any granularity and period-column name, as one plan."""
     m = metrics_by_period(daily, granularity, period_col).alias("m")
     pd = partner_revenue(partner_costs, journeys, granularity, period_col).alias("pd")
     cond = [F.col(f"m.{k}") == F.col(f"pd.{k}") for k in (period_col, *KEYS)]

@@ -168,7 +168,7 @@ def reconcile(source: DataFrame, target: DataFrame, spec: ReconcileSpec, mode: s
 
 def reconcile_window(source: DataFrame, target: DataFrame, spec: ReconcileSpec, mode: str,
                      date_from: str, date_to: str, run_ts: str) -> DataFrame:
-    """A single run ``discrepancy_check <collection> <mode> <from> <to>``; the
+    """A single run (one collection, one mode, one [from, to) window); the
     window columns are dropped to give the reference's history-table layout."""
     return reconcile(source, target, spec, mode, [(date_from, date_to)], run_ts).drop(
         "window_from", "window_to")

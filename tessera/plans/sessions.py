@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import bround, hms_seconds, minute_range_label, wrap_midnight
-from tessera.functions.stats import chi2_ppf_udf, chi2_sf_udf
+from tessera.functions.stats import chi2_finish_udf
 
 # Test confidence and the two decision texts of the notebook.
 PROBABILITY = 0.95
@@ -118,16 +118,14 @@ def chi2_statistic(df: DataFrame, row_var: str, col_var: str, label: str | None
                       dof.alias("dof"), bround(stat, 6).alias("stat"))
 
 
-def chi2_test(df: DataFrame, row_var: str, col_var: str, label: str | None = None,
-              probability: float = PROBABILITY) -> DataFrame:
-    """C14 ``chi2_test(var1, var2)``: statistic, dof, critical value, p-value and
-    both decisions.  The distribution functions run on the one result row."""
-    s = chi2_statistic(df, row_var, col_var, label)
+def chi2_finish(stats: DataFrame, probability: float = PROBABILITY) -> DataFrame:
+    """Critical value, p-value and both decisions for rows of ``chi2_statistic``;
+    the distribution functions run once over all test rows (one pandas UDF)."""
     alpha = round(1.0 - probability, 12)
-    crit = chi2_ppf_udf(F.lit(probability), F.col("dof").cast("double"))
-    p = chi2_sf_udf(F.col("stat"), F.col("dof").cast("double"))
-    out = s.select("variable", "n", "dof", F.lit(probability).alias("probability"),
-                   crit.alias("critical"), "stat", F.lit(alpha).alias("significance"), p.alias("p"))
+    fin = chi2_finish_udf(F.col("stat"), F.col("dof").cast("double"), F.lit(probability))
+    out = stats.select("variable", "n", "dof", "stat", fin.alias("_f")).select(
+        "variable", "n", "dof", F.lit(probability).alias("probability"), F.col("_f.critical").alias("critical"),
+        "stat", F.lit(alpha).alias("significance"), F.col("_f.p").alias("p"))
     return out.select("*",
                       F.when(F.abs("stat") >= F.col("critical"), DEPENDENT).otherwise(INDEPENDENT)
                       .alias("decision_by_stat"),
@@ -135,10 +133,17 @@ def chi2_test(df: DataFrame, row_var: str, col_var: str, label: str | None = Non
                       .alias("decision_by_p"))
 
 
+def chi2_test(df: DataFrame, row_var: str, col_var: str, label: str | None = None,
+              probability: float = PROBABILITY) -> DataFrame:
+    """C14 chi-squared independence test of two attributes: statistic, dof,
+    critical value, p-value and both decisions."""
+    return chi2_finish(chi2_statistic(df, row_var, col_var, label), probability)
+
+
 def notebook_tests(enriched_clean: DataFrame, stats_only: bool = False) -> DataFrame:
     """The notebook's three tests: start hour, duration minutes, clickouts (non-zero)."""
-    fn = chi2_statistic if stats_only else chi2_test
-    a = fn(enriched_clean, "booking", "session_start_hour")
-    b = fn(enriched_clean, "booking", "session_duration_min")
-    c = fn(enriched_clean.where(F.col("clickouts") != 0), "booking", "clickouts")
-    return a.unionByName(b).unionByName(c)
+    a = chi2_statistic(enriched_clean, "booking", "session_start_hour")
+    b = chi2_statistic(enriched_clean, "booking", "session_duration_min")
+    c = chi2_statistic(enriched_clean.where(F.col("clickouts") != 0), "booking", "clickouts")
+    stats = a.unionByName(b).unionByName(c)
+    return stats if stats_only else chi2_finish(stats)

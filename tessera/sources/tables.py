@@ -27,8 +27,12 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._readers: dict = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return load(self.spark, self.sf_dir, name)
+            # one reader per table and query build: the files are listed once
+            if name not in self._readers:
+                self._readers[name] = load(self.spark, self.sf_dir, name)
+            return self._readers[name]
         raise AttributeError(name)

@@ -1 +1,2 @@
-
+"""Streaming entry points.  The reference has no streaming operator; the only
+continuous process is its reconciliation re-run loop (see reconcile_stream)."""
