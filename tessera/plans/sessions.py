@@ -7,7 +7,7 @@ values, independent of the number of sessions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import bround, hms_seconds, minute_range_label, wrap_midnight
@@ -68,8 +68,13 @@ def conversion_distribution(sessions: DataFrame, var: str) -> DataFrame:
     A value seen with one class only ends with total 0 and share 0 (the total
     is taken before NULLs are filled, as in the notebook).
     """
-    counts = (sessions.where(F.col(var).isNotNull() & F.col("booking").isNotNull())
-              .groupBy(var).pivot("booking", [0, 1]).agg(F.count(F.lit(1))))
+    # NULL keys are dropped after the aggregate (a NULL booking matches neither
+    # pivot value).  The predicate also reads the counts, so Catalyst cannot
+    # push it below the aggregate, where it would inline the derived key
+    # expression into a filter and evaluate it again for every row.
+    counts = (sessions.groupBy(var).pivot("booking", [0, 1]).agg(F.count(F.lit(1)))
+              .where(F.when(F.col(var).isNull(), F.lit(False))
+                     .otherwise(F.col("0").isNotNull() | F.col("1").isNotNull())))
     n0, n1 = F.col("0"), F.col("1")
     total = n0 + n1
     return counts.select(
@@ -81,41 +86,65 @@ def conversion_distribution(sessions: DataFrame, var: str) -> DataFrame:
 
 
 def contingency(df: DataFrame, row_var: str, col_var: str) -> DataFrame:
-    """A9 ``crosstab``: observed counts of every (row, column) pair present."""
-    return (df.where(F.col(row_var).isNotNull() & F.col(col_var).isNotNull())
-            .groupBy(row_var, col_var).agg(F.count(F.lit(1)).alias("n")))
+    """A9 ``crosstab``: observed counts of every (row, column) pair present.
 
+    NULL keys are dropped after the (partial/final) aggregate, on the cells."""
+    # the predicate reads the count, so it stays above the aggregate (see
+    # conversion_distribution)
+    return (df.groupBy(row_var, col_var).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.when(F.col(row_var).isNull() | F.col(col_var).isNull(), F.lit(False))
+                   .otherwise(F.col("n") > 0)))
 
-def chi2_statistic(df: DataFrame, row_var: str, col_var: str, label: str | None = None) -> DataFrame:
-    """Pearson chi-squared statistic of the crosstab, Yates-corrected when dof = 1.
 
-    Without correction: N·Σ O²/(r·c) − N over observed cells (zero cells add
-    nothing).  With it (2×2): every cell has the same |O−E| = D, so the
+def chi2_statistics(df: DataFrame, row_var: str, tests) -> DataFrame:
+    """Pearson chi-squared statistics of several crosstabs in ONE pass.
+
+    ``tests`` is a list of (label, column, row filter or None).  Each row is
+    expanded into one (test, key) pair per test it takes part in, so a single
+    partial/final aggregate builds every contingency table.  Then, per test:
+    without correction N·Σ O²/(r·c) − N over observed cells (zero cells add
+    nothing); with it (dof = 1, 2×2) every cell has the same |O−E| = D, so the
     statistic is (D − min(½, D))² · N · Σ_i 1/r_i · Σ_j 1/c_j — no cell grid
-    is built.  Marginals are joined back by key; the result is one row.
+    is built.  Marginals are window sums over the cell table, not joins (a
+    join would make Catalyst infer NOT NULL filters on the derived keys and
+    push them down to the scan).  One row per test.
     """
-    cells = contingency(df, row_var, col_var)
-    rows = cells.groupBy(row_var).agg(F.sum("n").alias("r"), F.count(F.lit(1)).alias("k_r"))
-    cols = cells.groupBy(col_var).agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("k_c"))
-    j = cells.join(rows, row_var).join(cols, col_var)
+    pairs = []
+    for label, col, cond in tests:
+        key = F.col(col).cast("string")
+        if cond is not None:
+            key = F.when(cond, key)
+        pairs.append(F.struct(F.lit(label).alias("variable"), key.alias("key")))
+    long = df.select(F.col(row_var).alias("rv"), F.inline(F.array(*pairs)))
+    cells = (long.groupBy("variable", "rv", "key").agg(F.count(F.lit(1)).alias("n"))
+             .where(F.when(F.col("rv").isNull() | F.col("key").isNull(), F.lit(False))
+                    .otherwise(F.col("n") > 0)))
+    by_row = Window.partitionBy("variable", "rv")
+    by_col = Window.partitionBy("variable", "key")
+    j = cells.select("variable", "rv", "key", "n",
+                     F.sum("n").over(by_row).alias("r"), F.count(F.lit(1)).over(by_row).alias("k_r"),
+                     F.sum("n").over(by_col).alias("c"), F.count(F.lit(1)).over(by_col).alias("k_c"))
     n, r, c = (F.col(x).cast("double") for x in ("n", "r", "c"))
-    agg = j.agg(
+    agg = j.groupBy("variable").agg(
         F.sum("n").alias("N"),
-        F.count_distinct(row_var).alias("R"),
-        F.count_distinct(col_var).alias("C"),
+        F.count_distinct("rv").alias("R"),
+        F.count_distinct("key").alias("C"),
         F.sum(n * n / (r * c)).alias("s1"),
         F.sum(F.lit(1.0) / (r * F.col("k_r"))).alias("inv_r"),
         F.sum(F.lit(1.0) / (c * F.col("k_c"))).alias("inv_c"),
-        F.min_by(F.struct(n.alias("o"), r.alias("r"), c.alias("c")),
-                 F.struct(F.col(row_var), F.col(col_var))).alias("cell"))
+        F.min_by(F.struct(n.alias("o"), r.alias("r"), c.alias("c")), F.struct("rv", "key")).alias("cell"))
     big_n = F.col("N").cast("double")
     dof = ((F.col("R") - 1) * (F.col("C") - 1)).cast("long")
     d = F.abs(F.col("cell.o") - F.col("cell.r") * F.col("cell.c") / big_n)
     yates = F.pow(d - F.least(F.lit(0.5), d), 2) * big_n * F.col("inv_r") * F.col("inv_c")
     plain = big_n * F.col("s1") - big_n
     stat = F.when(dof == 1, yates).when(dof == 0, F.lit(0.0)).otherwise(plain)
-    return agg.select(F.lit(label or col_var).alias("variable"), F.col("N").alias("n"),
-                      dof.alias("dof"), bround(stat, 6).alias("stat"))
+    return agg.select("variable", F.col("N").alias("n"), dof.alias("dof"), bround(stat, 6).alias("stat"))
+
+
+def chi2_statistic(df: DataFrame, row_var: str, col_var: str, label: str | None = None) -> DataFrame:
+    """Chi-squared statistic of one crosstab (see :func:`chi2_statistics`)."""
+    return chi2_statistics(df, row_var, [(label or col_var, col_var, None)])
 
 
 def chi2_finish(stats: DataFrame, probability: float = PROBABILITY) -> DataFrame:
@@ -142,8 +171,8 @@ def chi2_test(df: DataFrame, row_var: str, col_var: str, label: str | None = Non
 
 def notebook_tests(enriched_clean: DataFrame, stats_only: bool = False) -> DataFrame:
     """The notebook's three tests: start hour, duration minutes, clickouts (non-zero)."""
-    a = chi2_statistic(enriched_clean, "booking", "session_start_hour")
-    b = chi2_statistic(enriched_clean, "booking", "session_duration_min")
-    c = chi2_statistic(enriched_clean.where(F.col("clickouts") != 0), "booking", "clickouts")
-    stats = a.unionByName(b).unionByName(c)
+    stats = chi2_statistics(enriched_clean, "booking", [
+        ("session_start_hour", "session_start_hour", None),
+        ("session_duration_min", "session_duration_min", None),
+        ("clickouts", "clickouts", F.col("clickouts") != 0)])
     return stats if stats_only else chi2_finish(stats)
