@@ -28,11 +28,20 @@ def money(c: F.Column) -> F.Column:
     return F.round(c, 2).cast("double")
 
 
+def _money_sql(x: str) -> str:
+    return f"CAST(round({x}, 2) AS DOUBLE)"
+
+
+# Wide projections and aggregates are written as SQL expression strings and
+# passed in one ``selectExpr``/``agg`` call: the plan is the same as with
+# Column objects, but the Python side makes a handful of JVM calls instead of
+# one per operator (the 77-column report would otherwise cost seconds to build).
+
 def metrics_by_period(daily: DataFrame, granularity: str, period_col: str) -> DataFrame:
     """CTE ``main``: the daily metrics summed per period and place."""
-    aggs = [F.sum("n_journeys").alias("n_journeys")]
-    aggs += [F.sum(f"{m}_{c}").alias(f"{m}_{c}") for m in METRICS for c in CURRENCIES]
-    return (daily.groupBy(trunc_date(granularity, "day").alias(period_col), *KEYS).agg(*aggs))
+    cols = ["n_journeys"] + [f"{m}_{c}" for m in METRICS for c in CURRENCIES]
+    g = daily.select(trunc_date(granularity, "day").alias(period_col), *KEYS, *cols)
+    return g.groupBy(period_col, *KEYS).agg(*[F.expr(f"sum(`{c}`) AS `{c}`") for c in cols])
 
 
 def partner_revenue(partner_costs: DataFrame, journeys: DataFrame, granularity: str,
@@ -40,25 +49,46 @@ def partner_revenue(partner_costs: DataFrame, journeys: DataFrame, granularity:
     """CTE ``partnership_data``: costs per named partner, "other" and total.
 
     Cost lines are first summed per (journey, period, partner) — four decimal
-    sums per row, map-side combined — so the fact↔fact join and the 20
-    conditional buckets run on pre-aggregated rows.  ``NOT IN`` keeps SQL's
-    three-valued logic: a NULL partner is in the total but in no named bucket
-    and not in "other".
+    sums per row, map-side combined — before the fact↔fact join; after it,
+    again four sums per (period, place, partner); only then are the 20
+    conditional buckets formed, on a table of a few rows per place and period.
+    ``NOT IN`` keeps SQL's three-valued logic: a NULL partner is in the total
+    but in no named bucket and not in "other".
     """
     period = trunc_date(granularity, F.col("completed_ts_loc").cast("timestamp_ntz")).alias(period_col)
-    per_journey = (partner_costs
-                   .groupBy("journey_id", period, "partner_name")
-                   .agg(*[F.sum(f"partner_cost_{cur}").alias(f"cost_{cur}") for cur in CURRENCIES]))
+    sums = [F.expr(f"sum(partner_cost_{cur}) AS cost_{cur}") for cur in CURRENCIES]
+    per_journey = partner_costs.groupBy("journey_id", period, "partner_name").agg(*sums)
     joined = per_journey.join(journeys.select("journey_id", *KEYS), "journey_id")
-    named = F.col("partner_name")
-    buckets = [(p, named == p) for p in PARTNERS] + [("other", ~named.isin(*PARTNERS))]
-    out_aggs = []
+    per_partner = (joined.groupBy(period_col, *KEYS, "partner_name")
+                   .agg(*[F.expr(f"sum(cost_{cur}) AS cost_{cur}") for cur in CURRENCIES]))
+    names = ", ".join(f"'{p}'" for p in PARTNERS)
+    out = []
     for cur in CURRENCIES:
-        cost = F.col(f"cost_{cur}")
-        for label, cond in buckets:
-            out_aggs.append(F.sum(F.when(cond, cost)).alias(f"{label}_privileges_revenue_{cur}"))
-        out_aggs.append(F.sum(cost).alias(f"privileges_revenue_total_{cur}"))
-    return joined.groupBy(period_col, *KEYS).agg(*out_aggs)
+        for p in PARTNERS:
+            out.append(f"sum(CASE WHEN partner_name = '{p}' THEN cost_{cur} END) AS {p}_privileges_revenue_{cur}")
+        out.append(f"sum(CASE WHEN partner_name NOT IN ({names}) THEN cost_{cur} END) AS other_privileges_revenue_{cur}")
+        out.append(f"sum(cost_{cur}) AS privileges_revenue_total_{cur}")
+    return per_partner.groupBy(period_col, *KEYS).agg(*[F.expr(e) for e in out])
+
+
+def report_columns(period_col: str) -> list[str]:
+    """The report's SELECT list over ``m`` (metrics) LEFT JOIN ``pd`` (partners)."""
+    cols = [f"m.`{period_col}` AS `{period_col}`"] + [f"m.{k} AS {k}" for k in KEYS]
+    cols.append("m.n_journeys AS n_journeys")
+    for cur in CURRENCIES:
+        cols += [f"{_money_sql(f'm.{x}_{cur}')} AS {x}_{cur}" for x in
+                 ("gross_bookings", "parking", "toll_roads", "tips", "net_bookings", "gross_revenue")]
+        cols.append(f"{_money_sql(f'coalesce(m.chauffeur_total_bonuses_{cur}, 0)')} AS chauffeur_total_bonuses_{cur}")
+        cols.append(f"{_money_sql(f'coalesce(m.passenger_bonuses_{cur}, 0)')} AS passenger_bonuses_{cur}")
+        for p in PARTNERS + ("other",):
+            cols.append(f"{_money_sql(f'coalesce(pd.{p}_privileges_revenue_{cur}, 0)')} AS {p}_privileges_revenue_{cur}")
+        cols.append(f"{_money_sql(f'coalesce(pd.privileges_revenue_total_{cur}, 0)')} AS privileges_revenue_total_{cur}")
+        cols += [f"{_money_sql(f'm.{x}_{cur}')} AS {x}_{cur}" for x in
+                 ("net_revenue_b2c", "net_revenue_b2b", "net_revenue_total")]
+        cols.append(f"{_money_sql(f'coalesce(m.chauffeur_fines_{cur}, 0)')} AS chauffeur_fines_{cur}")
+        cols.append(f"{_money_sql(f'coalesce(m.chauffeur_fines_{cur}, 0) - coalesce(m.chauffeur_total_bonuses_{cur}, 0)')}"
+                    f" AS chauffeurs_fines_minus_bonuses_{cur}")
+    return cols
 
 
 def finance_report(daily: DataFrame, partner_costs: DataFrame, journeys: DataFrame,
@@ -67,35 +97,12 @@ def finance_report(daily: DataFrame, partner_costs: DataFrame, journeys: DataFra
     m = metrics_by_period(daily, granularity, period_col).alias("m")
     pd = partner_revenue(partner_costs, journeys, granularity, period_col).alias("pd")
     cond = [F.col(f"m.{k}") == F.col(f"pd.{k}") for k in (period_col, *KEYS)]
-    joined = m.join(pd, cond, "left")
-    z = F.lit(0)
-    cols = [F.col(f"m.{period_col}").alias(period_col)] + [F.col(f"m.{k}").alias(k) for k in KEYS]
-    cols.append(F.col("m.n_journeys").alias("n_journeys"))
-    for cur in CURRENCIES:
-        def mcol(name):
-            return F.col(f"m.{name}_{cur}")
-
-        def pcol(name):
-            return F.coalesce(F.col(f"pd.{name}_{cur}"), z)
-        cols += [money(mcol(x)).alias(f"{x}_{cur}") for x in
-                 ("gross_bookings", "parking", "toll_roads", "tips", "net_bookings", "gross_revenue")]
-        cols.append(money(F.coalesce(mcol("chauffeur_total_bonuses"), z)).alias(f"chauffeur_total_bonuses_{cur}"))
-        cols.append(money(F.coalesce(mcol("passenger_bonuses"), z)).alias(f"passenger_bonuses_{cur}"))
-        for p in PARTNERS + ("other",):
-            cols.append(money(pcol(f"{p}_privileges_revenue")).alias(f"{p}_privileges_revenue_{cur}"))
-        cols.append(money(pcol("privileges_revenue_total")).alias(f"privileges_revenue_total_{cur}"))
-        cols += [money(mcol(x)).alias(f"{x}_{cur}") for x in
-                 ("net_revenue_b2c", "net_revenue_b2b", "net_revenue_total")]
-        cols.append(money(F.coalesce(mcol("chauffeur_fines"), z)).alias(f"chauffeur_fines_{cur}"))
-        cols.append(money(F.coalesce(mcol("chauffeur_fines"), z)
-                          - F.coalesce(mcol("chauffeur_total_bonuses"), z))
-                    .alias(f"chauffeurs_fines_minus_bonuses_{cur}"))
-    return joined.select(*cols)
+    return m.join(pd, cond, "left").selectExpr(*report_columns(period_col))
 
 
 def partner_split(partner_costs: DataFrame, journeys: DataFrame, granularity: str = "month",
                   period_col: str = "period") -> DataFrame:
     """The partner split on its own, money rounded to cents."""
     pd = partner_revenue(partner_costs, journeys, granularity, period_col)
-    return pd.select(period_col, *KEYS, *[money(F.col(c)).alias(c) for c in pd.columns
-                                          if c not in (period_col, *KEYS)])
+    return pd.selectExpr(period_col, *KEYS, *[f"{_money_sql(c)} AS {c}" for c in pd.columns
+                                              if c not in (period_col, *KEYS)])
