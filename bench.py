@@ -33,6 +33,7 @@ def main(argv):
         "spark.driver.memory": "16g",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
         "spark.local.dir": scratch,
+        **({"spark.driver.extraJavaOptions": os.environ["BENCH_JAVA_OPTS"]} if os.environ.get("BENCH_JAVA_OPTS") else {}),
     })
     # warm the JVM (class loading, codegen caches) outside the timed section
     QUERIES["sessions_anomalies"](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -32,6 +32,19 @@ class ReconcileSpec:
     source_filter_field: str = "_id"
 
 
+def specs_from_settings(settings: dict) -> dict:
+    """S8: comparison specs from a settings document shaped like
+    ``{name: {source_collection, target_table, target_ts_column, columns_map}}``
+    (the reference's key names for the two stores are accepted as well)."""
+    aliases = {"mongo_collection": "source_collection", "redshift_table": "target_table",
+               "redshift_ts_column": "target_ts_column", "columns_map_mongo_to_redshift": "columns_map"}
+    out = {}
+    for name, raw in settings.items():
+        kw = {aliases.get(k, k): v for k, v in raw.items()}
+        out[name] = ReconcileSpec(**kw)
+    return out
+
+
 def check_mode(mode: str) -> str:
     if mode not in MODES:
         raise ValueError(f"comparison type must be one of {MODES}, got {mode!r}")

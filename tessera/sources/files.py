@@ -43,6 +43,18 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
     return spark.read.option("sep", sep).option("header", header).schema(schema).csv(path)
 
 
+def read_warehouse_query(spark: SparkSession, url: str, query: str, properties: dict | None = None,
+                         fetch_size: int = 10_000) -> DataFrame:
+    """S2/S3 warehouse query scan over JDBC.  The query (with its filters and,
+    for S3, its GROUP BY) runs at the source; Spark reads the result.  For a
+    partitioned parallel read of a large table use ``dbtable`` with
+    ``partitionColumn``/``lowerBound``/``upperBound``/``numPartitions`` options."""
+    reader = spark.read.format("jdbc").option("url", url).option("query", query).option("fetchsize", fetch_size)
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    return reader.load()
+
+
 def read_documents(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
     """S4 document-store snapshot (JSON lines or Parquet); absent fields are NULL.
 
