@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tessera.operators import cleaning
 from tessera.plans import campaigns, finance, heatmap, licences, lifecycle, reconcile, sessions, zones
 from tessera.sources import fixtures as fx
+from tessera.session import materialize
 from tessera.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,14 +30,18 @@ def churn_user_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.user_month_states(fx.journeys(t), fx.AS_OF)
 
 
-def finance_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _finance(spark, sf_dir, granularity):
     t = Tables(spark, sf_dir)
-    return finance.finance_report(fx.finance_daily(t), fx.partner_costs(t), fx.journeys(t), "week", "week")
+    j = fx.journeys(t)          # one journeys plan shared by both report sides
+    return finance.finance_report(fx.finance_daily(t, j), fx.partner_costs(t), j, granularity, granularity)
+
+
+def finance_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _finance(spark, sf_dir, "week")
 
 
 def finance_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Tables(spark, sf_dir)
-    return finance.finance_report(fx.finance_daily(t), fx.partner_costs(t), fx.journeys(t), "month", "month")
+    return _finance(spark, sf_dir, "month")
 
 
 def finance_partner_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +126,9 @@ def sessions_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _campaigns(spark, sf_dir):
-    return fx.campaigns(Tables(spark, sf_dir))
+    # the weekly campaign table (weeks × campaigns rows) feeds up to a dozen
+    # branches: compute it in one pass over the events and checkpoint it
+    return materialize(fx.campaigns(Tables(spark, sf_dir)))
 
 
 def campaign_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,3 +69,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Cut lineage of a small intermediate reused by many branches.
+
+    A reliable ``checkpoint()`` into the shared folder named by
+    ``spark.checkpoint.dir`` (never a local checkpoint): the intermediate is
+    computed once, survives executor loss, and downstream stages read it
+    instead of recomputing its whole lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

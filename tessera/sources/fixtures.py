@@ -98,7 +98,7 @@ def _amount(c: str) -> F.Column:
     return F.col(c).cast("decimal(12,2)")
 
 
-def finance_daily(t: Tables) -> DataFrame:
+def finance_daily(t: Tables, journeys_df: DataFrame | None = None) -> DataFrame:
     """``f_finance_metrics_daily``: 13 metrics × 4 currencies per day and city.
 
     Line items are summed per order first (the shuffle the join needs anyway),
@@ -110,7 +110,8 @@ def finance_daily(t: Tables) -> DataFrame:
                       F.sum(_amount("l_extendedprice") * (F.lit(1) - _amount("l_discount"))).alias("net"),
                       F.sum(_amount("l_extendedprice") * _amount("l_discount")).alias("disc"),
                       F.sum(_amount("l_extendedprice") * _amount("l_tax")).alias("tax")))
-    j = journeys(t).select("journey_id", "completed_dt_loc", "segment", "country", "city")
+    j = (journeys_df if journeys_df is not None else journeys(t)).select(
+        "journey_id", "completed_dt_loc", "segment", "country", "city")
     joined = per_order.join(j, F.col("l_orderkey") == F.col("journey_id"))
     keys = [F.col("completed_dt_loc").alias("day"), "segment", "country", "city"]
     aggs = [F.count_distinct("journey_id").alias("n_journeys")]
