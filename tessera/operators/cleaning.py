@@ -97,13 +97,17 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """
     x = F.col(col).cast("double")
     stats = df.select(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo_s = stats.select(F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo"))).scalar()
-    hi_s = stats.select(F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi"))).scalar()
-    width = (hi_s - lo_s) / F.lit(float(bins))
-    b = F.least(F.floor((x - lo_s) / width).cast("int"), F.lit(bins - 1))
-    counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    return counts.select("bin", (lo_s + F.col("bin") * width).alias("bin_lower"),
-                         (lo_s + (F.col("bin") + 1) * width).alias("bin_upper"), "count")
+    bounds = stats.select(F.struct(
+        F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))).scalar()
+    # the bounds enter the plan once, as one struct column
+    rows = df.select(x.alias("_x"), bounds.alias("_b")).where(F.col("_x").isNotNull())
+    lo, hi = F.col("_b.lo"), F.col("_b.hi")
+    width = (hi - lo) / F.lit(float(bins))
+    b = F.least(F.floor((F.col("_x") - lo) / width).cast("int"), F.lit(bins - 1))
+    counts = rows.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"), F.first("_b").alias("_b"))
+    return counts.select("bin", (lo + F.col("bin") * width).alias("bin_lower"),
+                         (lo + (F.col("bin") + 1) * width).alias("bin_upper"), "count")
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

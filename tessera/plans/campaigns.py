@@ -186,15 +186,17 @@ def _train_flagged(campaigns: DataFrame, target: str, n_train: int) -> DataFrame
 def ols_fit(campaigns: DataFrame, target: str, x: str = "Cost", ys=("Revenue", "Visits"),
             n_train: int = TRAIN_WEEKS) -> DataFrame:
     """C12: coefficients and the mean absolute error on the held-out weeks (2 dp)."""
-    coef = ols_coefficients(campaigns, target, x, ys, n_train)
-    test = _train_flagged(campaigns, target, n_train).where(~F.col("is_train"))
+    # the coefficients enter the plan once, as one struct column of the test rows
+    test = (_train_flagged(campaigns, target, n_train).where(~F.col("is_train"))
+            .select("*", ols_coefficients(campaigns, target, x, ys, n_train).alias("_coef")))
+    coef = F.col("_coef")
     aggs = []
     for y in ys:
         pred = coef[y]["intercept"] + coef[y]["slope"] * F.col(x).cast("double")
         err = F.abs(F.col(y).cast("double") - pred)
         aggs.append(F.struct(F.lit(y).alias("target"),
-                             bround(coef[y]["slope"], GROWTH_SCALE).alias("slope"),
-                             bround(coef[y]["intercept"], GROWTH_SCALE).alias("intercept"),
+                             bround(F.first(coef[y]["slope"]), GROWTH_SCALE).alias("slope"),
+                             bround(F.first(coef[y]["intercept"]), GROWTH_SCALE).alias("intercept"),
                              bround(F.sum(_dec(err)).cast("double") / F.count(err), 2).alias("mae")))
     return test.agg(F.array(*aggs).alias("_fits")).select(F.inline("_fits"))
 
@@ -203,8 +205,8 @@ def market_forecast(campaigns: DataFrame, target: str) -> DataFrame:
     """C13: predictions overwrite the target's scenario rows (the copied last
     week included; visits truncated), weekly roll-up, then appended to the
     actual weekly market — so the last actual week appears twice."""
-    coef = ols_coefficients(campaigns, target)
-    sc = spend_scenario(campaigns, target)
+    sc = spend_scenario(campaigns, target).select("*", ols_coefficients(campaigns, target).alias("_coef"))
+    coef = F.col("_coef")
     is_t = F.col("Campaign") == target
     cost = F.col("Cost").cast("double")
     rev = F.when(is_t, coef["Revenue"]["intercept"] + coef["Revenue"]["slope"] * cost).otherwise(F.col("Revenue"))
