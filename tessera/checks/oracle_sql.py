@@ -353,6 +353,40 @@ CHI2_STATS = with_ctes(
     _chi2_block("t3", "clean_nz", "clickouts"),
     "SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3")
 
+def _chi2_cdf_sql(x, k):
+    """Regularised lower incomplete gamma P(k/2, x/2) by its power series."""
+    y = f"(({x}) / 2.0)"
+    a = f"(({k}) / 2.0)"
+    terms = f"CAST({y} + 50 * sqrt({y}) + 200 AS BIGINT)"
+    return (f"list_sum(list_transform(range(0, {terms}), "
+            f"lambda n: exp(-{y} + ({a} + n) * ln({y}) - lgamma({a} + n + 1))))")
+
+
+CHI2_TEST = ("WITH RECURSIVE " + with_ctes(
+    SESSIONS, ENRICHED, CLEAN,
+    "clean_nz AS (SELECT * FROM clean WHERE clickouts <> 0)",
+    _chi2_block("t1", "clean", "session_start_hour"),
+    _chi2_block("t2", "clean", "session_duration_min"),
+    _chi2_block("t3", "clean_nz", "clickouts"),
+    "stats AS (SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3)",
+    f"""bis(variable, dof, it, lo, hi) AS (
+  SELECT variable, dof, 0, CAST(0.0 AS DOUBLE), CAST(dof + 20 * sqrt(2 * dof) + 20 AS DOUBLE) FROM stats WHERE dof > 0
+  UNION ALL
+  SELECT variable, dof, it + 1,
+         CASE WHEN {_chi2_cdf_sql('(lo + hi) / 2', 'dof')} < 0.95 THEN (lo + hi) / 2 ELSE lo END,
+         CASE WHEN {_chi2_cdf_sql('(lo + hi) / 2', 'dof')} < 0.95 THEN hi ELSE (lo + hi) / 2 END
+  FROM bis WHERE it < 90)""",
+    f"""fin AS (
+  SELECT s.variable, s.n, s.dof, s.stat, b.crit,
+         CASE WHEN s.stat <= 0 THEN 1.0 ELSE greatest(0.0, 1 - {_chi2_cdf_sql('s.stat', 's.dof')}) END AS p
+  FROM stats s LEFT JOIN (SELECT variable, (lo + hi) / 2 AS crit FROM bis WHERE it = 90) b ON s.variable = b.variable)""",
+    """
+SELECT variable, n, dof, 0.95 AS probability, round_even(crit, 6) AS critical, stat, 0.05 AS significance,
+       round_even(p, 6) AS p,
+       CASE WHEN abs(stat) >= crit THEN 'Dependent (reject H0)' ELSE 'Independent (fail to reject H0)' END AS decision_by_stat,
+       CASE WHEN p <= 0.05 THEN 'Dependent (reject H0)' ELSE 'Independent (fail to reject H0)' END AS decision_by_p
+FROM fin""")[len("WITH "):])
+
 DESCRIBE_COLS = ("clickouts", "booking", "session_duration_sec", "session_start_hour", "session_duration_min")
 
 
@@ -808,6 +842,7 @@ FROM sessions"""),
     "sessions_by_duration": distribution_sql("session_duration_range"),
     "sessions_by_clickouts": distribution_sql("clickouts"),
     "sessions_chi2": CHI2_STATS,
+    "sessions_chi2_test": CHI2_TEST,
     "sessions_describe": describe_sql((SESSIONS, ENRICHED, CLEAN), "clean", DESCRIBE_COLS),
     "sessions_hist": histogram_sql((SESSIONS,), "sessions", "booking"),
     "reconcile_counts": recon_counts_sql([fx.RECON_SINGLE_WINDOW], False),

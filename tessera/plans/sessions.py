@@ -149,17 +149,19 @@ def chi2_statistic(df: DataFrame, row_var: str, col_var: str, label: str | None
 
 def chi2_finish(stats: DataFrame, probability: float = PROBABILITY) -> DataFrame:
     """Critical value, p-value and both decisions for rows of ``chi2_statistic``;
-    the distribution functions run once over all test rows (one pandas UDF)."""
+    the distribution functions run once over all test rows (one pandas UDF).
+    Decisions use the full-precision values; p and critical are reported to 6 dp."""
     alpha = round(1.0 - probability, 12)
     fin = chi2_finish_udf(F.col("stat"), F.col("dof").cast("double"), F.lit(probability))
-    out = stats.select("variable", "n", "dof", "stat", fin.alias("_f")).select(
-        "variable", "n", "dof", F.lit(probability).alias("probability"), F.col("_f.critical").alias("critical"),
-        "stat", F.lit(alpha).alias("significance"), F.col("_f.p").alias("p"))
-    return out.select("*",
-                      F.when(F.abs("stat") >= F.col("critical"), DEPENDENT).otherwise(INDEPENDENT)
-                      .alias("decision_by_stat"),
-                      F.when(F.col("p") <= F.col("significance"), DEPENDENT).otherwise(INDEPENDENT)
-                      .alias("decision_by_p"))
+    raw = stats.select("variable", "n", "dof", "stat", fin.alias("_f"))
+    dep_stat = F.abs("stat") >= F.col("_f.critical")
+    dep_p = F.col("_f.p") <= F.lit(alpha)
+    return raw.select(
+        "variable", "n", "dof", F.lit(probability).alias("probability"),
+        bround(F.col("_f.critical"), 6).alias("critical"), "stat", F.lit(alpha).alias("significance"),
+        bround(F.col("_f.p"), 6).alias("p"),
+        F.when(dep_stat, DEPENDENT).otherwise(INDEPENDENT).alias("decision_by_stat"),
+        F.when(dep_p, DEPENDENT).otherwise(INDEPENDENT).alias("decision_by_p"))
 
 
 def chi2_test(df: DataFrame, row_var: str, col_var: str, label: str | None = None,

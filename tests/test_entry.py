@@ -29,9 +29,8 @@ def test_entry_smoke(spark, small_sf):
     assert df.count() > 0
 
 
-def test_every_query_has_a_twin_or_is_rows_only():
-    rows_only = set(NAMES) - set(ENTRY.oracle_sql())
-    assert rows_only <= {"sessions_chi2_test"}
+def test_every_query_has_a_twin():
+    assert set(NAMES) == set(ENTRY.oracle_sql())
 
 
 @pytest.fixture(scope="module")
