@@ -102,7 +102,7 @@ def _finance_daily_cte() -> str:
     cols = []
     for metric, base, weight in fx.FINANCE_METRICS:
         for cur, rate in fx.CURRENCY_RATES:
-            v = f"sum(p.{base}) * CAST('{weight}' AS DECIMAL(3,2)) * CAST('{rate}' AS DECIMAL(4,1))"
+            v = f"CAST(sum(p.{base}) AS DECIMAL(18,4)) * CAST('{weight}' AS DECIMAL(3,2)) * CAST('{rate}' AS DECIMAL(4,1))"
             if metric in fx.NULLABLE_METRICS:
                 v = f"CASE WHEN j.segment <> '{fx.NULL_METRIC_SEGMENT}' THEN {v} END"
             cols.append(f"CAST({v} AS DECIMAL(38,8)) AS {metric}_{cur}")

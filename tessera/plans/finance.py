@@ -86,8 +86,10 @@ def report_columns(period_col: str) -> list[str]:
         cols += [f"{_money_sql(f'm.{x}_{cur}')} AS {x}_{cur}" for x in
                  ("net_revenue_b2c", "net_revenue_b2b", "net_revenue_total")]
         cols.append(f"{_money_sql(f'coalesce(m.chauffeur_fines_{cur}, 0)')} AS chauffeur_fines_{cur}")
-        cols.append(f"{_money_sql(f'coalesce(m.chauffeur_fines_{cur}, 0) - coalesce(m.chauffeur_total_bonuses_{cur}, 0)')}"
-                    f" AS chauffeurs_fines_minus_bonuses_{cur}")
+        # narrowed before subtracting: decimal(38,x) − decimal(38,x) would lose a decimal in Spark
+        diff = (f"CAST(coalesce(m.chauffeur_fines_{cur}, 0) AS DECIMAL(30,8)) "
+                f"- CAST(coalesce(m.chauffeur_total_bonuses_{cur}, 0) AS DECIMAL(30,8))")
+        cols.append(f"{_money_sql(diff)} AS chauffeurs_fines_minus_bonuses_{cur}")
     return cols
 
 

@@ -116,7 +116,9 @@ def finance_daily(t: Tables, journeys_df: DataFrame | None = None) -> DataFrame:
     keys = [F.col("completed_dt_loc").alias("day"), "segment", "country", "city"]
     aggs = [F.count_distinct("journey_id").alias("n_journeys")]
     for base in ("gross", "net", "disc", "tax"):
-        aggs.append(F.sum(base).alias(base))
+        # narrowed so that base × weight × rate stays below 38 digits: Spark
+        # would otherwise drop the 7th decimal of the product (precision loss)
+        aggs.append(F.sum(base).cast("decimal(18,4)").alias(base))
     daily = joined.groupBy(*keys).agg(*aggs)
     cols = ["day", "segment", "country", "city", "n_journeys"]
     for metric, base, weight in FINANCE_METRICS:
