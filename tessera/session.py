@@ -50,8 +50,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS/object-store) folder there; we only set our
-    own when it is unset, which happens in local tests.
+    A cluster names a shared (HDFS/object-store) folder there.  Only in local
+    mode (tests) do we create our own when it is unset; on a cluster an unset
+    folder is an error, since a machine-local folder cannot be read back by
+    other executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -59,6 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder "
+                               "(HDFS / object store) visible to every executor")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
