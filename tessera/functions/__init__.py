@@ -1,7 +1,6 @@
 """Scalar column helpers, geometry predicates and small statistics."""
 
 from tessera.functions.exprs import (  # noqa: F401
-    bround, exact_sum, hms_seconds, linear_colour, minute_range_label, month_diff,
-    month_start, object_id_bound, object_id_hex, object_id_time, safe_div,
-    seconds_to_hms, signed_growth, to_decimal, trunc_date, wrap_midnight,
+    bround, cents, div_half_even, hms_seconds, linear_colour, minute_range_label, month_diff,
+    object_id_bound, object_id_hex, object_id_time, safe_div, trunc_date, wrap_midnight,
 )

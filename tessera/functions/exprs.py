@@ -28,15 +28,6 @@ def bround(x, scale: int = 0) -> Column:
     return F.bround(_c(x), scale)
 
 
-def exact_sum(x, scale: int = 4) -> Column:
-    """Order-independent sum: add as DECIMAL, hand back DOUBLE.
-
-    Double sums depend on the order rows arrive in; decimals do not, so the
-    same input always gives the same bits on every cluster layout.
-    """
-    return F.sum(_c(x).cast(f"decimal(38,{scale})")).cast("double")
-
-
 def div_half_even(num, den, digits: int) -> Column:
     """Signed integer num/den rounded half-even to ``digits`` decimals.
 
@@ -60,16 +51,6 @@ def cents(x) -> Column:
     return (_c(x).cast("decimal(30,8)") * 100).cast("long")
 
 
-def to_decimal(x, scale: int = 4) -> Column:
-    return _c(x).cast(f"decimal(38,{scale})")
-
-
-def signed_growth(cur, prev) -> Column:
-    """``abs(pct_change) * sign(diff)`` == (cur - prev) / |prev|; NULL on prev = 0."""
-    cur, prev = _c(cur), _c(prev)
-    return safe_div(cur - prev, F.abs(prev))
-
-
 # --- dates ------------------------------------------------------------------
 
 def trunc_date(granularity: str, ts) -> Column:
@@ -83,10 +64,6 @@ def month_diff(a, b) -> Column:
     return (F.year(b) - F.year(a)) * 12 + (F.month(b) - F.month(a))
 
 
-def month_start(d) -> Column:
-    return F.trunc(_c(d), "month")
-
-
 # --- time of day ------------------------------------------------------------
 
 def hms_seconds(text) -> Column:
@@ -102,13 +79,6 @@ def wrap_midnight(duration_sec) -> Column:
     return F.when(d < 0, d + 86400).otherwise(d)
 
 
-def seconds_to_hms(sec) -> Column:
-    """Inverse of :func:`hms_seconds` for 0 <= sec < 86400."""
-    s = _c(sec)
-    return F.format_string("%02d:%02d:%02d", (s / 3600).cast("int"),
-                           ((s % 3600) / 60).cast("int"), (s % 60).cast("int"))
-
-
 def minute_range_label(duration_sec) -> Column:
     """``"k-(k+1)"`` where k is the duration in whole (truncated) minutes."""
     k = (_c(duration_sec) / 60).cast("int")

@@ -85,16 +85,6 @@ def chi2_ppf(prob: float, dof: float) -> float:
     return 0.5 * (lo + hi)
 
 
-@F.pandas_udf(T.DoubleType())
-def chi2_sf_udf(stat: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([chi2_sf(float(s), float(d)) for s, d in zip(stat, dof)])
-
-
-@F.pandas_udf(T.DoubleType())
-def chi2_ppf_udf(prob: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([chi2_ppf(float(p), float(d)) for p, d in zip(prob, dof)])
-
-
 @F.pandas_udf(T.StructType([T.StructField("critical", T.DoubleType()), T.StructField("p", T.DoubleType())]))
 def chi2_finish_udf(stat: pd.Series, dof: pd.Series, prob: pd.Series) -> pd.DataFrame:
     """Critical value at ``prob`` and p-value of ``stat``, one Arrow batch of test rows."""

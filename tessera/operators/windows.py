@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 
 def _series_window(partition_by, order_by):
-    w = Window.partitionBy(*partition_by) if partition_by else Window.partitionBy(F.lit(0))
-    return w.orderBy(*order_by)
+    # an unpartitioned window would pull the whole table into one task
+    if not partition_by:
+        raise ValueError("a series key is required: windows are partitioned per series")
+    return Window.partitionBy(*partition_by).orderBy(*order_by)
 
 
 def wow_growth(x, prev) -> F.Column:
@@ -24,13 +26,6 @@ def wow_growth(x, prev) -> F.Column:
     return F.abs(F.try_divide(x, prev) - 1) * F.signum(x - prev)
 
 
-def with_growth(df: DataFrame, series, order_col: str, metrics) -> DataFrame:
-    """Adds ``<metric>_growth`` for each metric, per series in ``order_col`` order."""
-    w = _series_window(series, [order_col])
-    cols = [wow_growth(F.col(m), F.lag(m).over(w)).alias(f"{m}_growth") for m in metrics]
-    return df.select("*", *cols)
-
-
 def forward_fill(df: DataFrame, series, order_col: str, cols) -> DataFrame:
     """N4 ``fillna(method='ffill')`` per series: last non-NULL value so far."""
     w = _series_window(series, [order_col]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
