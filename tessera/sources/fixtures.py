@@ -255,7 +255,7 @@ def licence_lines(t: Tables) -> DataFrame:
     name = F.when(F.col("s_suppkey") % 3 == 0, F.concat("s_name", F.lit(" \t"))).otherwise(F.col("s_name"))
     blank = F.when(F.col("s_suppkey") % 7 == 0, F.array(F.lit("   "))).otherwise(F.array().cast("array<string>"))
     return (t.supplier
-            .select(F.concat(F.format_string("drivers%d.txt", (F.col("s_suppkey") % 3 + 1).cast("int"))).alias("file_name"),
+            .select(F.format_string("drivers%d.txt", (F.col("s_suppkey") % 3 + 1).cast("int")).alias("file_name"),
                     F.col("s_suppkey").alias("line_no"),
                     F.concat(F.array(name), blank).alias("lines"))
             .select("file_name", "line_no", F.posexplode("lines").alias("sub", "value"))
