@@ -8,16 +8,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import queries, simhash_neardup
+from tessera.llm import bpe, mixing, queries, quality_classifier, simhash_neardup, substring_dedup
+from tessera.llm.common import read_table
 from tessera.session import scratch_path
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the quality classifier accepts."""
+    scored = quality_classifier.classify(docs, queries.quality_model(spark, sf_dir))
+    return scored.where("predicted = 1").select(*docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near-duplicates."""
     return simhash_neardup.keep_one(docs)
 
 
+def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without the passages that an earlier document has too."""
+    return substring_dedup.remove_passages(docs, count_col="n_chars")
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows sampled to the target weights."""
+    return mixing.mix(docs).where("kept").select(*docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, and the hash of the text that they decode to."""
+    return bpe.encode(docs, queries.TOKENIZER, ["doc_id", "lang", "source"], want=("n_tokens", "ids", "decoded_sha256"))
+
+
 STAGES = [
+    ("quality classifier", quality_filter),
     ("SimHash near-dedup", near_dedup),
+    ("substring dedup", passage_dedup),
+    ("mixing to target weights", source_mix),
+    ("BPE encoding", tokenize),
 ]
 
 #: SQL has no BPE and no chained alignment; the stages are tested against brute-force versions.
@@ -25,8 +52,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = queries.read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    docs = read_table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
         path = scratch_path(spark, "stage")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)

@@ -3,21 +3,70 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from tessera.llm import bpe, simhash_neardup
+from tessera.llm import (bpe, html_extract, line_quality, mixing, packing, quality_classifier, simhash_neardup,
+                         substring_dedup, topk_search, toxicity)
 from tessera.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_topk_search(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+def op2_mixing(spark, sf_dir):
+    return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "kept")
+
+
 def op3_simhash_neardup(spark, sf_dir):
     return simhash_neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def op4_bpe(spark, sf_dir):
-    return bpe.encode(read_table(spark, sf_dir, "documents"), TOKENIZER, ["doc_id"],
-                      want=("n_tokens", "ids_sha256", "decoded_sha256"))
+    return bpe.encode(read_table(spark, sf_dir, "documents"), TOKENIZER, ["doc_id"], want=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+def op5_substring_dedup(spark, sf_dir):
+    return substring_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    tokens = (docs.agg(F.sum(F.length("text"))).first()[0] or 0) // 2  # sizes the shards only
+    return packing.pack(bpe.encode(docs, TOKENIZER, ["doc_id"], want=("ids",)), total_tokens=tokens, matrix=False)
+
+
+def op7_html_extract(spark, sf_dir):
+    return html_extract.extract(read_table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+def quality_model(spark, sf_dir) -> quality_classifier.RuleModel:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    rows = quality_classifier.training_rows(docs, labels, "quality", quality_classifier.fold(4) != 2)
+    return quality_classifier.fit(rows, "quality")
+
+
+def op8_quality_classifier(spark, sf_dir):
+    scored = quality_classifier.classify(read_table(spark, sf_dir, "documents").select("doc_id", "text"), quality_model(spark, sf_dir))
+    return scored.select("doc_id", (quality_classifier.fold(4) == 2).alias("held_out"), "score", "predicted")
+
+
+def op9_toxicity(spark, sf_dir):
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    rows = quality_classifier.training_rows(docs, labels, "toxic", quality_classifier.fold(5) != 0, toxicity.SAMPLE)
+    scored = toxicity.fit(rows, "toxic").score(docs, ["doc_id"])
+    return scored.select("doc_id", (quality_classifier.fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op10_line_quality(spark, sf_dir):
+    return line_quality.clean_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "cleaned")
+
 
+QUERIES = {f.__name__: f for f in (
+    op1_topk_search, op2_mixing, op3_simhash_neardup, op4_bpe, op5_substring_dedup, op6_packing, op7_html_extract,
+    op8_quality_classifier, op9_toxicity, op10_line_quality)}
 
-QUERIES = {f.__name__: f for f in (op3_simhash_neardup, op4_bpe)}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op1_topk_search": topk_search.ORACLE, "op10_line_quality": line_quality.ORACLE}
