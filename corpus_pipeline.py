@@ -15,8 +15,7 @@ from tessera.session import scratch_path
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier accepts."""
-    scored = quality_classifier.classify(docs, queries.quality_model(spark, sf_dir))
-    return scored.where("predicted = 1").select(*docs.columns)
+    return quality_classifier.accepted(docs, queries.quality_model(spark, sf_dir))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +30,7 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows sampled to the target weights."""
-    return mixing.mix(docs).where("kept").select(*docs.columns)
+    return mixing.sample(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,18 +20,32 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(id_col), F.col(id_col).isNull(), F.col(text_col), F.col(text_col).isNull())
 
 
-def with_document_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Adds ``rid``, a long that identifies a document.
+def tuck(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as one struct column ``_row``, so that no added column can clash with theirs."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
 
-    It is the id where that is non-null and unique; rows with no id or with a
-    repeated one get a hash of id and text, so that rows equal in both stay one
-    document and others do not mix.
+
+def part(column: str) -> Column:
+    return F.col(f"_row.`{column}`")
+
+
+def untuck(rows: DataFrame, columns: list[str], *more: str) -> DataFrame:
+    """Columns of the tucked rows and ``more``; a tucked column gives way to one of ``more`` of the same name."""
+    taken = {m.lower() for m in more}
+    return rows.select(*[part(c).alias(c) for c in columns if c.lower() not in taken], *more)
+
+
+def keyed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(_row, _doc, _text, rid): tucked rows, id and text, and a long that identifies a document.
+
+    ``rid`` is the id where all ids are non-null and unique (one aggregate over
+    the ids tells).  Otherwise it is a hash of id and text for every row, so
+    that rows equal in both are one document and no others mix.
     """
-    repeated = (docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_id"))
-                .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id"))
-    marked = docs.join(repeated, F.col(id_col).cast("long") == F.col("_id"), "left")
-    plain = F.col(id_col).isNotNull() & F.col("_id").isNull()
-    return marked.withColumn("rid", F.when(plain, F.col(id_col).cast("long")).otherwise(row_key(id_col, text_col))).drop("_id")
+    rows = tuck(docs).select("_row", part(id_col).cast("long").alias("_doc"), part(text_col).alias("_text"))
+    ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("_doc"))
+    unique = not ids.groupBy("_doc").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 or _doc is null").limit(1).count()
+    return rows.withColumn("rid", F.col("_doc") if unique else row_key("_doc", "_text"))
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD
+from tessera.llm.common import WORD, part, tuck, untuck
 
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
@@ -64,9 +64,8 @@ def repeated_words(df: DataFrame, name: str = "n_repeat_words") -> DataFrame:
 
 
 def clean_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the counts, ``cleaned`` (text of the lines that stay), ``base_failed`` and ``kept``."""
-    own = docs.columns
-    df = docs.withColumn("_t", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_w", words(F.col("_t")))
+    """``docs`` with the counts, ``cleaned`` (text of the lines that stay), ``base_failed`` and ``kept``; input columns of these names give way."""
+    df = tuck(docs).withColumn("_t", F.coalesce(part(text_col), F.lit(""))).withColumn("_w", words(F.col("_t")))
     df = df.withColumn("_l", F.filter(F.split("_t", "\n"), lambda x: x.rlike(WORD)))
     df = df.withColumn("_u", F.array_distinct("_l")).withColumn("_k", F.filter("_u", line_passes))
     df = repeated_words(df).withColumns({
@@ -80,7 +79,7 @@ def clean_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words")))
     df = df.withColumn("kept", ~F.col("base_failed") & (F.col("n_kept_words") >= F.col("n_words") * (1 - MAX_LOSS)))
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_kept_words", "cleaned", "base_failed", "kept"]
-    return df.select(*[c for c in own if c not in new], *new)
+    return untuck(df, docs.columns, *new)
 
 
 def _sql(pattern: str) -> str:

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD
+from tessera.llm.common import WORD, part, tuck, untuck
 
 REST = "other"
 SEED = "mix-1"
@@ -40,8 +40,8 @@ TARGETS: dict[str, dict[str, float]] = {
 }
 
 
-def topic(text: str | Column = "text") -> Column:
-    text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+def topic(text: Column) -> Column:
+    text = F.coalesce(text, F.lit(""))
     out = F
     for name, pattern in TOPICS.items():
         out = out.when(text.rlike(pattern), name)
@@ -49,11 +49,11 @@ def topic(text: str | Column = "text") -> Column:
 
 
 def with_cells(docs: DataFrame, targets: Mapping[str, Mapping[str, float]], text_col: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens`` (words), ``topic`` and a struct ``cell`` of the categories; null and unlisted ones are the rest."""
-    own = [c for c in docs.columns if c not in ("n_tokens", "topic", "cell")]
-    df = docs.select(*own).withColumn("n_tokens", F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")).withColumn("topic", topic(text_col))
-    cell = [F.when(F.col(k).isin(*t), F.col(k)).otherwise(REST).alias(k) for k, t in targets.items()]
-    return df.withColumn("cell", F.struct(*cell)).select(*own, "n_tokens", "topic", "cell")
+    """(_row, n_tokens, topic, cell): tucked rows, words, topic and a struct of the categories; null and unlisted ones are the rest."""
+    df = tuck(docs).withColumn("n_tokens", F.regexp_count(F.coalesce(part(text_col), F.lit("")), F.lit(WORD)).cast("long")).withColumn("topic", topic(part(text_col)))
+    side = lambda k: F.col("topic") if k == "topic" else part(k)
+    cell = [F.when(side(k).isin(*t), side(k)).otherwise(REST).alias(k) for k, t in targets.items()]
+    return df.withColumn("cell", F.struct(*cell))
 
 
 def rake(tokens: Mapping[tuple[str, ...], float], targets: Mapping[str, Mapping[str, float]]) -> tuple[dict[tuple[str, ...], float], float]:
@@ -96,26 +96,32 @@ def probabilities(celled: DataFrame, targets: Mapping[str, Mapping[str, float]])
     return {c: s / top if top else 0.0 for c, s in scale.items()}
 
 
-def unit_hash(id_col: str = "doc_id", text_col: str = "text", seed: str = SEED) -> Column:
+def unit_hash(ident: Column, text: Column, seed: str = SEED) -> Column:
     """Number in [0, 1) from the id, or from the text where the id is null."""
-    key = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
+    key = F.concat(F.lit(seed + ":"), F.coalesce(ident.cast("string"), F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
 
 
 def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``topic``, ``n_tokens``, ``probability`` and ``kept``.
+    """``docs`` with ``topic``, ``n_tokens``, ``probability`` and ``kept``; input columns of these names give way.
 
-    Rows without words have weight zero, probability zero where their whole
-    cell is empty, and otherwise share their cell's.  Rows equal in id share
-    their fate.  An empty table stays empty.
+    Rows without words have weight zero; they share the probability of their
+    cell, which is zero if the whole cell is without words.  Rows equal in id
+    share their fate.  An empty table stays empty.
     """
+    return untuck(weighed(docs, targets, id_col, text_col), docs.columns, "topic", "n_tokens", "probability", "kept")
+
+
+def sample(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the mix keeps, all columns as they are."""
+    return weighed(docs, targets, id_col, text_col).where("kept").select("_row.*")
+
+
+def weighed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]], id_col: str, text_col: str) -> DataFrame:
     celled = with_cells(docs, targets, text_col)
     chance = probabilities(celled, targets)
-    keys = list(targets)
-    name = F.concat_ws("\x1f", *[F.col(f"cell.{k}") for k in keys])
-    spark = docs.sparkSession
-    table = spark.createDataFrame([("\x1f".join(c), p) for c, p in chance.items()] or [("", 0.0)], "_cell string, probability double")
+    name = F.concat_ws("\x1f", *[F.col(f"cell.{k}") for k in targets])
+    table = docs.sparkSession.createDataFrame([("\x1f".join(c), p) for c, p in chance.items()] or [("", 0.0)], "_cell string, _p double")
     joined = celled.withColumn("_cell", name).join(F.broadcast(table), "_cell", "left")  # bounded by the target tables
-    own = [c for c in docs.columns if c not in ("topic", "n_tokens", "probability", "kept")]
-    return (joined.withColumn("probability", F.coalesce("probability", F.lit(0.0)))
-            .withColumn("kept", unit_hash(id_col, text_col) < F.col("probability")).select(*own, "topic", "n_tokens", "probability", "kept"))
+    return (joined.withColumn("probability", F.coalesce("_p", F.lit(0.0)))
+            .withColumn("kept", unit_hash(part(id_col), part(text_col)) < F.col("probability")))

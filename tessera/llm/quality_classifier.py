@@ -19,6 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import part, tuck, untuck
 from tessera.llm.line_quality import SPACE, SYMBOLS, words
 from tessera.session import materialize
 
@@ -42,11 +43,10 @@ STATISTICS = {
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` and the struct column ``stats``; null texts count as empty, whose shares are zero."""
-    own = docs.columns
-    df = docs.withColumn("_t", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_w", words(F.col("_t"))).withColumns({
+    """(_row, stats): the tucked rows of ``docs`` and a struct of statistics; null texts count as empty, whose shares are zero."""
+    df = tuck(docs).withColumn("_t", F.coalesce(part(text_col), F.lit(""))).withColumn("_w", words(F.col("_t"))).withColumns({
         "_n": F.size("_w"), "_chars": F.length("_t") - F.regexp_count("_t", F.lit(SPACE)), "_l": F.split("_t", "\n")})
-    return df.withColumn("stats", F.struct(*[f().cast("double").alias(k) for k, f in STATISTICS.items()])).select(*[c for c in own if c != "stats"], "stats")
+    return df.select("_row", F.struct(*[f().cast("double").alias(k) for k, f in STATISTICS.items()]).alias("stats"))
 
 
 Condition = tuple[str, bool, float]  # statistic, whether at most, threshold
@@ -95,7 +95,7 @@ def fit(labelled: DataFrame, label: str, text_col: str = "text", trees: int = TR
     Without rows of both labels the score is the smoothed share of label 1.
     """
     names = list(STATISTICS)
-    train = materialize(with_statistics(labelled.where(F.col(label).isNotNull()), text_col).select(F.col(label).cast("double").alias("label"), "stats"))
+    train = materialize(with_statistics(labelled.where(F.col(label).isNotNull()), text_col).select(part(label).cast("double").alias("label"), "stats"))
     n, ones = train.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     prior = math.log((ones + 1) / (n - ones + 1))
     if not 0 < ones < n:
@@ -123,7 +123,15 @@ def fold(divisor: int) -> Column:
 
 
 def classify(docs: DataFrame, model: RuleModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted``."""
-    own = [c for c in docs.columns if c not in ("score", "predicted")]
-    scored = with_statistics(docs.select(*own), text_col).withColumn("score", model.score())
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int")).select(*own, "score", "predicted")
+    """``docs`` with ``score`` (0 to 1) and ``predicted``; input columns of these names give way."""
+    return untuck(scored(docs, model, text_col, threshold), docs.columns, "score", "predicted")
+
+
+def accepted(docs: DataFrame, model: RuleModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that the model scores at least ``threshold``."""
+    return scored(docs, model, text_col, threshold).where("predicted = 1").select("_row.*")
+
+
+def scored(docs: DataFrame, model: RuleModel, text_col: str, threshold: float) -> DataFrame:
+    rows = with_statistics(docs, text_col).withColumn("score", model.score())
+    return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
