@@ -35,8 +35,8 @@ TOPICS = {
 #: Targets of the production mix (shares; they are scaled to one over the categories that occur).
 TARGETS: dict[str, dict[str, float]] = {
     "source": {**{f"src{i}": 1.0 for i in range(20)}, REST: 1.0},
-    "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.1, REST: 0.05},
-    "topic": {"prose": 0.8, "licence": 0.03, "contact": 0.05, "table": 0.02, "figures": 0.1},
+    "lang": {"en": 0.58, "de": 0.155, "fr": 0.155, "es": 0.11, REST: 0.01},
+    "topic": {"prose": 0.93, "licence": 0.01, "contact": 0.01, "table": 0.01, "figures": 0.04},
 }
 
 
