@@ -64,10 +64,10 @@ class Page:
         for m in _TOKEN.finditer(source):
             if (text := m["text"]) is not None:
                 drop = bool(open_aside) and not (heads and inside and open_aside == ["header"])
-                self.tokens.append(("aside" if drop else "link" if links else "word", text, drop))
+                self.tokens.append((("gap" if inside else "aside") if drop else "link" if links else "word", text, drop))
                 continue
             if (name := m["name"]) is None:
-                self.tokens.append(("t:raw", None, False))
+                self.tokens.append(("gap" if inside else "t:raw", None, False))
                 continue
             name, end = name.lower(), bool(m["end"])
             if name in ("article", "main"):
@@ -90,7 +90,8 @@ class Page:
             elif name not in VOID and not m["attrs"].endswith("/") and (marked or open_aside and name in open_aside):
                 open_aside.append(name)
             feature = f"t:{'/' if end else ''}{name if name in KNOWN else 'other'}"
-            self.tokens.append(("t:marked" if marked else feature, None if name in INLINE else "", False))
+            skip = inside and (marked or open_aside)  # what an article element holds besides its text does not end the region
+            self.tokens.append(("gap" if skip else "t:marked" if marked else feature, None if name in INLINE else "", False))
         # a heading opens and closes evenly; whatever is left open ends with the page
 
     def text(self, first: int, last: int) -> str:
@@ -123,7 +124,7 @@ def weights(counts: dict[str, tuple[float, float]]) -> dict[str, float]:
     for f, (a, b) in counts.items():
         odds = math.log((a + 1) / (n1 + 10)) - math.log((b + 1) / (n0 + 10))
         out[f] = max(0.5, min(3.0, odds)) if f == "word" else max(-4.0, min(-0.05, odds))
-    return {"word": 1.0, "link": -0.5, "aside": -1.0} | out
+    return {"word": 1.0, "link": -0.5, "aside": -1.0} | out | {"gap": 0.0}
 
 
 def count_features(page: Page, first: int, last: int) -> Counter:

@@ -25,6 +25,8 @@ from tessera.session import materialize
 
 #: Labelled rows that training reads at most; mined voters; fewest toxic rows of a voter; features of the classifier.
 SAMPLE, VOTERS, SUPPORT, FEATURES = 20_000, 150, 4, 600
+#: Standard deviations by which a feature of the classifier must be commoner in toxic rows than chance.
+GAIN = 6
 THRESHOLD, PREFIXES = 0.5, (4, 5)
 #: Fixed voters: common insults (whole words) and patterns on the lower-cased text.
 LEXICON = ("idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless", "disgusting", "clown",
@@ -154,9 +156,13 @@ def fit(labelled: DataFrame, label: str, text_col: str = "text", voters: int = V
     spark = labelled.sparkSession
     post = spark.createDataFrame(found.groupby("i", as_index=False)["p"].first())
     soft = rows.join(F.broadcast(post), "i")
-    gain = F.col("a") * F.log((F.col("a") + 0.1) / (F.col("a") + F.col("b") + 0.2) / prior)
+    seen = F.col("a") + F.col("b")
+    share = float(np.clip(found["p"].mean(), 1e-4, 0.9999))
+    gain = (F.col("a") - share * seen) / F.sqrt(seen * share * (1 - share))  # standard deviations above chance
     vocabulary = [r["w"] for r in soft.select("p", F.explode("f").alias("w")).groupBy("w").agg(F.sum("p").alias("a"), F.sum(1 - F.col("p")).alias("b"))
-                  .where(F.col("a") + F.col("b") >= support).orderBy(F.desc(gain), "w").limit(width).collect()]
+                  .where((seen >= support) & (gain >= GAIN)).orderBy(F.desc(gain), "w").limit(width).collect()]
+    if not vocabulary:
+        return ToxicityModel(math.log(prior / (1 - prior)), {}, model, tuple(names))
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="f", outputCol="features", binary=True)
     pairs = soft.select("f", F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("w")))).alias("x"))
     train = vectors.transform(pairs.select("f", "x.label", "x.w").where("w > 1e-6"))
