@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tessera.operators import cleaning
 from tessera.plans import campaigns, finance, heatmap, licences, lifecycle, reconcile, sessions, zones
 from tessera.sources import fixtures as fx
-from tessera.session import materialize
 from tessera.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +31,7 @@ def churn_user_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _finance(spark, sf_dir, granularity):
     t = Tables(spark, sf_dir)
-    j = fx.journeys(t)          # one journeys plan shared by both report sides
+    j = fx.journeys(t, first_ride=False)
     return finance.finance_report(fx.finance_daily(t, j), fx.partner_costs(t), j, granularity, granularity)
 
 
@@ -46,7 +45,7 @@ def finance_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def finance_partner_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return finance.partner_split(fx.partner_costs(t), fx.journeys(t), "month", "period")
+    return finance.partner_split(fx.partner_costs(t), fx.journeys(t, first_ride=False), "month", "period")
 
 
 def _recon(spark, sf_dir, mode, windows=None):
@@ -55,9 +54,11 @@ def _recon(spark, sf_dir, mode, windows=None):
     if windows is None:
         a, b = fx.RECON_SINGLE_WINDOW
         return reconcile.reconcile_window(fx.recon_source(t), fx.recon_target(t), spec, mode, a, b, fx.RUN_TS)
-    return reconcile.reconcile_batch({spec.source_collection: fx.recon_source(t)},
-                                     {spec.target_table: fx.recon_target(t)},
-                                     [spec], [mode], windows, fx.RUN_TS)[mode]
+    users = reconcile.ReconcileSpec(**fx.RECON_USERS_SPEC)
+    return reconcile.reconcile_batch(
+        {spec.source_collection: fx.recon_source(t), users.source_collection: fx.recon_users_source(t)},
+        {spec.target_table: fx.recon_target(t), users.target_table: fx.recon_users_target(t)},
+        [spec, users], [mode], windows, fx.RUN_TS)[mode]
 
 
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,20 +116,57 @@ def sessions_chi2_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 SESSION_MEASURES = ("clickouts", "booking", "session_duration_sec", "session_start_hour", "session_duration_min")
 
 
-def sessions_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = cleaning.describe(_clean_sessions(spark, sf_dir), SESSION_MEASURES)
+def _rounded(d: DataFrame) -> DataFrame:
     return d.select("column", "count", *[F.bround(c, 6).alias(c) if c not in ("min", "max") else F.col(c)
                                          for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
+def sessions_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(cleaning.describe(_clean_sessions(spark, sf_dir), SESSION_MEASURES))
+
+
 def sessions_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.histogram(_sessions(spark, sf_dir), "booking", 10)
 
 
+def sessions_text_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.text_range(_sessions(spark, sf_dir), ("session_start_text", "session_end_text"))
+
+
+def sessions_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.head(_sessions(spark, sf_dir), 5, ["session"])
+
+
+def sessions_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.duplicate_summary(_sessions(spark, sf_dir))
+
+
+def sessions_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.duplicate_rows(_sessions(spark, sf_dir).drop("session", "session_start_text"))
+
+
+def sessions_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.dedupe(_sessions(spark, sf_dir).drop("session"))
+
+
+def chart_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.chart_distributions(_clean_sessions(spark, sf_dir), ("session_duration_range", "clickouts"))
+
+
 def _campaigns(spark, sf_dir):
-    # the weekly campaign table (weeks × campaigns rows) feeds up to a dozen
-    # branches: compute it in one pass over the events and checkpoint it
-    return materialize(fx.campaigns(Tables(spark, sf_dir)))
+    return fx.campaigns(Tables(spark, sf_dir))
+
+
+def forecast_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return campaigns.forecast_growth(_campaigns(spark, sf_dir), fx.CAMPAIGN_TARGET)
+
+
+def market_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.head(campaigns.market_kpis(_campaigns(spark, sf_dir)), 5, [F.desc("Week")])
+
+
+def market_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(cleaning.describe(campaigns.market_kpis(_campaigns(spark, sf_dir)), ("Visits", "Revenue", "Cost", "Profit")))
 
 
 def campaign_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,28 +206,40 @@ def chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return campaigns.chart_series(_campaigns(spark, sf_dir), fx.CAMPAIGN_TARGET)
 
 
+def _zone_trips(spark, sf_dir):
+    since, city, status = fx.TRIP_FILTER
+    return zones.select_trips(fx.trips(Tables(spark, sf_dir)), since, city, status)
+
+
 def zone_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zones.zone_flags(fx.trips(Tables(spark, sf_dir)), fx.ZONES)
+    return zones.zone_flags(_zone_trips(spark, sf_dir), fx.ZONES)
 
 
 def zone_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zones.zone_summary(zone_flags(spark, sf_dir))
+    return zones.zone_summary(zones.zone_flags(fx.trips(Tables(spark, sf_dir)), fx.ZONES))
+
+
+def zone_flags_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zones.zone_flags(_zone_trips(spark, sf_dir), [fx.round_zone()])
 
 
 def fixed_vs_tariff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heatmap.fixed_vs_tariff(fx.heatmap_trips(Tables(spark, sf_dir)))
 
 
+def _cells(t):
+    return fx.heatmap_table(heatmap.fixed_vs_tariff(fx.heatmap_trips(t)))
+
+
 def heatmap_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return heatmap.heatmap_cells(heatmap.fixed_vs_tariff(fx.heatmap_trips(t)), fx.airports(t))
+    return heatmap.heatmap_cells(_cells(t), fx.airports(t))
 
 
 def heatmap_new_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return heatmap.heatmap_cells(heatmap.fixed_vs_tariff(fx.heatmap_trips(t)), fx.airports(t),
-                                 direction="from", values_field="price_tariff_rub_discounted",
-                                 is_new_prices=True)
+    return heatmap.heatmap_cells(_cells(t), fx.airports(t), direction="from",
+                                 values_field="price_tariff_rub_discounted", is_new_prices=True)
 
 
 def licence_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,15 +283,20 @@ QUERIES: dict[str, Query] = {
     "reconcile_batch_sums": reconcile_batch_sums,
     "zone_flags": zone_flags,
     "zone_summary": zone_summary,
+    "zone_flags_round": zone_flags_round,
     "campaign_kpis": campaign_kpis,
     "market_kpis": market_kpis,
+    "market_tail": market_tail,
+    "market_describe": market_describe,
     "campaign_growth": campaign_growth,
     "campaign_metric_dev": campaign_metric_dev,
     "campaign_scenario": campaign_scenario,
     "forward_fill": forward_fill,
     "campaign_ols": campaign_ols,
     "market_forecast": market_forecast,
+    "forecast_growth": forecast_growth,
     "chart_series": chart_series,
+    "chart_distributions": chart_distributions,
     "sessions_enriched": sessions_enriched,
     "sessions_anomalies": sessions_anomalies,
     "sessions_clean": sessions_clean,
@@ -251,6 +306,11 @@ QUERIES: dict[str, Query] = {
     "sessions_chi2_test": sessions_chi2_test,
     "sessions_describe": sessions_describe,
     "sessions_hist": sessions_hist,
+    "sessions_text_range": sessions_text_range,
+    "sessions_head": sessions_head,
+    "sessions_duplicates": sessions_duplicates,
+    "sessions_repeats": sessions_repeats,
+    "sessions_dedupe": sessions_dedupe,
     "fixed_vs_tariff": fixed_vs_tariff,
     "heatmap_cells": heatmap_cells,
     "heatmap_new_prices": heatmap_new_prices,

@@ -1,8 +1,10 @@
 """DuckDB twins of every registered query (the correctness oracle).
 
 Each twin restates the fixture mapping of ``tessera.sources.fixtures`` and the
-job's semantics in plain SQL, written from the reference's own SQL where it has
-some.  The driver runs them on the same Parquet tables and compares results.
+job's meaning in plain SQL by another way than the job's: sets of month numbers,
+long tables pivoted at the end, expected counts over the full grid, integer
+geometry, rounding by whole numbers.  The driver runs them on the same Parquet
+tables and compares results.
 """
 
 from __future__ import annotations
@@ -29,9 +31,9 @@ JOURNEYS = """journeys AS (
   FROM orders o JOIN geo_customers g ON o.o_custkey = g.c_custkey)"""
 
 USERS = """users AS (
-  SELECT c_custkey AS user_id, r_name AS country_code, n_name AS city,
-         c_mktsegment AS last_attribution_channel
-  FROM geo_customers WHERE c_custkey % 50 <> 0)"""
+  SELECT CASE WHEN c_custkey % 50 = 0 THEN -c_custkey ELSE c_custkey END AS user_id,
+         r_name AS country_code, n_name AS city, c_mktsegment AS last_attribution_channel
+  FROM geo_customers)"""
 
 
 def with_ctes(*parts: str) -> str:
@@ -41,46 +43,33 @@ def with_ctes(*parts: str) -> str:
 
 # --- C1 churn -------------------------------------------------------------------
 
-CHURN_STATES = f"""journeys_m AS (
-  SELECT DISTINCT passenger_id,
-         DATE_TRUNC('month', passenger_first_completed_ts_loc)::DATE AS first_completed_month_loc,
-         DATE_TRUNC('month', completed_dt_loc)::DATE AS completed_month_loc
-  FROM journeys
-  WHERE completed_dt_loc < DATE_TRUNC('month', DATE '{AS_OF}')::DATE),
-passengers_stats AS (
-  SELECT passenger_id, month, is_new,
-         CASE WHEN DATEDIFF('month', prev_completed_month_loc, month) = 1 THEN TRUE ELSE FALSE END AS is_retained,
-         CASE WHEN DATEDIFF('month', prev_completed_month_loc, month) > 1 THEN TRUE ELSE FALSE END AS is_reactivated,
-         CASE WHEN next_completed_month_loc IS NULL THEN TRUE
-              WHEN DATEDIFF('month', month, next_completed_month_loc) <> 1 THEN TRUE
-              ELSE FALSE END AS is_churned_next_month
-  FROM (
-    SELECT passenger_id, completed_month_loc AS month,
-           LAG(completed_month_loc) OVER (PARTITION BY passenger_id ORDER BY completed_month_loc) AS prev_completed_month_loc,
-           LEAD(completed_month_loc) OVER (PARTITION BY passenger_id ORDER BY completed_month_loc) AS next_completed_month_loc,
-           CASE WHEN first_completed_month_loc = completed_month_loc THEN TRUE ELSE FALSE END AS is_new
-    FROM journeys_m) x),
-churned_stats AS (
-  SELECT passenger_id, CAST(month + INTERVAL 1 MONTH AS DATE) AS month, is_churned_next_month AS is_churned
-  FROM passengers_stats WHERE is_churned_next_month = TRUE),
-stats_union AS (
-  SELECT passenger_id, month, is_new, is_retained, is_reactivated, FALSE AS is_churned FROM passengers_stats
-  UNION
-  SELECT passenger_id, month, FALSE, FALSE, FALSE, is_churned FROM churned_stats)"""
-
-CHURN_MONTHLY = with_ctes(GEO_CUSTOMERS, JOURNEYS, USERS, CHURN_STATES, f"""
-SELECT u.country_code AS country, u.city, u.last_attribution_channel AS attribution_channel, s.month,
-       COUNT(DISTINCT CASE WHEN is_new = TRUE THEN s.passenger_id END) AS new,
-       COUNT(DISTINCT CASE WHEN is_retained = TRUE THEN s.passenger_id END) AS retained,
-       COUNT(DISTINCT CASE WHEN is_reactivated = TRUE THEN s.passenger_id END) AS reactivated,
-       COUNT(DISTINCT CASE WHEN is_churned = TRUE THEN s.passenger_id END) AS churned
-FROM stats_union s JOIN users u ON s.passenger_id = u.user_id
-WHERE s.month < DATE_TRUNC('month', DATE '{AS_OF}')::DATE
-GROUP BY 1, 2, 3, 4
-ORDER BY 1, 2, 4, 3""")
-
-CHURN_USER_STATES = with_ctes(GEO_CUSTOMERS, JOURNEYS, CHURN_STATES, """
-SELECT passenger_id, month, is_new, is_retained, is_reactivated, is_churned FROM stats_union""")
+# Months are whole numbers (12 · year + month); ``ride`` is the set of active
+# months, and each state is a question about the sets of earlier and later ones.
+LIFE = f"""ride AS (
+  SELECT DISTINCT passenger_id AS p, 12 * year(completed_dt_loc) + month(completed_dt_loc) AS m,
+         12 * year(passenger_first_completed_ts_loc) + month(passenger_first_completed_ts_loc) AS m0
+  FROM journeys WHERE 12 * year(completed_dt_loc) + month(completed_dt_loc) < 12 * year(DATE '{AS_OF}') + month(DATE '{AS_OF}')),
+act AS (SELECT DISTINCT p, m FROM ride),
+last_before AS (SELECT a.p, a.m, max(b.m) AS m1 FROM act a JOIN act b ON a.p = b.p AND b.m < a.m GROUP BY a.p, a.m),
+gone AS (SELECT p, m + 1 AS m FROM act EXCEPT SELECT p, m FROM act),
+states AS (
+  SELECT DISTINCT r.p, r.m, r.m = r.m0 AS n, coalesce(l.m1 = r.m - 1, false) AS k, coalesce(l.m1 < r.m - 1, false) AS b, false AS c
+  FROM ride r LEFT JOIN last_before l USING (p, m)
+  UNION ALL SELECT p, m, false, false, false, true FROM gone)"""
+
+MONTH_DATE = "make_date(((m - 1) // 12)::INT, ((m - 1) % 12 + 1)::INT, 1)"
+
+CHURN_MONTHLY = with_ctes(GEO_CUSTOMERS, JOURNEYS, USERS, LIFE, f"""
+SELECT country_code AS country, city, last_attribution_channel AS attribution_channel, {MONTH_DATE} AS month,
+       count(*) FILTER (WHERE n) AS new, count(*) FILTER (WHERE k) AS retained,
+       count(*) FILTER (WHERE b) AS reactivated, count(*) FILTER (WHERE c) AS churned
+FROM (SELECT p, m, bool_or(n) AS n, bool_or(k) AS k, bool_or(b) AS b, bool_or(c) AS c FROM states GROUP BY p, m)
+JOIN users ON user_id = p
+WHERE m < 12 * year(DATE '{AS_OF}') + month(DATE '{AS_OF}')
+GROUP BY ALL""")
+
+CHURN_USER_STATES = with_ctes(GEO_CUSTOMERS, JOURNEYS, LIFE, f"""
+SELECT p AS passenger_id, {MONTH_DATE} AS month, n AS is_new, k AS is_retained, b AS is_reactivated, c AS is_churned FROM states""")
 
 
 # --- C2 finance -----------------------------------------------------------------
@@ -89,103 +78,83 @@ def _dec(c):
     return f"CAST({c} AS DECIMAL(12,2))"
 
 
-FIN_PER_ORDER = f"""per_order AS (
-  SELECT l_orderkey,
-         sum({_dec('l_extendedprice')}) AS gross,
-         sum({_dec('l_extendedprice')} * (1 - {_dec('l_discount')})) AS net,
-         sum({_dec('l_extendedprice')} * {_dec('l_discount')}) AS disc,
-         sum({_dec('l_extendedprice')} * {_dec('l_tax')}) AS tax
-  FROM lineitem GROUP BY l_orderkey)"""
-
-
-def _finance_daily_cte() -> str:
-    cols = []
-    for metric, base, weight in fx.FINANCE_METRICS:
-        for cur, rate in fx.CURRENCY_RATES:
-            v = f"CAST(sum(p.{base}) AS DECIMAL(18,4)) * CAST('{weight}' AS DECIMAL(3,2)) * CAST('{rate}' AS DECIMAL(4,1))"
-            if metric in fx.NULLABLE_METRICS:
-                v = f"CASE WHEN j.segment <> '{fx.NULL_METRIC_SEGMENT}' THEN {v} END"
-            cols.append(f"CAST({v} AS DECIMAL(38,8)) AS {metric}_{cur}")
-    return ("finance_daily AS (\n  SELECT j.completed_dt_loc AS day, j.segment, j.country, j.city,\n"
-            "         count(DISTINCT j.journey_id) AS n_journeys,\n         "
-            + ",\n         ".join(cols)
-            + "\n  FROM per_order p JOIN journeys j ON p.l_orderkey = j.journey_id\n  GROUP BY 1, 2, 3, 4)")
-
-
-def _partner_costs_cte() -> str:
-    cols = []
-    for cur, rate in fx.CURRENCY_RATES:
-        cols.append(f"CAST({_dec('l_extendedprice')} * {_dec('l_discount')} * CAST('{rate}' AS DECIMAL(4,1)) "
-                    f"AS DECIMAL(38,8)) AS partner_cost_{cur}")
-    return f"""partner_costs AS (
-  SELECT l_orderkey AS journey_id, l_shipdate AS completed_ts_loc,
-         CASE l_suppkey % 10 WHEN 0 THEN NULL WHEN 1 THEN 'PARTNER1' WHEN 2 THEN 'PARTNER2'
-              WHEN 3 THEN 'PARTNER3' ELSE 'P_OTHER' END AS partner_name,
-         {", ".join(cols)}
-  FROM lineitem)"""
-
-
-FIN_METRICS = ("gross_bookings", "parking", "toll_roads", "tips", "net_bookings", "gross_revenue",
-               "chauffeur_fines", "net_revenue_b2c", "net_revenue_b2b", "net_revenue_total",
-               "passenger_bonuses", "vat", "chauffeur_total_bonuses")
-FIN_CURRENCIES = ("rub", "gbp", "eur", "usd")
-
-
-def _money(x):
-    return f"CAST(round({x}, 2) AS DOUBLE)"
-
-
-def _partnership_cte(gran, period):
-    cols = []
-    for cur in FIN_CURRENCIES:
-        for p in ("PARTNER1", "PARTNER2", "PARTNER3"):
-            cols.append(f"SUM(CASE WHEN p.partner_name = '{p}' THEN p.partner_cost_{cur} END) AS {p}_privileges_revenue_{cur}")
-        cols.append(f"SUM(CASE WHEN p.partner_name NOT IN ('PARTNER1', 'PARTNER2', 'PARTNER3') "
-                    f"THEN p.partner_cost_{cur} END) AS other_privileges_revenue_{cur}")
-        cols.append(f"SUM(p.partner_cost_{cur}) AS privileges_revenue_total_{cur}")
-    return f"""partnership_data AS (
-  SELECT date_trunc('{gran}', (p.completed_ts_loc)::timestamp)::date AS {period}, j.segment, j.country, j.city,
-         {", ".join(cols)}
-  FROM partner_costs p INNER JOIN journeys j ON p.journey_id = j.journey_id
-  GROUP BY 1, 2, 3, 4)"""
+FIN_CURRENCIES = tuple(c for c, _ in fx.CURRENCY_RATES)
+
+
+def _exact_double(x):
+    """Nearest double of an exact decimal (through its text)."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
+
+
+def _values(rows):
+    return "(VALUES " + ", ".join(rows) + ")"
+
+
+# Metrics in long form: every order's four base amounts times (metric, base,
+# weight) and (currency, rate), summed once per period and place.
+def _metrics_long(gran):
+    metrics = _values(f"('{m}', '{b}', {w}::DECIMAL(4,2), {str(m in fx.NULLABLE_METRICS).lower()})" for m, b, w in fx.FINANCE_METRICS)
+    rates = _values(f"('{c}', {r}::DECIMAL(4,1))" for c, r in fx.CURRENCY_RATES)
+    price, less, tax = _dec("l_extendedprice"), _dec("l_discount"), _dec("l_tax")
+    return f"""place AS (
+  SELECT o_orderkey AS k, date_trunc('{gran}', o_orderdate)::DATE AS period, c_mktsegment AS segment, r_name AS country, n_name AS city
+  FROM orders JOIN geo_customers ON o_custkey = c_custkey),
+base AS (
+  SELECT period, segment, country, city, count(DISTINCT k) AS orders, sum({price}) AS gross, sum({price} - {price} * {less}) AS net,
+         sum({price} * {less}) AS disc, sum({price} * {tax}) AS tax
+  FROM lineitem JOIN place ON l_orderkey = k GROUP BY ALL),
+amounts AS (UNPIVOT (SELECT period, segment, country, city, gross::DECIMAL(24,4) AS gross, net::DECIMAL(24,4) AS net,
+                            disc::DECIMAL(24,4) AS disc, tax::DECIMAL(24,4) AS tax FROM base) ON gross, net, disc, tax INTO NAME b VALUE v),
+metric AS (
+  SELECT period, segment, country, city, m, c, v * w * r AS x
+  FROM amounts JOIN {metrics} t(m, bb, w, nullable) ON bb = b CROSS JOIN {rates} q(c, r)
+  WHERE NOT (nullable AND segment = '{fx.NULL_METRIC_SEGMENT}'))"""
+
+
+def _partners_long(gran):
+    rates = _values(f"('{c}', {r}::DECIMAL(4,1))" for c, r in fx.CURRENCY_RATES)
+    return f"""shares AS (
+  SELECT date_trunc('{gran}', l_shipdate)::DATE AS period, c_mktsegment AS segment, r_name AS country, n_name AS city,
+         l_suppkey % 10 AS b, sum({_dec('l_extendedprice')} * {_dec('l_discount')}) AS v
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN geo_customers ON o_custkey = c_custkey GROUP BY ALL),
+partner AS (
+  SELECT period, segment, country, city, c, CASE WHEN b = 0 THEN 'none' WHEN b <= 3 THEN 'PARTNER' || b ELSE 'other' END AS who, v::DECIMAL(24,4) * r AS x
+  FROM shares CROSS JOIN {rates} q(c, r))"""
+
+
+_PLACE = "period, segment, country, city"
+
+
+def _partner_columns(default):
+    out = []
+    for c in FIN_CURRENCIES:
+        for who in ("PARTNER1", "PARTNER2", "PARTNER3", "other"):
+            out.append((f"{who}_privileges_revenue_{c}", f"sum(x) FILTER (WHERE who = '{who}' AND c = '{c}')"))
+        out.append((f"privileges_revenue_total_{c}", f"sum(x) FILTER (WHERE c = '{c}')"))
+    return [(name, f"coalesce({x}, 0)" if default else x) for name, x in out]
 
 
 def finance_sql(gran: str, period: str) -> str:
-    main_cols = ", ".join(f"SUM(d.{m}_{c}) AS {m}_{c}" for m in FIN_METRICS for c in FIN_CURRENCIES)
-    main = f"""main AS (
-  SELECT date_trunc('{gran}', d.day)::date AS {period}, d.segment, d.country AS country, d.city AS city,
-         SUM(d.n_journeys) AS n_journeys, {main_cols}
-  FROM finance_daily d GROUP BY 1, 2, 3, 4)"""
-    out = [f"m.{period}", "m.segment", "m.country", "m.city", "m.n_journeys"]
+    always = ("gross_bookings", "parking", "toll_roads", "tips", "net_bookings", "gross_revenue", "net_revenue_b2c", "net_revenue_b2b", "net_revenue_total")
+    wide, out = [], []
     for c in FIN_CURRENCIES:
-        for x in ("gross_bookings", "parking", "toll_roads", "tips", "net_bookings", "gross_revenue"):
-            out.append(f"{_money(f'm.{x}_{c}')} AS {x}_{c}")
-        out.append(f"{_money(f'COALESCE(m.chauffeur_total_bonuses_{c}, 0)')} AS chauffeur_total_bonuses_{c}")
-        out.append(f"{_money(f'COALESCE(m.passenger_bonuses_{c}, 0)')} AS passenger_bonuses_{c}")
-        for p in ("PARTNER1", "PARTNER2", "PARTNER3", "other"):
-            out.append(f"{_money(f'COALESCE(pd.{p}_privileges_revenue_{c}, 0)')} AS {p}_privileges_revenue_{c}")
-        out.append(f"{_money(f'COALESCE(pd.privileges_revenue_total_{c}, 0)')} AS privileges_revenue_total_{c}")
-        for x in ("net_revenue_b2c", "net_revenue_b2b", "net_revenue_total"):
-            out.append(f"{_money(f'm.{x}_{c}')} AS {x}_{c}")
-        out.append(f"{_money(f'COALESCE(m.chauffeur_fines_{c}, 0)')} AS chauffeur_fines_{c}")
-        out.append(f"{_money(f'COALESCE(m.chauffeur_fines_{c}, 0) - COALESCE(m.chauffeur_total_bonuses_{c}, 0)')} "
-                   f"AS chauffeurs_fines_minus_bonuses_{c}")
-    body = f"""
-SELECT {", ".join(out)}
-FROM main m LEFT JOIN partnership_data pd
-  ON m.{period} = pd.{period} AND m.segment = pd.segment AND m.country = pd.country AND m.city = pd.city"""
-    return with_ctes(GEO_CUSTOMERS, JOURNEYS, FIN_PER_ORDER, _finance_daily_cte(), _partner_costs_cte(),
-                     main, _partnership_cte(gran, period), body)
+        of = lambda m: f"sum(x) FILTER (WHERE m = '{m}' AND c = '{c}')"  # noqa: B023, E731
+        wide += [f"{of(m)} AS {m}_{c}" for m in always]
+        wide += [f"coalesce({of(m)}, 0) AS {m}_{c}" for m in ("chauffeur_fines", "chauffeur_total_bonuses", "passenger_bonuses")]
+        out += [f"{_exact_double(f'{m}_{c}')} AS {m}_{c}" for m in (*always, "chauffeur_fines", "chauffeur_total_bonuses", "passenger_bonuses")]
+        out.append(f"{_exact_double(f'chauffeur_fines_{c} - chauffeur_total_bonuses_{c}')} AS chauffeurs_fines_minus_bonuses_{c}")
+    split = _partner_columns(False)
+    out += [f"{_exact_double(f'coalesce({n}, 0)')} AS {n}" for n, _ in split]
+    return with_ctes(GEO_CUSTOMERS, _metrics_long(gran), _partners_long(gran),
+                     f"wide AS (SELECT {_PLACE}, {', '.join(wide)} FROM metric GROUP BY ALL)",
+                     f"split AS (SELECT {_PLACE}, {', '.join(f'{x} AS {n}' for n, x in split)} FROM partner GROUP BY ALL)",
+                     f"SELECT period AS {period}, segment, country, city, orders AS n_journeys, {', '.join(out)} "
+                     f"FROM base JOIN wide USING ({_PLACE}) LEFT JOIN split USING ({_PLACE})")
 
 
 def partner_split_sql(gran: str, period: str) -> str:
-    cols = []
-    for c in FIN_CURRENCIES:
-        for p in ("PARTNER1", "PARTNER2", "PARTNER3", "other"):
-            cols.append(f"{_money(f'{p}_privileges_revenue_{c}')} AS {p}_privileges_revenue_{c}")
-        cols.append(f"{_money(f'privileges_revenue_total_{c}')} AS privileges_revenue_total_{c}")
-    return with_ctes(GEO_CUSTOMERS, JOURNEYS, _partner_costs_cte(), _partnership_cte(gran, period),
-                     f"SELECT {period}, segment, country, city, {', '.join(cols)} FROM partnership_data")
+    cols = ", ".join(f"{_exact_double(x)} AS {n}" for n, x in _partner_columns(False))
+    return with_ctes(GEO_CUSTOMERS, _partners_long(gran), f"SELECT period AS {period}, segment, country, city, {cols} FROM partner GROUP BY ALL")
 
 
 # --- C3-C5 reconciliation --------------------------------------------------------
@@ -209,46 +178,67 @@ RECON_TARGET = """recon_target AS (
   FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))"""
 
 
+RECON_USERS = """users_source AS (
+  SELECT lower(lpad(hex(epoch(t)::BIGINT), 8, '0') || lpad(hex(c_custkey), 16, '0')) AS _id, t AS created_at,
+         CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS rating
+  FROM (SELECT *, TIMESTAMP '1995-01-01' + to_days((c_custkey % 1500)::INT) AS t FROM customer)),
+users_target AS (
+  SELECT TIMESTAMP '1995-01-01' + to_days((c_custkey % 1500 + CASE WHEN c_custkey % 89 = 0 THEN 1 ELSE 0 END)::INT) AS registered_ts_utc,
+         CAST(CAST(c_acctbal AS DECIMAL(18,2)) + CASE WHEN c_custkey % 97 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS rating
+  FROM customer)"""
+
+
 def _windows_cte(windows):
     vals = ", ".join(f"(DATE '{a}', DATE '{b}')" for a, b in windows)
     return f"windows AS (SELECT * FROM (VALUES {vals}) w(window_from, window_to))"
 
 
-RECON_HEAD = (f"TIMESTAMP '{RUN_TS}' AS run_ts_utc, '{fx.RECON_SPEC['source_collection']}' AS source_collection, "
-              f"'{fx.RECON_SPEC['target_table']}' AS target_table")
+def _recon_head(spec):
+    return (f"TIMESTAMP '{RUN_TS}' AS run_ts_utc, '{spec['source_collection']}' AS source_collection, "
+            f"'{spec['target_table']}' AS target_table")
 
 
-def recon_counts_sql(windows, keep_window: bool) -> str:
+# (spec, source CTE, target CTE, target time column)
+RECON_JOBS = ((fx.RECON_SPEC, "recon_source", "recon_target"), (fx.RECON_USERS_SPEC, "users_source", "users_target"))
+
+
+def recon_sql(one, windows, keep_window, jobs=1):
+    parts = [one(windows, keep_window, *job) for job in RECON_JOBS[:jobs]]
+    return "\nUNION ALL\n".join(f"(SELECT * FROM ({p}) q)" for p in parts)
+
+
+def recon_counts_sql(windows, keep_window: bool, spec, source, target) -> str:
+    ts = spec['target_ts_column']
     src = f"""src AS (
   SELECT w.window_from, w.window_to, CAST(s.created_at AS DATE) AS day, count(s._id) AS source_cnt
-  FROM recon_source s JOIN windows w ON s._id >= {_oid('w.window_from')} AND s._id < {_oid('w.window_to')}
+  FROM {source} s JOIN windows w ON s._id >= {_oid('w.window_from')} AND s._id < {_oid('w.window_to')}
   WHERE s.created_at IS NOT NULL GROUP BY 1, 2, 3)"""
-    tgt = """tgt AS (
-  SELECT w.window_from, w.window_to, CAST(t.requested_ts_utc AS DATE) AS day, count(*) AS target_cnt
-  FROM recon_target t JOIN windows w ON t.requested_ts_utc >= w.window_from AND t.requested_ts_utc < w.window_to
+    tgt = f"""tgt AS (
+  SELECT w.window_from, w.window_to, CAST(t.{ts} AS DATE) AS day, count(*) AS target_cnt
+  FROM {target} t JOIN windows w ON t.{ts} >= w.window_from AND t.{ts} < w.window_to
   GROUP BY 1, 2, 3)"""
     win = "s.window_from, s.window_to, " if keep_window else ""
     body = f"""
-SELECT {RECON_HEAD}, {win}s.day, s.source_cnt, COALESCE(t.target_cnt, 0) AS target_cnt,
+SELECT {_recon_head(spec)}, {win}s.day, s.source_cnt, COALESCE(t.target_cnt, 0) AS target_cnt,
        round_even(CAST(s.source_cnt - COALESCE(t.target_cnt, 0) AS DOUBLE), 2) AS diff_abs,
        round_even(100.0 * round_even(CAST(s.source_cnt - COALESCE(t.target_cnt, 0) AS DOUBLE), 2)
                   / nullif(CAST(s.source_cnt AS DOUBLE), 0), 2) AS diff_pct
 FROM src s LEFT JOIN tgt t ON s.window_from = t.window_from AND s.window_to = t.window_to AND s.day = t.day"""
-    return with_ctes(RECON_SOURCE, RECON_TARGET, _windows_cte(windows), src, tgt, body)
+    return with_ctes(RECON_SOURCE, RECON_TARGET, RECON_USERS, _windows_cte(windows), src, tgt, body)
 
 
-def recon_sums_sql(windows, keep_window: bool) -> str:
-    cmap = fx.RECON_SPEC["columns_map"]
+def recon_sums_sql(windows, keep_window: bool, spec, source, target) -> str:
+    cmap, ts = spec["columns_map"], spec["target_ts_column"]
     d = "DECIMAL(38,10)"
     src_cols = ", ".join(f"COALESCE(sum(CAST(s.{f} AS {d})), CAST(0 AS {d})) AS {f}" for f in cmap)
     tgt_cols = ", ".join(f"sum(CAST(t.{c} AS {d})) AS {c}" for c in cmap.values())
     src_wide = f"""src_wide AS (
   SELECT w.window_from, w.window_to, CAST(s.created_at AS DATE) AS day, {src_cols}
-  FROM recon_source s JOIN windows w ON s._id >= {_oid('w.window_from')} AND s._id < {_oid('w.window_to')}
+  FROM {source} s JOIN windows w ON s._id >= {_oid('w.window_from')} AND s._id < {_oid('w.window_to')}
   WHERE s.created_at IS NOT NULL GROUP BY 1, 2, 3)"""
     tgt_wide = f"""tgt_wide AS (
-  SELECT w.window_from, w.window_to, CAST(t.requested_ts_utc AS DATE) AS day, {tgt_cols}
-  FROM recon_target t JOIN windows w ON t.requested_ts_utc >= w.window_from AND t.requested_ts_utc < w.window_to
+  SELECT w.window_from, w.window_to, CAST(t.{ts} AS DATE) AS day, {tgt_cols}
+  FROM {target} t JOIN windows w ON t.{ts} >= w.window_from AND t.{ts} < w.window_to
   GROUP BY 1, 2, 3)"""
     mapping = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in cmap.items())
     src = "src AS (" + " UNION ALL ".join(
@@ -260,13 +250,13 @@ def recon_sums_sql(windows, keep_window: bool) -> str:
     win = "s.window_from, s.window_to, " if keep_window else ""
     diff = "round_even(s.source_sum - COALESCE(t.target_sum, 0), 2)"
     body = f"""
-SELECT {RECON_HEAD}, {win}s.day, s.source_field, s.target_column,
+SELECT {_recon_head(spec)}, {win}s.day, s.source_field, s.target_column,
        CAST(s.source_sum AS DOUBLE) AS source_sum, CAST(COALESCE(t.target_sum, 0) AS DOUBLE) AS target_sum,
        CAST({diff} AS DOUBLE) AS diff_abs,
        round_even(100.0 * CAST({diff} AS DOUBLE) / nullif(CAST(s.source_sum AS DOUBLE), 0), 2) AS diff_pct
 FROM src s LEFT JOIN tgt t ON s.window_from = t.window_from AND s.window_to = t.window_to
   AND s.day = t.day AND s.target_column = t.target_column"""
-    return with_ctes(RECON_SOURCE, RECON_TARGET, _windows_cte(windows), src_wide, tgt_wide, src, tgt, body)
+    return with_ctes(RECON_SOURCE, RECON_TARGET, RECON_USERS, _windows_cte(windows), src_wide, tgt_wide, src, tgt, body)
 
 
 # --- C14-C16 sessions, A12/A14/P16-P18 profiling ---------------------------------
@@ -300,49 +290,38 @@ CLEAN = """clean AS (
   SELECT * FROM enriched WHERE NOT COALESCE(clickouts = 0 AND booking = 1, FALSE))"""
 
 
-def ratio_half_even_sql(num, den, digits):
-    scale = 10 ** digits
-    s = f"(CAST({num} AS BIGINT) * {scale})"
-    d = f"CAST({den} AS BIGINT)"
-    q = f"({s} // {d})"
-    r = f"({s} % {d})"
-    return (f"(CASE WHEN {d} IS NULL OR {d} = 0 THEN NULL "
-            f"WHEN {r} * 2 > {d} OR ({r} * 2 = {d} AND {q} % 2 = 1) THEN {q} + 1 ELSE {q} END / {float(scale)})")
+def rounded_ratio_sql(num, den, digits):
+    """num/den to ``digits`` decimals, ties to even: half a unit is added before the whole division, an exact tie on an odd result steps back."""
+    n, d = f"CAST(abs({num}) AS HUGEINT) * {10 ** digits}", f"CAST(abs({den}) AS HUGEINT)"
+    up = f"((2 * {n} + {d}) // (2 * {d}))"
+    tie = f"((2 * {n} + {d}) % (2 * {d}) = 0 AND {up} % 2 = 1)"
+    size = f"CAST(CAST({up} - CASE WHEN {tie} THEN 1 ELSE 0 END AS VARCHAR) || 'e-{digits}' AS DOUBLE)"
+    return (f"(CASE WHEN coalesce({den}, 0) = 0 OR {num} IS NULL THEN NULL "
+            f"WHEN (({num}) < 0) <> (({den}) < 0) THEN -{size} ELSE {size} END)")
 
 
 def distribution_sql(var):
     body = f"""
 SELECT {var}, COALESCE(n0, 0) AS n_not_booked, COALESCE(n1, 0) AS n_booked,
        COALESCE(n0 + n1, 0) AS total_sessions,
-       COALESCE({ratio_half_even_sql('n1', 'n0 + n1', 4)}, 0.0) AS pct_booked
+       COALESCE({rounded_ratio_sql('n1', '(n0 + n1)', 4)}, 0.0) AS pct_booked
 FROM (SELECT {var}, sum(CASE WHEN booking = 0 THEN 1 END) AS n0, sum(CASE WHEN booking = 1 THEN 1 END) AS n1
       FROM clean WHERE {var} IS NOT NULL AND booking IS NOT NULL GROUP BY {var}) x"""
     return with_ctes(SESSIONS, ENRICHED, CLEAN, body)
 
 
 def _chi2_block(name, src, label):
-    return f"""{name}_cells AS (SELECT booking AS rv, {label} AS cv, count(*) AS n FROM {src}
-    WHERE booking IS NOT NULL AND {label} IS NOT NULL GROUP BY 1, 2),
-{name}_j AS (
-  SELECT c.rv, c.cv, c.n, r.r, r.k_r, k.c, k.k_c FROM {name}_cells c
-  JOIN (SELECT rv, sum(n) AS r, count(*) AS k_r FROM {name}_cells GROUP BY rv) r ON c.rv = r.rv
-  JOIN (SELECT cv, sum(n) AS c, count(*) AS k_c FROM {name}_cells GROUP BY cv) k ON c.cv = k.cv),
-{name}_agg AS (
-  SELECT sum(n) AS big_n, count(DISTINCT rv) AS nr, count(DISTINCT cv) AS nc,
-         sum(CAST(n AS DOUBLE) * n / (CAST(r AS DOUBLE) * c)) AS s1,
-         sum(1.0 / (CAST(r AS DOUBLE) * k_r)) AS inv_r, sum(1.0 / (CAST(c AS DOUBLE) * k_c)) AS inv_c,
-         (SELECT CAST(n AS DOUBLE) FROM {name}_j ORDER BY rv, cv LIMIT 1) AS o1,
-         (SELECT CAST(r AS DOUBLE) FROM {name}_j ORDER BY rv, cv LIMIT 1) AS r1,
-         (SELECT CAST(c AS DOUBLE) FROM {name}_j ORDER BY rv, cv LIMIT 1) AS c1
-  FROM {name}_j),
+    """Pearson's sum over the full grid of expected counts, with the continuity correction in a two by two table."""
+    return f"""{name}_seen AS (SELECT booking AS rv, {label} AS cv FROM {src} WHERE booking IS NOT NULL AND {label} IS NOT NULL),
+{name}_grid AS (
+  SELECT (SELECT count(*) FROM {name}_seen s WHERE s.rv = r.rv AND s.cv = c.cv) AS o, r.n * c.n / (SELECT count(*)::DOUBLE FROM {name}_seen) AS e
+  FROM (SELECT rv, count(*)::DOUBLE AS n FROM {name}_seen GROUP BY rv) r CROSS JOIN (SELECT cv, count(*)::DOUBLE AS n FROM {name}_seen GROUP BY cv) c),
 {name} AS (
-  SELECT '{label}' AS variable, big_n AS n, CAST((nr - 1) * (nc - 1) AS BIGINT) AS dof,
-         round_even(CASE WHEN (nr - 1) * (nc - 1) = 1
-                         THEN pow(abs(o1 - r1 * c1 / big_n) - least(0.5, abs(o1 - r1 * c1 / big_n)), 2)
-                              * big_n * inv_r * inv_c
-                         WHEN (nr - 1) * (nc - 1) = 0 THEN 0.0
-                         ELSE big_n * s1 - big_n END, 6) AS stat
-  FROM {name}_agg)"""
+  SELECT '{label}' AS variable, (SELECT count(*) FROM {name}_seen) AS n,
+         (SELECT (count(DISTINCT rv) - 1) * (count(DISTINCT cv) - 1) FROM {name}_seen) AS dof,
+         CASE WHEN (SELECT (count(DISTINCT rv) - 1) * (count(DISTINCT cv) - 1) FROM {name}_seen) = 1
+              THEN sum(pow(greatest(abs(o - e) - 0.5, 0), 2) / e) ELSE sum(pow(o - e, 2) / e) END AS stat
+  FROM {name}_grid)"""
 
 
 CHI2_STATS = with_ctes(
@@ -351,7 +330,7 @@ CHI2_STATS = with_ctes(
     _chi2_block("t1", "clean", "session_start_hour"),
     _chi2_block("t2", "clean", "session_duration_min"),
     _chi2_block("t3", "clean_nz", "clickouts"),
-    "SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3")
+    "SELECT variable, n, dof, round_even(stat, 6) AS stat FROM (SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3) t")
 
 def _chi2_cdf_sql(x, k):
     """Regularised lower incomplete gamma P(k/2, x/2) by its power series."""
@@ -381,7 +360,7 @@ CHI2_TEST = ("WITH RECURSIVE " + with_ctes(
          CASE WHEN s.stat <= 0 THEN 1.0 ELSE greatest(0.0, 1 - {_chi2_cdf_sql('s.stat', 's.dof')}) END AS p
   FROM stats s LEFT JOIN (SELECT variable, (lo + hi) / 2 AS crit FROM bis WHERE it = 90) b ON s.variable = b.variable)""",
     """
-SELECT variable, n, dof, 0.95 AS probability, round_even(crit, 6) AS critical, stat, 0.05 AS significance,
+SELECT variable, n, dof, 0.95 AS probability, round_even(crit, 6) AS critical, round_even(stat, 6) AS stat, 0.05 AS significance,
        round_even(p, 6) AS p,
        CASE WHEN abs(stat) >= crit THEN 'Dependent (reject H0)' ELSE 'Independent (fail to reject H0)' END AS decision_by_stat,
        CASE WHEN p <= 0.05 THEN 'Dependent (reject H0)' ELSE 'Independent (fail to reject H0)' END AS decision_by_p
@@ -401,18 +380,11 @@ FROM (SELECT CAST({c} AS DOUBLE) AS x FROM {src}) t""")
 
 
 def histogram_sql(src_cte_chain, src, col, bins=10):
-    body = f"""
-SELECT bin, lo + bin * w AS bin_lower, lo + (bin + 1) * w AS bin_upper, count(*) AS count
-FROM (SELECT least(CAST(floor((x - lo) / w) AS INTEGER), {bins - 1}) AS bin, lo, w
-      FROM (SELECT CAST({col} AS DOUBLE) AS x FROM {src}) d,
-           (SELECT lo, (hi - lo) / {float(bins)} AS w FROM
-              (SELECT CASE WHEN min(CAST({col} AS DOUBLE)) = max(CAST({col} AS DOUBLE)) THEN min(CAST({col} AS DOUBLE)) - 0.5
-                           ELSE min(CAST({col} AS DOUBLE)) END AS lo,
-                      CASE WHEN min(CAST({col} AS DOUBLE)) = max(CAST({col} AS DOUBLE)) THEN max(CAST({col} AS DOUBLE)) + 0.5
-                           ELSE max(CAST({col} AS DOUBLE)) END AS hi FROM {src}) m) s
-      WHERE x IS NOT NULL) b
-GROUP BY bin, lo, w"""
-    return with_ctes(*src_cte_chain, body)
+    return with_ctes(*src_cte_chain, f"""ends AS (
+  SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo, CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi
+  FROM (SELECT min({col})::DOUBLE AS lo, max({col})::DOUBLE AS hi FROM {src}))""",
+                     f"edges AS (SELECT i::INT AS bin, lo + i * ((hi - lo) / {bins}.0) AS a, lo + (i + 1) * ((hi - lo) / {bins}.0) AS b FROM ends, range({bins}) r(i))",
+                     f"SELECT bin, a AS bin_lower, b AS bin_upper, (SELECT count(*) FROM {src} WHERE {col} >= a AND ({col} < b OR bin = {bins - 1})) AS count FROM edges")
 
 
 # --- C8-C13, C20 campaigns ---------------------------------------------------------
@@ -430,25 +402,14 @@ dedup AS (SELECT DISTINCT * FROM campaigns)"""
 D8 = "DECIMAL(38,8)"
 
 
-def div_half_even_sql(n, d, digits):
-    scale = 10 ** digits
-    an = f"(abs({n}) * {scale})"
-    ad = f"abs({d})"
-    q = f"({an} // {ad})"
-    r = f"({an} % {ad})"
-    up = f"(CASE WHEN {r} * 2 > {ad} OR ({r} * 2 = {ad} AND {q} % 2 = 1) THEN {q} + 1 ELSE {q} END)"
-    return (f"(CASE WHEN {d} = 0 OR {d} IS NULL OR {n} IS NULL THEN NULL "
-            f"ELSE sign({n}) * sign({d}) * {up} / {float(scale)} END)")
-
-
-def _cents(x):
-    return f"CAST(CAST({x} AS {D8}) * 100 AS BIGINT)"
+def _units(x):
+    return f"CAST(CAST({x} AS {D8}) * 100000000 AS HUGEINT)"
 
 
 CAMPAIGN_KPIS = f"""campaign_kpis AS (
   SELECT Week, Campaign, Visits, Revenue, Cost,
          CAST(CAST(Revenue AS {D8}) - CAST(Cost AS {D8}) AS DOUBLE) AS Profit,
-         {div_half_even_sql(f"({_cents('Revenue')} - {_cents('Cost')})", _cents('Cost'), 4)} AS ROMI,
+         {rounded_ratio_sql(f"({_units('Revenue')} - {_units('Cost')})", _units('Cost'), 4)} AS ROMI,
          Revenue / nullif(CAST(Visits AS DOUBLE), 0) AS RPV
   FROM dedup)"""
 
@@ -458,7 +419,7 @@ MARKET_KPIS = f"""market_wk AS (
 market_kpis AS (
   SELECT Week, CAST(Visits AS BIGINT) AS Visits, CAST(rev AS DOUBLE) AS Revenue, CAST(cost AS DOUBLE) AS Cost,
          CAST(rev - cost AS DOUBLE) AS Profit,
-         {div_half_even_sql(f"({_cents('rev')} - {_cents('cost')})", _cents('cost'), 4)} AS ROMI,
+         {rounded_ratio_sql(f"({_units('rev')} - {_units('cost')})", _units('cost'), 4)} AS ROMI,
          CAST(rev AS DOUBLE) / nullif(CAST(Visits AS DOUBLE), 0) AS RPV
   FROM market_wk)"""
 
@@ -480,7 +441,7 @@ def _growth(x, prev):
 
 GROWTH_SUMMARY = with_ctes(CAMPAIGNS, CAMPAIGN_KPIS, MARKET_KPIS, SERIES, _long_sql("lng", "series_t", ALL_METRICS), f"""
 SELECT series, metric,
-       round_even(CAST(sum(CAST(value AS {D8})) AS DOUBLE) / count(value), 10) AS mean_abs,
+       round_even(avg(value), 10) AS mean_abs,
        round_even(avg(g), 10) AS mean_wow_growth
 FROM (SELECT series, metric, value,
              {_growth('value', 'lag(value) OVER (PARTITION BY series, metric ORDER BY Week)')} AS g
@@ -494,7 +455,7 @@ SELECT series, '{metric}' AS metric, round_even(mn, 2) AS min, round_even(mx, 2)
        round_even(mean_abs, 2) AS mean_abs, round_even(w_first, 2) AS week1, round_even(w_last, 2) AS week30,
        round_even({_growth('w_last', 'w_first')}, 10) AS w1_to_w30_growth,
        round_even(mean_g, 10) AS mean_wow_growth
-FROM (SELECT series, min(x) AS mn, max(x) AS mx, CAST(sum(CAST(x AS {D8})) AS DOUBLE) / count(x) AS mean_abs,
+FROM (SELECT series, min(x) AS mn, max(x) AS mx, avg(x) AS mean_abs,
              max(CASE WHEN Week = 1 THEN x END) AS w_first, max(CASE WHEN Week = 30 THEN x END) AS w_last,
              avg(g) AS mean_g
       FROM (SELECT series, Week, CAST({metric} AS DOUBLE) AS x,
@@ -518,15 +479,7 @@ scenario AS (
 
 
 def _ols_cte(y):
-    return f"""ols_{y} AS (
-  SELECT slope, (sy - slope * sx) / n AS intercept FROM (
-    SELECT (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope, sx, sy, n FROM (
-      SELECT CAST(count(*) FILTER (WHERE is_train) AS DOUBLE) AS n,
-             CAST(sum(CAST(Cost AS {D8})) FILTER (WHERE is_train) AS DOUBLE) AS sx,
-             CAST(sum(CAST({y} AS {D8})) FILTER (WHERE is_train) AS DOUBLE) AS sy,
-             CAST(CAST(sum(CAST(Cost AS {D8}) * CAST(Cost AS {D8})) FILTER (WHERE is_train) AS DECIMAL(38,2)) AS DOUBLE) AS sxx,
-             CAST(CAST(sum(CAST(Cost AS {D8}) * CAST({y} AS {D8})) FILTER (WHERE is_train) AS DECIMAL(38,2)) AS DOUBLE) AS sxy
-      FROM ranked) a) b)"""
+    return f"ols_{y} AS (SELECT regr_slope({y}, Cost) AS slope, regr_intercept({y}, Cost) AS intercept FROM ranked WHERE is_train)"
 
 
 RANKED = f"""ranked AS (
@@ -536,7 +489,7 @@ RANKED = f"""ranked AS (
 def _mae_sql(y):
     err = f"abs(CAST(r.{y} AS DOUBLE) - (o.intercept + o.slope * CAST(r.Cost AS DOUBLE)))"
     return f"""SELECT '{y}' AS target, round_even(o.slope, 10) AS slope, round_even(o.intercept, 10) AS intercept,
-       round_even(CAST(sum(CAST({err} AS {D8})) AS DOUBLE) / count({err}), 2) AS mae
+       round_even(avg({err}), 2) AS mae
 FROM ranked r CROSS JOIN ols_{y} o WHERE NOT r.is_train GROUP BY o.slope, o.intercept"""
 
 
@@ -560,6 +513,12 @@ forecast AS (
 FORECAST = with_ctes(CAMPAIGNS, MARKET_KPIS, RANKED, _ols_cte("Revenue"), _ols_cte("Visits"), SCENARIO,
                      FORECAST_CTE, "SELECT * FROM forecast")
 
+FORECAST_GROWTH = with_ctes(CAMPAIGNS, MARKET_KPIS, RANKED, _ols_cte("Revenue"), _ols_cte("Visits"), SCENARIO, FORECAST_CTE,
+                            "fw AS (SELECT 'Overall' AS series, * EXCLUDE (is_forecast) FROM forecast WHERE Week > 30)",
+                            _long_sql("lng", "fw", ALL_METRICS[:4]), f"""
+SELECT series, metric, round_even(avg(value), 10) AS mean_abs, round_even(avg(g), 10) AS mean_wow_growth
+FROM (SELECT *, {_growth('value', 'lag(value) OVER (PARTITION BY metric ORDER BY Week)')} AS g FROM lng) x GROUP BY series, metric""")
+
 CHART = with_ctes(CAMPAIGNS, CAMPAIGN_KPIS, MARKET_KPIS, SERIES, RANKED, _ols_cte("Revenue"), _ols_cte("Visits"),
                   SCENARIO, FORECAST_CTE, _long_sql("kpi_long", "series_t", ("ROMI", "RPV")), """
 SELECT 'market_development' AS chart, 'Overall' AS series, Week, metric, value, is_forecast FROM (
@@ -571,92 +530,56 @@ UNION ALL
 SELECT lower(metric) AS chart, series, Week, metric, value, FALSE AS is_forecast FROM kpi_long""")
 
 
-# --- C6/C7 zones (edge-table formulation: trips × edges, parity per group) ---------
+# --- C6/C7 zones (whole-number geometry in millionths: trips × edges, winding number per zone) ---------
 
 def _coord_sql(mult, mod):
     return f"CAST(((o_orderkey % {mod}) * {mult % mod}) % {mod} AS DOUBLE) / CAST(1000 AS DOUBLE)"
 
 
+def _micro(x):
+    return f"round({x} * 1000000)::HUGEINT"
+
+
 TRIPS = f"""trips AS (
   SELECT o_orderkey AS journey_id, o_custkey AS chauffeur_id, o_orderdate AS pickup_ts_loc,
-         CAST(o_orderdate AS DATE) AS pickup_dt_loc,
+         CAST(o_orderdate AS DATE) AS pickup_dt_loc, 'city ' || (o_custkey % 3) AS city, o_orderstatus AS status,
          o_orderdate + to_minutes(CAST(o_orderkey % 120 AS INTEGER)) AS dropoff_ts_loc,
          CAST(o_orderdate + to_minutes(CAST(o_orderkey % 120 AS INTEGER)) AS DATE) AS dropoff_dt_loc,
-         {_coord_sql(104729, 997)} AS pickup_position_lat,
-         CASE WHEN o_orderkey % 500 = 0 THEN NULL ELSE {_coord_sql(7919, 1000)} END AS pickup_position_lon,
-         {_coord_sql(15485863, 983)} AS dropoff_position_lat,
-         {_coord_sql(1299709, 991)} AS dropoff_position_lon
-  FROM orders WHERE o_orderstatus = 'F'),
-pts AS (
-  SELECT journey_id, chauffeur_id, pickup_ts_loc, pickup_dt_loc, dropoff_ts_loc, dropoff_dt_loc,
-         pickup_position_lon AS px, pickup_position_lat AS py, dropoff_position_lon AS qx, dropoff_position_lat AS qy
-  FROM trips
-  WHERE journey_id IS NOT NULL AND chauffeur_id IS NOT NULL AND pickup_ts_loc IS NOT NULL AND pickup_dt_loc IS NOT NULL
-    AND dropoff_ts_loc IS NOT NULL AND dropoff_dt_loc IS NOT NULL AND pickup_position_lat IS NOT NULL
-    AND pickup_position_lon IS NOT NULL AND dropoff_position_lat IS NOT NULL AND dropoff_position_lon IS NOT NULL)"""
-
-
-def _edges_cte():
+         {_micro(_coord_sql(104729, 997))} AS py, {_micro(_coord_sql(15485863, 983))} AS qy, {_micro(_coord_sql(1299709, 991))} AS qx,
+         CASE WHEN o_orderkey % 500 <> 0 THEN {_micro(_coord_sql(7919, 1000))} END AS px
+  FROM orders)"""
+
+TRIP_KEYS = "journey_id, chauffeur_id, pickup_ts_loc, pickup_dt_loc, dropoff_ts_loc, dropoff_dt_loc"
+
+
+def zones_sql(rings, filtered: bool, select: str) -> str:
     rows = []
-    for zi, ring in enumerate(fx.ZONES):
-        n = len(ring)
-        for i in range(n):
-            (a, b), (c, d) = ring[i], ring[(i + 1) % n]
-            rows.append(f"({zi}, {a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE, {d}::DOUBLE)")
-    return f"edges AS (SELECT * FROM (VALUES {', '.join(rows)}) e(zone, x1, y1, x2, y2))"
-
-
-def _or(ax, ay, bx, by, px, py):
-    return f"(({bx} - {ax}) * ({py} - {ay}) - ({by} - {ay}) * ({px} - {ax}))"
-
-
-def _btw(v, a, b):
-    return f"({v} >= least({a}, {b}) AND {v} <= greatest({a}, {b}))"
-
-
-def _inside_cte(name, x, y):
-    o = _or("e.x1", "e.y1", "e.x2", "e.y2", x, y)
-    return f"""{name} AS (
-  SELECT journey_id, bool_or(inside) AS flag FROM (
-    SELECT p.journey_id, e.zone,
-           sum(CASE WHEN (e.y1 <= {y} AND e.y2 > {y} AND {o} > 0) OR (e.y1 > {y} AND e.y2 <= {y} AND {o} < 0)
-                    THEN 1 ELSE 0 END) % 2 = 1
-           AND NOT bool_or({o} = 0 AND {_btw(x, 'e.x1', 'e.x2')} AND {_btw(y, 'e.y1', 'e.y2')}) AS inside
-    FROM pts p CROSS JOIN edges e GROUP BY p.journey_id, e.zone) z
-  GROUP BY journey_id)"""
-
-
-def _path_cte():
-    d1 = _or("e.x1", "e.y1", "e.x2", "e.y2", "p.px", "p.py")
-    d2 = _or("e.x1", "e.y1", "e.x2", "e.y2", "p.qx", "p.qy")
-    d3 = _or("p.px", "p.py", "p.qx", "p.qy", "e.x1", "e.y1")
-    d4 = _or("p.px", "p.py", "p.qx", "p.qy", "e.x2", "e.y2")
-    touch = (f"((({d1} > 0 AND {d2} < 0) OR ({d1} < 0 AND {d2} > 0)) AND (({d3} > 0 AND {d4} < 0) OR ({d3} < 0 AND {d4} > 0)))"
-             f" OR ({d1} = 0 AND {_btw('p.px', 'e.x1', 'e.x2')} AND {_btw('p.py', 'e.y1', 'e.y2')})"
-             f" OR ({d2} = 0 AND {_btw('p.qx', 'e.x1', 'e.x2')} AND {_btw('p.qy', 'e.y1', 'e.y2')})"
-             f" OR ({d3} = 0 AND {_btw('e.x1', 'p.px', 'p.qx')} AND {_btw('e.y1', 'p.py', 'p.qy')})"
-             f" OR ({d4} = 0 AND {_btw('e.x2', 'p.px', 'p.qx')} AND {_btw('e.y2', 'p.py', 'p.qy')})")
-    o = _or("e.x1", "e.y1", "e.x2", "e.y2", "p.px", "p.py")
-    return f"""path AS (
-  SELECT journey_id, bool_or(hit) AS flag FROM (
-    SELECT p.journey_id, e.zone,
-           bool_or({touch})
-           OR (sum(CASE WHEN (e.y1 <= p.py AND e.y2 > p.py AND {o} > 0) OR (e.y1 > p.py AND e.y2 <= p.py AND {o} < 0)
-                        THEN 1 ELSE 0 END) % 2 = 1
-               AND NOT bool_or({o} = 0 AND {_btw('p.px', 'e.x1', 'e.x2')} AND {_btw('p.py', 'e.y1', 'e.y2')})) AS hit
-    FROM pts p CROSS JOIN edges e GROUP BY p.journey_id, e.zone) z
-  GROUP BY journey_id)"""
-
-
-ZONE_FLAGS = f"""flags AS (
-  SELECT p.journey_id, p.chauffeur_id, p.pickup_ts_loc, p.pickup_dt_loc, p.dropoff_ts_loc, p.dropoff_dt_loc,
-         CAST(a.flag AS INTEGER) AS is_pickup_ccz, CAST(b.flag AS INTEGER) AS is_dropoff_ccz,
-         CASE WHEN a.flag OR b.flag THEN 0 ELSE CAST(c.flag AS INTEGER) END AS is_pass_through_ccz,
-         CASE WHEN a.flag OR b.flag OR c.flag THEN 1 ELSE 0 END AS is_ccz
-  FROM pts p JOIN pick a USING (journey_id) JOIN dropc b USING (journey_id) JOIN path c USING (journey_id))"""
-
-ZONES_ALL = (TRIPS, _edges_cte(), _inside_cte("pick", "p.px", "p.py"), _inside_cte("dropc", "p.qx", "p.qy"),
-             _path_cte(), ZONE_FLAGS)
+    for zi, ring in enumerate(rings):
+        corners = [(round(x * 1_000_000), round(y * 1_000_000)) for x, y in ring]
+        rows += [f"({zi}, {a}, {b}, {c}, {d})" for (a, b), (c, d) in zip(corners, [*corners[1:], corners[0]])]
+    since, city, status = fx.TRIP_FILTER
+    where = f"AND dropoff_ts_loc >= TIMESTAMP '{since}' AND city = '{city}' AND status = '{status}'" if filtered else ""
+
+    def place(x, y):  # winding number of the zone around the point; 0 where the point is on its boundary
+        turn = f"((x2 - x1) * ({y} - y1) - (y2 - y1) * ({x} - x1))"
+        wind = f"sum(CASE WHEN y1 <= {y} AND y2 > {y} AND {turn} > 0 THEN 1 WHEN y1 > {y} AND y2 <= {y} AND {turn} < 0 THEN -1 ELSE 0 END)"
+        on = f"bool_or({turn} = 0 AND {x} BETWEEN least(x1, x2) AND greatest(x1, x2) AND {y} BETWEEN least(y1, y2) AND greatest(y1, y2))"
+        return f"(CASE WHEN {on} THEN 0 ELSE {wind} END <> 0)"
+
+    den = "((qx - px) * (y2 - y1) - (qy - py) * (x2 - x1))"
+    t = "((x1 - px) * (y2 - y1) - (y1 - py) * (x2 - x1))"
+    u = "((x1 - px) * (qy - py) - (y1 - py) * (qx - px))"
+    meets = f"""CASE WHEN {den} <> 0 THEN {t} * sign({den}) BETWEEN 0 AND abs({den}) AND {u} * sign({den}) BETWEEN 0 AND abs({den})
+       ELSE {t} = 0 AND {u} = 0 AND greatest(px, qx) >= least(x1, x2) AND least(px, qx) <= greatest(x1, x2)
+            AND greatest(py, qy) >= least(y1, y2) AND least(py, qy) <= greatest(y1, y2) END"""
+    return with_ctes(
+        TRIPS, f"edges AS (SELECT z, x1::HUGEINT AS x1, y1::HUGEINT AS y1, x2::HUGEINT AS x2, y2::HUGEINT AS y2 FROM (VALUES {', '.join(rows)}) e(z, x1, y1, x2, y2))",
+        f"""per_zone AS (
+  SELECT {TRIP_KEYS}, z, {place('px', 'py')} AS a, {place('qx', 'qy')} AS b, bool_or({meets}) AS c
+  FROM trips CROSS JOIN edges WHERE px IS NOT NULL {where} GROUP BY {TRIP_KEYS}, px, py, qx, qy, z)""",
+        f"any_zone AS (SELECT {TRIP_KEYS}, bool_or(a) AS a, bool_or(b) AS b, bool_or(c) AS c FROM per_zone GROUP BY {TRIP_KEYS})",
+        f"""flags AS (SELECT {TRIP_KEYS}, a::INT AS is_pickup_ccz, b::INT AS is_dropoff_ccz, (c AND NOT a AND NOT b)::INT AS is_pass_through_ccz,
+  (a OR b OR c)::INT AS is_ccz FROM any_zone)""", select)
 
 
 # --- C17/C18 heatmap ---------------------------------------------------------------
@@ -689,41 +612,39 @@ GEO = ("'{\"type\": \"Polygon\", \"coordinates\": [[' || "
 
 
 def _cents2(x):
-    return f"CAST(CAST({x} AS DECIMAL(30,8)) * 100 AS BIGINT)"
+    return f"CAST(CAST({x} AS DECIMAL(30,2)) * 100 AS HUGEINT)"
 
 
 CELLS = f"""cells0 AS (
-  SELECT airport, hexagon_id,
-         sum(CASE WHEN direction = 'from' THEN CAST(fixed_price AS DECIMAL(18,2)) END) AS f_from,
-         sum(CASE WHEN direction = 'from' THEN CAST(tariff_price AS DECIMAL(18,2)) END) AS t_from,
-         sum(CASE WHEN direction = 'to' THEN CAST(fixed_price AS DECIMAL(18,2)) END) AS f_to,
-         sum(CASE WHEN direction = 'to' THEN CAST(tariff_price AS DECIMAL(18,2)) END) AS t_to,
-         sum(CAST(tariff_price AS DECIMAL(18,2))) AS t, count(*) AS n_trips
-  FROM heat_trips GROUP BY 1, 2),
+  SELECT airport, hexagon_id, direction, sum(CAST(fixed_price AS DECIMAL(18,2))) AS f, sum(CAST(tariff_price AS DECIMAL(18,2))) AS t, count(*) AS n
+  FROM heat_trips GROUP BY ALL),
+fixed AS (
+  SELECT airport, hexagon_id, sum(n)::BIGINT AS n_trips,
+         max({rounded_ratio_sql(f"(({_cents2('f')} - {_cents2('t')}) * 100)", _cents2('t'), 2)}) FILTER (WHERE direction = 'from') AS fixed_vs_tariff_from_price_pct,
+         max({rounded_ratio_sql(f"(({_cents2('f')} - {_cents2('t')}) * 100)", _cents2('t'), 2)}) FILTER (WHERE direction = 'to') AS fixed_vs_tariff_to_price_pct,
+         {rounded_ratio_sql(_cents2('sum(t)'), '(sum(n) * 100)', 2)} AS price_tariff_rub_weighted
+  FROM cells0 GROUP BY 1, 2),
 cells AS (
-  SELECT airport, hexagon_id, n_trips,
-         {div_half_even_sql(f"(({_cents2('f_from')} - {_cents2('t_from')}) * 100)", _cents2('t_from'), 2)} AS fixed_vs_tariff_from_price_pct,
-         {div_half_even_sql(f"(({_cents2('f_to')} - {_cents2('t_to')}) * 100)", _cents2('t_to'), 2)} AS fixed_vs_tariff_to_price_pct,
-         {div_half_even_sql(_cents2('t'), 'n_trips * 100', 2)} AS price_tariff_rub_weighted,
-         {div_half_even_sql(f"({_cents2('t')} * 90)", 'n_trips * 10000', 2)} AS price_tariff_rub_discounted,
-         CAST({LAT} AS DOUBLE) AS centre_lat, CAST({LON} AS DOUBLE) AS centre_lon,
-         {GEO} AS geojson_polygon, hexagon_id AS okrug_name
-  FROM cells0)"""
+  SELECT *, {rounded_ratio_sql(f"({_cents2('price_tariff_rub_weighted')} * {fx.NEW_PRICE_PCT})", '10000', 2)} AS price_tariff_rub_discounted,
+         CAST({LAT} AS DOUBLE) AS centre_lat, CAST({LON} AS DOUBLE) AS centre_lon, {GEO} AS geojson_polygon,
+         'okrug ' || regexp_extract(hexagon_id, '([0-9])[0-9]*$', 1) AS okrug_name
+  FROM fixed)"""
 
 
 def _colour_sql(v, vmin, vmax):
-    mid = (vmin + vmax) / 2.0
-    half = (vmax - vmin) / 2.0
-    stops = ((1.0, 0.0, 0.0), (1.0, 1.0, 0.0), (0.0, 128.0 / 255.0, 0.0))
-    lo = f"(({v} - CAST({vmin!r} AS DOUBLE)) / CAST({half!r} AS DOUBLE))"
-    up = f"(({v} - CAST({mid!r} AS DOUBLE)) / CAST({half!r} AS DOUBLE))"
-    ch = []
-    for j in range(3):
-        a, b, c = (f"CAST({stops[k][j]!r} AS DOUBLE)" for k in range(3))
-        f = (f"(CASE WHEN {v} <= {vmin!r} THEN {a} WHEN {v} >= {vmax!r} THEN {c} "
-             f"WHEN {v} <= {mid!r} THEN {a} * (1 - {lo}) + {b} * {lo} ELSE {b} * (1 - {up}) + {c} * {up} END)")
-        ch.append(f"lpad(lower(hex(CAST(floor({f} * CAST(255.9999 AS DOUBLE)) AS INTEGER))), 2, '0')")
-    return f"(CASE WHEN {v} IS NULL THEN NULL ELSE '#' || {' || '.join(ch)} END)"
+    """Whole-number form of the scale for a value in hundredths: a channel is floor(255.9999 · share)."""
+    k, lo, half, hi = f"round({v} * 100)::HUGEINT", round(vmin * 100), round((vmax - vmin) * 50), round(vmax * 100)
+    mid = lo + half
+
+    def byte(num, den):
+        return f"(2559999 * ({num}) // (({den}) * 10000))"
+
+    def colour(r, g):
+        return f"('#' || lpad(lower(hex(({r})::INT)), 2, '0') || lpad(lower(hex(({g})::INT)), 2, '0') || '00')"
+    rising = colour("255", byte(f"{k} - {lo}", half))
+    falling = colour(byte(f"{mid + half} - {k}", half), byte(f"255 * {half} - 127 * ({k} - {mid})", 255 * half))
+    return (f"(CASE WHEN {v} IS NULL THEN NULL WHEN {k} <= {lo} THEN '#ff0000' WHEN {k} >= {hi} THEN '#008000' "
+            f"WHEN {k} <= {mid} THEN {rising} ELSE {falling} END)")
 
 
 AIRPORT_MARKERS = """markers AS (
@@ -750,9 +671,11 @@ HEATMAP_NEW = with_ctes(HEAT_TRIPS, CELLS, AIRPORT_MARKERS, f"""
 SELECT h.airport, 'from' AS direction, h.hexagon_id, h.price_tariff_rub_discounted AS value,
        CAST(h.price_tariff_rub_discounted AS VARCHAR) AS label,
        CAST(h.price_tariff_rub_discounted AS VARCHAR) AS marker_text,
-       {_colour_sql('h.price_tariff_rub_weighted', 1500.0, 4500.0)} AS colour,
+       {_colour_sql('d.price', 1500.0, 4500.0)} AS colour,
        h.centre_lat, h.centre_lon, h.geojson_polygon, m.airport_lat, m.airport_lon
-FROM cells h LEFT JOIN markers m ON h.airport = m.airport""")
+FROM cells h JOIN (SELECT DISTINCT ON (airport, okrug_name) airport, okrug_name, price_tariff_rub_weighted AS price
+                   FROM cells ORDER BY airport, okrug_name, hexagon_id) d USING (airport, okrug_name)
+LEFT JOIN markers m ON h.airport = m.airport""")
 
 
 # --- C19 licences -----------------------------------------------------------------
@@ -765,9 +688,9 @@ LICENCES = """licence_lines AS (
   SELECT 'drivers' || CAST(s_suppkey % 3 + 1 AS VARCHAR) || '.txt', s_suppkey * 2 + 1, '   '
   FROM supplier WHERE s_suppkey % 7 = 0),
 reg AS (
-  SELECT s.s_suppkey, s.s_name AS licence_number, n.n_name AS holder_name,
+  SELECT s.s_suppkey, CASE WHEN s.s_suppkey % 20 = 1 THEN s.s_name || '-old' ELSE s.s_name END AS licence_number, n.n_name AS holder_name,
          strftime(DATE '2024-01-01' + CAST(s.s_suppkey AS INTEGER), '%d/%m/%Y') AS expiry_date
-  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey WHERE s.s_suppkey % 20 <> 1),
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
 registry AS (
   SELECT licence_number, holder_name, expiry_date FROM reg
   UNION ALL SELECT licence_number, holder_name || ' (2)', expiry_date FROM reg WHERE s_suppkey % 20 = 0)"""
@@ -808,7 +731,7 @@ SELECT {_ccols} FROM (SELECT *, row_number() OVER (PARTITION BY {_ccols}) AS rn
 
 
 ORACLE = {
-    "fixed_vs_tariff": with_ctes(HEAT_TRIPS, CELLS, "SELECT * FROM cells"),
+    "fixed_vs_tariff": with_ctes(HEAT_TRIPS, CELLS, "SELECT * FROM fixed"),
     "heatmap_cells": HEATMAP,
     "heatmap_new_prices": HEATMAP_NEW,
     "licence_check": LICENCE_CHECK,
@@ -818,12 +741,27 @@ ORACLE = {
     "duplicate_rows": DUPLICATE_ROWS,
     "dedupe": with_ctes(CAMPAIGNS, "SELECT * FROM dedup"),
     "distinct_campaigns": with_ctes(CAMPAIGNS, "SELECT Campaign, count(*) AS n_rows FROM campaigns GROUP BY Campaign"),
-    "zone_flags": with_ctes(*ZONES_ALL, "SELECT * FROM flags"),
-    "zone_summary": with_ctes(*ZONES_ALL, """
+    "zone_flags": zones_sql(fx.ZONES, True, "SELECT * FROM flags"),
+    "zone_flags_round": zones_sql([fx.round_zone()], True, "SELECT * FROM flags"),
+    "zone_summary": zones_sql(fx.ZONES, False, """
 SELECT count(*) AS n_trips, count(*) FILTER (WHERE is_pass_through_ccz = 1) AS n_pass_through,
        count(*) FILTER (WHERE is_pickup_ccz = 1) AS n_pickup, count(*) FILTER (WHERE is_dropoff_ccz = 1) AS n_dropoff,
        count(*) FILTER (WHERE is_ccz = 1) AS n_any
 FROM flags"""),
+    "market_tail": with_ctes(CAMPAIGNS, MARKET_KPIS, "SELECT * FROM market_kpis ORDER BY Week DESC LIMIT 5"),
+    "market_describe": describe_sql((CAMPAIGNS, MARKET_KPIS), "market_kpis", ("Visits", "Revenue", "Cost", "Profit")),
+    "forecast_growth": FORECAST_GROWTH,
+    "chart_distributions": "\nUNION ALL\n".join(
+        f"(SELECT '{v}' AS chart, CAST({v} AS VARCHAR) AS label, total_sessions, pct_booked FROM ({distribution_sql(v)}) q)"
+        for v in ("session_duration_range", "clickouts")),
+    "sessions_text_range": with_ctes(SESSIONS, """SELECT 'session_start_text' AS "column", min(session_start_text) AS min, max(session_start_text) AS max FROM sessions
+UNION ALL SELECT 'session_end_text', min(session_end_text), max(session_end_text) FROM sessions"""),
+    "sessions_head": with_ctes(SESSIONS, "SELECT * FROM sessions ORDER BY session LIMIT 5"),
+    "sessions_duplicates": with_ctes(SESSIONS, """SELECT count(*) AS n_rows, count(DISTINCT (session, session_start_text, session_end_text, clickouts, booking)) AS n_distinct_rows,
+  count(*) - count(DISTINCT (session, session_start_text, session_end_text, clickouts, booking)) AS n_duplicate_rows FROM sessions"""),
+    "sessions_repeats": with_ctes(SESSIONS, """SELECT session_end_text, clickouts, booking FROM
+  (SELECT *, row_number() OVER (PARTITION BY session_end_text, clickouts, booking ORDER BY session) AS i FROM sessions) WHERE i > 1"""),
+    "sessions_dedupe": with_ctes(SESSIONS, "SELECT DISTINCT session_start_text, session_end_text, clickouts, booking FROM sessions"),
     "campaign_kpis": with_ctes(CAMPAIGNS, CAMPAIGN_KPIS, "SELECT * FROM campaign_kpis"),
     "market_kpis": with_ctes(CAMPAIGNS, MARKET_KPIS, "SELECT * FROM market_kpis"),
     "campaign_growth": GROWTH_SUMMARY,
@@ -845,10 +783,10 @@ FROM sessions"""),
     "sessions_chi2_test": CHI2_TEST,
     "sessions_describe": describe_sql((SESSIONS, ENRICHED, CLEAN), "clean", DESCRIBE_COLS),
     "sessions_hist": histogram_sql((SESSIONS,), "sessions", "booking"),
-    "reconcile_counts": recon_counts_sql([fx.RECON_SINGLE_WINDOW], False),
-    "reconcile_sums": recon_sums_sql([fx.RECON_SINGLE_WINDOW], False),
-    "reconcile_batch_counts": recon_counts_sql(fx.RECON_WINDOWS, True),
-    "reconcile_batch_sums": recon_sums_sql(fx.RECON_WINDOWS, True),
+    "reconcile_counts": recon_sql(recon_counts_sql, [fx.RECON_SINGLE_WINDOW], False),
+    "reconcile_sums": recon_sql(recon_sums_sql, [fx.RECON_SINGLE_WINDOW], False),
+    "reconcile_batch_counts": recon_sql(recon_counts_sql, fx.RECON_WINDOWS, True, 2),
+    "reconcile_batch_sums": recon_sql(recon_sums_sql, fx.RECON_WINDOWS, True, 2),
     "finance_weekly": finance_sql("week", "week"),
     "finance_monthly": finance_sql("month", "month"),
     "finance_partner_split": partner_split_sql("month", "period"),

@@ -1,6 +1 @@
-"""Scalar column helpers, geometry predicates and small statistics."""
-
-from tessera.functions.exprs import (  # noqa: F401
-    bround, cents, div_half_even, hms_seconds, linear_colour, minute_range_label, month_diff,
-    object_id_bound, object_id_hex, object_id_time, safe_div, trunc_date, wrap_midnight,
-)
+"""Column helpers of the jobs."""

@@ -29,26 +29,30 @@ def bround(x, scale: int = 0) -> Column:
 
 
 def div_half_even(num, den, digits: int) -> Column:
-    """Signed integer num/den rounded half-even to ``digits`` decimals.
+    """num/den of whole numbers rounded half-even to ``digits`` decimals, as the nearest double.
 
-    Done in exact 64-bit integer arithmetic (quotient, remainder, tie rule),
-    so the double it returns is the same on every engine and layout.
+    Quotient, remainder and tie rule are exact DECIMAL arithmetic: numerators
+    of up to 30 digits, quotients (scaled) within a 64-bit integer.  NULL where
+    either is NULL or the divisor is zero.
     """
-    scale = 10 ** digits
-    n = _c(num).cast("long")
-    d = _c(den).cast("long")
-    an = F.abs(n) * F.lit(scale)
-    ad = F.abs(d)
-    r = F.pmod(an, ad)
-    q = ((an - r) / ad).cast("long")      # exact: an exact multiple of ad
-    up = F.when(r * 2 > ad, q + 1).when((r * 2 == ad) & (q % 2 == 1), q + 1).otherwise(q)
-    sign = F.signum(n) * F.signum(d)
-    return F.when((d == 0) | d.isNull() | n.isNull(), F.lit(None)).otherwise(sign * up / F.lit(float(scale)))
+    n, d = _c(num).cast("decimal(30,0)"), _c(den).cast("decimal(30,0)")
+    whole = F.abs(n) * F.lit(10 ** digits).cast("decimal(7,0)")
+    by = F.when(d != 0, F.abs(d))
+    q, r = F.call_function("div", whole, by), whole % by
+    twice = r * F.lit(2).cast("decimal(1,0)")
+    up = q + F.when((twice > by) | ((twice == by) & (q % 2 == 1)), 1).otherwise(0)
+    exact = up.cast("decimal(20,0)") * F.lit(f"{10 ** -digits:.{digits}f}").cast(f"decimal({digits + 1},{digits})")
+    return F.when((n < 0) != (d < 0), -exact).otherwise(exact).cast("double")
+
+
+def units(x, scale: int = 8) -> Column:
+    """An amount as a whole number of its ``scale``-th decimals (exact)."""
+    return (_c(x).cast(f"decimal(30,{scale})") * F.lit(10 ** scale).cast("decimal(9,0)")).cast("decimal(30,0)")
 
 
 def cents(x) -> Column:
-    """A 2-dp amount as a whole number of cents (exact via DECIMAL)."""
-    return (_c(x).cast("decimal(30,8)") * 100).cast("long")
+    """A 2-dp amount as a whole number of cents (exact)."""
+    return units(x, 2)
 
 
 # --- dates ------------------------------------------------------------------
@@ -87,21 +91,27 @@ def minute_range_label(duration_sec) -> Column:
 
 # --- ids --------------------------------------------------------------------
 
+def unix_day(date) -> Column:
+    """Seconds of a date's midnight in UTC, whatever the session's time zone."""
+    return F.unix_date(_c(date).cast("date")).cast("long") * 86400
+
+
 def object_id_hex(ts, serial) -> Column:
-    """24-hex document id: 8 hex of unix seconds then 16 hex of a serial."""
-    secs = F.unix_timestamp(_c(ts).cast("timestamp"))
+    """24-hex document id: 8 hex of the unix seconds of a zone-less UTC time, then 16 hex of a serial."""
+    t = _c(ts).cast("timestamp_ntz")
+    secs = unix_day(t) + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
     return F.lower(F.concat(F.lpad(F.hex(secs), 8, "0"), F.lpad(F.hex(_c(serial)), 16, "0")))
 
 
-def object_id_bound(ts_literal: str) -> Column:
-    """Smallest id at a timestamp (``ObjectId.from_datetime``): time part, zeros after."""
-    secs = F.unix_timestamp(F.lit(ts_literal).cast("timestamp"))
-    return F.lower(F.concat(F.lpad(F.hex(secs), 8, "0"), F.lit("0" * 16)))
+def object_id_day(oid) -> Column:
+    """UTC day of the time in an id's leading 8 hex digits."""
+    secs = F.conv(F.substring(_c(oid), 1, 8), 16, 10).cast("long")
+    return F.date_from_unix_date(F.floor(secs / 86400).cast("int"))
 
 
-def object_id_time(oid) -> Column:
-    """Timestamp embedded in the leading 4 bytes of a 24-hex id."""
-    return F.timestamp_seconds(F.conv(F.substring(_c(oid), 1, 8), 16, 10).cast("long"))
+def object_id_bound(date) -> Column:
+    """Smallest id at a date's midnight (UTC)."""
+    return F.lower(F.concat(F.lpad(F.hex(unix_day(date)), 8, "0"), F.lit("0" * 16)))
 
 
 # --- colour scale -----------------------------------------------------------

@@ -9,6 +9,7 @@ fraction above), as in any numerical-methods text.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import pandas as pd
@@ -16,13 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _EPS = 1e-15
-_MAX_ITER = 10_000
+# From this many degrees of freedom the Wilson-Hilferty normal approximation is used (error below 1e-7).
+_LARGE_DOF = 100_000
 
 
 def _gamma_p_series(a: float, x: float) -> float:
     term = total = 1.0 / a
     ap = a
-    for _ in range(_MAX_ITER):
+    while True:
         ap += 1.0
         term *= x / ap
         total += term
@@ -37,7 +39,7 @@ def _gamma_q_fraction(a: float, x: float) -> float:
     c = 1.0 / tiny
     d = 1.0 / b
     h = d
-    for i in range(1, _MAX_ITER):
+    for i in itertools.count(1):
         an = -i * (i - a)
         b += 2.0
         d = an * d + b
@@ -60,6 +62,9 @@ def chi2_sf(x: float, dof: float) -> float:
         return float("nan") if dof < 0 else 1.0
     if x <= 0:
         return 1.0
+    if dof > _LARGE_DOF:
+        v = 2.0 / (9.0 * dof)
+        return 0.5 * math.erfc(((x / dof) ** (1.0 / 3.0) - (1.0 - v)) / math.sqrt(2.0 * v))
     a, y = dof / 2.0, x / 2.0
     if y < a + 1.0:
         return max(0.0, 1.0 - _gamma_p_series(a, y))

@@ -6,7 +6,7 @@ column, per bin or per duplicate group), never the data itself on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -16,16 +16,6 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [n for n, t in df.dtypes if t in NUMERIC or t.startswith("decimal")]
 
 
-def drop_any_null(df: DataFrame, subset=None) -> DataFrame:
-    """P11 ``dropna()``: drop a row with a NULL in any (of the given) column(s)."""
-    return df.na.drop(how="any", subset=subset)
-
-
-def fill_zero(df: DataFrame, subset=None) -> DataFrame:
-    """P12 ``fillna(0)`` on numeric columns."""
-    return df.na.fill(0, subset=subset)
-
-
 def dedupe(df: DataFrame) -> DataFrame:
     """U4 ``drop_duplicates()``: exact duplicate rows removed (NULLs compare equal)."""
     return df.dropDuplicates()
@@ -51,63 +41,76 @@ def duplicate_summary(df: DataFrame, cols=None) -> DataFrame:
                       F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("n_duplicate_rows"))
 
 
-def duplicate_rows(df: DataFrame, cols=None) -> DataFrame:
+def duplicate_rows(df: DataFrame, cols=None, step: int = 65536) -> DataFrame:
     """P18 ``df[df.duplicated()]``: every second and later occurrence of a row.
 
-    Each row gets a scan-stable id; the first id per group comes from a
-    partial aggregate and the rows are matched back with a null-safe equi-join
-    (AQE splits a hot group's partition), keeping all but the first occurrence.
-    Nothing per group is collected.
+    Copies are identical, so a row with n occurrences is written n − 1 times
+    from its count: first one row per ``step`` copies, dealt to all tasks, then
+    the copies, so that a group with most of the rows is split.
     """
     cols = list(cols or df.columns)
-    tagged = df.select(*cols, F.monotonically_increasing_id().alias("_rid"))
-    first = (tagged.groupBy(*cols).agg(F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > 1))
-    g = first.select(*[F.col(c).alias(f"_g_{i}") for i, c in enumerate(cols)], "_first")
-    cond = [tagged[c].eqNullSafe(g[f"_g_{i}"]) for i, c in enumerate(cols)]
-    return (tagged.join(g, cond, "inner")
-            .where(F.col("_rid") != F.col("_first"))
-            .select(*cols))
+    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    parts = groups.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 2) / step))).alias("_part"))
+    dealt = parts.repartition(F.xxhash64(*cols, "_part"))
+    copies = F.least(F.lit(step), F.col("_n") - 1 - F.col("_part") * step)
+    return dealt.select(*cols, F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("_copy")).drop("_copy")
 
 
-def describe(df: DataFrame, cols=None) -> DataFrame:
+QUARTILES = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+
+
+def describe(df: DataFrame, cols=None, buckets: int = 1024) -> DataFrame:
     """A12 ``describe()``: count, mean, sample std, min, exact linear quartiles, max.
 
-    ``percentile`` is exact and interpolates like the frame library; its
-    buffer holds one entry per distinct value, so this is meant for measure
-    columns with a bounded value domain (counts, flags, hours, durations).
+    Quartiles come from counts per value: values fall into equal-width buckets,
+    running counts over the few buckets of a column give each bucket's offset,
+    and running counts inside a bucket place every value, so no task holds a
+    column's values.
     """
     cols = list(cols or numeric_columns(df))
-    parts = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        parts.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                              F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                              q.getItem(0).alias("p25"), q.getItem(1).alias("p50"), q.getItem(2).alias("p75"),
-                              F.max(x).alias("max")))
-    return df.agg(F.array(*parts).alias("_s")).select(F.inline("_s"))
+    long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in cols], "column", "x").where("x IS NOT NULL")
+    base = long.groupBy("column").agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+                                      F.min("x").alias("min"), F.max("x").alias("max"))
+    values = long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
+    place = F.when(F.col("max") > F.col("min"), F.least(F.lit(buckets - 1), F.floor((F.col("x") - F.col("min")) / (F.col("max") - F.col("min")) * buckets))).otherwise(0)
+    placed = values.join(base.select("column", "count", "min", "max"), "column").withColumn("b", place.cast("int"))
+    before = Window.partitionBy("column").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offset = (placed.groupBy("column", "b").agg(F.sum("n").alias("_in")).select("column", "b", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before")))
+    inside = Window.partitionBy("column", "b").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = placed.join(offset, ["column", "b"]).withColumn("last", F.col("_before") + F.sum("n").over(inside) - 1)  # rank of the value's last copy
+    at = lambda rank: F.min(F.when(F.col("last") >= rank, F.col("x")))
+    rank = lambda p: (F.col("count") - 1) * F.lit(p)
+    ends = ranked.groupBy("column").agg(*[at(f(rank(p))).alias(f"{name}_{k}") for name, p in QUARTILES for k, f in (("lo", F.floor), ("hi", F.ceil))])
+    part = lambda p: rank(p) - F.floor(rank(p))
+    line = [(F.col(f"{n}_lo") + (F.col(f"{n}_hi") - F.col(f"{n}_lo")) * part(p)).alias(n) for n, p in QUARTILES]
+    return base.join(ends, "column").select("column", "count", "mean", "std", "min", *line, "max")
+
+
+def text_range(df: DataFrame, cols) -> DataFrame:
+    """A10 on text: smallest and largest value of each column."""
+    return df.unpivot([], list(cols), "column", "x").groupBy("column").agg(F.min("x").alias("min"), F.max("x").alias("max"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
-    """A14 ``hist()``: counts in ``bins`` equal-width bins between min and max.
+    """A14 ``hist()``: counts in ``bins`` equal-width bins between min and max, empty ones too.
 
     The last bin is closed on the right; a constant column spans [v-0.5, v+0.5]
-    (NumPy's rule).  min/max are scalar subqueries, evaluated once.
+    (NumPy's rule).  min/max are one scalar subquery.  A column without values has no bins.
     """
     x = F.col(col).cast("double")
     stats = df.select(F.min(x).alias("lo"), F.max(x).alias("hi"))
     bounds = stats.select(F.struct(
         F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))).scalar()
-    # the bounds enter the plan once, as one struct column
-    rows = df.select(x.alias("_x"), bounds.alias("_b")).where(F.col("_x").isNotNull())
+        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi")).alias("_b"))
+    rows = df.select(x.alias("_x"), bounds.scalar().alias("_b")).where(F.col("_x").isNotNull())
     lo, hi = F.col("_b.lo"), F.col("_b.hi")
     width = (hi - lo) / F.lit(float(bins))
     b = F.least(F.floor((F.col("_x") - lo) / width).cast("int"), F.lit(bins - 1))
-    counts = rows.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"), F.first("_b").alias("_b"))
-    return counts.select("bin", (lo + F.col("bin") * width).alias("bin_lower"),
-                         (lo + (F.col("bin") + 1) * width).alias("bin_upper"), "count")
+    counts = rows.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    every = bounds.where("_b.lo IS NOT NULL").select("_b", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return every.join(counts, "bin", "left").select("bin", (lo + F.col("bin") * width).alias("bin_lower"),
+                                                    (lo + (F.col("bin") + 1) * width).alias("bin_upper"),
+                                                    F.coalesce("count", F.lit(0)).cast("long").alias("count"))
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
@@ -116,12 +119,16 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """P19 ``shape`` + ``info()``: per column its type, rows, non-null and distinct count."""
-    parts = [F.struct(F.lit(c).alias("column"), F.lit(t).alias("dtype"),
-                      F.count(F.lit(1)).alias("n_rows"), F.count(F.col(c)).alias("n_non_null"),
-                      F.count_distinct(F.col(c)).alias("n_distinct"))
-             for c, t in df.dtypes]
-    return df.agg(F.array(*parts).alias("_p")).select(F.inline("_p"))
+    """P19 ``shape`` + ``info()``: per column its type, rows, non-null and distinct count.
+
+    One pass over (column, value) pairs and one distinct aggregate, whatever the number of columns.
+    """
+    types = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
+    long = df.unpivot([], [F.col(c).cast("string").alias(c) for c in df.columns], "column", "value")
+    groups = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return groups.groupBy("column").agg(
+        F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("n_non_null"),
+        F.count("value").alias("n_distinct")).select("column", F.element_at(types, F.col("column")).alias("dtype"), "n_rows", "n_non_null", "n_distinct")
 
 
 def head(df: DataFrame, n: int, order_by) -> DataFrame:

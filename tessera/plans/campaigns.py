@@ -5,7 +5,8 @@ The per-week campaign table is an aggregate of the event stream (bounded by
 weeks × campaigns); every step here is a groupBy or a window partitioned by
 the series, so no step gathers the table in one task.  Money is carried as
 DECIMAL until the output, ratios are rounded in exact integer arithmetic and
-the regression uses exact sums, so any engine gets the same bits.
+the regression uses the built-in least-squares aggregates; means, growth and
+coefficients are rounded once, at the end.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import bround, div_half_even
-from tessera.operators.windows import wow_growth
+from tessera.functions.exprs import bround, div_half_even, units
+from tessera.operators.windows import forward_fill, positional_split, wow_growth
 
 # Fixed values of the analysis: the scenario adds 250 per week to the target
 # campaign from week 31 to week 45, the regression trains on the first 25 weeks.
@@ -23,7 +24,7 @@ EXTRA_SPEND = 250
 FORECAST_LAST_WEEK = 45
 TRAIN_WEEKS = 25
 OVERALL = "Overall"
-GROWTH_SCALE = 10   # decimals kept in unrounded means/growths (float-noise guard)
+GROWTH_SCALE = 10   # decimals of means, growths and coefficients in the output
 METRICS = ("Visits", "Revenue", "Cost", "Profit")
 
 
@@ -37,9 +38,8 @@ def _diff(a, b) -> F.Column:
 
 
 def _romi(revenue, cost) -> F.Column:
-    """ROMI = (Revenue − Cost)/Cost to 4 dp; revenue has cents, cost is whole."""
-    cents = lambda c: (_dec(c) * 100).cast("long")
-    return div_half_even(cents(revenue) - cents(cost), cents(cost), 4)
+    """ROMI = (Revenue − Cost)/Cost to 4 dp, from exact amounts."""
+    return div_half_even(units(revenue) - units(cost), units(cost), 4)
 
 
 def campaign_kpis(campaigns: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def growth_summary(series: DataFrame, metrics=METRICS + ("ROMI", "RPV")) -> Data
     w = Window.partitionBy("series", "metric").orderBy("Week")
     g = long.select("series", "metric", "value", wow_growth(F.col("value"), F.lag("value").over(w)).alias("g"))
     return g.groupBy("series", "metric").agg(
-        bround(F.sum(_dec("value")).cast("double") / F.count("value"), GROWTH_SCALE).alias("mean_abs"),
+        bround(F.avg("value"), GROWTH_SCALE).alias("mean_abs"),
         bround(F.avg("g"), GROWTH_SCALE).alias("mean_wow_growth"))
 
 
@@ -98,7 +98,7 @@ def metric_development(series: DataFrame, metric: str, first_week: int = 1,
     g = series.select("series", "Week", x.alias("x"), wow_growth(x, F.lag(x).over(w)).alias("g"))
     agg = g.groupBy("series").agg(
         F.min("x").alias("min"), F.max("x").alias("max"),
-        (F.sum(_dec("x")).cast("double") / F.count("x")).alias("mean_abs"),
+        F.avg("x").alias("mean_abs"),
         F.max(F.when(F.col("Week") == first_week, F.col("x"))).alias("w_first"),
         F.max(F.when(F.col("Week") == last_week, F.col("x"))).alias("w_last"),
         F.avg("g").alias("mean_wow_growth"))
@@ -130,7 +130,6 @@ def spend_scenario_ffill(campaigns: DataFrame, target: str, extra: int = EXTRA_S
                          last_week: int = LAST_WEEK, horizon: int = FORECAST_LAST_WEEK) -> DataFrame:
     """C11 as the notebook builds it: week-31 seeds, empty rows for the later
     weeks (only the target's cost set), then a forward fill per campaign (N4)."""
-    from tessera.operators.windows import forward_fill
     last = campaigns.dropDuplicates().where(F.col("Week") == last_week)
     seed = last.select(F.lit(last_week + 1).alias("Week"), "Visits", "Campaign", "Revenue",
                        F.when(F.col("Campaign") == target, F.col("Cost") + float(extra))
@@ -154,33 +153,16 @@ def ols_coefficients(campaigns: DataFrame, target: str, x: str = "Cost", ys=("Re
     weeks of the target campaign, as ONE struct-valued scalar subquery
     ``{<y>: {slope, intercept}}`` (evaluated once, reused by every reference).
 
-    slope = (nΣxy − ΣxΣy)/(nΣx² − (Σx)²), intercept = (Σy − slope·Σx)/n, from
-    exact decimal sums; this is the ordinary least-squares solution.
     """
-    df = _train_flagged(campaigns, target, n_train)
-    tr = F.col("is_train")
-    xd = _dec(x)
-    aggs = [F.count(F.when(tr, 1)).cast("double").alias("n"),
-            F.sum(F.when(tr, xd)).cast("double").alias("sx"),
-            F.sum(F.when(tr, xd * xd)).cast("decimal(38,2)").cast("double").alias("sxx")]
-    for y in ys:
-        yd = _dec(y)
-        aggs += [F.sum(F.when(tr, yd)).cast("double").alias(f"sy_{y}"),
-                 F.sum(F.when(tr, xd * yd)).cast("decimal(38,2)").cast("double").alias(f"sxy_{y}")]
-    sums = df.agg(*aggs)
-    n, sx, sxx = F.col("n"), F.col("sx"), F.col("sxx")
-    fields = []
-    for y in ys:
-        sy, sxy = F.col(f"sy_{y}"), F.col(f"sxy_{y}")
-        slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
-        fields.append(F.struct(slope.alias("slope"), ((sy - slope * sx) / n).alias("intercept")).alias(y))
-    return sums.select(F.struct(*fields)).scalar()
+    df = _train_flagged(campaigns, target, n_train).where("is_train")
+    xd = F.col(x).cast("double")
+    fits = [F.struct(F.regr_slope(F.col(y).cast("double"), xd).alias("slope"),
+                     F.regr_intercept(F.col(y).cast("double"), xd).alias("intercept")).alias(y) for y in ys]
+    return df.agg(F.struct(*fits).alias("_coef")).scalar()
 
 
 def _train_flagged(campaigns: DataFrame, target: str, n_train: int) -> DataFrame:
-    df = campaigns.dropDuplicates().where(F.col("Campaign") == target)
-    w = Window.partitionBy("Campaign").orderBy("Week")
-    return df.select("*", (F.row_number().over(w) <= n_train).alias("is_train"))
+    return positional_split(campaigns.dropDuplicates().where(F.col("Campaign") == target), ["Campaign"], "Week", n_train)
 
 
 def ols_fit(campaigns: DataFrame, target: str, x: str = "Cost", ys=("Revenue", "Visits"),
@@ -197,7 +179,7 @@ def ols_fit(campaigns: DataFrame, target: str, x: str = "Cost", ys=("Revenue", "
         aggs.append(F.struct(F.lit(y).alias("target"),
                              bround(F.first(coef[y]["slope"]), GROWTH_SCALE).alias("slope"),
                              bround(F.first(coef[y]["intercept"]), GROWTH_SCALE).alias("intercept"),
-                             bround(F.sum(_dec(err)).cast("double") / F.count(err), 2).alias("mae")))
+                             bround(F.avg(err), 2).alias("mae")))
     return test.agg(F.array(*aggs).alias("_fits")).select(F.inline("_fits"))
 
 
@@ -224,6 +206,12 @@ def market_forecast(campaigns: DataFrame, target: str) -> DataFrame:
     return actual.unionByName(future)
 
 
+def forecast_growth(campaigns: DataFrame, target: str) -> DataFrame:
+    """C9 over the forecast weeks: mean level and mean growth of the market after ``LAST_WEEK``."""
+    weeks = market_forecast(campaigns, target).where(F.col("Week") > LAST_WEEK).withColumn("series", F.lit(OVERALL))
+    return growth_summary(weeks, METRICS)
+
+
 def chart_series(campaigns: DataFrame, target: str) -> DataFrame:
     """C20: the long tables behind the notebook's charts — market development
     (actual + forecast flag), ROMI and revenue per visitor per series."""

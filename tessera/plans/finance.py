@@ -1,10 +1,11 @@
 """C2 — period finance report (13 metrics × 4 currencies + partner revenue split).
 
 Both sides are aggregated to (period, segment, country, city) before the
-4-key LEFT JOIN, exactly like the reference's CTEs.  The partner side is
-additionally pre-aggregated per journey before its fact↔fact join, so the
-join shuffles one row per (journey, period) instead of one per cost line.
-All money is summed as DECIMAL and rounded to cents only in the output.
+4-key LEFT JOIN.  On the partner side the cost lines join their journey first
+and the map side of the aggregate after it does the shrinking: nearly every
+line is its own (journey, period, partner), so summing before the join would
+only add a wide aggregate.  All money is summed as DECIMAL; the output is the
+nearest DOUBLE of each exact sum, nothing is rounded to cents.
 """
 
 from __future__ import annotations
@@ -23,13 +24,8 @@ PARTNERS = ("PARTNER1", "PARTNER2", "PARTNER3")
 KEYS = ("segment", "country", "city")
 
 
-def money(c: F.Column) -> F.Column:
-    """Exact decimal → cents (half away from zero) → DOUBLE."""
-    return F.round(c, 2).cast("double")
-
-
 def _money_sql(x: str) -> str:
-    return f"CAST(round({x}, 2) AS DOUBLE)"
+    return f"CAST({x} AS DOUBLE)"
 
 
 # Wide projections and aggregates are written as SQL expression strings and
@@ -38,7 +34,7 @@ def _money_sql(x: str) -> str:
 # one per operator (the 77-column report would otherwise cost seconds to build).
 
 def metrics_by_period(daily: DataFrame, granularity: str, period_col: str) -> DataFrame:
-    """CTE ``main``: the daily metrics summed per period and place."""
+    """The daily metrics summed per period and place."""
     cols = ["n_journeys"] + [f"{m}_{c}" for m in METRICS for c in CURRENCIES]
     g = daily.select(trunc_date(granularity, "day").alias(period_col), *KEYS, *cols)
     return g.groupBy(period_col, *KEYS).agg(*[F.expr(f"sum(`{c}`) AS `{c}`") for c in cols])
@@ -46,21 +42,19 @@ def metrics_by_period(daily: DataFrame, granularity: str, period_col: str) -> Da
 
 def partner_revenue(partner_costs: DataFrame, journeys: DataFrame, granularity: str,
                     period_col: str) -> DataFrame:
-    """CTE ``partnership_data``: costs per named partner, "other" and total.
-
-    Cost lines are first summed per (journey, period, partner) — four decimal
-    sums per row, map-side combined — before the fact↔fact join; after it,
-    again four sums per (period, place, partner); only then are the 20
-    conditional buckets formed, on a table of a few rows per place and period.
-    ``NOT IN`` keeps SQL's three-valued logic: a NULL partner is in the total
-    but in no named bucket and not in "other".
+    """Costs per named partner, "other" and total, per period and place.
+
+    Lines meet their journey, then four sums per (period, place, partner) and,
+    on that table of a few rows per place and period, the 20 buckets.  ``NOT
+    IN`` keeps SQL's three-valued logic: a NULL partner is in the total but in
+    no named bucket and not in "other".
     """
     period = trunc_date(granularity, F.col("completed_ts_loc").cast("timestamp_ntz")).alias(period_col)
-    sums = [F.expr(f"sum(partner_cost_{cur}) AS cost_{cur}") for cur in CURRENCIES]
-    per_journey = partner_costs.groupBy("journey_id", period, "partner_name").agg(*sums)
-    joined = per_journey.join(journeys.select("journey_id", *KEYS), "journey_id")
+    costs = [f"partner_cost_{cur}" for cur in CURRENCIES]
+    joined = (partner_costs.select("journey_id", period, "partner_name", *costs)
+              .join(journeys.select("journey_id", *KEYS), "journey_id"))
     per_partner = (joined.groupBy(period_col, *KEYS, "partner_name")
-                   .agg(*[F.expr(f"sum(cost_{cur}) AS cost_{cur}") for cur in CURRENCIES]))
+                   .agg(*[F.expr(f"sum(partner_cost_{cur}) AS cost_{cur}") for cur in CURRENCIES]))
     names = ", ".join(f"'{p}'" for p in PARTNERS)
     out = []
     for cur in CURRENCIES:
@@ -104,7 +98,7 @@ def finance_report(daily: DataFrame, partner_costs: DataFrame, journeys: DataFra
 
 def partner_split(partner_costs: DataFrame, journeys: DataFrame, granularity: str = "month",
                   period_col: str = "period") -> DataFrame:
-    """The partner split on its own, money rounded to cents."""
+    """The partner split on its own."""
     pd = partner_revenue(partner_costs, journeys, granularity, period_col)
     return pd.selectExpr(period_col, *KEYS, *[f"{_money_sql(c)} AS {c}" for c in pd.columns
                                               if c not in (period_col, *KEYS)])

@@ -1,10 +1,10 @@
 """C17/C18 — airport transfer price heatmap cells.
 
-C18 aggregates every transfer to (airport, cell, direction) with exact sums
-and pivots the two directions into the cell table the heatmap reads.  C17 is
-the per-cell styling the map callback did: value, colour on a clamped
-red→yellow→green scale, label text, centre, polygon and the airport marker
-(first-match lookup).  The drawing itself is left to any map tool.
+C18 aggregates every transfer to (airport, cell) with exact sums of the two
+directions.  C17 is the per-cell styling the map callback did: value, colour on
+a clamped red→yellow→green scale, label text, centre, polygon and the airport
+marker (first-match lookup).  Centre, polygon and district are columns of the
+cell table.  The drawing itself is left to any map tool.
 """
 
 from __future__ import annotations
@@ -15,38 +15,11 @@ from pyspark.sql import functions as F
 from tessera.functions.exprs import MARKUP_RANGE, PRICE_RANGE, cents, div_half_even, linear_colour
 
 DIRECTIONS = ("from", "to")
-# Cell geometry of the fixture — centre of cell N and half-size.
-CELL_ORIGIN = ("55.5", "37.3")
-CELL_STEP = "0.01"
-CELL_HALF = "0.005"
-NEW_PRICE_DISCOUNT = "0.90"
-
-
-def _d(x: str) -> F.Column:
-    return F.lit(x).cast("decimal(10,4)")
-
-
-def cell_geometry(cells: DataFrame) -> DataFrame:
-    """Adds centre and a GeoJSON polygon (square) per cell from its number."""
-    n = F.regexp_extract("hexagon_id", r"(\d+)$", 1).cast("int").cast("decimal(10,4)")
-    lat = (_d(CELL_ORIGIN[0]) + n * _d(CELL_STEP)).cast("decimal(10,4)")
-    lon = (_d(CELL_ORIGIN[1]) + n * _d(CELL_STEP)).cast("decimal(10,4)")
-    h = _d(CELL_HALF)
-
-    def pt(x, y):
-        return F.concat(F.lit("["), x.cast("decimal(10,4)").cast("string"), F.lit(", "),
-                        y.cast("decimal(10,4)").cast("string"), F.lit("]"))
-    ring = F.concat_ws(", ", pt(lon - h, lat - h), pt(lon + h, lat - h), pt(lon + h, lat + h),
-                       pt(lon - h, lat + h), pt(lon - h, lat - h))
-    geo = F.concat(F.lit('{"type": "Polygon", "coordinates": [['), ring, F.lit("]]}"))
-    return cells.select("*", lat.cast("double").alias("centre_lat"), lon.cast("double").alias("centre_lon"),
-                        geo.alias("geojson_polygon"))
-
 
 def fixed_vs_tariff(trips: DataFrame) -> DataFrame:
     """C18: per (airport, cell) the fixed-price markup over the city tariff in %
     for each direction, 100·(avg fixed − avg tariff)/avg tariff (2 dp), plus
-    the average tariff and a discounted proposal.  Sums are exact decimals."""
+    the average tariff.  Sums are exact decimals."""
     fixed = F.col("fixed_price").cast("decimal(18,2)")
     tariff = F.col("tariff_price").cast("decimal(18,2)")
     aggs = []
@@ -61,10 +34,7 @@ def fixed_vs_tariff(trips: DataFrame) -> DataFrame:
         cols.append(div_half_even(diff * 100, cents(F.col(f"_t_{d}")), 2).alias(f"fixed_vs_tariff_{d}_price_pct"))
     weighted = div_half_even(cents(F.col("_t")), F.col("n_trips") * 100, 2)
     cols.append(weighted.alias("price_tariff_rub_weighted"))
-    cols.append(div_half_even(cents(F.col("_t")) * int(float(NEW_PRICE_DISCOUNT) * 100),
-                              F.col("n_trips") * 10000, 2).alias("price_tariff_rub_discounted"))
-    out = agg.select(*cols)
-    return cell_geometry(out).withColumn("okrug_name", F.col("hexagon_id"))
+    return agg.select(*cols)
 
 
 def airport_markers(airports: DataFrame) -> DataFrame:
@@ -81,27 +51,25 @@ def heatmap_cells(cells: DataFrame, airports: DataFrame, airport: str | None = N
 
     ``airport``/``direction`` None means all of them in one job (the notebook
     loops); ``values_field`` defaults to ``fixed_vs_tariff_{direction}_price_pct``.
-    Quirk kept: with new prices the colour follows ``price_tariff_rub_weighted``
-    while the label shows ``values_field``.
+    With new prices the colour follows the ``price_tariff_rub_weighted`` of the
+    first cell (by id) of the cell's district, while the label shows ``values_field``.
     """
     df = cells if airport is None else cells.where(F.col("airport") == airport)
+    if is_new_prices:
+        district = (df.groupBy("airport", "okrug_name")
+                    .agg(F.min_by("price_tariff_rub_weighted", "hexagon_id").alias("_price")))
+        df = df.join(district, ["airport", "okrug_name"], "left")
     dirs = DIRECTIONS if direction is None else (direction,)
-    parts = []
-    for d in dirs:
-        field = values_field or f"fixed_vs_tariff_{d}_price_pct"
-        parts.append(df.select("airport", F.lit(d).alias("direction"), "hexagon_id",
-                               F.col(field).cast("double").alias("value"), "price_tariff_rub_weighted",
-                               "centre_lat", "centre_lon", "geojson_polygon"))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+    pairs = [F.struct(F.lit(d).alias("direction"), F.col(values_field or f"fixed_vs_tariff_{d}_price_pct").cast("double").alias("value")) for d in dirs]
+    rows = df.select("airport", "hexagon_id", *(["_price"] if is_new_prices else []),
+                     "centre_lat", "centre_lon", "geojson_polygon", F.inline(F.array(*pairs)))
     v = F.col("value")
     if not is_new_prices:
         colour = linear_colour(v, *MARKUP_RANGE)
         label = F.concat(F.col("hexagon_id"), F.lit(": "), v.cast("string"), F.lit("%"))
         marker = F.concat(v.cast("string"), F.lit("%"))
     else:
-        colour = linear_colour(F.col("price_tariff_rub_weighted"), *PRICE_RANGE)
+        colour = linear_colour(F.col("_price"), *PRICE_RANGE)
         label = v.cast("string")
         marker = v.cast("string")
     styled = rows.select("airport", "direction", "hexagon_id", "value", label.alias("label"),

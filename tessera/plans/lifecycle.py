@@ -30,7 +30,7 @@ def _cutoff(as_of: str) -> F.Column:
 
 def passenger_month_stats(journeys: DataFrame, as_of: str) -> DataFrame:
     """One row per (passenger, active month) with the four lifecycle flags
-    and the "no ride next month" marker (CTE ``passengers_stats``)."""
+    and the "no ride next month" marker."""
     cutoff = _cutoff(as_of)
     active = (journeys
               .where(F.col("completed_dt_loc") < cutoff)
@@ -49,15 +49,15 @@ def passenger_month_stats(journeys: DataFrame, as_of: str) -> DataFrame:
         F.coalesce(F.col("first_month") == F.col("month"), F.lit(False)).alias("is_new"),
         F.coalesce(gap_prev == 1, F.lit(False)).alias("is_retained"),
         F.coalesce(gap_prev > 1, F.lit(False)).alias("is_reactivated"),
-        (F.col("next_month").isNull() | (month_diff("month", "next_month") != 1)).alias("is_churned_next_month"),
+        (F.col("next_month").isNull() | (month_diff("month", "next_month") != 1)).alias("gone_next_month"),
     )
 
 
 def user_month_states(journeys: DataFrame, as_of: str) -> DataFrame:
     """Activity rows plus one churn row in the month after each last-active month.
 
-    Equivalent to ``passengers_stats UNION churned_stats``; the union's dedupe
-    only removes rows that the distinct counts downstream ignore anyway.
+    Equal rows count once (a passenger with two first-ride dates has two rows
+    a month before that); the distinct runs on the window's partitioning.
     """
     stats = passenger_month_stats(journeys, as_of)
     activity = F.struct(F.col("month"), F.col("is_new"), F.col("is_retained"),
@@ -65,8 +65,8 @@ def user_month_states(journeys: DataFrame, as_of: str) -> DataFrame:
     churn = F.struct(F.add_months("month", 1).alias("month"), F.lit(False).alias("is_new"),
                      F.lit(False).alias("is_retained"), F.lit(False).alias("is_reactivated"),
                      F.lit(True).alias("is_churned"))
-    rows = F.when(F.col("is_churned_next_month"), F.array(activity, churn)).otherwise(F.array(activity))
-    return stats.select("passenger_id", F.inline(rows))
+    rows = F.when(F.col("gone_next_month"), F.array(activity, churn)).otherwise(F.array(activity))
+    return stats.select("passenger_id", F.inline(rows)).distinct()
 
 
 def churn_monthly(journeys: DataFrame, users: DataFrame, as_of: str) -> DataFrame:

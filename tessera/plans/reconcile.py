@@ -1,10 +1,11 @@
 """C3–C5 — two-store reconciliation by daily row count or daily column sum.
 
-One plan covers any number of date windows: the (tiny, user-supplied)
-windows table is broadcast into a range join, both stores are aggregated
-per (window, day) with map-side partial aggregation, and the comparison is
-a LEFT JOIN of two aggregates — the raw rows never meet.  Source-only days
-are kept with a 0 target, target-only days are lost (reference behaviour).
+One plan covers any number of date windows.  Window bounds are midnights, so
+each store is first aggregated to (day of the filter key, day) — a row per day
+— and only these rows meet the windows: by a plain filter for one window, by a
+join on the windows' days for several.  The comparison is a LEFT JOIN of two
+aggregates — the raw rows never meet.  Source-only days are kept with a 0
+target, target-only days are lost (reference behaviour).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.exprs import bround, safe_div
+from tessera.functions.exprs import bround, object_id_bound, object_id_day, safe_div
 
 MODES = ("docs_level", "fields_level")
 SUM_SCALE = 10   # decimal scale the sums are carried in before the 2-dp rounding
@@ -33,16 +34,8 @@ class ReconcileSpec:
 
 
 def specs_from_settings(settings: dict) -> dict:
-    """S8: comparison specs from a settings document shaped like
-    ``{name: {source_collection, target_table, target_ts_column, columns_map}}``
-    (the reference's key names for the two stores are accepted as well)."""
-    aliases = {"mongo_collection": "source_collection", "redshift_table": "target_table",
-               "redshift_ts_column": "target_ts_column", "columns_map_mongo_to_redshift": "columns_map"}
-    out = {}
-    for name, raw in settings.items():
-        kw = {aliases.get(k, k): v for k, v in raw.items()}
-        out[name] = ReconcileSpec(**kw)
-    return out
+    """S8: comparison specs from a settings document ``{name: {field: value}}`` with the fields of ``ReconcileSpec``."""
+    return {name: ReconcileSpec(**raw) for name, raw in settings.items()}
 
 
 def check_mode(mode: str) -> str:
@@ -67,69 +60,66 @@ def _envelope(windows):
     return lo, hi
 
 
-def _in_windows(df: DataFrame, spark: SparkSession, windows, lo_expr, hi_expr, key) -> DataFrame:
-    """Rows of ``df`` paired with every window containing ``key``.
+def _in_windows(daily: DataFrame, windows) -> DataFrame:
+    """Daily rows (``key_day``, ...) with every window that holds their key's day.
 
-    A pre-filter on the union envelope of all windows is a plain predicate, so
-    Catalyst pushes it into the scan; the per-window test is a broadcast range
-    join against the windows table, whose size is the number of windows asked for.
+    Windows are unfolded to their days, so this is an equi-join of two tables
+    with a row per day at most; a single window is a filter.
     """
-    lo, hi = _envelope(windows)
-    pre = df.where((key >= lo_expr(F.lit(lo))) & (key < hi_expr(F.lit(hi))))
-    w = F.broadcast(windows_frame(spark, windows))
-    return pre.join(w, (key >= lo_expr(w["window_from"])) & (key < hi_expr(w["window_to"])))
+    if len(windows) == 1:
+        a, b = (F.lit(str(x)).cast("date") for x in windows[0])
+        return daily.where((F.col("key_day") >= a) & (F.col("key_day") < b)).withColumns({"window_from": a, "window_to": b})
+    w = windows_frame(daily.sparkSession, windows).where("window_from < window_to")
+    days = w.select("*", F.explode(F.sequence("window_from", F.date_sub("window_to", 1))).alias("key_day"))
+    return daily.join(days, "key_day")
+
+
+def _sums(columns) -> list:
+    return [F.sum(F.col(c).cast(f"decimal(38,{SUM_SCALE})")).alias(c) for c in columns]
 
 
-def object_id_bound_col(date_col) -> F.Column:
-    """Smallest 24-hex id at midnight of ``date_col`` (a date column)."""
-    secs = F.unix_timestamp(date_col.cast("timestamp"))
-    return F.lower(F.concat(F.lpad(F.hex(secs), 8, "0"), F.lit("0" * 16)))
+def _by_window(daily: DataFrame, windows, columns) -> DataFrame:
+    return _in_windows(daily, windows).groupBy("window_from", "window_to", "day").agg(
+        *[F.sum(c).alias(c) for c in columns])
 
 
 def source_daily(source: DataFrame, spec: ReconcileSpec, windows, mode: str) -> DataFrame:
     """Source store: filter by id time (or a ts field), group by creation day.
 
-    docs_level: count of ids per day; fields_level: exact sum of each mapped
-    field per day, long format (field, value) — an all-NULL day sums to 0.
+    The union of the windows is a range on the raw id or field, pushed into the
+    scan.  docs_level: count of ids per day; fields_level: exact sum of each
+    mapped field per day, long format (field, value) — an all-NULL day sums to 0.
     """
     check_mode(mode)
-    spark = source.sparkSession
+    lo, hi = (F.lit(x).cast("date") for x in _envelope(windows))
     if spec.source_filter_field == "_id":
-        key = F.col("_id")
-        bound = object_id_bound_col
+        key, lo, hi, key_day = F.col("_id"), object_id_bound(lo), object_id_bound(hi), object_id_day("_id")
     else:
         key = F.col(spec.source_filter_field)
-        bound = (lambda c: c.cast("timestamp_ntz"))
+        lo, hi, key_day = lo.cast("timestamp_ntz"), hi.cast("timestamp_ntz"), F.to_date(key)
     fields = list(spec.columns_map) if mode == "fields_level" else []
-    src = source.select("_id", spec.source_ts_field, *([spec.source_filter_field]
-                        if spec.source_filter_field not in ("_id", spec.source_ts_field) else []), *fields)
-    rows = _in_windows(src, spark, windows, bound, bound, key)
-    day = F.to_date(F.col(spec.source_ts_field)).alias("day")
-    keys = ["window_from", "window_to"]
+    ts = F.col(spec.source_ts_field)
+    rows = source.where((key >= lo) & (key < hi) & ts.isNotNull())
+    aggs = _sums(fields) if fields else [F.count("_id").alias("source_cnt")]
+    daily = rows.groupBy(key_day.alias("key_day"), F.to_date(ts).alias("day")).agg(*aggs)
     if mode == "docs_level":
-        return (rows.where(F.col(spec.source_ts_field).isNotNull())
-                .groupBy(*keys, day).agg(F.count("_id").alias("source_cnt")))
-    sums = [F.coalesce(F.sum(F.col(f).cast(f"decimal(38,{SUM_SCALE})")),
-                       F.lit(0).cast(f"decimal(38,{SUM_SCALE})")).alias(f) for f in fields]
-    wide = rows.where(F.col(spec.source_ts_field).isNotNull()).groupBy(*keys, day).agg(*sums)
-    return wide.unpivot([*keys, "day"], fields, "source_field", "source_sum")
+        return _by_window(daily, windows, ["source_cnt"])
+    wide = _by_window(daily, windows, fields).na.fill(0, subset=fields)
+    return wide.unpivot(["window_from", "window_to", "day"], fields, "source_field", "source_sum")
 
 
 def target_daily(target: DataFrame, spec: ReconcileSpec, windows, mode: str) -> DataFrame:
-    """Warehouse side: ``SELECT CAST(ts AS DATE) day, COUNT(*) | SUM(col) ... GROUP BY 1``."""
+    """Warehouse side: count of rows or sum of columns per day of its time column."""
     check_mode(mode)
-    spark = target.sparkSession
     ts = F.col(spec.target_ts_column)
     cols = list(dict.fromkeys(spec.columns_map.values())) if mode == "fields_level" else []
-    tgt = target.select(spec.target_ts_column, *cols)
-    as_ts = (lambda c: c.cast("timestamp_ntz"))
-    rows = _in_windows(tgt, spark, windows, as_ts, as_ts, ts)
-    keys = ["window_from", "window_to", F.to_date(ts).alias("day")]
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in _envelope(windows))
+    rows = target.where((ts >= lo) & (ts < hi))
+    aggs = _sums(cols) if cols else [F.count(F.lit(1)).alias("target_cnt")]
+    daily = rows.groupBy(F.to_date(ts).alias("day")).agg(*aggs).withColumn("key_day", F.col("day"))
     if mode == "docs_level":
-        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("target_cnt"))
-    sums = [F.sum(F.col(c).cast(f"decimal(38,{SUM_SCALE})")).alias(c) for c in cols]
-    wide = rows.groupBy(*keys).agg(*sums)
-    return wide.unpivot(["window_from", "window_to", "day"], cols, "target_column", "target_sum")
+        return _by_window(daily, windows, ["target_cnt"])
+    return _by_window(daily, windows, cols).unpivot(["window_from", "window_to", "day"], cols, "target_column", "target_sum")
 
 
 def _field_map(columns_map: dict) -> F.Column:

@@ -7,10 +7,10 @@ values, independent of the number of sessions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import bround, hms_seconds, minute_range_label, wrap_midnight
+from tessera.functions.exprs import bround, div_half_even, hms_seconds, minute_range_label, wrap_midnight
 from tessera.functions.stats import chi2_finish_udf
 
 # Test confidence and the two decision texts of the notebook.
@@ -49,18 +49,6 @@ def clean(sessions: DataFrame) -> DataFrame:
     return sessions.where(~_anomaly(sessions))
 
 
-def ratio_half_even(num, den, digits: int) -> F.Column:
-    """num/den of two non-negative integers rounded half-even to ``digits`` decimals,
-    done in integer arithmetic so every engine gets the same double."""
-    scale = 10 ** digits
-    scaled = F.col(num).cast("long") * F.lit(scale) if isinstance(num, str) else num.cast("long") * F.lit(scale)
-    d = F.col(den).cast("long") if isinstance(den, str) else den.cast("long")
-    r = F.pmod(scaled, d)
-    q = ((scaled - r) / d).cast("long")   # exact: an exact multiple below 2**53
-    up = F.when(r * 2 > d, q + 1).when((r * 2 == d) & (q % 2 == 1), q + 1).otherwise(q)
-    return F.when(d.isNull() | (d == 0), F.lit(None)).otherwise(up / F.lit(float(scale)))
-
-
 def conversion_distribution(sessions: DataFrame, var: str) -> DataFrame:
     """C16 ``calc_sessions_distribution(var)``: per value of ``var`` the sessions
     without and with a booking, the total and the booked share (4 dp).
@@ -82,18 +70,16 @@ def conversion_distribution(sessions: DataFrame, var: str) -> DataFrame:
         F.coalesce(n0, F.lit(0)).cast("long").alias("n_not_booked"),
         F.coalesce(n1, F.lit(0)).cast("long").alias("n_booked"),
         F.coalesce(total, F.lit(0)).cast("long").alias("total_sessions"),
-        F.coalesce(ratio_half_even(n1, total, 4), F.lit(0.0)).alias("pct_booked"))
-
+        F.coalesce(div_half_even(n1, total, 4), F.lit(0.0)).alias("pct_booked"))
 
-def contingency(df: DataFrame, row_var: str, col_var: str) -> DataFrame:
-    """A9 ``crosstab``: observed counts of every (row, column) pair present.
 
-    NULL keys are dropped after the (partial/final) aggregate, on the cells."""
-    # the predicate reads the count, so it stays above the aggregate (see
-    # conversion_distribution)
-    return (df.groupBy(row_var, col_var).agg(F.count(F.lit(1)).alias("n"))
-            .where(F.when(F.col(row_var).isNull() | F.col(col_var).isNull(), F.lit(False))
-                   .otherwise(F.col("n") > 0)))
+def chart_distributions(sessions: DataFrame, variables) -> DataFrame:
+    """C20: the long table behind the distribution charts — per attribute value its sessions and booked share."""
+    parts = [conversion_distribution(sessions, v).select(F.lit(v).alias("chart"), F.col(v).cast("string").alias("label"), "total_sessions", "pct_booked") for v in variables]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def chi2_statistics(df: DataFrame, row_var: str, tests) -> DataFrame:
@@ -105,9 +91,9 @@ def chi2_statistics(df: DataFrame, row_var: str, tests) -> DataFrame:
     without correction N·Σ O²/(r·c) − N over observed cells (zero cells add
     nothing); with it (dof = 1, 2×2) every cell has the same |O−E| = D, so the
     statistic is (D − min(½, D))² · N · Σ_i 1/r_i · Σ_j 1/c_j — no cell grid
-    is built.  Marginals are window sums over the cell table, not joins (a
-    join would make Catalyst infer NOT NULL filters on the derived keys and
-    push them down to the scan).  One row per test.
+    is built.  Marginals are two small aggregates of the cell table joined back
+    to it, so no class of cells is gathered in one task.  One row per test; the
+    statistic keeps full precision.
     """
     pairs = []
     for label, col, cond in tests:
@@ -119,11 +105,9 @@ def chi2_statistics(df: DataFrame, row_var: str, tests) -> DataFrame:
     cells = (long.groupBy("variable", "rv", "key").agg(F.count(F.lit(1)).alias("n"))
              .where(F.when(F.col("rv").isNull() | F.col("key").isNull(), F.lit(False))
                     .otherwise(F.col("n") > 0)))
-    by_row = Window.partitionBy("variable", "rv")
-    by_col = Window.partitionBy("variable", "key")
-    j = cells.select("variable", "rv", "key", "n",
-                     F.sum("n").over(by_row).alias("r"), F.count(F.lit(1)).over(by_row).alias("k_r"),
-                     F.sum("n").over(by_col).alias("c"), F.count(F.lit(1)).over(by_col).alias("k_c"))
+    rows = cells.groupBy("variable", "rv").agg(F.sum("n").alias("r"), F.count(F.lit(1)).alias("k_r"))
+    cols = cells.groupBy("variable", "key").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("k_c"))
+    j = cells.join(rows, ["variable", "rv"]).join(cols, ["variable", "key"])
     n, r, c = (F.col(x).cast("double") for x in ("n", "r", "c"))
     agg = j.groupBy("variable").agg(
         F.sum("n").alias("N"),
@@ -139,7 +123,7 @@ def chi2_statistics(df: DataFrame, row_var: str, tests) -> DataFrame:
     yates = F.pow(d - F.least(F.lit(0.5), d), 2) * big_n * F.col("inv_r") * F.col("inv_c")
     plain = big_n * F.col("s1") - big_n
     stat = F.when(dof == 1, yates).when(dof == 0, F.lit(0.0)).otherwise(plain)
-    return agg.select("variable", F.col("N").alias("n"), dof.alias("dof"), bround(stat, 6).alias("stat"))
+    return agg.select("variable", F.col("N").alias("n"), dof.alias("dof"), stat.alias("stat"))
 
 
 def chi2_statistic(df: DataFrame, row_var: str, col_var: str, label: str | None = None) -> DataFrame:
@@ -150,7 +134,7 @@ def chi2_statistic(df: DataFrame, row_var: str, col_var: str, label: str | None
 def chi2_finish(stats: DataFrame, probability: float = PROBABILITY) -> DataFrame:
     """Critical value, p-value and both decisions for rows of ``chi2_statistic``;
     the distribution functions run once over all test rows (one pandas UDF).
-    Decisions use the full-precision values; p and critical are reported to 6 dp."""
+    Decisions use the full-precision values; all three are reported to 6 dp."""
     alpha = round(1.0 - probability, 12)
     fin = chi2_finish_udf(F.col("stat"), F.col("dof").cast("double"), F.lit(probability))
     raw = stats.select("variable", "n", "dof", "stat", fin.alias("_f"))
@@ -158,7 +142,7 @@ def chi2_finish(stats: DataFrame, probability: float = PROBABILITY) -> DataFrame
     dep_p = F.col("_f.p") <= F.lit(alpha)
     return raw.select(
         "variable", "n", "dof", F.lit(probability).alias("probability"),
-        bround(F.col("_f.critical"), 6).alias("critical"), "stat", F.lit(alpha).alias("significance"),
+        bround(F.col("_f.critical"), 6).alias("critical"), bround("stat", 6).alias("stat"), F.lit(alpha).alias("significance"),
         bround(F.col("_f.p"), 6).alias("p"),
         F.when(dep_stat, DEPENDENT).otherwise(INDEPENDENT).alias("decision_by_stat"),
         F.when(dep_p, DEPENDENT).otherwise(INDEPENDENT).alias("decision_by_p"))
@@ -177,4 +161,4 @@ def notebook_tests(enriched_clean: DataFrame, stats_only: bool = False) -> DataF
         ("session_start_hour", "session_start_hour", None),
         ("session_duration_min", "session_duration_min", None),
         ("clickouts", "clickouts", F.col("clickouts") != 0)])
-    return stats if stats_only else chi2_finish(stats)
+    return stats.withColumn("stat", bround("stat", 6)) if stats_only else chi2_finish(stats)

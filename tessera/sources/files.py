@@ -31,7 +31,7 @@ GEOJSON_SCHEMA = T.StructType([
         T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
         T.StructField("geometry", T.StructType([
             T.StructField("type", T.StringType()),
-            T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))),
+            T.StructField("coordinates", T.StringType()),
         ])),
     ]))),
 ])
@@ -39,8 +39,13 @@ GEOJSON_SCHEMA = T.StructType([
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";",
                    header: bool = True) -> DataFrame:
-    """S1 ``read_csv(path, delimiter=';')`` with a declared schema."""
-    return spark.read.option("sep", sep).option("header", header).schema(schema).csv(path)
+    """S1 ``read_csv(path, delimiter=';')`` with a declared schema.
+
+    A header that names other columns, or in another order, and a field that
+    does not parse are errors.
+    """
+    reader = spark.read.option("sep", sep).option("header", header).option("mode", "FAILFAST")
+    return reader.option("enforceSchema", not header).schema(schema).csv(path)
 
 
 def read_warehouse_query(spark: SparkSession, url: str, query: str, properties: dict | None = None,
@@ -66,23 +71,13 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType, fmt: st
 
 def read_zone_rings(spark: SparkSession, path: str) -> DataFrame:
     """S6 GeoJSON polygons: one row per feature with its exterior ring
-    (``coordinates[0]``); holes are ignored like in the reference."""
+    (``coordinates[0]``); holes are ignored like in the reference.  Any other
+    kind of geometry is an error that names it."""
     doc = spark.read.option("multiLine", True).schema(GEOJSON_SCHEMA).json(path)
-    return (doc.select(F.posexplode("features").alias("zone", "f"))
-            .select("zone", F.col("f.geometry.coordinates")[0].alias("ring")))
-
-
-def collect_rings(rings: DataFrame, max_vertices: int = 100_000) -> list:
-    """Zone rings as driver-side parameters, with a checked size bound.
-
-    The zone job compiles the rings into its row expression, so their total
-    vertex count is verified before anything is collected.
-    """
-    stats = rings.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("ring")).alias("v")).first()
-    if stats["v"] and stats["v"] > max_vertices:
-        raise ValueError(f"zone rings have {stats['v']} vertices, above the bound {max_vertices}")
-    return [[(float(p[0]), float(p[1])) for p in r["ring"]]
-            for r in rings.orderBy("zone").collect()]
+    kind = F.col("f.geometry.type")
+    wrong = F.raise_error(F.concat(F.lit("a zone must be a Polygon, found "), F.coalesce(kind, F.lit("no geometry"))))
+    ring = F.when(kind == "Polygon", F.from_json("f.geometry.coordinates", "array<array<array<double>>>")[0]).otherwise(wrong)
+    return doc.select(F.posexplode("features").alias("zone", "f")).select("zone", ring.alias("ring"))
 
 
 def read_text_lines(spark: SparkSession, folder: str, suffix: str = ".txt") -> DataFrame:

@@ -8,10 +8,12 @@ the scale factor.  The DuckDB twins of these builders live in
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import object_id_hex
+from tessera.functions.exprs import cents, div_half_even, object_id_hex
 from tessera.sources.tables import Tables
 
 # Fixed values of the fixture mapping (FIXTURES.md): evaluation date, run stamp,
@@ -54,6 +56,11 @@ RECON_SINGLE_WINDOW = ("1995-01-01", "1996-12-31")
 RECON_SPEC = dict(source_collection="orders", target_table="analytics.f_requests",
                   target_ts_column="requested_ts_utc",
                   columns_map={"price": "price_loc", "credit": "discount_loc"})
+# The "users" collection of the same file.
+RECON_USERS_SPEC = dict(source_collection="users", target_table="analytics.dim_users",
+                        target_ts_column="registered_ts_utc", columns_map={"rating": "rating"})
+# The trip filter: completed since, city, status.
+TRIP_FILTER = ("1993-01-01", "city 1", "F")
 CAMPAIGN_TARGET = "purchase"
 DUPLICATE_CAMPAIGN_ROW = (30, "error")
 
@@ -66,18 +73,18 @@ def _geo_customers(t: Tables) -> DataFrame:
             .select("c_custkey", "c_mktsegment", "n_name", "r_name"))
 
 
-def journeys(t: Tables) -> DataFrame:
-    """``f_passengers_journeys``: one row per order with the passenger's first ride."""
-    first = (t.orders.groupBy("o_custkey")
-             .agg(F.min("o_orderdate").alias("passenger_first_completed_ts_loc")))
-    dim = (_geo_customers(t)
-           .join(first, F.col("c_custkey") == F.col("o_custkey"))
-           .drop("o_custkey"))
+def journeys(t: Tables, first_ride: bool = True) -> DataFrame:
+    """``f_passengers_journeys``: one row per order, with the passenger's first ride if asked for."""
+    dim = _geo_customers(t)
+    if first_ride:
+        first = (t.orders.groupBy("o_custkey")
+                 .agg(F.min("o_orderdate").alias("passenger_first_completed_ts_loc")))
+        dim = dim.join(first, F.col("c_custkey") == F.col("o_custkey")).drop("o_custkey")
     return (t.orders
             .join(dim, F.col("o_custkey") == F.col("c_custkey"))
             .select(F.col("o_custkey").alias("passenger_id"),
                     F.col("o_orderkey").alias("journey_id"),
-                    "passenger_first_completed_ts_loc",
+                    *(["passenger_first_completed_ts_loc"] if first_ride else []),
                     F.to_date("o_orderdate").alias("completed_dt_loc"),
                     F.col("c_mktsegment").alias("segment"),
                     F.col("r_name").alias("country"),
@@ -85,10 +92,10 @@ def journeys(t: Tables) -> DataFrame:
 
 
 def users(t: Tables) -> DataFrame:
-    """``dim_users``; every 50th customer is missing so the inner join loses users."""
+    """``dim_users``; every 50th customer has an id that no journey knows, so the inner join loses journeys."""
+    k = F.col("c_custkey")
     return (_geo_customers(t)
-            .where(F.col("c_custkey") % 50 != 0)
-            .select(F.col("c_custkey").alias("user_id"),
+            .select(F.when(k % 50 == 0, -k).otherwise(k).alias("user_id"),
                     F.col("r_name").alias("country_code"),
                     F.col("n_name").alias("city"),
                     F.col("c_mktsegment").alias("last_attribution_channel")))
@@ -110,11 +117,11 @@ def finance_daily(t: Tables, journeys_df: DataFrame | None = None) -> DataFrame:
                       F.sum(_amount("l_extendedprice") * (F.lit(1) - _amount("l_discount"))).alias("net"),
                       F.sum(_amount("l_extendedprice") * _amount("l_discount")).alias("disc"),
                       F.sum(_amount("l_extendedprice") * _amount("l_tax")).alias("tax")))
-    j = (journeys_df if journeys_df is not None else journeys(t)).select(
+    j = (journeys_df if journeys_df is not None else journeys(t, first_ride=False)).select(
         "journey_id", "completed_dt_loc", "segment", "country", "city")
     joined = per_order.join(j, F.col("l_orderkey") == F.col("journey_id"))
     keys = [F.col("completed_dt_loc").alias("day"), "segment", "country", "city"]
-    aggs = [F.count_distinct("journey_id").alias("n_journeys")]
+    aggs = [F.count("journey_id").alias("n_journeys")]
     for base in ("gross", "net", "disc", "tax"):
         # narrowed so that base × weight × rate stays below 38 digits: Spark
         # would otherwise drop the 7th decimal of the product (precision loss)
@@ -170,6 +177,23 @@ def recon_target(t: Tables) -> DataFrame:
                     (price * F.lit("0.05").cast("decimal(3,2)")).cast("double").alias("discount_loc")))
 
 
+def recon_users_source(t: Tables) -> DataFrame:
+    """Document-store snapshot of users: id time and registration day by key, rating from the balance."""
+    k = F.col("c_custkey")
+    registered = F.timestamp_add("DAY", (k % 1500).cast("int"), F.lit("1995-01-01").cast("timestamp_ntz"))
+    return t.customer.select(object_id_hex(registered, "c_custkey").alias("_id"), registered.alias("created_at"),
+                             F.col("c_acctbal").cast("decimal(18,2)").cast("double").alias("rating"))
+
+
+def recon_users_target(t: Tables) -> DataFrame:
+    """Warehouse copy of the users: every 89th registered a day later, every 97th rating off by 1."""
+    k = F.col("c_custkey")
+    day = (k % 1500 + F.when(k % 89 == 0, 1).otherwise(0)).cast("int")
+    rating = F.col("c_acctbal").cast("decimal(18,2)")
+    return t.customer.select(F.timestamp_add("DAY", day, F.lit("1995-01-01").cast("timestamp_ntz")).alias("registered_ts_utc"),
+                             F.when(k % 97 == 0, rating + 1).otherwise(rating).cast("double").alias("rating"))
+
+
 def _coord(key: str, mult: int, mod: int) -> F.Column:
     # (k * mult) % mod without overflow for any 64-bit key
     k = F.col(key)
@@ -177,13 +201,15 @@ def _coord(key: str, mult: int, mod: int) -> F.Column:
 
 
 def trips(t: Tables) -> DataFrame:
-    """Completed trips with straight-line pickup/dropoff coordinates in the unit square."""
+    """Journeys with straight-line pickup/dropoff coordinates in the unit square, city, status and completion."""
     k = F.col("o_orderkey")
     pickup_lon = F.when(k % 500 == 0, F.lit(None).cast("double")).otherwise(_coord("o_orderkey", 7919, 1000))
     dropoff_ts = F.timestamp_add("MINUTE", (k % 120).cast("int"), F.col("o_orderdate"))
-    return (t.orders.where(F.col("o_orderstatus") == "F")
-            .select(F.col("o_orderkey").alias("journey_id"),
+    return (t.orders.select(F.col("o_orderkey").alias("journey_id"),
                     F.col("o_custkey").alias("chauffeur_id"),
+                    dropoff_ts.alias("completed_ts_loc"),
+                    F.concat(F.lit("city "), F.col("o_custkey") % 3).alias("city"),
+                    F.col("o_orderstatus").alias("status"),
                     F.col("o_orderdate").alias("pickup_ts_loc"),
                     F.to_date("o_orderdate").alias("pickup_dt_loc"),
                     dropoff_ts.alias("dropoff_ts_loc"),
@@ -202,6 +228,11 @@ ZONES = (
 )
 
 
+def round_zone(vertices: int = 1000) -> tuple:
+    """A zone with many vertices: a circle's polygon, corners to 6 decimals."""
+    return tuple((round(0.5 + 0.35 * math.cos(2 * math.pi * i / vertices), 6), round(0.45 + 0.35 * math.sin(2 * math.pi * i / vertices), 6)) for i in range(vertices))
+
+
 def sessions(t: Tables) -> DataFrame:
     """``session_data.csv``: start/end as HH:MM:SS text, clickouts and booking flag."""
     k = F.get_json_object("props", "$.k").cast("int")
@@ -241,6 +272,26 @@ def heatmap_trips(t: Tables) -> DataFrame:
                     (F.col("p_retailprice") * F.col("l_quantity")).alias("tariff_price")))
 
 
+# Centre of cell 0, distance of cells and half a cell in degrees; percent of the average tariff proposed as new price.
+CELL_ORIGIN, CELL_STEP, CELL_HALF, NEW_PRICE_PCT = ("55.5", "37.3"), "0.01", "0.005", 90
+
+
+def heatmap_table(fixed: DataFrame) -> DataFrame:
+    """The cell table a map reads: markups with centre, polygon (a square by the brand's number), district and proposed price."""
+    d = lambda x: F.lit(x).cast("decimal(10,4)")
+    n = F.regexp_extract("hexagon_id", r"(\d+)$", 1).cast("int").cast("decimal(10,4)")
+    lat, lon = ((d(o) + n * d(CELL_STEP)).cast("decimal(10,4)") for o in CELL_ORIGIN)
+    h = d(CELL_HALF)
+
+    def pt(x, y):
+        return F.concat(F.lit("["), x.cast("decimal(10,4)").cast("string"), F.lit(", "), y.cast("decimal(10,4)").cast("string"), F.lit("]"))
+    ring = F.concat_ws(", ", pt(lon - h, lat - h), pt(lon + h, lat - h), pt(lon + h, lat + h), pt(lon - h, lat + h), pt(lon - h, lat - h))
+    new_price = div_half_even(cents("price_tariff_rub_weighted") * NEW_PRICE_PCT, F.lit(10_000), 2)
+    return fixed.select("*", new_price.alias("price_tariff_rub_discounted"), lat.cast("double").alias("centre_lat"), lon.cast("double").alias("centre_lon"),
+                        F.concat(F.lit('{"type": "Polygon", "coordinates": [['), ring, F.lit("]]}")).alias("geojson_polygon"),
+                        F.concat(F.lit("okrug "), F.regexp_extract("hexagon_id", r"(\d)\d*$", 1)).alias("okrug_name"))
+
+
 def airports(t: Tables) -> DataFrame:
     """Airport markers; several rows per airport, the first (lowest nation key) wins."""
     return (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -263,11 +314,11 @@ def licence_lines(t: Tables) -> DataFrame:
 
 
 def licence_registry(t: Tables) -> DataFrame:
-    """Registry snapshot: every 20th licence twice (ambiguous), every 20th+1 absent."""
+    """Registry snapshot: every 20th licence twice (ambiguous), every 20th+1 under another number."""
+    other = F.when(F.col("s_suppkey") % 20 == 1, F.concat("s_name", F.lit("-old"))).otherwise(F.col("s_name"))
     base = (t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .where(F.col("s_suppkey") % 20 != 1)
             .select(F.col("s_suppkey"),
-                    F.col("s_name").alias("licence_number"),
+                    other.alias("licence_number"),
                     F.col("n_name").alias("holder_name"),
                     F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("s_suppkey").cast("int")),
                                   "dd/MM/yyyy").alias("expiry_date")))

@@ -15,8 +15,7 @@ def test_nulls_duplicates_dedupe(spark):
     dups = sorted(tuple(r) for r in K.duplicate_rows(df).collect())
     assert dups == [(1, "a", None), (1, "a", None), (2, None, 1.0)]   # NULLs compare equal
     assert K.dedupe(df).count() == 3
-    assert K.drop_any_null(df).count() == 1
-    assert K.fill_zero(df).where("z = 0").count() == 3
+    assert sorted(tuple(r) for r in K.duplicate_rows(df, step=1).collect()) == dups
 
 
 def test_describe_matches_pandas(spark):
@@ -29,15 +28,32 @@ def test_describe_matches_pandas(spark):
         assert ours == pytest.approx(p[theirs])
 
 
+@pytest.mark.parametrize("buckets", [1, 3, 1024])
+def test_quartiles_with_ties_and_nulls(spark, buckets):
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 5, 40, 333):
+        vals = [None if rng.random() < 0.1 else float(rng.integers(-20, 20)) ** 3 for _ in range(n)] + [7.0]
+        d = K.describe(spark.createDataFrame([(v,) for v in vals], "c double"), ["c"], buckets=buckets).first()
+        p = pd.Series([v for v in vals if v is not None]).describe()
+        assert (d.p25, d.p50, d.p75) == pytest.approx((p["25%"], p["50%"], p["75%"]))
+
+
+def test_text_range_and_head(spark):
+    df = spark.createDataFrame([("b", 2), (None, 1), ("a", 3)], "t string, n int")
+    assert tuple(K.text_range(df, ["t"]).first()) == ("t", "a", "b")
+    assert [r.n for r in K.head(df, 2, ["n"]).collect()] == [1, 2]
+
+
 def test_histogram_matches_numpy(spark):
     vals = [0, 0, 1, 0, 1, 1, 1, 0, 0, 0]
     df = spark.createDataFrame([(v,) for v in vals], "b int")
     got = {r.bin: r["count"] for r in K.histogram(df, "b", 10).collect()}
     counts, _ = np.histogram(vals, bins=10)
-    assert got == {i: int(c) for i, c in enumerate(counts) if c}
+    assert got == {i: int(c) for i, c in enumerate(counts)}
     const = spark.createDataFrame([(7,), (7,)], "b int")
     r = K.histogram(const, "b", 10).collect()
-    assert len(r) == 1 and r[0].bin_lower <= 7 <= r[0].bin_upper
+    assert len(r) == 10 and [x for x in r if x["count"]][0].bin_lower <= 7 <= [x for x in r if x["count"]][0].bin_upper
+    assert K.histogram(const.limit(0), "b", 10).count() == 0
 
 
 def test_profile_and_distinct(spark):

@@ -1,4 +1,6 @@
+import random
 from decimal import ROUND_HALF_EVEN, Decimal
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -37,6 +39,16 @@ def test_div_half_even_matches_decimal(spark):
     assert got == want
 
 
+def test_div_half_even_is_exact_on_large_sums(spark):
+    rng = random.Random(9)
+    cases = [(sign * rng.randint(10 ** (e - 1), 10 ** e), rng.choice([1, 2, 8, 300, 10_000, rng.randint(1, 10 ** 6)]))
+             for e in (14, 18, 20) for sign in (1, -1) for _ in range(300)]
+    cases = [(n, d if abs(n) // d < 10 ** 16 else 10 ** 5) for n, d in cases] + [(10 ** 14 * 2 + 1, 200), (10 ** 18 + 5, 1000)]
+    df = spark.createDataFrame([(Decimal(n), Decimal(d), i) for i, (n, d) in enumerate(cases)], "n decimal(30,0), d decimal(30,0), i int")
+    got = [r.q for r in df.select("i", X.div_half_even("n", "d", 2).alias("q")).orderBy("i").collect()]
+    assert got == [float(Fraction(round(Fraction(n * 100, d)), 100)) for n, d in cases]  # round() of a fraction is half-even
+
+
 def test_linear_colour_stops_and_clamp(spark):
     df = spark.createDataFrame([(-100.0,), (-60.0,), (0.0,), (60.0,), (99.0,), (-30.0,), (None,)], "v double")
     out = [r.c for r in df.select(X.linear_colour("v", -60.0, 60.0).alias("c")).collect()]
@@ -47,7 +59,7 @@ def test_linear_colour_stops_and_clamp(spark):
 
 def test_object_id_roundtrip(spark):
     df = spark.createDataFrame([("2019-01-01 00:00:00", 255)], "ts string, k long")
-    r = df.select(X.object_id_hex(F.col("ts").cast("timestamp"), "k").alias("id")).first()
+    r = df.select(X.object_id_hex(F.col("ts").cast("timestamp_ntz"), "k").alias("id")).first()
     assert r.id == "5c2aad80" + "00000000000000ff"
-    t = spark.range(1).select(X.object_id_time(F.lit(r.id)).alias("t"), X.object_id_bound("2019-01-01").alias("b")).first()
-    assert str(t.t) == "2019-01-01 00:00:00" and t.b == "5c2aad80" + "0" * 16
+    t = spark.range(1).select(X.object_id_day(F.lit(r.id)).alias("t"), X.object_id_bound(F.lit("2019-01-01")).alias("b")).first()
+    assert str(t.t) == "2019-01-01" and t.b == "5c2aad80" + "0" * 16

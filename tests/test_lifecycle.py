@@ -81,3 +81,13 @@ def test_state_rows_are_unique_per_passenger_month(spark):
     assert [(str(r.month), r.is_new, r.is_reactivated, r.is_churned) for r in st] == [
         ("2019-01-01", True, False, False), ("2019-02-01", False, False, True),
         ("2019-03-01", False, True, False), ("2019-04-01", False, False, True)]
+
+
+def test_two_first_ride_dates_do_not_repeat_churn_rows(spark):
+    import datetime as dt
+    d = dt.date(2019, 3, 5)
+    j = spark.createDataFrame([(1, 10, dt.datetime(2019, 3, 1), d), (1, 11, dt.datetime(2018, 1, 1), d), (1, 12, dt.datetime(2017, 1, 1), d)],
+                              "passenger_id long, journey_id long, passenger_first_completed_ts_loc timestamp_ntz, completed_dt_loc date")
+    got = sorted(tuple(r)[1:] for r in lifecycle.user_month_states(j, "2019-12-15").collect())
+    assert got == [(dt.date(2019, 3, 1), False, False, False, False), (dt.date(2019, 3, 1), True, False, False, False),
+                   (dt.date(2019, 4, 1), False, False, False, True)]

@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions.geometry import ring_lists
 from tessera.plans import licences as L
 from tessera.sources import files, sinks
 
@@ -17,7 +18,26 @@ def test_delimited_reader(spark, tmp_path):
         (2, "10:00:00", "10:05:00", 3, 0), (20170503000726, "23:59:30", "00:00:10", 0, 1)]
 
 
-def test_geojson_rings_and_bound(spark, tmp_path):
+@pytest.mark.parametrize("text", ["session;session_end_text;session_start_text;clickouts;booking\n2;a;b;3;0\n",
+                                  "session;session_start_text;session_end_text;clickouts;booking\n2;a;b;many;0\n"])
+def test_delimited_reader_refuses_other_headers_and_bad_fields(spark, tmp_path, text):
+    p = tmp_path / "bad.csv"
+    p.write_text(text)
+    with pytest.raises(Exception, match="(?i)header|malformed|parse"):
+        files.read_delimited(spark, str(p), files.SESSIONS_SCHEMA).collect()
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_document_reader(spark, tmp_path, fmt):
+    p = str(tmp_path / "docs")
+    rows = spark.createDataFrame([("a1", 1.5), ("b2", None)], "_id string, price double")
+    rows.write.format(fmt).save(p)
+    schema = spark.createDataFrame([], "_id string, price double, credit double").schema
+    got = files.read_documents(spark, p, schema, fmt).where("_id >= 'b'").collect()
+    assert [tuple(r) for r in got] == [("b2", None, None)]
+
+
+def test_geojson_rings(spark, tmp_path):
     doc = {"type": "FeatureCollection", "features": [
         {"type": "Feature", "properties": {"name": "a"},
          "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]], [[0.2, 0.2], [0.3, 0.2], [0.2, 0.3], [0.2, 0.2]]]}},
@@ -26,10 +46,11 @@ def test_geojson_rings_and_bound(spark, tmp_path):
     p = tmp_path / "zones.geojson"
     p.write_text(json.dumps(doc, indent=2))
     rings = files.read_zone_rings(spark, str(p))
-    got = files.collect_rings(rings)
-    assert got == [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)], [(5.0, 5.0), (6.0, 5.0), (6.0, 6.0), (5.0, 5.0)]]
-    with pytest.raises(ValueError):
-        files.collect_rings(rings, max_vertices=3)
+    assert ring_lists(rings) == [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)], [(5.0, 5.0), (6.0, 5.0), (6.0, 6.0), (5.0, 5.0)]]
+    doc["features"][1]["geometry"] = {"type": "MultiPolygon", "coordinates": [[[[5, 5], [6, 5], [6, 6], [5, 5]]]]}
+    p.write_text(json.dumps(doc))
+    with pytest.raises(Exception, match="must be a Polygon, found MultiPolygon"):
+        files.read_zone_rings(spark, str(p)).collect()
 
 
 def test_text_lines_licence_check(spark, tmp_path):
