@@ -1,4 +1,4 @@
-"""Benchmark: run every registered query at one scale factor and time it.
+"""Benchmark: run the analytics queries (or the named ones, corpus operators included) at one scale factor and time them.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [name ...]
 
@@ -13,26 +13,26 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tessera.catalog import QUERIES  # noqa: E402
+from tessera.catalog import QUERIES as CORE  # noqa: E402
 from tessera.session import build_session  # noqa: E402
 
 
 def main(argv):
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    names = argv or list(QUERIES)
+    import importlib
+
+    QUERIES = importlib.import_module("__spark_entry__").queries()
+    names = argv or list(CORE)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    scratch = tempfile.mkdtemp(prefix="tessera-bench-")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2, extra={
         "spark.driver.memory": "16g",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
-        "spark.local.dir": scratch,
         **({"spark.driver.extraJavaOptions": os.environ["BENCH_JAVA_OPTS"]} if os.environ.get("BENCH_JAVA_OPTS") else {}),
     })
     # warm the JVM (class loading, codegen caches) outside the timed section

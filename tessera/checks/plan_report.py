@@ -21,15 +21,16 @@ OPS = (
     ("bnlj", r"BroadcastNestedLoopJoin"),
     ("window", r"\bWindow \["),
     ("generate", r"\bGenerate "),
-    ("python", r"ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|MapInPandas"),
+    ("python", r"ArrowEvalPython|BatchEvalPython|FlatMapGroupsIn(?:Pandas|Arrow)|MapIn(?:Pandas|Arrow)"),
     ("reused", r"ReusedExchange|ReusedSubquery"),
 )
 
 
 def summarize(plan: str) -> dict:
-    body = plan.split("\n\n")[0] if "\n\n" in plan else plan
-    out = {k: len(re.findall(p, body)) for k, p in OPS}
-    out["pushed"] = sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", plan)))
+    """Counts of the final plan only: adaptive plans print their initial plan too, below that heading."""
+    final = re.sub(r"\+- == Initial Plan ==.*?(?=\n\S|\Z)", "", plan, flags=re.S)
+    out = {k: len(re.findall(p, final)) for k, p in OPS}
+    out["pushed"] = sorted(set(re.findall(r"PushedFilters: \[([^\]\n]+)\]", final)))
     return out
 
 
@@ -58,7 +59,7 @@ def main(argv):
     print("\n## Filters pushed into Parquet scans\n")
     for name, s in rows:
         if s["pushed"]:
-            print(f"* `{name}`: " + "; ".join(f"[{p}]" for p in s["pushed"][:4]))
+            print(f"* `{name}`: " + "; ".join(f"[{p}]" for p in s["pushed"]))
 
 
 if __name__ == "__main__":
