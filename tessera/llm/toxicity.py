@@ -26,7 +26,11 @@ from tessera.session import materialize
 #: Labelled rows that training reads at most; mined voters; fewest toxic rows of a voter; features of the classifier.
 SAMPLE, VOTERS, SUPPORT, FEATURES = 20_000, 150, 4, 600
 #: Standard deviations by which a feature of the classifier must be commoner in toxic rows than chance.
-GAIN = 6
+GAIN = 7.5
+#: Correlation beyond the classes from which two voters repeat each other.
+REPEAT = 0.6
+#: Share of the rows with a mined voter that must be toxic.
+PRECISION = 0.8
 THRESHOLD, PREFIXES = 0.5, (4, 5)
 #: Fixed voters: common insults (whole words) and patterns on the lower-cased text.
 LEXICON = ("idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless", "disgusting", "clown",
@@ -66,34 +70,49 @@ def with_features(rows: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 class LabelModel:
-    """Latent-class model of 0/1 votes: prior, firing rates by class, and shared-vote weights from correlations."""
+    """Latent-class model of voters that fire or stay silent: prior, firing rates by class, shared-vote weights from correlations.
+
+    The rates are fitted to fired and silent votes.  A posterior counts the
+    fired votes only (one more voter fires where all others are silent), so
+    that a short text with one insult is not outvoted by the voters it has no
+    room for.
+    """
 
     def __init__(self, rates1: np.ndarray, rates0: np.ndarray, prior: float):
         self.rates, self.prior, self.weight = np.stack([rates0, rates1]), prior, np.ones(len(rates1))
+        self.none = np.array([0.9, 0.1])
+
+    def _squash(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(x + math.log(self.prior / (1 - self.prior)), -50, 50)))
+
+    def _fired(self, votes: np.ndarray) -> np.ndarray:
+        return votes @ (self.weight * np.log(self.rates[1] / self.rates[0]))
+
+    def _fit_posterior(self, votes: np.ndarray) -> np.ndarray:
+        return self._squash(self._fired(votes) + (1 - votes) @ (self.weight * np.log((1 - self.rates[1]) / (1 - self.rates[0]))))
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        if not votes.shape[1]:
-            return np.full(len(votes), self.prior)
-        fired, silent = np.log(self.rates[1] / self.rates[0]), np.log((1 - self.rates[1]) / (1 - self.rates[0]))
-        x = math.log(self.prior / (1 - self.prior)) + votes @ (self.weight * (fired - silent)) + (self.weight * silent).sum()
-        return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
+        return self._squash(self._fired(votes) + ~votes.any(axis=1) * math.log(self.none[1] / self.none[0]))
 
     def correlations(self, votes: np.ndarray) -> np.ndarray:
         """Correlation of the votes that the classes do not explain."""
-        p = self.posterior(votes)[:, None]
+        p = self._fit_posterior(votes)[:, None]
         rest = votes - (p * self.rates[1] + (1 - p) * self.rates[0])
         size = np.sqrt((rest**2).mean(axis=0)) + 1e-12
         return (rest.T @ rest) / len(votes) / size / size[:, None]
 
     def fit(self, votes: np.ndarray, rounds: int = 30) -> "LabelModel":
         for step in range(rounds):
-            p = self.posterior(votes)
+            p = self._fit_posterior(votes)
             n1, n0 = p.sum(), (1 - p).sum()
             self.prior = float(np.clip((n1 + 1) / (n1 + n0 + 2), 1e-4, 0.5))
             self.rates = np.stack([((1 - p) @ votes + 0.1) / (n0 + 10), (p @ votes + 0.5) / (n1 + 1)])
             if step % 10 == 5 and votes.shape[1]:
                 c = np.abs(self.correlations(votes))
-                self.weight = 1 / np.maximum(1, np.where(c > 0.3, c, 0).sum(axis=1))
+                self.weight = 1 / np.maximum(1, np.where(c > REPEAT, c, 0).sum(axis=1))
+        silent = ~votes.any(axis=1)
+        p = self._fit_posterior(votes)
+        self.none = np.array([((1 - p) @ silent + 0.5) / ((1 - p).sum() + 1), (p @ silent + 0.5) / (p.sum() + 1)])
         return self
 
 
@@ -119,6 +138,13 @@ class ToxicityModel:
         return src.mapInArrow(run, kinds + "score double, predicted int")
 
 
+def sketch(size: int = 4):
+    """Hash of the smallest hashes among a row's long words: near copies of a training text mostly share it and count once."""
+    long = F.filter("f", lambda w: F.length(w) >= 9)
+    low = F.slice(F.sort_array(F.transform(long, lambda w: F.xxhash64(w))), 1, size)
+    return F.when(F.size(low) == size, F.xxhash64(low)).otherwise(F.xxhash64("f"))
+
+
 def mine_voters(rows: DataFrame, label: str, voters: int = VOTERS, support: int = SUPPORT) -> list[tuple[str, float, float]]:
     """(feature, rate on label 1, rate on label 0) of the features that tell label 1 best, by weight of evidence."""
     n1, n0 = rows.agg(F.coalesce(F.sum(label), F.lit(0)), F.coalesce(F.sum(1 - F.col(label)), F.lit(0))).first()
@@ -127,7 +153,9 @@ def mine_voters(rows: DataFrame, label: str, voters: int = VOTERS, support: int
     seen = rows.select(label, F.explode("f").alias("w")).groupBy("w").agg(F.sum(label).alias("a"), F.sum(1 - F.col(label)).alias("b"))
     r1, r0 = (F.col("a") + 0.5) / (n1 + 1), (F.col("b") + 0.5) / (n0 + 1)
     listed = F.col("w").isin([*LEXICON, *PATTERNS])
-    good = seen.where((F.col("a") >= support) & (F.log(r1 / r0) > 2) | listed & (r1 > r0)).select("w", r1.alias("r1"), r0.alias("r0"))
+    share, n = n1 / (n1 + n0), F.col("a") + F.col("b")
+    rare = (F.col("a") - share * n) / F.sqrt(n * share * (1 - share))  # standard deviations above chance
+    good = seen.where((F.col("a") >= support) & (rare >= 6) & (F.col("a") > PRECISION * n) | listed & (r1 > r0)).select("w", r1.alias("r1"), r0.alias("r0"))
     return [tuple(r) for r in good.orderBy(F.desc(F.col("r1") * F.log(F.col("r1") / F.col("r0"))), "w").limit(voters).collect()]
 
 
@@ -135,11 +163,13 @@ def fit(labelled: DataFrame, label: str, text_col: str = "text", voters: int = V
     """Model from bounded training rows (see ``training_rows`` of the quality classifier); null labels don't count.
 
     Labels choose the voters and their starting rates; the classifier sees the
-    label model's posteriors only.  Without rows of both labels every score is
+    label model's posteriors only.  Near copies among the training rows count
+    once: else every rare word of a text with many copies looked like evidence.
+    Without rows of both labels every score is
     the smoothed share of label 1.
     """
     rows = materialize(with_features(labelled.where(F.col(label).isNotNull()).select(F.col(label).cast("int").alias("label"), text_col), text_col)
-                       .withColumn("i", F.xxhash64("f")))
+                       .withColumn("i", F.xxhash64("f")).withColumn("_copy", sketch()).dropDuplicates(["label", "_copy"]).drop("_copy"))
     n, ones = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     prior = (ones + 1) / (n + 2)
     mined = mine_voters(rows, "label", voters, support)
@@ -166,6 +196,6 @@ def fit(labelled: DataFrame, label: str, text_col: str = "text", voters: int = V
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="f", outputCol="features", binary=True)
     pairs = soft.select("f", F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("w")))).alias("x"))
     train = vectors.transform(pairs.select("f", "x.label", "x.w").where("w > 1e-6"))
-    lr = LogisticRegression(weightCol="w", regParam=0.0001, elasticNetParam=0.0, maxIter=50, standardization=False).fit(train)
+    lr = LogisticRegression(weightCol="w", regParam=0.00001, elasticNetParam=0.0, maxIter=80, standardization=False).fit(train)
     weights = {w: float(c) for w, c in zip(vocabulary, lr.coefficients.toArray()) if c}
     return ToxicityModel(float(lr.intercept), weights, model, tuple(names))
