@@ -27,6 +27,8 @@ from tessera.session import materialize
 SAMPLE = 20_000
 TREES, DEPTH, LASSO, SEED = 12, 3, 0.0005, 7
 THRESHOLD = 0.7
+#: Partitions of the bounded training rows.
+PARTS = 6
 
 STATISTICS = {
     "log_words": lambda: F.log1p("_n"),
@@ -95,7 +97,7 @@ def fit(labelled: DataFrame, label: str, text_col: str = "text", trees: int = TR
     Without rows of both labels the score is the smoothed share of label 1.
     """
     names = list(STATISTICS)
-    train = materialize(with_statistics(labelled.where(F.col(label).isNotNull()), text_col).select(part(label).cast("double").alias("label"), "stats"))
+    train = materialize(with_statistics(labelled.where(F.col(label).isNotNull()), text_col).select(part(label).cast("double").alias("label"), "stats").repartition(PARTS))
     n, ones = train.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     prior = math.log((ones + 1) / (n - ones + 1))
     if not 0 < ones < n:
@@ -106,7 +108,7 @@ def fit(labelled: DataFrame, label: str, text_col: str = "text", trees: int = TR
     if not rules:
         return RuleModel(prior)
     hits = train.select("label", array_to_vector(F.array(*[rule(r).cast("double") for r in rules])).alias("features"))
-    lr = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=60, standardization=False).fit(hits)
+    lr = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=30, standardization=False).fit(hits)
     weights = lr.coefficients.toArray()
     return RuleModel(float(lr.intercept), [(r, float(w)) for r, w in zip(rules, weights) if abs(w) > 1e-6])
 

@@ -31,6 +31,8 @@ GAIN = 7.5
 REPEAT = 0.6
 #: Share of the rows with a mined voter that must be toxic.
 PRECISION = 0.8
+#: Partitions of the bounded training rows.
+PARTS = 6
 THRESHOLD, PREFIXES = 0.5, (4, 5)
 #: Fixed voters: common insults (whole words) and patterns on the lower-cased text.
 LEXICON = ("idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless", "disgusting", "clown",
@@ -169,7 +171,7 @@ def fit(labelled: DataFrame, label: str, text_col: str = "text", voters: int = V
     the smoothed share of label 1.
     """
     rows = materialize(with_features(labelled.where(F.col(label).isNotNull()).select(F.col(label).cast("int").alias("label"), text_col), text_col)
-                       .withColumn("i", F.xxhash64("f")).withColumn("_copy", sketch()).dropDuplicates(["label", "_copy"]).drop("_copy"))
+                       .withColumn("i", F.xxhash64("f")).withColumn("_copy", sketch()).dropDuplicates(["label", "_copy"]).drop("_copy").repartition(PARTS))
     n, ones = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     prior = (ones + 1) / (n + 2)
     mined = mine_voters(rows, "label", voters, support)
@@ -196,6 +198,6 @@ def fit(labelled: DataFrame, label: str, text_col: str = "text", voters: int = V
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="f", outputCol="features", binary=True)
     pairs = soft.select("f", F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("w")))).alias("x"))
     train = vectors.transform(pairs.select("f", "x.label", "x.w").where("w > 1e-6"))
-    lr = LogisticRegression(weightCol="w", regParam=0.00001, elasticNetParam=0.0, maxIter=80, standardization=False).fit(train)
+    lr = LogisticRegression(weightCol="w", regParam=0.00001, elasticNetParam=0.0, maxIter=40, standardization=False).fit(train)
     weights = {w: float(c) for w, c in zip(vocabulary, lr.coefficients.toArray()) if c}
     return ToxicityModel(float(lr.intercept), weights, model, tuple(names))
