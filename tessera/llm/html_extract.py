@@ -40,6 +40,7 @@ _TOKEN = re.compile(
     r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:\"[^\"]*\"|'[^']*'|[^>\"']|[\"'])*?(?:/>|>(?:.*?</(?P=raw)\s*>|.*\Z))"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
+_NAMED = re.compile(r"<(?:article|main)\b", re.I)
 #: A class such as "has-sidebar" describes the page around an element, not the element.
 AROUND = re.compile(r"(?:^|[\s_-])(?:has|with|without|no)(?:$|[\s_-])")
 _MARK = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -49,6 +50,7 @@ TEMPLATES = (
     "<body><div class='top'><ul><li><a>Home</a></li><li><a>News</a></li><li><a>About us</a></li></ul></div><div id=content>@@<h1>A walk along the river</h1><p>We left early and the fog still lay on the water when the first boats came past.</p><p>Nobody spoke until noon, and then only about the bread.</p>@@</div><div class='comments'><p>Great story, thanks!</p></div><div><a>Imprint</a> <a>Terms</a></div></body>",
     "<body><header><a>Site</a></header><table><tr><td><ul><li><a>One</a><li><a>Two</a><li><a>Three</a></ul></td><td>@@<h2>How to bake</h2><p>Mix the flour with water, add salt and wait for an hour.<p>Then heat the oven and bake until the crust is brown.@@</td></tr></table><footer>Copyright, all rights reserved</footer></body>",
     "<body><div><a>Log in</a> | <a>Register</a></div><main>@@<h1>Minutes</h1><p>The council met on Monday and agreed on the plan.</p><ul><li>The road is closed in May.</li><li>The bridge will be painted.</li></ul><blockquote>It took us long enough.</blockquote>@@</main><aside><h3>Also read</h3><ul><li><a>Budget</a></li><li><a>Schools</a></li></ul></aside></body>",
+    "<body><div id='nav'><ul><li><a>Start</a></li><li><a>Contact</a></li></ul></div><div class='text'>@@<h1>What to pack</h1><p>You will need little for two days:</p><ul><li>a warm coat and a hat</li><li>good shoes for wet paths</li><li>bread, cheese and <a>a map</a></li></ul><p>The huts sell the rest.</p><table><tr><td>Hut one</td><td>open all year</td></tr><tr><td>Hut two</td><td>closed in winter</td></tr></table><p>Have a good time, and write to us.</p>@@</div><div id='footer'><a>Imprint</a></div></body>",
     "<body><div class='cookie'><p>We use cookies.</p><button>Accept</button></div><section>@@<p>A short note on the weather, which was mild and dry for most of the week.</p>@@</section><form><input><label>Mail</label><button>Subscribe</button></form><div class='sidebar'><p>Popular posts</p><a>First</a><a>Second</a></div></body>",
 )
 
@@ -59,15 +61,17 @@ class Page:
     def __init__(self, source: str):
         self.tokens: list[tuple[str, str | None, bool]] = []
         open_aside: list[str] = []  # elements that are not part of an article, innermost last
-        links, heads, inside, marks = 0, 0, False, 0
+        links, heads, inside = 0, 0, False
+        named = bool(_NAMED.search(source))  # the page says where its article is: what stands outside is told apart
         self.article = [None, None, 0]  # first and last token inside <article>, number of them
         for m in _TOKEN.finditer(source):
             if (text := m["text"]) is not None:
                 drop = bool(open_aside) and not (heads and inside and open_aside == ["header"])
-                self.tokens.append((("gap" if inside else "aside") if drop else "link" if links else "word", text, drop))
+                feature = ("gap" if inside else "aside") if drop else "word" if inside else "out:word" if named else "link" if links else "word"
+                self.tokens.append((feature, text, drop))
                 continue
             if (name := m["name"]) is None:
-                self.tokens.append(("gap" if inside else "t:raw", None, False))
+                self.tokens.append(("gap" if inside else "out:tag" if named else "t:raw", None, False))
                 continue
             name, end = name.lower(), bool(m["end"])
             if name in ("article", "main"):
@@ -89,10 +93,11 @@ class Page:
                         pass
             elif name not in VOID and not m["attrs"].endswith("/") and (marked or open_aside and name in open_aside):
                 open_aside.append(name)
-            feature = f"t:{'/' if end else ''}{name if name in KNOWN else 'other'}"
-            skip = inside and (marked or open_aside)  # what an article element holds besides its text does not end the region
-            self.tokens.append(("gap" if skip else "t:marked" if marked else feature, None if name in INLINE else "", False))
-        # a heading opens and closes evenly; whatever is left open ends with the page
+            if inside:  # what an article element holds besides its text does not end the region
+                feature = "gap" if marked or open_aside else "in:tag"
+            else:
+                feature = "out:tag" if named else "t:marked" if marked else f"t:{'/' if end else ''}{name if name in KNOWN else 'other'}"
+            self.tokens.append((feature, None if name in INLINE else "", False))
 
     def text(self, first: int, last: int) -> str:
         """Text of tokens first to last: character references decoded, blocks joined by one space."""
@@ -124,7 +129,7 @@ def weights(counts: dict[str, tuple[float, float]]) -> dict[str, float]:
     for f, (a, b) in counts.items():
         odds = math.log((a + 1) / (n1 + 10)) - math.log((b + 1) / (n0 + 10))
         out[f] = max(0.5, min(3.0, odds)) if f == "word" else max(-4.0, min(-0.05, odds))
-    return {"word": 1.0, "link": -0.5, "aside": -1.0} | out | {"gap": 0.0}
+    return {"word": 1.0, "link": -0.5, "aside": -1.0, "out:word": -1.0, "out:tag": -1.0, "in:tag": -0.05} | out | {"gap": 0.0}
 
 
 def count_features(page: Page, first: int, last: int) -> Counter:

@@ -296,7 +296,7 @@ def test_packed_rows_hold_every_token_once(spark):
 
 # ---- 7 HTML -------------------------------------------------------------------------
 
-WEIGHT = {"word": 1.0, "link": -0.5, "aside": -1.0, "t:other": -0.5, "t:marked": -3.0, "t:raw": -2.0, "t:p": -0.2, "t:/p": -0.2, "t:div": -1.0, "t:li": -1.0, "t:a": -1.0, "gap": 0.0}
+WEIGHT = {"word": 1.0, "link": -0.5, "aside": -1.0, "t:other": -0.5, "t:marked": -3.0, "t:raw": -2.0, "t:p": -0.2, "t:/p": -0.2, "t:div": -1.0, "t:li": -1.0, "t:a": -1.0, "gap": 0.0, "in:tag": -0.05, "out:word": -1.0, "out:tag": -1.0}
 
 
 @pytest.mark.parametrize("page,text", [
@@ -305,6 +305,7 @@ WEIGHT = {"word": 1.0, "link": -0.5, "aside": -1.0, "t:other": -0.5, "t:marked":
     ("<article><p>keep this text please</p><aside>not this</aside><div class='comments'><p>nor this one</p></div><p>and keep this</p></article>", "keep this text please and keep this"),
     ("<div class=menu><a>x</a> <a>y</a></div><div><p>the story goes on and on for long</p></div><script>var a='<p>no</p>';</script><div id=footer>c</div>", "the story goes on and on for long"),
     ("<article>a < b and c > d &lt;p&gt; end of it</article>", "a < b and c > d <p> end of it"),
+    ("<p>long text in front of the article here</p><main><p>short</p><ul><li>list <a>of</a></li><li>items</li></ul><p>end</p></main><p>and behind it as well</p>", "short list of items end"),
     ("<article><p>unclosed <i>tags and <!-- gone --> words", "unclosed tags and words"),
 ])
 def test_main_text_of_small_pages(page, text):
