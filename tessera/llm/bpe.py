@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 
 #: Characters of a text that one task encodes at once; of a run without white space before it is halved; words kept by a worker.
-SEGMENT, RUN, CACHE = 32768, 4096, 200_000
+SEGMENT, RUN, CACHE = 32768, 4096, 500_000
 _TIGHT = re.compile(r" (?=\s)|(?<=\s) |\A | \Z")
 
 
@@ -54,6 +54,7 @@ class Codec:
         self.bytes = [b""] * self.lib.get_vocab_size()
         for token, i in self.lib.get_vocab().items():
             self.bytes[i] = token.encode() if token in self.special else bytes(letters[c] for c in token)
+        self.size = np.array([len(b) for b in self.bytes], np.int64)
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.words: dict[str, bytes] = {}
 
@@ -84,12 +85,21 @@ class Codec:
             known.clear()
             new = list(set(words))
         long = [w for w in new if len(w) > RUN]
-        short = [w for w in new if len(w) <= RUN]
-        for w, e in zip(short, self.lib.encode_batch_fast(short, add_special_tokens=False)):
-            known[w] = np.array(e.ids, "<u4").tobytes()
+        self.learn([w for w in new if len(w) <= RUN and w[0] == " "])
+        if head not in known and len(head) <= RUN:
+            known[head] = self.library(head).tobytes()
         own = {w: self.run(w) for w in long}
         return b"".join(map(known.__getitem__, words) if not own else [own[w] if w in own else known[w] for w in words])
 
+    def learn(self, words: list[str]) -> None:
+        """Encodes new words, each with its blank in front, as one text and tells their ids apart by their bytes."""
+        for at in range(0, len(words), 10_000):
+            part = words[at:at + 10_000]
+            ids = np.array(self.lib.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(w.encode()) for w in part])) + 1
+            raw = ids.tobytes()
+            self.words.update(zip(part, [raw[4 * a:4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]))
+
     def library(self, text: str) -> np.ndarray:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4")
 
@@ -118,9 +128,7 @@ class Codec:
 
     def at_byte(self, ids: np.ndarray, n: int) -> int:
         """Tokens that make up the first n bytes; both sides have a token border there."""
-        size = np.fromiter(map(len, map(self.bytes.__getitem__, ids.tolist())), np.int64, len(ids))
-        i = int(np.searchsorted(np.cumsum(size), n, "left")) + 1 if n else 0
-        return i
+        return int(np.searchsorted(np.cumsum(self.size[ids]), n, "left")) + 1 if n else 0
 
     def grow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Joins the encodings of two parts of one word by growing windows of tokens."""
