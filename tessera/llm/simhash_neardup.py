@@ -14,7 +14,9 @@ the whole distance with radius 4 prunes next to nothing.  The forest therefore
 has one tree for each of several bands of bits, measured by the Hamming
 distance on that band, with band radii r_i such that sum(r_i + 1) exceeds the
 bit budget: a pair within the budget is within r_i on some band i (pigeonhole),
-so the search stays exact.  ``BAND_RADII = (1, 1, 0)`` covers 4 bits.
+so the search stays exact.  A tree of radius 1 deals a fingerprint to about
+1.4 times as many shards with every level, one of radius 0 to one shard; the
+default ``BAND_RADII = (1, 0, 0, 0)`` on bands of 16 bits covers 4 bits.
 """
 
 from __future__ import annotations
@@ -27,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import connected_components, row_key
+from tessera.llm.common import connected_components, part, row_key, tuck
 from tessera.session import materialize
 
 SHINGLE_WORDS, MAX_BITS = 4, 4
-BAND_RADII = (1, 1, 0)
+BAND_RADII = (1, 0, 0, 0)
 #: Fingerprints read by the driver to place vantage points; home fingerprints a leaf should hold; most rows of one search task.
-SAMPLE, LEAF, CELL = 16384, 2048, 16384
+SAMPLE, LEAF, CELL = 16384, 4096, 65536
 
 
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -219,10 +221,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows without id come after all others, ties are broken by a hash of the
     text, and of rows equal in id and text one stays.
     """
-    key = row_key(id_col, text_col)
-    keyed = materialize(fingerprints(docs.withColumn("_key", key), [id_col, "_key"], text_col, shingle_words))
+    rows = tuck(docs).withColumn("_key", row_key(f"_row.`{id_col}`", f"_row.`{text_col}`"))
+    plain = rows.select(part(id_col).alias("_id"), "_key", part(text_col).alias("_text"))
+    keyed = materialize(fingerprints(plain, ["_id", "_key"], "_text", shingle_words))
     groups = fingerprint_groups(keyed, max_bits, **search)
-    rank = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("d"), F.col("_key").alias("k"))
+    rank = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("d"), F.col("_key").alias("k"))
     first = keyed.groupBy("fp").agg(F.min(rank).alias("r"))
     stay = first.join(groups, "fp").groupBy("root").agg(F.min("r").alias("r")).select(F.col("r.k").alias("_key"))
-    return docs.withColumn("_key", key).join(stay, "_key").dropDuplicates(["_key"]).select(*docs.columns)
+    return rows.join(stay, "_key").dropDuplicates(["_key"]).select("_row.*")
