@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,15 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(id_col), F.col(id_col).isNull(), F.col(text_col), F.col(text_col).isNull())
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, however often it is used.
+
+    Filters move below projections and take copies of their columns along; a
+    lambda's argument is not copied.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def tuck(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as one struct column ``_row``, so that no added column can clash with theirs."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))

@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import part, tuck, untuck
+from tessera.llm.common import let, part, tuck, untuck
 from tessera.llm.line_quality import SPACE, SYMBOLS, words
 from tessera.session import materialize
 
@@ -30,25 +30,32 @@ THRESHOLD = 0.7
 #: Partitions of the bounded training rows.
 PARTS = 6
 
+def _share(part: Column, whole: Column) -> Column:
+    return part / F.greatest(whole, F.lit(1))
+
+
+#: Statistics of d: text t, words w, lines l, n words and their c characters.
 STATISTICS = {
-    "log_words": lambda: F.log1p("_n"),
-    "word_length": lambda: F.col("_chars") / F.greatest("_n", F.lit(1)),
-    "distinct_words": lambda: F.size(F.array_distinct("_w")) / F.greatest("_n", F.lit(1)),
-    "upper": lambda: F.regexp_count("_t", F.lit(r"\p{Lu}")) / F.greatest("_chars", F.lit(1)),
-    "digits": lambda: F.regexp_count("_t", F.lit("[0-9]")) / F.greatest("_chars", F.lit(1)),
-    "symbols": lambda: F.regexp_count("_t", F.lit(SYMBOLS)) / F.greatest("_n", F.lit(1)),
-    "shouts": lambda: F.regexp_count("_t", F.lit("[!?]{2,}")) / F.greatest("_n", F.lit(1)),
-    "sentences": lambda: F.regexp_count("_t", F.lit(r"[.!?](?=\s|$)")) / F.greatest("_n", F.lit(1)),
-    "repeated_lines": lambda: 1 - F.size(F.array_distinct("_l")) / F.size("_l"),
-    "line_words": lambda: F.log1p(F.col("_n") / F.size("_l")),
+    "log_words": lambda d: F.log1p(d["n"]),
+    "word_length": lambda d: _share(d["c"], d["n"]),
+    "distinct_words": lambda d: _share(F.size(F.array_distinct(d["w"])), d["n"]),
+    "upper": lambda d: _share(F.regexp_count(d["t"], F.lit(r"\p{Lu}")), d["c"]),
+    "digits": lambda d: _share(F.regexp_count(d["t"], F.lit("[0-9]")), d["c"]),
+    "symbols": lambda d: _share(F.regexp_count(d["t"], F.lit(SYMBOLS)), d["n"]),
+    "shouts": lambda d: _share(F.regexp_count(d["t"], F.lit("[!?]{2,}")), d["n"]),
+    "sentences": lambda d: _share(F.regexp_count(d["t"], F.lit(r"[.!?](?=\s|$)")), d["n"]),
+    "repeated_lines": lambda d: 1 - F.size(F.array_distinct(d["l"])) / F.size(d["l"]),
+    "line_words": lambda d: F.log1p(d["n"] / F.size(d["l"])),
 }
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(_row, stats): the tucked rows of ``docs`` and a struct of statistics; null texts count as empty, whose shares are zero."""
-    df = tuck(docs).withColumn("_t", F.coalesce(part(text_col), F.lit(""))).withColumn("_w", words(F.col("_t"))).withColumns({
-        "_n": F.size("_w"), "_chars": F.length("_t") - F.regexp_count("_t", F.lit(SPACE)), "_l": F.split("_t", "\n")})
-    return df.select("_row", F.struct(*[f().cast("double").alias(k) for k, f in STATISTICS.items()]).alias("stats"))
+def statistics(text: Column) -> Column:
+    """Struct of the statistics of a text; null texts count as empty, whose shares are zero."""
+    cut = lambda t: F.struct(t.alias("t"), words(t).alias("w"), F.split(t, "\n").alias("l"))
+    count = lambda d: F.struct(d["t"].alias("t"), d["w"].alias("w"), d["l"].alias("l"), F.size(d["w"]).alias("n"),
+                               (F.length(d["t"]) - F.regexp_count(d["t"], F.lit(SPACE))).alias("c"))
+    every = lambda d: F.struct(*[f(d).cast("double").alias(k) for k, f in STATISTICS.items()])
+    return let(F.coalesce(text, F.lit("")), lambda t: let(cut(t), lambda d: let(count(d), every)))
 
 
 Condition = tuple[str, bool, float]  # statistic, whether at most, threshold
@@ -61,17 +68,17 @@ class RuleModel:
     intercept: float
     rules: list[tuple[tuple[Condition, ...], float]] = field(default_factory=list)
 
-    def score(self, stats: str = "stats") -> Column:
+    def score(self, stats: Column) -> Column:
         total = F.lit(self.intercept)
         for conditions, weight in self.rules:
             total = total + F.when(rule(conditions, stats), F.lit(weight)).otherwise(0.0)
         return 1 / (1 + F.exp(-total))
 
 
-def rule(conditions: tuple[Condition, ...], stats: str = "stats") -> Column:
+def rule(conditions: tuple[Condition, ...], stats: Column) -> Column:
     out = None
     for name, at_most, cut in conditions:
-        c = F.col(f"{stats}.{name}")
+        c = stats[name]
         c = c <= cut if at_most else c > cut
         out = c if out is None else out & c
     return out
@@ -97,7 +104,7 @@ def fit(labelled: DataFrame, label: str, text_col: str = "text", trees: int = TR
     Without rows of both labels the score is the smoothed share of label 1.
     """
     names = list(STATISTICS)
-    train = materialize(with_statistics(labelled.where(F.col(label).isNotNull()), text_col).select(part(label).cast("double").alias("label"), "stats").repartition(PARTS))
+    train = materialize(labelled.where(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("label"), statistics(F.col(text_col)).alias("stats")).repartition(PARTS))
     n, ones = train.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     prior = math.log((ones + 1) / (n - ones + 1))
     if not 0 < ones < n:
@@ -107,7 +114,7 @@ def fit(labelled: DataFrame, label: str, text_col: str = "text", trees: int = TR
     rules = sorted(set().union(*(paths(t.toDebugString, names) for t in forest.trees)))
     if not rules:
         return RuleModel(prior)
-    hits = train.select("label", array_to_vector(F.array(*[rule(r).cast("double") for r in rules])).alias("features"))
+    hits = train.select("label", array_to_vector(F.array(*[rule(r, F.col("stats")).cast("double") for r in rules])).alias("features"))
     lr = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=30, standardization=False).fit(hits)
     weights = lr.coefficients.toArray()
     return RuleModel(float(lr.intercept), [(r, float(w)) for r, w in zip(rules, weights) if abs(w) > 1e-6])
@@ -135,5 +142,5 @@ def accepted(docs: DataFrame, model: RuleModel, text_col: str = "text", threshol
 
 
 def scored(docs: DataFrame, model: RuleModel, text_col: str, threshold: float) -> DataFrame:
-    rows = with_statistics(docs, text_col).withColumn("score", model.score())
+    rows = tuck(docs).withColumn("score", let(statistics(part(text_col)), model.score))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
