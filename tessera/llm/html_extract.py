@@ -152,7 +152,9 @@ def learn(pages: DataFrame, html_col: str = "html", order: tuple[str, ...] = ("p
         yield pa.RecordBatch.from_pydict({"f": [k[0] for k in total], "inside": [k[1] for k in total], "n": [float(v) for v in total.values()]},
                                          schema=pa.schema([("f", pa.string()), ("inside", pa.bool_()), ("n", pa.float64())]))
 
-    picked = pages.where(F.lower(html_col).contains("<article")).orderBy(F.xxhash64(*order)).limit(sample).select(html_col)
+    named = pages.where(F.lower(html_col).contains("<article")).select(html_col, F.xxhash64(*order).alias("_h"))
+    first = named.select("_h").orderBy("_h").limit(sample).distinct()  # hashes only: no task gathers pages
+    picked = named.join(F.broadcast(first), "_h", "left_semi").select(html_col)
     rows = picked.mapInArrow(run, "f string, inside boolean, n double").groupBy("f", "inside").agg(F.sum("n").alias("n")).collect()
     counts: dict[str, list[float]] = {}
     for r in rows:
