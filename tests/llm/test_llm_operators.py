@@ -254,6 +254,21 @@ def test_passage_in_a_hot_group_and_far_beyond_its_seeds(spark):
     assert len(rows) == 39  # links to the first holder, not all pairs
 
 
+@pytest.mark.parametrize("gap", [15, 20, 30, 43])
+def test_passages_of_one_chain_are_all_reported(spark, gap):
+    one, two = prose(60, 501), prose(70, 502)
+    rows = [(1, " ".join([prose(20, 1), one, prose(gap, 2), two, prose(20, 3)]), "en", "a", 0), (2, " ".join([prose(30, 4), one, prose(gap, 5), two, prose(9, 6)]), "en", "a", 0)]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r["doc_id"], r["start_word"], r["n_words"], r["source_start_word"], r["similarity"]) for r in got) == [(2, 30, 60, 20, 1.0), (2, 90 + gap, 70, 80 + gap, 1.0)]
+
+
+def test_stretches_of_an_alignment():
+    own = lambda *runs: substring_dedup._stretches(list(runs), 4, 50)
+    assert own((0, 0, 60), (70, 70, 60)) == [(0, 2)] and own((0, 0, 60), (73, 73, 50)) == [(0, 1), (1, 2)]
+    assert own((0, 0, 30), (37, 37, 28)) == [(0, 2)] and own((0, 0, 10), (15, 15, 44)) == [(0, 2)]  # short ones that make 50 words at 0.8 together
+    assert own((0, 0, 30), (60, 60, 30)) == [(0, 1), (1, 2)] and own() == []
+
+
 # ---- 6 packing ----------------------------------------------------------------------
 
 def test_best_fit_takes_the_fullest_row_that_fits():
