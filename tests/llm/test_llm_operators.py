@@ -269,6 +269,17 @@ def test_stretches_of_an_alignment():
     assert own((0, 0, 30), (60, 60, 30)) == [(0, 1), (1, 2)] and own() == []
 
 
+@pytest.mark.parametrize("period,first,second", [(1, 60, 60), (3, 20, 20), (6, 10, 10), (6, 10, 25), (9, 7, 7), (14, 5, 9)])
+def test_passage_that_repeats_within_itself(spark, period, first, second):
+    line = prose(period, 504).split()
+    rows = [(1, " ".join([prose(33, 1), *line * first, prose(21, 2)]), "en", "a", 0), (2, " ".join([prose(18, 3), *line * second, prose(40, 4)]), "en", "a", 0)]
+    covered = np.zeros(18 + period * second + 40, bool)
+    for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, DOCS)).collect():
+        assert r["doc_id"] == 2 and r["similarity"] >= 0.8
+        covered[r["start_word"]:r["start_word"] + r["n_words"]] = True
+    assert covered[18:18 + period * second].all() and covered.sum() == period * second
+
+
 # ---- 6 packing ----------------------------------------------------------------------
 
 def test_best_fit_takes_the_fullest_row_that_fits():
