@@ -280,6 +280,20 @@ def test_passage_that_repeats_within_itself(spark, period, first, second):
     assert covered[18:18 + period * second].all() and covered.sum() == period * second
 
 
+@pytest.mark.parametrize("edits,least", [(5, 1.0), (7, 1.0), (10, 0.95)])
+def test_seeds_find_fuzzy_passages(edits, least):
+    rng = np.random.default_rng(edits)
+    hits = 0
+    for _ in range(300):
+        a, b = (rng.integers(0, 1 << 63, 150).astype(np.uint64) for _ in "ab")
+        b[50:100] = a[50:100]
+        at = 50 + rng.choice(np.arange(1, 49), edits, replace=False)
+        b[at] = rng.integers(0, 1 << 63, edits).astype(np.uint64)
+        common = np.intersect1d(*(substring_dedup.seeds_of(w, substring_dedup.K, substring_dedup.WINDOW)[0] for w in (a, b)))
+        hits += len(common) >= substring_dedup.MIN_SEEDS
+    assert hits >= least * 300
+
+
 # ---- 6 packing ----------------------------------------------------------------------
 
 def test_best_fit_takes_the_fullest_row_that_fits():
