@@ -269,6 +269,14 @@ def test_stretches_of_an_alignment():
     assert own((0, 0, 30), (60, 60, 30)) == [(0, 1), (1, 2)] and own() == []
 
 
+def test_passage_whose_pieces_stand_in_earlier_documents(spark):
+    w = prose(60, 503).split()
+    parts = [(1, w[:30]), (2, w[30:]), (3, w[:49]), (4, w[11:]), (8, w), (9, w)]
+    rows = [(i, " ".join([prose(40, 10 + i), *p, prose(25, 30 + i)]), "en", "a", 0) for i, p in parts]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, DOCS)).collect()
+    assert [(r["start_word"], r["n_words"], r["similarity"]) for r in got if (r["doc_id"], r["source_doc_id"]) == (9, 8)] == [(40, 60, 1.0)]
+
+
 @pytest.mark.parametrize("period,first,second", [(1, 60, 60), (3, 20, 20), (6, 10, 10), (6, 10, 25), (9, 7, 7), (14, 5, 9)])
 def test_passage_that_repeats_within_itself(spark, period, first, second):
     line = prose(period, 504).split()
