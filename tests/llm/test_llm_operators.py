@@ -288,6 +288,12 @@ def test_passage_that_repeats_within_itself(spark, period, first, second):
     assert covered[18:18 + period * second].all() and covered.sum() == period * second
 
 
+def test_equal_links_make_one_chain(spark):
+    links = spark.createDataFrame([(2, 1, p, p + 9) for p in (4, 4, 8, 12, 12, 300, 300)], "rid long, src long, pos int, at int")
+    got = substring_dedup.chains(links, 5, 0.05, 1, 50).collect()
+    assert sorted(tuple(r) for r in got) == [(2, 1, 4, 17, 13, 26), (2, 1, 300, 305, 309, 314)]
+
+
 @pytest.mark.parametrize("edits,least", [(5, 1.0), (7, 1.0), (10, 0.95)])
 def test_seeds_find_fuzzy_passages(edits, least):
     rng = np.random.default_rng(edits)
