@@ -4,10 +4,13 @@ Token counts per (source, language, topic) cell are one aggregate with map-side
 partials, so a source that holds a third of all rows is one partial row a task.
 Categories without a target share one rest category, so the cells are bounded
 by the target tables, not by the data.  Raking scales the cells to each
-marginal in turn until all agree; a cell's probability is its scale over the
-largest scale, so kept tokens meet the targets in expectation and no document
-is repeated.  A document stays if a hash of its id is below its probability:
-the same rows give the same sample however they are partitioned.
+marginal in turn until all agree; a cell's expected copies are its scale times
+the share of tokens to keep.  That share is the one at which no document is
+repeated, but ``KEEP`` at least: a rare cell does not set the size of the
+sample, its documents are repeated, up to ``REPEATS`` times.  Kept tokens meet
+the targets in expectation unless a cell runs out of repeats (a warning tells).
+The part of a copy is decided by a hash of the document's id: the same rows
+give the same sample however they are partitioned.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from tessera.llm.common import WORD, part, tuck, untuck
 REST = "other"
 SEED = "mix-1"
 TOLERANCE, ROUNDS = 1e-10, 10_000
+#: Least share of the tokens that the sample has; most copies of a document.
+KEEP, REPEATS = 0.25, 4
 #: Topics by what a text holds, first match counts; fixed patterns.
 TOPICS = {
     "licence": r"(?i)\blicen[cs]ed?\b|\bcopyright\b",
@@ -89,11 +94,14 @@ def rake(tokens: Mapping[tuple[str, ...], float], targets: Mapping[str, Mapping[
 
 
 def probabilities(celled: DataFrame, targets: Mapping[str, Mapping[str, float]]) -> dict[tuple[str, ...], float]:
-    """Probability of each cell: its scale over the largest one.  At most one row per combination of target categories reaches the driver."""
+    """Expected copies of a document of each cell.  At most one row per combination of target categories reaches the driver."""
     counts = celled.groupBy("cell").agg(F.sum("n_tokens").alias("n")).collect()
     scale, _ = rake({tuple(r["cell"]): float(r["n"] or 0) for r in counts}, targets)
     top = max(scale.values(), default=0.0)
-    return {c: s / top if top else 0.0 for c, s in scale.items()}
+    keep = max(1 / top, KEEP) if top else 0.0
+    if keep * top > REPEATS:
+        warnings.warn(f"{sum(s * keep > REPEATS for s in scale.values())} cells have too few tokens for their targets, also with {REPEATS} copies of each document", stacklevel=2)
+    return {c: min(s * keep, float(REPEATS)) for c, s in scale.items()}
 
 
 def unit_hash(ident: Column, text: Column, seed: str = SEED) -> Column:
@@ -103,18 +111,20 @@ def unit_hash(ident: Column, text: Column, seed: str = SEED) -> Column:
 
 
 def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``topic``, ``n_tokens``, ``probability`` and ``kept``; input columns of these names give way.
+    """``docs`` with ``topic``, ``n_tokens``, ``probability``, ``kept`` and ``copies``; input columns of these names give way.
+
+    ``probability`` is the expected number of copies, above one in rare cells.
 
     Rows without words have weight zero; they share the probability of their
     cell, which is zero if the whole cell is without words.  Rows equal in id
     share their fate.  An empty table stays empty.
     """
-    return untuck(weighed(docs, targets, id_col, text_col), docs.columns, "topic", "n_tokens", "probability", "kept")
+    return untuck(weighed(docs, targets, id_col, text_col), docs.columns, "topic", "n_tokens", "probability", "kept", "copies")
 
 
 def sample(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the mix keeps, all columns as they are."""
-    return weighed(docs, targets, id_col, text_col).where("kept").select("_row.*")
+    """The rows of ``docs`` that the mix keeps, each as often as it has copies, all columns as they are."""
+    return weighed(docs, targets, id_col, text_col).where("kept").select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("_row.*")
 
 
 def weighed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]], id_col: str, text_col: str) -> DataFrame:
@@ -124,4 +134,6 @@ def weighed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]], id_col:
     table = docs.sparkSession.createDataFrame([("\x1f".join(c), p) for c, p in chance.items()] or [("", 0.0)], "_cell string, _p double")
     joined = celled.withColumn("_cell", name).join(F.broadcast(table), "_cell", "left")  # bounded by the target tables
     return (joined.withColumn("probability", F.coalesce("_p", F.lit(0.0)))
-            .withColumn("kept", unit_hash(part(id_col), part(text_col)) < F.col("probability")))
+            .withColumn("_u", unit_hash(part(id_col), part(text_col)))
+            .withColumn("kept", F.col("_u") < F.col("probability"))
+            .withColumn("copies", (F.floor("probability") + (F.col("_u") < F.col("probability") - F.floor("probability")).cast("int")).cast("int")))

@@ -18,7 +18,7 @@ def op1_topk_search(spark, sf_dir):
 
 
 def op2_mixing(spark, sf_dir):
-    return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "kept")
+    return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "kept", "copies")
 
 
 def op3_simhash_neardup(spark, sf_dir):

@@ -115,6 +115,19 @@ def test_mix_keeps_rows_by_a_hash_of_their_id(spark, edge, empty):
     assert set(clash.columns) == {*edge.columns, *CLASHES} and {r["topic"] for r in clash.collect()} <= {"mine"}
 
 
+def test_one_rare_row_does_not_empty_the_mix(spark):
+    rows = [(i, "one two three", "en", f"src{i % 4}", 0) for i in range(8000)]
+    targets = {"source": {**{f"src{i}": 1.0 for i in range(4)}, mixing.REST: 1.0}}
+    with pytest.warns(UserWarning, match="too few tokens"):
+        got = mixing.mix(spark.createDataFrame(rows + [(9999, "one two three", "en", None, 0)], DOCS), targets).collect()
+    copies = Counter()
+    for r in got:
+        assert r["kept"] == (r["copies"] > 0) and r["copies"] <= mixing.REPEATS
+        copies[r["source"]] += r["copies"]
+    assert copies[None] == mixing.REPEATS and sum(copies.values()) > 0.15 * len(rows)
+    assert mixing.sample(spark.createDataFrame(rows[:40] + [(9999, "four", "en", None, 0)], DOCS), targets).where("doc_id = 9999").count() == 4
+
+
 # ---- 3 SimHash ----------------------------------------------------------------------
 
 def brute_groups(fps, bits):
