@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tessera.llm import (bpe, html_extract, line_quality, mixing, packing, quality_classifier, simhash_neardup,
-                         substring_dedup, topk_search, toxicity)
+                         substring_dedup, topk_search, toxicity, whitening)
 from tessera.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,8 +65,12 @@ def op10_line_quality(spark, sf_dir):
     return line_quality.clean_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "cleaned")
 
 
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_topk_search, op2_mixing, op3_simhash_neardup, op4_bpe, op5_substring_dedup, op6_packing, op7_html_extract,
-    op8_quality_classifier, op9_toxicity, op10_line_quality)}
+    op8_quality_classifier, op9_toxicity, op10_line_quality, op12_whitening)}
 
 ORACLE = {"op1_topk_search": topk_search.ORACLE, "op10_line_quality": line_quality.ORACLE}
