@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import (bpe, html_extract, line_quality, mixing, packing, quality_classifier, simhash_neardup,
-                         substring_dedup, topk_search, toxicity, whitening)
+from tessera.llm import (bpe, html_extract, line_quality, mixing, packing, prefix_forest, quality_classifier,
+                         simhash_neardup, substring_dedup, topk_search, toxicity, whitening)
 from tessera.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,8 +69,13 @@ def op12_whitening(spark, sf_dir):
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_forest(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return prefix_forest.neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_topk_search, op2_mixing, op3_simhash_neardup, op4_bpe, op5_substring_dedup, op6_packing, op7_html_extract,
-    op8_quality_classifier, op9_toxicity, op10_line_quality, op12_whitening)}
+    op8_quality_classifier, op9_toxicity, op10_line_quality, op12_whitening, op13_prefix_forest)}
 
 ORACLE = {"op1_topk_search": topk_search.ORACLE, "op10_line_quality": line_quality.ORACLE}
