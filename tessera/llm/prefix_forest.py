@@ -283,6 +283,9 @@ def neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", v
     used = tuple(sorted(r.level for r in runs.select("level").distinct().collect()))
     cell = F.xxhash64("dim", "tree", "level", "node", "part", "col").alias("cell")  # two cells of one hash would share their candidates
 
+    if not used:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
     def dealt(side, own, other, all_of):
         placed = side.join(runs, ["dim", "tree", "level", "node"])
         mine = F.pmod(F.xxhash64(F.col("id"), F.lit(own)), F.col("parts" if own == "part" else "cols")).cast("int")

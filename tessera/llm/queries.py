@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import (bpe, html_extract, line_quality, mixing, packing, prefix_forest, quality_classifier,
+from tessera.llm import (bpe, html_extract, line_quality, mixing, packing, periodic_runs, prefix_forest, quality_classifier,
                          simhash_neardup, substring_dedup, topk_search, toxicity, whitening)
-from tessera.llm.common import read_table
+from tessera.llm.common import WORD, let, read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -65,6 +65,34 @@ def op10_line_quality(spark, sf_dir):
     return line_quality.clean_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "cleaned")
 
 
+def repeating(docs):
+    """(doc_id, text): documents whose hashed id ends in 0 repeat the words of their end, as the contract of op11 plants them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def planted(words):
+        n = F.size(words)
+        g = F.floor(h / 10)
+        a = F.pmod(g, n)
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
+        return F.when(n > 0, let(F.struct(a.cast("int").alias("a"), p.cast("int").alias("p")), lambda v: F.array_join(F.transform(
+            words, lambda w, i: F.when(i >= v["a"], F.get(words, v["a"] + F.pmod(i - v["a"], v["p"]))).otherwise(w)), " ")))
+
+    repeated = let(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), planted)
+    return docs.select("doc_id", F.when(F.pmod(h, F.lit(10)) == 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs.periodic_runs(repeating(read_table(spark, sf_dir, "documents")), ["doc_id"])
+    # greatest length / period; the earlier run (smaller start, then period) stays on ties
+    best = F.reduce("runs", F.lit(None).cast("struct<start:long,length:long,period:long>"), lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
+    return (found.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                    F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
 def op12_whitening(spark, sf_dir):
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
@@ -76,6 +104,6 @@ def op13_prefix_forest(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_topk_search, op2_mixing, op3_simhash_neardup, op4_bpe, op5_substring_dedup, op6_packing, op7_html_extract,
-    op8_quality_classifier, op9_toxicity, op10_line_quality, op12_whitening, op13_prefix_forest)}
+    op8_quality_classifier, op9_toxicity, op10_line_quality, op11_periodic_runs, op12_whitening, op13_prefix_forest)}
 
 ORACLE = {"op1_topk_search": topk_search.ORACLE, "op10_line_quality": line_quality.ORACLE}
