@@ -637,7 +637,7 @@ def _colour_sql(v, vmin, vmax):
     mid = lo + half
 
     def byte(num, den):
-        return f"(2559999 * ({num}) // (({den}) * 10000))"
+        return f"(2559999::HUGEINT * ({num}) // (({den})::HUGEINT * 10000))"
 
     def colour(r, g):
         return f"('#' || lpad(lower(hex(({r})::INT)), 2, '0') || lpad(lower(hex(({g})::INT)), 2, '0') || '00')"
