@@ -215,6 +215,10 @@ def zone_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.zone_flags(_zone_trips(spark, sf_dir), fx.ZONES)
 
 
+def zone_flags_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zones.zone_flags(_zone_trips(spark, sf_dir), fx.star_zones(Tables(spark, sf_dir)))
+
+
 def zone_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.zone_summary(zones.zone_flags(fx.trips(Tables(spark, sf_dir)), fx.ZONES))
 
@@ -284,6 +288,7 @@ QUERIES: dict[str, Query] = {
     "zone_flags": zone_flags,
     "zone_summary": zone_summary,
     "zone_flags_round": zone_flags_round,
+    "zone_flags_table": zone_flags_table,
     "campaign_kpis": campaign_kpis,
     "market_kpis": market_kpis,
     "market_tail": market_tail,

@@ -552,11 +552,24 @@ TRIPS = f"""trips AS (
 TRIP_KEYS = "journey_id, chauffeur_id, pickup_ts_loc, pickup_dt_loc, dropoff_ts_loc, dropoff_dt_loc"
 
 
-def zones_sql(rings, filtered: bool, select: str) -> str:
+def ring_edges(rings) -> str:
     rows = []
     for zi, ring in enumerate(rings):
         corners = [(round(x * 1_000_000), round(y * 1_000_000)) for x, y in ring]
         rows += [f"({zi}, {a}, {b}, {c}, {d})" for (a, b), (c, d) in zip(corners, [*corners[1:], corners[0]])]
+    return f"SELECT z, x1::HUGEINT AS x1, y1::HUGEINT AS y1, x2::HUGEINT AS x2, y2::HUGEINT AS y2 FROM (VALUES {', '.join(rows)}) e(z, x1, y1, x2, y2)"
+
+
+def star_edges() -> str:
+    dirs = ", ".join(f"({k}, {a}, {b})" for k, (a, b) in enumerate(fx.STAR))
+    trunc = lambda d: f"sign({d})::BIGINT * ((r * abs({d})) // 1000)"  # towards zero
+    return f"""SELECT a.z, a.x::HUGEINT AS x1, a.y::HUGEINT AS y1, b.x::HUGEINT AS x2, b.y::HUGEINT AS y2 FROM corners a JOIN corners b ON a.z = b.z AND b.k = (a.k + 1) % {len(fx.STAR)}""", f"""corners AS (
+  SELECT z, k, (z * 104729) % 999983 + {trunc('dx')} AS x, (z * 15485863) % 999979 + {trunc('dy')} AS y
+  FROM (SELECT z, k, dx, dy, [{', '.join(map(str, fx.STAR_RADII))}][(z + k) % 3 + 1]::BIGINT AS r
+        FROM (SELECT c_custkey * {fx.STARS_PER_CUSTOMER} + s AS z FROM customer, range({fx.STARS_PER_CUSTOMER}) q(s)), (VALUES {dirs}) d(k, dx, dy)))"""
+
+
+def zones_sql(edges: str, filtered: bool, select: str, *before: str) -> str:
     since, city, status = fx.TRIP_FILTER
     where = f"AND dropoff_ts_loc >= TIMESTAMP '{since}' AND city = '{city}' AND status = '{status}'" if filtered else ""
 
@@ -573,11 +586,14 @@ def zones_sql(rings, filtered: bool, select: str) -> str:
        ELSE {t} = 0 AND {u} = 0 AND greatest(px, qx) >= least(x1, x2) AND least(px, qx) <= greatest(x1, x2)
             AND greatest(py, qy) >= least(y1, y2) AND least(py, qy) <= greatest(y1, y2) END"""
     return with_ctes(
-        TRIPS, f"edges AS (SELECT z, x1::HUGEINT AS x1, y1::HUGEINT AS y1, x2::HUGEINT AS x2, y2::HUGEINT AS y2 FROM (VALUES {', '.join(rows)}) e(z, x1, y1, x2, y2))",
+        TRIPS, *before, f"edges AS ({edges})", "boxes AS (SELECT z, min(x1) AS x0, max(x1) AS x9, min(y1) AS y0, max(y1) AS y9 FROM edges GROUP BY z)",
+        f"asked AS (SELECT {TRIP_KEYS}, px, py, qx, qy FROM trips WHERE px IS NOT NULL {where})",
         f"""per_zone AS (
-  SELECT {TRIP_KEYS}, z, {place('px', 'py')} AS a, {place('qx', 'qy')} AS b, bool_or({meets}) AS c
-  FROM trips CROSS JOIN edges WHERE px IS NOT NULL {where} GROUP BY {TRIP_KEYS}, px, py, qx, qy, z)""",
-        f"any_zone AS (SELECT {TRIP_KEYS}, bool_or(a) AS a, bool_or(b) AS b, bool_or(c) AS c FROM per_zone GROUP BY {TRIP_KEYS})",
+  SELECT {TRIP_KEYS}, edges.z, {place('px', 'py')} AS a, {place('qx', 'qy')} AS b, bool_or({meets}) AS c
+  FROM asked JOIN boxes ON greatest(px, qx) >= x0 AND least(px, qx) <= x9 AND greatest(py, qy) >= y0 AND least(py, qy) <= y9
+  JOIN edges ON edges.z = boxes.z GROUP BY {TRIP_KEYS}, px, py, qx, qy, edges.z)""",
+        f"""any_zone AS (SELECT {TRIP_KEYS}, coalesce(bool_or(a), FALSE) AS a, coalesce(bool_or(b), FALSE) AS b, coalesce(bool_or(c), FALSE) AS c
+  FROM asked LEFT JOIN per_zone USING ({TRIP_KEYS}) GROUP BY {TRIP_KEYS})""",
         f"""flags AS (SELECT {TRIP_KEYS}, a::INT AS is_pickup_ccz, b::INT AS is_dropoff_ccz, (c AND NOT a AND NOT b)::INT AS is_pass_through_ccz,
   (a OR b OR c)::INT AS is_ccz FROM any_zone)""", select)
 
@@ -741,9 +757,10 @@ ORACLE = {
     "duplicate_rows": DUPLICATE_ROWS,
     "dedupe": with_ctes(CAMPAIGNS, "SELECT * FROM dedup"),
     "distinct_campaigns": with_ctes(CAMPAIGNS, "SELECT Campaign, count(*) AS n_rows FROM campaigns GROUP BY Campaign"),
-    "zone_flags": zones_sql(fx.ZONES, True, "SELECT * FROM flags"),
-    "zone_flags_round": zones_sql([fx.round_zone()], True, "SELECT * FROM flags"),
-    "zone_summary": zones_sql(fx.ZONES, False, """
+    "zone_flags": zones_sql(ring_edges(fx.ZONES), True, "SELECT * FROM flags"),
+    "zone_flags_round": zones_sql(ring_edges([fx.round_zone()]), True, "SELECT * FROM flags"),
+    "zone_flags_table": zones_sql(star_edges()[0], True, "SELECT * FROM flags", star_edges()[1]),
+    "zone_summary": zones_sql(ring_edges(fx.ZONES), False, """
 SELECT count(*) AS n_trips, count(*) FILTER (WHERE is_pass_through_ccz = 1) AS n_pass_through,
        count(*) FILTER (WHERE is_pickup_ccz = 1) AS n_pickup, count(*) FILTER (WHERE is_dropoff_ccz = 1) AS n_dropoff,
        count(*) FILTER (WHERE is_ccz = 1) AS n_any

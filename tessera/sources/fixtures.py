@@ -233,6 +233,24 @@ def round_zone(vertices: int = 1000) -> tuple:
     return tuple((round(0.5 + 0.35 * math.cos(2 * math.pi * i / vertices), 6), round(0.45 + 0.35 * math.sin(2 * math.pi * i / vertices), 6)) for i in range(vertices))
 
 
+# Corners of a star zone lie in these directions (thousandths), every third one further out.
+STAR = ((1000, 0), (707, 707), (0, 1000), (-707, 707), (-1000, 0), (-707, -707), (0, -1000), (707, -707))
+STARS_PER_CUSTOMER, STAR_RADII = 7, (2000, 3500, 5000)
+
+
+def star_zones(t: Tables) -> DataFrame:
+    """(zone, ring): seven small star-shaped zones per customer, corners in whole millionths of a degree."""
+    zone = F.col("c_custkey") * STARS_PER_CUSTOMER + F.col("k")
+    z = t.customer.select("c_custkey", F.explode(F.sequence(F.lit(0), F.lit(STARS_PER_CUSTOMER - 1))).alias("k")).select(zone.alias("zone"))
+    cx, cy = F.pmod(F.col("zone") * 104729, F.lit(999983)), F.pmod(F.col("zone") * 15485863, F.lit(999979))
+
+    def corner(k, d):
+        r = F.element_at(F.array(*map(F.lit, STAR_RADII)), (F.pmod(F.col("zone") + k, F.lit(3)) + 1).cast("int"))
+        return F.array(*[(c + (r * d[i] / 1000).cast("long")) / F.lit(1000000.0) for i, c in enumerate((cx, cy))])
+
+    return z.select("zone", F.array(*[corner(k, d) for k, d in enumerate(STAR)]).alias("ring"))
+
+
 def sessions(t: Tables) -> DataFrame:
     """``session_data.csv``: start/end as HH:MM:SS text, clickouts and booking flag."""
     k = F.get_json_object("props", "$.k").cast("int")
