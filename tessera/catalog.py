@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import cleaning
+from tessera.operators import cleaning, windows
 from tessera.plans import campaigns, finance, heatmap, licences, lifecycle, reconcile, sessions, zones
 from tessera.sources import fixtures as fx
 from tessera.sources.tables import Tables
@@ -113,6 +113,25 @@ def sessions_chi2_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.notebook_tests(_clean_sessions(spark, sf_dir))
 
 
+def sessions_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.chi2_expected(_clean_sessions(spark, sf_dir), "booking", sessions.notebook_crosstabs())
+
+
+def sessions_low_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.chi2_low_cells(_clean_sessions(spark, sf_dir), "booking", sessions.notebook_crosstabs())
+
+
+#: Events in a bucket of the long series.
+SERIES_BUCKET = 16_384
+
+
+def events_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one series: the last purchase's k so far, and the value so far."""
+    rows = Tables(spark, sf_dir).events.select("event_id", F.col("value").cast("decimal(18,2)").alias("value"),
+                                               F.when(F.col("event_type") == "purchase", F.get_json_object("props", "$.k").cast("int")).alias("k"))
+    return windows.prefix_scan(rows, "event_id", F.floor(F.col("event_id") / SERIES_BUCKET), fill=["k"], sums=["value"])
+
+
 SESSION_MEASURES = ("clickouts", "booking", "session_duration_sec", "session_start_hour", "session_duration_min")
 
 
@@ -309,6 +328,9 @@ QUERIES: dict[str, Query] = {
     "sessions_by_clickouts": sessions_by_clickouts,
     "sessions_chi2": sessions_chi2,
     "sessions_chi2_test": sessions_chi2_test,
+    "sessions_expected": sessions_expected,
+    "sessions_low_cells": sessions_low_cells,
+    "events_scan": events_scan,
     "sessions_describe": sessions_describe,
     "sessions_hist": sessions_hist,
     "sessions_text_range": sessions_text_range,

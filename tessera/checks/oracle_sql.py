@@ -332,6 +332,22 @@ CHI2_STATS = with_ctes(
     _chi2_block("t3", "clean_nz", "clickouts"),
     "SELECT variable, n, dof, round_even(stat, 6) AS stat FROM (SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3) t")
 
+def _grid_sql(name, label):
+    return f"SELECT '{label}' AS variable, r.rv, CAST(c.cv AS VARCHAR) AS key, (SELECT count(*) FROM {name}_seen s WHERE s.rv = r.rv AND s.cv = c.cv) AS observed, " \
+           f"(r.n * c.n) / (SELECT count(*)::DOUBLE FROM {name}_seen) AS expected FROM (SELECT rv, count(*)::DOUBLE AS n FROM {name}_seen GROUP BY rv) r " \
+           f"CROSS JOIN (SELECT cv, count(*)::DOUBLE AS n FROM {name}_seen GROUP BY cv) c"
+
+
+CHI2_GRID = with_ctes(
+    SESSIONS, ENRICHED, CLEAN, "clean_nz AS (SELECT * FROM clean WHERE clickouts <> 0)",
+    _chi2_block("t1", "clean", "session_start_hour"), _chi2_block("t2", "clean", "session_duration_min"), _chi2_block("t3", "clean_nz", "clickouts"),
+    "grid AS (" + " UNION ALL ".join(_grid_sql(*t) for t in (("t1", "session_start_hour"), ("t2", "session_duration_min"), ("t3", "clickouts"))) + ")", "{}")
+
+EVENTS_SCAN = """SELECT event_id, sum(CAST(value AS DECIMAL(18,2))) OVER so_far AS value_total, CAST(value AS DECIMAL(18,2)) AS value,
+  last_value(CASE WHEN event_type = 'purchase' THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END IGNORE NULLS) OVER so_far AS k
+FROM events WINDOW so_far AS (ORDER BY event_id ROWS UNBOUNDED PRECEDING)"""
+
+
 def _chi2_cdf_sql(x, k):
     """Regularised lower incomplete gamma P(k/2, x/2) by its power series."""
     y = f"(({x}) / 2.0)"
@@ -797,6 +813,9 @@ FROM sessions"""),
     "sessions_by_duration": distribution_sql("session_duration_range"),
     "sessions_by_clickouts": distribution_sql("clickouts"),
     "sessions_chi2": CHI2_STATS,
+    "sessions_expected": CHI2_GRID.format("SELECT * FROM grid"),
+    "sessions_low_cells": CHI2_GRID.format("SELECT variable, count(*) AS n_cells, count(*) FILTER (WHERE expected < 5) AS n_low FROM grid GROUP BY variable"),
+    "events_scan": EVENTS_SCAN,
     "sessions_chi2_test": CHI2_TEST,
     "sessions_describe": describe_sql((SESSIONS, ENRICHED, CLEAN), "clean", DESCRIBE_COLS),
     "sessions_hist": histogram_sql((SESSIONS,), "sessions", "booking"),

@@ -6,6 +6,9 @@ column, per bin or per duplicate group), never the data itself on the driver.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,31 +62,56 @@ def duplicate_rows(df: DataFrame, cols=None, step: int = 65536) -> DataFrame:
 QUARTILES = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
 
 
-def describe(df: DataFrame, cols=None, buckets: int = 1024) -> DataFrame:
+def sort_key(x) -> F.Column:
+    """A long that orders like the double ``x``: sign, exponent and fraction bits; NaN last, null as 0."""
+    a = F.abs(x)
+    near = F.floor(F.log2(a)).cast("int")  # may be one off next to a power of two
+    two = lambda e: F.pow(F.lit(2.0), e)
+    e = F.when(a >= two(near + 1), near + 1).when(a < two(near), near - 1).otherwise(near)
+    bits = F.when(a < F.lit(2.0 ** -1022), (a / F.lit(5e-324)).cast("long")).otherwise(
+        (e + 1023).cast("long") * (1 << 52) + ((a / two(e) - 1) * F.lit(2.0 ** 52)).cast("long"))
+    whole = F.when(F.isnan(x), (2047 << 52) + 1).when(a == F.lit(float("inf")), 2047 << 52).otherwise(bits)
+    return F.coalesce(F.when(x == 0, F.lit(0)).when(x < 0, -whole).otherwise(whole), F.lit(0)).cast("long")
+
+
+def quantile_ends(values: DataFrame, quantiles, digit: int = 16) -> DataFrame:
+    """(column, <name>_lo, <name>_hi ..): the values on both sides of the linear quantiles of (column, x, k, n) counts, by radix selection.
+
+    ``k`` orders like ``x``.  Each round (four of 16 bits) counts one digit of the
+    keys under the prefixes that hold a wanted rank, and keeps the longer
+    prefixes that do.  A round's result has at most 65,536 rows per prefix kept,
+    and a heavy-tailed column spreads over tasks like any other.
+    """
+    ranks = {f"{name}_{end}": f((F.col("total") - 1) * F.lit(q)) for name, q in quantiles for end, f in (("lo", F.floor), ("hi", F.ceil))}
+    held = lambda rank: (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
+    kept = values.groupBy("column").agg(F.sum("n").alias("total")).select("column", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("start"), "total")
+    for shift in range(64 - digit, -1, -digit):
+        above = F.shiftright("k", shift + digit) if shift + digit < 64 else F.lit(0).cast("long")
+        keys = ["column", "prefix", "start", "total", "next"]
+        # the kept prefixes are six a column at most
+        counts = (values.select("column", "x", "n", above.alias("prefix"), F.shiftright("k", shift).alias("next")).join(F.broadcast(kept), ["column", "prefix"])
+                  .groupBy(*keys).agg(F.sum("n").alias("n"), F.min("x").alias("x")))
+        earlier = Window.partitionBy("column", "prefix").orderBy("next").rowsBetween(Window.unboundedPreceding, -1)
+        placed = counts.withColumn("before", F.col("start") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        last = placed.where(functools.reduce(operator.or_, map(held, ranks.values())))
+        kept = last.select("column", F.col("next").alias("prefix"), F.col("before").alias("start"), "total")
+    return last.groupBy("column").agg(*[F.min(F.when(held(rank), F.col("x"))).alias(name) for name, rank in ranks.items()])
+
+
+def describe(df: DataFrame, cols=None, digit: int = 16) -> DataFrame:
     """A12 ``describe()``: count, mean, sample std, min, exact linear quartiles, max.
 
-    Quartiles come from counts per value: values fall into equal-width buckets,
-    running counts over the few buckets of a column give each bucket's offset,
-    and running counts inside a bucket place every value, so no task holds a
-    column's values.
+    The table is read twice: once for the moments, once for counts per value,
+    which the rounds of the radix selection share.
     """
     cols = list(cols or numeric_columns(df))
     long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in cols], "column", "x").where("x IS NOT NULL")
     base = long.groupBy("column").agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
                                       F.min("x").alias("min"), F.max("x").alias("max"))
-    values = long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
-    place = F.when(F.col("max") > F.col("min"), F.least(F.lit(buckets - 1), F.floor((F.col("x") - F.col("min")) / (F.col("max") - F.col("min")) * buckets))).otherwise(0)
-    placed = values.join(base.select("column", "count", "min", "max"), "column").withColumn("b", place.cast("int"))
-    before = Window.partitionBy("column").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offset = (placed.groupBy("column", "b").agg(F.sum("n").alias("_in")).select("column", "b", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before")))
-    inside = Window.partitionBy("column", "b").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = placed.join(offset, ["column", "b"]).withColumn("last", F.col("_before") + F.sum("n").over(inside) - 1)  # rank of the value's last copy
-    at = lambda rank: F.min(F.when(F.col("last") >= rank, F.col("x")))
+    values = long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n")).select("column", "x", sort_key(F.col("x")).alias("k"), "n")
     rank = lambda p: (F.col("count") - 1) * F.lit(p)
-    ends = ranked.groupBy("column").agg(*[at(f(rank(p))).alias(f"{name}_{k}") for name, p in QUARTILES for k, f in (("lo", F.floor), ("hi", F.ceil))])
-    part = lambda p: rank(p) - F.floor(rank(p))
-    line = [(F.col(f"{n}_lo") + (F.col(f"{n}_hi") - F.col(f"{n}_lo")) * part(p)).alias(n) for n, p in QUARTILES]
-    return base.join(ends, "column").select("column", "count", "mean", "std", "min", *line, "max")
+    line = [(F.col(f"{n}_lo") + (F.col(f"{n}_hi") - F.col(f"{n}_lo")) * (rank(p) - F.floor(rank(p)))).alias(n) for n, p in QUARTILES]
+    return base.join(quantile_ends(values, QUARTILES, digit), "column").select("column", "count", "mean", "std", "min", *line, "max")
 
 
 def text_range(df: DataFrame, cols) -> DataFrame:

@@ -7,7 +7,7 @@ values, independent of the number of sessions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import bround, div_half_even, hms_seconds, minute_range_label, wrap_midnight
@@ -82,6 +82,54 @@ def chart_distributions(sessions: DataFrame, variables) -> DataFrame:
     return out
 
 
+def crosstabs(df: DataFrame, row_var: str, tests) -> DataFrame:
+    """(variable, rv, key, n): the observed cells of several (label, column, row filter or None) crosstabs, in one aggregate."""
+    pairs = []
+    for label, col, cond in tests:
+        key = F.col(col).cast("string")
+        if cond is not None:
+            key = F.when(cond, key)
+        pairs.append(F.struct(F.lit(label).alias("variable"), key.alias("key")))
+    long = df.select(F.col(row_var).alias("rv"), F.inline(F.array(*pairs)))
+    return (long.groupBy("variable", "rv", "key").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.when(F.col("rv").isNull() | F.col("key").isNull(), F.lit(False))
+                   .otherwise(F.col("n") > 0)))
+
+
+def _marginals(cells: DataFrame):
+    rows = cells.groupBy("variable", "rv").agg(F.sum("n").alias("r"))
+    cols = cells.groupBy("variable", "key").agg(F.sum("n").alias("c"))
+    return rows, cols, rows.groupBy("variable").agg(F.sum("r").alias("total"))
+
+
+def chi2_expected(df: DataFrame, row_var: str, tests) -> DataFrame:
+    """C14 expected frequencies: (variable, rv, key, observed, expected = r·c/N) for every cell, empty ones too.
+
+    The grid is the product of the marginals of one test, an equi-join of two
+    small aggregates; the data are read once for the observed cells.
+    """
+    cells = crosstabs(df, row_var, tests)
+    rows, cols, total = _marginals(cells)
+    grid = rows.join(cols, "variable").join(total, "variable")
+    return (grid.join(cells, ["variable", "rv", "key"], "left")
+            .select("variable", "rv", "key", F.coalesce("n", F.lit(0)).cast("long").alias("observed"),
+                    ((F.col("r") * F.col("c")).cast("double") / F.col("total").cast("double")).alias("expected")))
+
+
+def chi2_low_cells(df: DataFrame, row_var: str, tests, least: float = 5.0) -> DataFrame:
+    """(variable, n_cells, n_low): cells of each test, and those with an expected frequency below ``least``.
+
+    No grid: a row with sum r has as many low cells as there are columns with
+    c < least·N/r, a running count over the sorted marginals of the test.
+    """
+    rows, cols, total = _marginals(crosstabs(df, row_var, tests))
+    bound = rows.join(total, "variable").select("variable", (F.lit(least) * F.col("total") / F.col("r")).alias("v"), F.lit(0).alias("is_col"))
+    merged = cols.select("variable", F.col("c").cast("double").alias("v"), F.lit(1).alias("is_col")).unionAll(bound)
+    below = Window.partitionBy("variable").orderBy("v", "is_col").rowsBetween(Window.unboundedPreceding, -1)  # a bound comes before an equal column
+    counted = merged.withColumn("low", F.when(F.col("is_col") == 0, F.coalesce(F.sum("is_col").over(below), F.lit(0))))
+    return counted.groupBy("variable").agg((F.sum("is_col") * F.sum(1 - F.col("is_col"))).cast("long").alias("n_cells"), F.sum("low").cast("long").alias("n_low"))
+
+
 def chi2_statistics(df: DataFrame, row_var: str, tests) -> DataFrame:
     """Pearson chi-squared statistics of several crosstabs in ONE pass.
 
@@ -95,16 +143,7 @@ def chi2_statistics(df: DataFrame, row_var: str, tests) -> DataFrame:
     to it, so no class of cells is gathered in one task.  One row per test; the
     statistic keeps full precision.
     """
-    pairs = []
-    for label, col, cond in tests:
-        key = F.col(col).cast("string")
-        if cond is not None:
-            key = F.when(cond, key)
-        pairs.append(F.struct(F.lit(label).alias("variable"), key.alias("key")))
-    long = df.select(F.col(row_var).alias("rv"), F.inline(F.array(*pairs)))
-    cells = (long.groupBy("variable", "rv", "key").agg(F.count(F.lit(1)).alias("n"))
-             .where(F.when(F.col("rv").isNull() | F.col("key").isNull(), F.lit(False))
-                    .otherwise(F.col("n") > 0)))
+    cells = crosstabs(df, row_var, tests)
     rows = cells.groupBy("variable", "rv").agg(F.sum("n").alias("r"), F.count(F.lit(1)).alias("k_r"))
     cols = cells.groupBy("variable", "key").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("k_c"))
     j = cells.join(rows, ["variable", "rv"]).join(cols, ["variable", "key"])
@@ -155,10 +194,12 @@ def chi2_test(df: DataFrame, row_var: str, col_var: str, label: str | None = Non
     return chi2_finish(chi2_statistic(df, row_var, col_var, label), probability)
 
 
+def notebook_crosstabs() -> list:
+    return [("session_start_hour", "session_start_hour", None), ("session_duration_min", "session_duration_min", None),
+            ("clickouts", "clickouts", F.col("clickouts") != 0)]
+
+
 def notebook_tests(enriched_clean: DataFrame, stats_only: bool = False) -> DataFrame:
     """The notebook's three tests: start hour, duration minutes, clickouts (non-zero)."""
-    stats = chi2_statistics(enriched_clean, "booking", [
-        ("session_start_hour", "session_start_hour", None),
-        ("session_duration_min", "session_duration_min", None),
-        ("clickouts", "clickouts", F.col("clickouts") != 0)])
+    stats = chi2_statistics(enriched_clean, "booking", notebook_crosstabs())
     return stats.withColumn("stat", bround("stat", 6)) if stats_only else chi2_finish(stats)

@@ -5,7 +5,7 @@ Every reader is a lazy DataFrame source; Spark splits the files across tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +69,34 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType, fmt: st
     return reader.json(path) if fmt == "json" else reader.format(fmt).load(path)
 
 
+#: Partition column of a document snapshot laid out by the day of its ids.
+ID_DAY = "id_day"
+
+
+def _id_day(id_col: str) -> F.Column:
+    """Day of an id whose first 8 hex digits are its creation time in seconds (UTC)."""
+    return F.to_date(F.timestamp_seconds(F.conv(F.substring(id_col, 1, 8), 16, 10).cast("long")))
+
+
+def write_documents_by_day(docs: DataFrame, path: str, id_col: str = "_id") -> None:
+    """S4 snapshot with one folder per id day; a day with most rows is split into several files."""
+    (docs.withColumn(ID_DAY, _id_day(id_col)).hint("rebalance", ID_DAY).sortWithinPartitions(id_col)
+     .write.mode("overwrite").partitionBy(ID_DAY).parquet(path))
+
+
+def read_document_range(spark: SparkSession, path: str, start: str, end: str, fields=None, id_col: str = "_id") -> DataFrame:
+    """S4 range and projection at the source: ids created in [start, end), dates in UTC, and only ``fields``.
+
+    The range becomes filters on the day folders (only those are listed and
+    read) and on the sorted ids (row groups are skipped); the projection reaches
+    the file's columns.
+    """
+    low, high = (F.rpad(F.lower(F.hex(F.unix_date(F.lit(d).cast("date")).cast("long") * 86400)), 24, "0") for d in (start, end))
+    rows = spark.read.parquet(path).where((F.col(ID_DAY) >= F.lit(start).cast("date")) & (F.col(ID_DAY) < F.lit(end).cast("date"))
+                                          & (F.col(id_col) >= low) & (F.col(id_col) < high))
+    return rows.select(*fields) if fields else rows.drop(ID_DAY)
+
+
 def read_zone_rings(spark: SparkSession, path: str) -> DataFrame:
     """S6 GeoJSON polygons: one row per feature with its exterior ring
     (``coordinates[0]``); holes are ignored like in the reference.  Any other
@@ -80,13 +108,21 @@ def read_zone_rings(spark: SparkSession, path: str) -> DataFrame:
     return doc.select(F.posexplode("features").alias("zone", "f")).select("zone", ring.alias("ring"))
 
 
-def read_text_lines(spark: SparkSession, folder: str, suffix: str = ".txt") -> DataFrame:
-    """S7 directory of list files: only ``*suffix`` files, with file name and
-    line number so the output can follow file order (O4)."""
-    df = spark.read.option("pathGlobFilter", f"*{suffix}").text(folder)
-    # An order key that follows the file: the split's byte offset plus the row's
-    # position inside its task (a line takes at least one byte, so keys of a
-    # later split start above those of an earlier one).
-    row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return df.select(F.col("_metadata.file_name").alias("file_name"),
-                     (F.col("_metadata.file_block_start") + row_in_task).alias("line_no"), "value")
+def read_text_lines(spark: SparkSession, folder: str, suffix: str = ".txt", contains: str = "") -> DataFrame:
+    """S7 directory of list files: only ``*contains*suffix`` files (F17), with file name
+    and exact line number from 1, so the output can follow file order (O4).
+
+    A file may be read in many splits.  Each split's lines are counted, the
+    counts of a file's earlier splits are added up, and a line's number is its
+    place in its split plus that sum; only the counts are shuffled, one row a split.
+    """
+    df = spark.read.option("pathGlobFilter", f"*{contains}*{suffix}" if contains else f"*{suffix}").text(folder)
+    # rows of a split are neighbours in one task: their place in the task, less that of the split's first row
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    split = ["_path", "_start"]
+    lines = df.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata.file_name").alias("file_name"),
+                      in_task.alias("_at"), "value")
+    sizes = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*split, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return lines.join(offsets, split).select("file_name", (F.col("_at") - F.col("_first") + F.col("_before") + 1).alias("line_no"), "value")

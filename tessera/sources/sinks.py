@@ -1,10 +1,10 @@
 """Sinks.  Writers are plain DataFrameWriter calls; they
-are atomic per job on a committer-backed store and safe to re-run after a
-lost executor (overwrite) or an append of a fresh run stamp (append)."""
+are atomic per job on a committer-backed store and safe to re-run: tables and
+reports are overwritten, a history run replaces the partition of its own stamp."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,9 +21,20 @@ def stamp_run(df: DataFrame, run_ts: str, col: str = "run_ts_utc") -> DataFrame:
     return df.withColumn(col, F.lit(run_ts).cast("timestamp_ntz"))
 
 
-def append_history(df: DataFrame, path: str, columns) -> None:
-    """K2 append comparison results to a history table in a fixed column order."""
-    df.select(*columns).write.mode("append").parquet(path)
+def append_history(df: DataFrame, path: str, columns, stamp: str = "run_ts_utc") -> None:
+    """K2 append comparison results to a history table in a fixed column order.
+
+    The history is partitioned by the run stamp and only the partitions of this
+    run are overwritten, so a retried or repeated append leaves the same rows.
+    """
+    columns = list(columns)
+    (df.select(*[c for c in columns if c != stamp], F.date_format(stamp, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("_stamp"), F.col(stamp))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_stamp").parquet(path))
+
+
+def read_history(spark: SparkSession, path: str, columns) -> DataFrame:
+    """The history in its fixed column order."""
+    return spark.read.parquet(path).select(*columns)
 
 
 def export_csv(df: DataFrame, path: str, columns=None, mode: str = "overwrite") -> None:
