@@ -56,7 +56,8 @@ class Codec:
             self.bytes[i] = token.encode() if token in self.special else bytes(letters[c] for c in token)
         self.size = np.array([len(b) for b in self.bytes], np.int64)
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # ids of a word with a blank in front
+        self.heads: dict[str, bytes] = {}  # ids of the first word of a text
 
     @classmethod
     def of(cls, path: str) -> "Codec":
@@ -78,25 +79,30 @@ class Codec:
         if _TIGHT.search(text):
             return self.run(text)
         head, *rest = text.split(" ")
-        words = [head, *(" " + w for w in rest)]
         known = self.words
-        new = [w for w in set(words) if w not in known]
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = list(set(words))
-        long = [w for w in new if len(w) > RUN]
-        self.learn([w for w in new if len(w) <= RUN and w[0] == " "])
-        if head not in known and len(head) <= RUN:
-            known[head] = self.library(head).tobytes()
-        own = {w: self.run(w) for w in long}
-        return b"".join(map(known.__getitem__, words) if not own else [own[w] if w in own else known[w] for w in words])
+        got = list(map(known.get, rest))
+        if None in got:
+            new = {w for w, g in zip(rest, got) if g is None}
+            own = {w: self.run(" " + w) for w in new if len(w) >= RUN}
+            new = [w for w in new if len(w) < RUN]
+            if len(known) + len(new) > CACHE:
+                known.clear()
+            self.learn(new)
+            got = [own[w] if w in own else known[w] if g is None else g for w, g in zip(rest, got)]
+        if (first := self.heads.get(head)) is None:
+            first = self.run(head)
+            if len(head) < RUN:
+                if len(self.heads) >= CACHE:
+                    self.heads.clear()
+                self.heads[head] = first
+        return first + b"".join(got)
 
     def learn(self, words: list[str]) -> None:
-        """Encodes new words, each with its blank in front, as one text and tells their ids apart by their bytes."""
+        """Encodes new words, each with a blank in front, as one text and tells their ids apart by their bytes."""
         for at in range(0, len(words), 10_000):
             part = words[at:at + 10_000]
-            ids = np.array(self.lib.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(w.encode()) for w in part])) + 1
+            ids = np.array(self.lib.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(w.encode()) + 1 for w in part])) + 1
             raw = ids.tobytes()
             self.words.update(zip(part, [raw[4 * a:4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]))
 

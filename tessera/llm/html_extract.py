@@ -37,9 +37,11 @@ KNOWN = INLINE | VOID | set(ASIDE) | set(RAW) | {"html", "head", "body", "articl
                                                  "table", "thead", "tbody", "tr", "td", "th", "blockquote", "pre", "figure"}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:\"[^\"]*\"|'[^']*'|[^>\"']|[\"'])*?(?:/>|>(?:.*?</(?P=raw)\s*>|.*\Z))"
+    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?>(?:[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*)(?:(?<=/)>|>(?:.*?</(?P=raw)\s*>|.*\Z)|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
+#: Share of a page's words from which on a marked element is the page itself, whatever its class says.
+MOST = 0.9
 _NAMED = re.compile(r"<(?:article|main)\b", re.I)
 #: A class such as "has-sidebar" describes the page around an element, not the element.
 AROUND = re.compile(r"(?:^|[\s_-])(?:has|with|without|no)(?:$|[\s_-])")
@@ -59,13 +61,27 @@ class Page:
     """Tokens of one page: (feature, text, drop); text is "" for a tag that ends a block and None for other markup."""
 
     def __init__(self, source: str):
+        kept: frozenset[int] = frozenset()
+        while more := self._read(source, kept) - kept:
+            kept |= more
+
+    def _read(self, source: str, kept: frozenset[int]) -> set[int]:
+        """Reads the tokens; returns the places of marked elements (other than ``kept``) with nearly all words of the page."""
         self.tokens: list[tuple[str, str | None, bool]] = []
         open_aside: list[str] = []  # elements that are not part of an article, innermost last
+        outer, seen, heavy = -1, 0, {}  # where the outermost of them starts, words of the page, words by that start
+        named_before = False
         links, heads, inside = 0, 0, False
         named = bool(_NAMED.search(source))  # the page says where its article is: what stands outside is told apart
         self.article = [None, None, 0]  # first and last token inside <article>, number of them
         for m in _TOKEN.finditer(source):
+            if not open_aside:
+                outer = -1
             if (text := m["text"]) is not None:
+                n = len(text.split())
+                seen += n
+                if open_aside:
+                    heavy[outer] = heavy.get(outer, 0) + n
                 drop = bool(open_aside) and not (heads and inside and open_aside == ["header"])
                 feature = ("gap" if inside else "aside") if drop else "word" if inside else "out:word" if named else "link" if links else "word"
                 self.tokens.append((feature, text, drop))
@@ -74,8 +90,13 @@ class Page:
                 self.tokens.append(("gap" if inside else "out:tag" if named else "t:raw", None, False))
                 continue
             name, end = name.lower(), bool(m["end"])
-            if name in ("article", "main"):
+            marked = not end and m.start() not in kept and name not in ("html", "body") and bool(a := m["attrs"]) and any(
+                MARKED.search(x) and not AROUND.search(x) for x in map("".join, _MARK.findall(a.lower())))
+            # an article among comments or the like, or one marked so itself, is none; the page's own one ends what was left open before it
+            other = name in ("article", "main") and (name in open_aside if end else marked or bool(open_aside) and named_before)
+            if name in ("article", "main") and not other:
                 open_aside.clear()
+                named_before = True
                 if name == "article":
                     if not end:
                         self.article[0], self.article[2] = len(self.tokens) + 1, self.article[2] + 1
@@ -84,20 +105,21 @@ class Page:
                 inside = not end
             links = max(0, links + (-1 if end else 1)) if name == "a" else links
             heads = max(0, heads + (-1 if end else 1)) if re.fullmatch("h[1-6]", name) else heads
-            marked = name in ASIDE
-            if not end and name not in ("html", "body", "article", "main") and (a := m["attrs"]):
-                marked = marked or any(MARKED.search(x) and not AROUND.search(x) for x in map("".join, _MARK.findall(a.lower())))
+            marked = (other and not end) or (marked and name not in ("article", "main")) or name in ASIDE and m.start() not in kept
             if end:
                 if name in open_aside:
                     while open_aside.pop() != name:
                         pass
             elif name not in VOID and not m["attrs"].endswith("/") and (marked or open_aside and name in open_aside):
+                if not open_aside:
+                    outer = m.start()
                 open_aside.append(name)
             if inside:  # what an article element holds besides its text does not end the region
                 feature = "gap" if marked or open_aside else "in:tag"
             else:
                 feature = "out:tag" if named else "t:marked" if marked else f"t:{'/' if end else ''}{name if name in KNOWN else 'other'}"
             self.tokens.append((feature, None if name in INLINE else "", False))
+        return {at for at, n in heavy.items() if at >= 0 and n > MOST * seen}
 
     def text(self, first: int, last: int) -> str:
         """Text of tokens first to last: character references decoded, blocks joined by one space."""

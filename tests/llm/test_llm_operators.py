@@ -204,6 +204,7 @@ def test_pieces_join_to_the_librarys_ids(codec, monkeypatch, alphabet):
             text = text.replace("a", "<|endoftext|>")
         want = np.array(codec.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         codec.words.clear()
+        codec.heads.clear()
         assert codec.encode(text) == want
         pieces = codec.segments(text, 20)
         assert "".join(pieces) == text and codec.tree([(p, codec.encode(p)) for p in pieces]) == want
@@ -487,3 +488,31 @@ def test_bad_lines_go_first(spark):
     rows = [(1, "\n".join(good + bad)), (2, "\n".join(good[:2] + ["a | b | c | d " * 12] * 1 + ["x!! " * 40]))]
     got = {r["doc_id"]: r for r in line_quality.clean_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1]["cleaned"] == "\n".join(good) and got[1]["kept"] and not got[2]["kept"]
+
+
+# ---- 7: pages that mislead ---------------------------------------------------------------
+
+STORY = "<p>" + "The river ran high and the boats stayed in port for the week. " * 6 + "</p>"
+REPLY = "<p>Great story, thanks a lot</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='page-header-fixed'>{STORY}</div></body>",
+    f"<body><div class='post social-science'>{STORY}</div></body>",
+    f"<body><nav><a>Home</a><div>{STORY}</div></body>",
+    f"<body><nav><a>Home</a><article>{STORY}</article></body>",
+    f"<body><article>{STORY}<article class='comment'>{REPLY}</article></article></body>",
+    f"<body><main>{STORY}</main><section class='comments'><article class='comment'>{REPLY}</article><article>{REPLY}</article></section></body>",
+])
+def test_pages_that_mislead(page):
+    text = html_extract.extract_text(page, html_extract.weights({}))
+    assert text.split()[:2] != [] and "The river ran high" in text and "Great" not in text and text.endswith("for the week.")
+
+
+@pytest.mark.parametrize("name", html_extract.RAW)
+def test_a_page_cut_inside_a_tag_ends_soon(name):
+    import time
+    start = time.time()
+    for attribute in ('a="b" ', "a='b' ", 'a="b ', "a ", "/ "):
+        html_extract.extract_text(f"<body><p>some words</p><{name} " + attribute * 10_000, html_extract.weights({}))
+    assert time.time() - start < 10

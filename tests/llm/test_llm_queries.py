@@ -68,11 +68,16 @@ def test_passages_cover_every_exact_repeat(spark, small_sf, docs):
 def test_packed_rows_cover_every_token(spark, small_sf, docs):
     got = QUERIES["op6_packing"](spark, small_sf).toPandas()
     codec = bpe.Codec(TOKENIZER)
-    held = defaultdict(int)
+    held = defaultdict(dict)
     for r in got.itertuples():
-        for d, a, b in zip(r.doc_ids, r.cu_seqlens, r.cu_seqlens[1:]):
-            held[d] += b - a
-    assert held == {r.doc_id: n for r in docs.itertuples() if (n := len(codec.encode(r.text)) // 4)}
+        ids, positions = np.frombuffer(r.ids, "<u4"), np.frombuffer(r.positions, "<u4")
+        assert len(ids) == len(positions) and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens
+        assert hashlib.sha256(r.ids).hexdigest() == r.ids_sha256 and hashlib.sha256(r.positions).hexdigest() == r.positions_sha256
+        for d, start, a, b in zip(r.doc_ids, r.starts, r.cu_seqlens, r.cu_seqlens[1:]):
+            held[d][start] = ids[a:b]
+            assert positions[a:b].tolist() == list(range(b - a))
+    whole = {d: np.concatenate([parts[k] for k in sorted(parts)]).tobytes() for d, parts in held.items()}
+    assert whole == {r.doc_id: x for r in docs.itertuples() if (x := codec.encode(r.text))}
 
 
 def test_mix_marginals(spark, small_sf):
@@ -101,6 +106,14 @@ def test_classifiers_on_held_out_labels(spark, small_sf, docs, name, label, divi
     assert (both.predicted == both[label]).mean() >= least
 
 
+@pytest.mark.parametrize("name,label,divisor,fold", [("op8_quality_classifier", "quality", 4, 2), ("op9_toxicity", "toxic", 5, 0)])
+def test_precision_and_recall_on_held_out_labels(spark, name, label, divisor, fold):
+    sf = "/root/testdata/sf0.1"
+    both = QUERIES[name](spark, sf).where("held_out").toPandas().merge(pd.read_parquet(f"{sf}/labels.parquet"), on="doc_id")
+    hit = ((both.predicted == 1) & (both[label] == 1)).sum()
+    assert both[label].sum() > 50 and hit >= 0.85 * both.predicted.sum() and hit >= 0.8 * both[label].sum()
+
+
 def test_pipeline_stages_against_brute_force(spark, small_sf, tmp_path):
     import corpus_pipeline as cp
     rows = spark.read.parquet(f"{small_sf}/documents.parquet")
