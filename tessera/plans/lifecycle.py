@@ -15,6 +15,7 @@ Plan shape (see ``explain``):
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,3 +85,55 @@ def churn_monthly(journeys: DataFrame, users: DataFrame, as_of: str) -> DataFram
            .agg(*[F.sum(s).cast("long").alias(name)
                   for s, name in zip(STATES, ("new", "retained", "reactivated", "churned"))]))
     return out.orderBy("country", "city", "month", "attribution_channel")
+
+
+# ---- month by month -------------------------------------------------------------------
+# The state a run leaves behind is one row per passenger with the last active month, so the
+# next run reads one month of journeys and the state, not the history.
+
+def month_states(journeys: DataFrame, state: DataFrame, month: str) -> DataFrame:
+    """Lifecycle rows of one month (first day, "yyyy-mm-01"), from its journeys and the (passenger_id, last_month) state before it.
+
+    Equals the month's rows of :func:`user_month_states` over all journeys where
+    a passenger has one first-ride date.  Journeys of other months are left out.
+    """
+    m = F.lit(month).cast("date")
+    both = _with_state(journeys, state, m)
+    flags = {"is_new": F.col("first_month") == m, "is_retained": month_diff("last_month", m) == 1, "is_reactivated": month_diff("last_month", m) > 1}
+    return (both.where(~F.col("_idle") | (month_diff("last_month", m) == 1))
+            .select("passenger_id", m.alias("month"), *[(~F.col("_idle") & F.coalesce(f, F.lit(False))).alias(k) for k, f in flags.items()], F.col("_idle").alias("is_churned")))
+
+
+def next_state(journeys: DataFrame, state: DataFrame, month: str) -> DataFrame:
+    """The (passenger_id, last_month) state after the month."""
+    m = F.lit(month).cast("date")
+    return _with_state(journeys, state, m).select("passenger_id", F.when(F.col("_idle"), F.col("last_month")).otherwise(m).alias("last_month"))
+
+
+def _with_state(journeys: DataFrame, state: DataFrame, m: F.Column) -> DataFrame:
+    active = (journeys.where((F.col("completed_dt_loc") >= m) & (F.col("completed_dt_loc") < F.add_months(m, 1)))
+              .select("passenger_id", trunc_date("month", "passenger_first_completed_ts_loc").alias("first_month"), F.lit(True).alias("_active")).distinct())
+    old = state.select(F.col("passenger_id").alias("_pid"), "last_month", F.lit(True).alias("_known"))
+    joined = active.join(old, F.col("passenger_id").eqNullSafe(F.col("_pid")), "full")
+    return joined.select(F.when(F.col("_active"), F.col("passenger_id")).otherwise(F.col("_pid")).alias("passenger_id"), "first_month", "last_month",
+                         F.col("_active").isNull().alias("_idle"))
+
+
+def refresh_month(spark, journeys_path: str, state_path: str, table_path: str, month: str) -> None:
+    """K1 one month's run: reads the journeys' ``month=`` folder and the state of the month before, writes the
+    month's rows and the state after it.  A repeated run overwrites just what it wrote."""
+    before = f"{state_path}/month={_months_before(month, 1)}"
+    journeys = spark.read.parquet(journeys_path).where(F.col("month") == F.lit(month).cast("date"))
+    try:
+        state = spark.read.schema("passenger_id long, last_month date").parquet(before)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        state = spark.createDataFrame([], "passenger_id long, last_month date")  # the first month
+    month_states(journeys, state, month).drop("month").write.mode("overwrite").parquet(f"{table_path}/month={month}")
+    next_state(journeys, state, month).write.mode("overwrite").parquet(f"{state_path}/month={month}")
+
+
+def _months_before(month: str, n: int) -> str:
+    year, number = int(month[:4]), int(month[5:7]) - 1 - n
+    return f"{year + number // 12:04d}-{number % 12 + 1:02d}-01"

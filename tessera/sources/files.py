@@ -1,4 +1,4 @@
-"""File readers: explicit schemas, no inference.
+"""File readers: explicit schemas, or types inferred from all rows.
 
 Every reader is a lazy DataFrame source; Spark splits the files across tasks.
 """
@@ -48,6 +48,58 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
     return reader.option("enforceSchema", not header).schema(schema).csv(path)
 
 
+# Fields that the frame library's reader takes for missing.
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+_INT = r"^\s*[+-]?[0-9]+\s*$"
+_FLOAT = r"^\s*[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
+_BOOL = r"^(?i:true|false)$"
+
+
+def inferred_types(raw: DataFrame) -> dict[str, str]:
+    """Type of every text column, as the frame library's reader infers it from all rows.
+
+    One aggregate over the data says per column whether all its fields are
+    missing, whole numbers that fit a long, numbers, or truth values; the types
+    are the lattice long < double < text, and a missing field lifts a long to a
+    double and a truth value to text.  A column without fields is a double.
+    """
+    def facts(c):
+        v = F.col(f"`{c}`")
+        gone = v.isNull() | v.isin(*MISSING)
+        whole = v.rlike(_INT) & F.expr(f"try_cast(trim(BOTH FROM `{c}`) AS BIGINT)").isNotNull()
+        return F.struct(F.count_if(gone).alias("gone"), F.count_if(~gone).alias("there"), *[F.count_if(~gone & ~test).alias(k) for k, test in (
+            ("not_int", whole), ("not_float", v.rlike(_FLOAT)), ("not_bool", v.rlike(_BOOL)))])
+
+    row = raw.agg(*[facts(c).alias(f"c{i}") for i, c in enumerate(raw.columns)]).first()
+    out = {}
+    for i, c in enumerate(raw.columns):
+        f = row[f"c{i}"]
+        if not f.there:
+            out[c] = "double" if f.gone else "string"
+        elif not f.not_bool and not f.gone:
+            out[c] = "boolean"
+        else:
+            out[c] = "string" if f.not_float else "double" if f.not_int or f.gone else "bigint"
+    return out
+
+
+def read_delimited_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """S1 ``read_csv(path)``: names from the header, types from all rows (one job), missing fields NULL."""
+    raw = spark.read.option("sep", sep).option("header", True).option("inferSchema", False).option("mode", "FAILFAST").csv(path)
+    kinds = inferred_types(raw)
+
+    def typed(c):
+        v = F.col(f"`{c}`")
+        v = F.when(~v.isin(*MISSING), v)
+        if kinds[c] == "double":  # Spark's parser knows no "inf"
+            v = F.regexp_replace(F.trim(v), "(?i)inf(inity)?$", "Infinity")
+        elif kinds[c] != "string":
+            v = F.trim(v)
+        return v.cast(kinds[c]).alias(c)
+
+    return raw.select(*[typed(c) for c in raw.columns])
+
+
 def read_warehouse_query(spark: SparkSession, url: str, query: str, properties: dict | None = None,
                          fetch_size: int = 10_000) -> DataFrame:
     """S2/S3 warehouse query scan over JDBC.  The query (with its filters and,

@@ -135,3 +135,24 @@ def test_expected_and_low_cells(spark):
         grid = {(a, b): (seen.count((a, b)), sum(s[0] == a for s in seen) * sum(s[1] == b for s in seen) / len(seen)) for a in {s[0] for s in seen} for b in {s[1] for s in seen}}
         assert {k[1:]: v for k, v in got.items() if k[0] == name} == grid
         assert low[name] == (len(grid), sum(e < 5 for _, e in grid.values()))
+
+
+def test_types_are_inferred_as_by_the_frame_library(spark, tmp_path):
+    rng = random.Random(9)
+    pool = {"int": lambda: str(rng.randint(-99, 99)), "float": lambda: rng.choice(["1.5", "-2.", ".25", "1e3", "2E-2", "inf", "-inf", "7"]), "blank": lambda: rng.choice(["", "NA", "null", "n/a", "NaN"]),
+            "bool": lambda: rng.choice(["True", "False"]), "text": lambda: rng.choice(["a", "1d", "1,5", "0x10", "- 3", "1_0", "12a", "e5"]), "big": lambda: str(10 ** 15 + rng.randint(0, 9))}
+    mixes = [["int"], ["int", "blank"], ["float"], ["float", "int"], ["float", "blank"], ["bool"], ["bool", "blank"], ["bool", "int"], ["blank"], ["text"], ["text", "int"], ["int", "text", "blank"], ["big"], ["big", "int"]]
+    rows = [[pool[m[i % len(m)]]() for m in mixes] for i in range(60)]
+    names = [f"{'_'.join(m)}" for m in mixes]
+    path = tmp_path / "t.csv"
+    path.write_text("\n".join(";".join(r) for r in [names, *rows]) + "\n")
+    frame = pd.read_csv(path, sep=";")
+    got = files.read_delimited_inferred(spark, str(path), ";")
+    want = {"int64": "bigint", "float64": "double", "bool": "boolean", "object": "string"}
+    assert dict(got.dtypes) == {n: want[str(t)] for n, t in frame.dtypes.items()}
+    for name, kind in got.dtypes:
+        own, theirs = [r[0] for r in got.select(f"`{name}`").collect()], frame[name].tolist()
+        if kind in ("bigint", "double", "boolean"):
+            assert [None if v is None else float(v) for v in own] == [None if v != v else float(v) for v in theirs], name
+        else:
+            assert [v is None for v in own] == [v is None or v != v for v in theirs] and [str(v) for v in own if v is not None] == [str(v) for v in theirs if v == v and v is not None], name
