@@ -204,7 +204,13 @@ def extract_text(source: str | None, weight: dict[str, float]) -> str:
 
 
 def extract(pages: DataFrame, keep: list[str], html_col: str = "html", weight: dict[str, float] | None = None) -> DataFrame:
-    """``keep`` of every row, ``text`` and ``n_chars`` (its code points)."""
+    """``keep`` of every row, ``text`` and ``n_chars`` (its code points).
+
+    Null, empty and cut pages give what text they have.  Of regions with equal
+    sums the longest of the first is taken.  Each row is read alone: repeated
+    rows give equal texts, an empty table none.  Columns outside ``keep`` are
+    not read, whatever their names; ``text`` and ``n_chars`` cannot be kept ones.
+    """
     weight = learn(pages, html_col) if weight is None else weight
 
     def run(batches):

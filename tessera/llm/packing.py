@@ -99,7 +99,9 @@ def pack(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", row: i
 
     Segment s holds tokens starts[s].. of document doc_ids[s] in places
     cu_seqlens[s]..cu_seqlens[s + 1].  A document without id packs as null;
-    repeated rows are packed as often as they occur.
+    repeated rows are packed as often as they occur; of equally long parts the
+    one of the smaller id and start comes first.  Documents without tokens and an
+    empty table give no rows.  Only the two named columns are read.
     """
     if shards is None:
         if total_tokens is None:

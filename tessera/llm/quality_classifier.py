@@ -132,7 +132,12 @@ def fold(divisor: int) -> Column:
 
 
 def classify(docs: DataFrame, model: RuleModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted``; input columns of these names give way."""
+    """``docs`` with ``score`` (0 to 1) and ``predicted``; input columns of these names give way.
+
+    Null texts count as empty; each row is scored alone, so repeated rows score
+    equally and an empty table gives none.  A score of exactly ``threshold`` is
+    predicted 1.
+    """
     return untuck(scored(docs, model, text_col, threshold), docs.columns, "score", "predicted")
 
 

@@ -125,7 +125,14 @@ class ToxicityModel:
         self.intercept, self.weights, self.label_model, self.voters = intercept, weights, label_model, voters
 
     def score(self, docs: DataFrame, keep: list[str], text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-        """``keep`` of every row, ``score`` (0 to 1) and ``predicted``; null texts count as empty."""
+        """``keep`` of every row, ``score`` (0 to 1) and ``predicted``.
+
+        Null texts count as empty; texts of any length are read whole; each row
+        is scored alone, so repeated rows score equally and an empty table gives
+        none.  A score of exactly ``threshold`` is predicted 1.  Columns outside
+        ``keep`` are not read, whatever their names; ``score`` and ``predicted``
+        cannot be kept ones.
+        """
         intercept, weights = self.intercept, self.weights
 
         def run(batches):

@@ -516,3 +516,21 @@ def test_a_page_cut_inside_a_tag_ends_soon(name):
     for attribute in ('a="b" ', "a='b' ", 'a="b ', "a ", "/ "):
         html_extract.extract_text(f"<body><p>some words</p><{name} " + attribute * 10_000, html_extract.weights({}))
     assert time.time() - start < 10
+
+
+def test_pages_repeat_tie_and_clash(spark):
+    pages = [(1, "u", f"<body>{STORY}</body>"), (1, "u", f"<body>{STORY}</body>"), (None, None, None), (2, "v", ""), (3, "w", "<p>one two</p><hr><hr><hr><hr><hr><hr><hr><hr><hr><hr><p>six ten</p>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({c: F.lit("mine") for c in ("text", "n_chars", "_h", "f", "inside")})
+    got = sorted((str(r.page_id), r.text, r.n_chars) for r in html_extract.extract(df, ["page_id", "url"], weight=html_extract.weights({})).collect())
+    story = " ".join(["The river ran high and the boats stayed in port for the week."] * 6)
+    assert got[0][1:] == got[1][1:] == (story, len(story)) and got[2] == ("2", "", 0) and got[4] == ("None", "", 0)
+    assert got[3][1] in ("one two", "six ten", "one two six ten")
+    assert html_extract.extract(df.where("false"), ["page_id"], weight=html_extract.weights({})).count() == 0
+
+
+def test_pack_of_an_empty_table_and_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, [1, 2, 3]), (1, [1, 2, 3]), (None, [4]), (2, []), (3, None)], "doc_id long, ids array<int>")
+    mine = rows.withColumns({c: F.lit("mine") for c in ("doc", "start", "part", "shard", "row", "positions")})
+    [one] = packing.pack(mine, row=16, shards=1).collect()
+    assert one.n_tokens == 7 and one.doc_ids == [1, 1, None] and one.cu_seqlens == [0, 3, 6, 7]
+    assert packing.pack(mine.where("false"), row=16).count() == 0
