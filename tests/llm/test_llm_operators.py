@@ -322,6 +322,51 @@ def test_seeds_find_fuzzy_passages(edits, least):
     assert hits >= least * 300
 
 
+@pytest.mark.parametrize("similarity,share", [(0.8, 0.75), (0.85, 0.75), (0.9, 0.85)])
+def test_fuzzy_passages_are_aligned(similarity, share):
+    rng = np.random.default_rng(7)
+    words = 0
+    for _ in range(150):
+        x, y = (rng.integers(0, 1 << 32, 270).astype("<u4") for _ in "xy")
+        y[100:170] = x[100:170]
+        at = 100 + rng.choice(70, round(70 * (1 - similarity)), replace=False)
+        y[at] = rng.integers(0, 1 << 32, len(at))
+        seed = next((i for i in range(100, 166) if (x[i:i + 5] == y[i:i + 5]).all()), None)
+        found = substring_dedup.align(x, y, seed, seed)[0] if seed else []
+        assert all(same * 5 >= 4 * max(b - a, d - c) for a, b, c, d, same in found)
+        longest = max((min(b - a, d - c) for a, b, c, d, _ in found), default=0)
+        words += longest * (longest >= 50)
+    assert words >= share * 150 * 70
+
+
+def test_walk_is_the_best_alignment_of_few_words():
+    rng = random.Random(11)
+    for _ in range(200):
+        x = [rng.randint(0, 3) for _ in range(rng.randint(0, 12))]
+        y = list(x)
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randint(0, len(y))
+            y[k:k + rng.randint(0, 1)] = [rng.randint(0, 3)] * rng.randint(0, 1)
+        cost = np.zeros((len(x) + 1, len(y) + 1), int)
+        for i in range(len(x) + 1):
+            for j in range(len(y) + 1):
+                cost[i, j] = max(i, j) if not i or not j else min(cost[i - 1, j - 1] + (x[i - 1] != y[j - 1]), cost[i - 1, j] + 1, cost[i, j - 1] + 1)
+        runs = substring_dedup._walk(np.array(x, "<u4"), np.array(y, "<u4"))
+        assert all(x[a:a + n] == y[b:b + n] for a, b, n in runs)
+        assert all(a + n <= c and b + n <= d for (a, b, n), (c, d, _) in zip(runs, runs[1:]))
+        if not cost[-1, -1]:
+            assert runs == ([(0, 0, len(x))] if x else [])
+
+
+def test_seeds_of_hot_documents_link_to_the_first_holder(spark, monkeypatch):
+    rows = [(h, r, p) for h in (5, 9) for r in range(3, 300) for p in (r % 7, 40)] + [(7, 4, 1), (7, 4, 8), (8, 2, 3), (8, 6, 1)]
+    parts = [(h, r, p, 0 if r < 6 else 1 if r == 6 and p < 9 else 2 + r % 64) if h in (5, 9) else (h, r, p, 0) for h, r, p in rows]
+    got = substring_dedup.matches(spark.createDataFrame(parts, substring_dedup.SEED)).collect()
+    first = lambda h: min((r, p) for g, r, p in rows if g == h)
+    want = [(r, first(h)[0], p, first(h)[1], h in (5, 9)) for h, r, p in rows if h in (5, 9) or r != first(h)[0]]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
 # ---- 6 packing ----------------------------------------------------------------------
 
 def test_best_fit_takes_the_fullest_row_that_fits():
