@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,34 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _pre_tokenizer() -> tuple[re.Pattern, re.Pattern]:
+    """Words of the byte-level pre-tokenizer, and the characters about whose kind nothing is assumed.
+
+    Known are the characters of the first plane that are letters, numbers or
+    neither in Unicode 3.2 as in Python's version, and the common white space.
+    """
+    space = "\t\n\x0b\x0c\r \xa0\u3000"
+
+    def kind(c: str) -> str:
+        if c in space:
+            return "s"
+        new, old = unicodedata.category(c)[0], unicodedata.ucd_3_2_0.category(c)
+        if c.isspace() and c > "\x7f" or new != old[0] or old in ("Cn", "Cs", "Co") or c == "\u180e":
+            return "?"
+        return new if new in "LN" else "o"
+
+    ranges: dict[str, list[list[int]]] = {k: [] for k in "sLNo?"}
+    for i in range(1 << 16):
+        own = ranges[kind(chr(i))]
+        if own and own[-1][1] == i - 1:
+            own[-1][1] = i
+        else:
+            own.append([i, i])
+    letter, number, blank, odd = ("".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges[k]) for k in "LNs?")
+    words = f"'(?:s|t|re|ve|m|ll|d)| ?[{letter}]+| ?[{number}]+| ?[^{blank}{letter}{number}]+|[{blank}]+(?![^{blank}])|[{blank}]+"
+    return re.compile(words), re.compile(f"[{odd}\U00010000-\U0010ffff]")
+
+
 class Codec:
     """Encoder and decoder of one tokenizer file; built once in each Python worker."""
 
@@ -45,11 +74,13 @@ class Codec:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
         letters = byte_alphabet()
+        self.model, self.letters = self.lib.model, {b: c for c, b in letters.items()}
         self.special = {t.content: i for i, t in self.lib.get_added_tokens_decoder().items()}
         self.bytes = [b""] * self.lib.get_vocab_size()
         for token, i in self.lib.get_vocab().items():
@@ -58,6 +89,10 @@ class Codec:
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.words: dict[str, bytes] = {}  # ids of a word with a blank in front
         self.heads: dict[str, bytes] = {}  # ids of the first word of a text
+        self.plain: dict[str, bytes] = {}  # ids of a word of the pre-tokenizer
+        pre = self.lib.pre_tokenizer
+        self.word, self.odd = _pre_tokenizer()
+        self.byte_level = self.lib.normalizer is None and isinstance(pre, ByteLevel) and pre.use_regex and not pre.add_prefix_space
 
     @classmethod
     def of(cls, path: str) -> "Codec":
@@ -76,6 +111,8 @@ class Codec:
         """A blank between two other characters that are no white space always starts a word, so texts are split there and words kept."""
         if not text:
             return b""
+        if self.byte_level and (text.isascii() or not self.odd.search(text)):
+            return self.encode_words(text)
         if _TIGHT.search(text):
             return self.run(text)
         head, *rest = text.split(" ")
@@ -97,6 +134,25 @@ class Codec:
                 self.heads[head] = first
         return first + b"".join(got)
 
+    def encode_words(self, text: str) -> bytes:
+        """The pre-tokenizer's words of a text of known characters, each encoded once and kept."""
+        words, known = self.word.findall(text), self.plain
+        got = list(map(known.get, words))
+        if None in got:
+            new = list({w for w, g in zip(words, got) if g is None})
+            if len(known) + len(new) > CACHE:
+                known.clear()
+            short = [w for w in new if len(w) < RUN]
+            own = {w: self.word_ids(w) for w in short}
+            known.update(own)
+            own |= {w: self.run(w) for w in new if len(w) >= RUN}
+            got = [own[w] if g is None else g for w, g in zip(words, got)]
+        return b"".join(got)
+
+    def word_ids(self, word: str) -> bytes:
+        """Ids of one word, by the model alone."""
+        return np.array([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))], "<u4").tobytes()
+
     def learn(self, words: list[str]) -> None:
         """Encodes new words, each with a blank in front, as one text and tells their ids apart by their bytes."""
         for at in range(0, len(words), 10_000):
