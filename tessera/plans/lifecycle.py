@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import month_diff, trunc_date
 
+#: Journeys that one task should hold: adaptive execution sizes tasks by compressed bytes, which tell little of the rows' memory.
+TASK_ROWS = 250_000
 STATES = ("is_new", "is_retained", "is_reactivated", "is_churned")
 
 

@@ -122,3 +122,21 @@ def test_single_months_equal_the_full_run(spark, tmp_path):
     plan = lifecycle.month_states(one, spark.read.parquet(f"{state}/month=2020-02-01"), "2020-03-01")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in text and "2020-03-01" in text
+
+
+def test_tasks_hold_a_bounded_number_of_journeys(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tessera.catalog import QUERIES
+    k = spark.range(2000)
+    k.selectExpr("id as o_orderkey", "id % 400 + 1 as o_custkey", "timestamp_ntz'1995-01-01' + make_interval(0, int(id % 60)) as o_orderdate").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(400).selectExpr("id + 1 as c_custkey", "id % 5 as c_nationkey", "'A' as c_mktsegment").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.range(5).selectExpr("id as n_nationkey", "concat('n', id) as n_name", "0L as n_regionkey").write.parquet(str(tmp_path / "nation.parquet"))
+    spark.range(1).selectExpr("id as r_regionkey", "'r' as r_name").write.parquet(str(tmp_path / "region.parquet"))
+    whole = QUERIES["churn_user_states"](spark, str(tmp_path))
+    want = sorted(map(str, whole.collect()))
+    monkeypatch.setattr(lifecycle, "TASK_ROWS", 100, raising=False)
+    dealt = QUERIES["churn_user_states"](spark, str(tmp_path))
+    assert sorted(map(str, dealt.collect())) == want
+    tasks = dealt.groupBy(F.spark_partition_id()).agg(F.countDistinct("passenger_id").alias("n")).collect()
+    assert len(tasks) >= 15 and max(r["n"] for r in tasks) < 60  # 20 parts of 400 passengers
