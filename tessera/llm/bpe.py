@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 
 #: Characters of a text that one task encodes at once; of a run without white space before it is halved; words kept by a worker.
 SEGMENT, RUN, CACHE = 32768, 4096, 500_000
+#: Characters of texts whose words are looked up at once.
+GROUP = 1 << 20
 _TIGHT = re.compile(r" (?=\s)|(?<=\s) |\A | \Z")
 
 
@@ -39,32 +42,67 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def _pre_tokenizer() -> tuple[re.Pattern, re.Pattern]:
-    """Words of the byte-level pre-tokenizer, and the characters about whose kind nothing is assumed.
+#: Kinds of characters; ``ODD`` are those about which nothing is assumed, ``BORDER`` is the border of a text.
+SPACE, LETTER, NUMBER, OTHER, ODD, BORDER, BLANK = range(7)
+
+
+def _kinds() -> np.ndarray:
+    """Kind of every character for the byte-level pre-tokenizer.
 
     Known are the characters of the first plane that are letters, numbers or
     neither in Unicode 3.2 as in Python's version, and the common white space.
     """
-    space = "\t\n\x0b\x0c\r \xa0\u3000"
+    space = "\t\n\x0b\x0c\r\xa0\u3000"
 
-    def kind(c: str) -> str:
+    def kind(c: str) -> int:
+        if c == " ":
+            return BLANK
         if c in space:
-            return "s"
+            return SPACE
         new, old = unicodedata.category(c)[0], unicodedata.ucd_3_2_0.category(c)
         if c.isspace() and c > "\x7f" or new != old[0] or old in ("Cn", "Cs", "Co") or c == "\u180e":
-            return "?"
-        return new if new in "LN" else "o"
-
-    ranges: dict[str, list[list[int]]] = {k: [] for k in "sLNo?"}
-    for i in range(1 << 16):
-        own = ranges[kind(chr(i))]
-        if own and own[-1][1] == i - 1:
-            own[-1][1] = i
-        else:
-            own.append([i, i])
-    letter, number, blank, odd = ("".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges[k]) for k in "LNs?")
-    words = f"'(?:s|t|re|ve|m|ll|d)| ?[{letter}]+| ?[{number}]+| ?[^{blank}{letter}{number}]+|[{blank}]+(?![^{blank}])|[{blank}]+"
-    return re.compile(words), re.compile(f"[{odd}\U00010000-\U0010ffff]")
+            return ODD
+        return {"L": LETTER, "N": NUMBER}.get(new, OTHER)
+
+    return np.append(np.array([kind(chr(i)) for i in range(1 << 16)], np.uint8), np.full(0x100000, ODD, np.uint8))
+
+
+def _pairs() -> np.ndarray:
+    """Whether a word starts at a character, by 8 * the kind before it + its own."""
+    white = (SPACE, BLANK)
+
+    def starts(a: int, b: int) -> bool:
+        if b == BORDER or b in white:
+            return b == BORDER or a not in white  # white space behind white space is looked at again
+        return a == SPACE or a not in white and a != b
+
+    return np.array([starts(a, b) for a in range(8) for b in range(8)])
+
+
+def _word_starts(cp: np.ndarray, kind: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Where the pre-tokenizer's words start in texts with a border before and behind each.
+
+    A word is a run of one kind, with the blank before it.  Of a longer run of
+    white space the last character stands apart where a text goes on, and
+    's 't 're 've 'm 'll 'd are words of their own where a word may start at the mark.
+    """
+    last = len(cp) - 1
+    before = np.append(np.uint8(BORDER), kind[:-1])
+    start = pairs.take(8 * before + kind)
+    run = np.flatnonzero(((kind == SPACE) | (kind == BLANK)) & ((before == SPACE) | (before == BLANK)))
+    start[run] = ~np.isin(kind[run + 1], (SPACE, BLANK, BORDER))
+    mark = np.flatnonzero(cp == 39)
+    mark = mark[(kind[mark] == OTHER) & ~np.isin(before[mark], (OTHER, BLANK))]
+    if len(mark):
+        third = np.minimum(mark + 2, last)
+        c, d = cp[mark + 1], cp[third]
+        word = (kind[mark + 1] == LETTER)
+        one = word & np.isin(c, [ord(x) for x in "stmd"])
+        two = word & (kind[third] == LETTER) & (np.isin(c, [ord("r"), ord("v")]) & (d == ord("e")) | (c == ord("l")) & (d == ord("l")))
+        start[mark[one | two] + 1] = False
+        start[mark[one] + 2] = True
+        start[mark[two] + 3] = True
+    return np.flatnonzero(start)
 
 
 class Codec:
@@ -90,8 +128,9 @@ class Codec:
         self.words: dict[str, bytes] = {}  # ids of a word with a blank in front
         self.heads: dict[str, bytes] = {}  # ids of the first word of a text
         self.plain: dict[str, bytes] = {}  # ids of a word of the pre-tokenizer
+        self.past: dict[str, bytes] = {}  # those kept before ``plain`` was full
         pre = self.lib.pre_tokenizer
-        self.word, self.odd = _pre_tokenizer()
+        self.kinds, self.pairs = _kinds(), _pairs()
         self.byte_level = self.lib.normalizer is None and isinstance(pre, ByteLevel) and pre.use_regex and not pre.add_prefix_space
 
     @classmethod
@@ -111,8 +150,8 @@ class Codec:
         """A blank between two other characters that are no white space always starts a word, so texts are split there and words kept."""
         if not text:
             return b""
-        if self.byte_level and (text.isascii() or not self.odd.search(text)):
-            return self.encode_words(text)
+        if self.byte_level and (got := self.encode_words([text])[0]) is not None:
+            return got
         if _TIGHT.search(text):
             return self.run(text)
         head, *rest = text.split(" ")
@@ -134,24 +173,67 @@ class Codec:
                 self.heads[head] = first
         return first + b"".join(got)
 
-    def encode_words(self, text: str) -> bytes:
-        """The pre-tokenizer's words of a text of known characters, each encoded once and kept."""
-        words, known = self.word.findall(text), self.plain
-        got = list(map(known.get, words))
-        if None in got:
-            new = list({w for w, g in zip(words, got) if g is None})
-            if len(known) + len(new) > CACHE:
-                known.clear()
-            short = [w for w in new if len(w) < RUN]
-            own = {w: self.word_ids(w) for w in short}
-            known.update(own)
-            own |= {w: self.run(w) for w in new if len(w) >= RUN}
-            got = [own[w] if g is None else g for w, g in zip(words, got)]
-        return b"".join(got)
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """encode() of every text, many at once."""
+        if not self.byte_level:
+            return [self.encode(t) for t in texts]
+        whole = [None if self.cut and self.cut.search(t) else t for t in texts]
+        out: list[bytes | None] = []
+        while len(out) < len(texts):
+            n, size = len(out), 0
+            while n < len(texts) and (not size or size + len(whole[n] or "") <= GROUP):
+                size += len(whole[n] or "")
+                n += 1
+            out += self.encode_words([t or "" for t in whole[len(out):n]])
+        return [self.encode(t) if w is None else self.encode_plain(t) if x is None else x for t, w, x in zip(texts, whole, out)]
+
+    def encode_words(self, texts: list[str]) -> list[bytes | None]:
+        """Ids of texts of known characters by the pre-tokenizer's words, each encoded once and kept; None for others."""
+        joined = "\0".join(["", *texts, ""])
+        cp = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        border = np.append(0, np.cumsum([len(t) + 1 for t in texts]))
+        kind = self.kinds.take(cp)
+        kind[border] = BORDER
+        odd = np.flatnonzero(kind == ODD)
+        if len(odd):
+            bad = {*(np.searchsorted(border, odd) - 1).tolist()}
+            known = iter(self.encode_words([t for i, t in enumerate(texts) if i not in bad]) if len(bad) < len(texts) else ())
+            return [None if i in bad else next(known) for i in range(len(texts))]
+        starts = _word_starts(cp, kind, self.pairs)
+        raw = np.frombuffer(joined.encode(), np.uint8)
+        edge = starts if len(raw) == len(cp) else np.flatnonzero((raw & 0xC0) != 0x80)[starts]  # characters' first bytes
+        cells = pa.StringArray.from_buffers(len(edge), pa.py_buffer(np.append(edge, len(raw)).astype(np.int32)), pa.py_buffer(raw)).dictionary_encode()
+        ids = pa.array(self.ids_of(cells.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        off = np.frombuffer(ids.buffers()[1], np.int64)[:len(ids) + 1] // 4
+        flat, first, size = np.frombuffer(ids.buffers()[2], "<u4"), off[:-1], np.diff(off)
+        word = cells.indices.to_numpy()
+        n = size[word]
+        at = np.searchsorted(starts, border)
+        n[at] = 0
+        past = np.cumsum(n)
+        tokens = flat[np.repeat(first[word] - (past - n), n) + np.arange(past[-1])].tobytes()
+        cuts = (4 * past[at]).tolist()
+        return [tokens[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of different words; when half of ``CACHE`` is full, it is kept as it is while the other half fills anew."""
+        if len(self.plain) >= CACHE // 2:
+            self.past, self.plain = self.plain, {}
+        got, plain, past = list(map(self.plain.get, words)), self.plain, self.past
+        for i in [i for i, x in enumerate(got) if x is None]:
+            w = words[i]
+            x = past.get(w)
+            if x is None:
+                if len(w) >= RUN:
+                    got[i] = self.run(w)
+                    continue
+                x = self.word_ids(w)
+            got[i] = plain[w] = x
+        return got
 
     def word_ids(self, word: str) -> bytes:
         """Ids of one word, by the model alone."""
-        return np.array([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))], "<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]).tobytes()
 
     def learn(self, words: list[str]) -> None:
         """Encodes new words, each with a blank in front, as one text and tells their ids apart by their bytes."""
@@ -281,6 +363,7 @@ def _columns(ids: list[bytes], codec: Codec, want: list[str]) -> dict[str, pa.Ar
     make = {
         "n_tokens": lambda: pa.array([len(x) // 4 for x in ids], pa.int64()),
         "ids": lambda: pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())),
+        "ids_binary": lambda: pa.array(ids, pa.binary()),
         "ids_sha256": lambda: pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
         "decoded": lambda: pa.array([codec.decode_ids(np.frombuffer(x, "<u4")) for x in ids], pa.string()),
         "decoded_sha256": lambda: pa.array([hashlib.sha256(codec.decode_ids(np.frombuffer(x, "<u4")).encode()).hexdigest() for x in ids], pa.string()),
@@ -288,7 +371,8 @@ def _columns(ids: list[bytes], codec: Codec, want: list[str]) -> dict[str, pa.Ar
     return {w: make[w]() for w in want}
 
 
-KINDS = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
+#: ``ids_binary`` holds the ids as little-endian unsigned 32-bit integers.
+KINDS = {"n_tokens": "long", "ids": "array<int>", "ids_binary": "binary", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
 
 
 def encode(docs: DataFrame, tokenizer: str, keep: list[str], text_col: str = "text",
@@ -309,7 +393,7 @@ def encode(docs: DataFrame, tokenizer: str, keep: list[str], text_col: str = "te
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                ids = [codec.encode(t.as_py()) for t in part.column(len(keep))]
+                ids = codec.encode_all(part.column(len(keep)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *_columns(ids, codec, want).values()], [*keep, *want])
 
     def cut(batches):
@@ -326,7 +410,7 @@ def encode(docs: DataFrame, tokenizer: str, keep: list[str], text_col: str = "te
         for b in batches:
             for at in range(0, b.num_rows, 16):
                 part = b.slice(at, 16)
-                ids = [codec.encode(t.as_py()) for t in part.column(part.num_columns - 1)]
+                ids = codec.encode_all(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary())], [*part.schema.names, "_ids"])
 
     def merge(table: pa.Table) -> pa.Table:

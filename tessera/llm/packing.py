@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 #: Tokens in a row; tokens a shard should hold; id of the padding.
 ROW, SHARD_TOKENS, PAD = 2048, 2_000_000, 50256
@@ -75,13 +76,17 @@ def best_fit(lengths: list[int], row: int) -> list[list[int]]:
 
 def pieces(tokens: DataFrame, id_col: str, ids_col: str, row: int, shards: int) -> DataFrame:
     """(doc, start, ids binary, shard): lossless parts of at most ``row`` tokens; documents without tokens have none."""
+    raw = isinstance(tokens.schema[ids_col].dataType, BinaryType)
+
     def run(batches):
         for b in batches:
             out = [[], [], []]
             for doc, ids in zip(b.column(0).to_pylist(), b.column(1)):
-                x = np.asarray(ids.values, np.int32) if ids.is_valid else np.empty(0, np.int32)
-                for at in range(0, len(x), row):
-                    for column, v in zip(out, (doc, at, x[at:at + row].astype("<u4").tobytes())):
+                if not ids.is_valid:
+                    continue
+                x = ids.as_py() if raw else np.asarray(ids.values, np.int32).astype("<u4").tobytes()
+                for at in range(0, len(x) // 4, row):
+                    for column, v in zip(out, (doc, at, x[4 * at:4 * (at + row)])):
                         column.append(v)
                     if len(out[0]) == 2048:
                         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["doc", "start", "part"])
@@ -100,13 +105,14 @@ def pack(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", row: i
     Segment s holds tokens starts[s].. of document doc_ids[s] in places
     cu_seqlens[s]..cu_seqlens[s + 1].  A document without id packs as null;
     repeated rows are packed as often as they occur; of equally long parts the
-    one of the smaller id and start comes first.  Documents without tokens and an
+    one of the smaller id and start comes first.  Ids come as arrays or as such
+    bytes.  Documents without tokens and an
     empty table give no rows.  Only the two named columns are read.
     """
     if shards is None:
         if total_tokens is None:
-            total_tokens = tokens.agg(F.sum(F.size(ids_col))).first()[0] or 0
-        shards = max(1, -(-total_tokens // SHARD_TOKENS))
+            total_tokens = tokens.agg(F.sum(F.length(ids_col) / 4 if isinstance(tokens.schema[ids_col].dataType, BinaryType) else F.size(ids_col))).first()[0] or 0
+        shards = max(1, -(-int(total_tokens) // SHARD_TOKENS))
 
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part").to_pylist()

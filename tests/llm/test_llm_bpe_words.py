@@ -4,7 +4,8 @@ import random
 
 import public_tokenizers
 
-from tessera.llm.bpe import Codec
+from tessera.llm.bpe import Codec, encode
+from tessera.llm.packing import pack
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -28,3 +29,25 @@ def test_words_of_known_characters_equal_the_library():
     for _ in range(4000):
         text = "".join(rng.choice(some) for _ in range(rng.randint(1, 14)))
         assert codec.encode(text) == codec.library(text).tobytes(), ascii(text)
+
+
+def test_many_texts_at_once_equal_the_library(monkeypatch):
+    monkeypatch.setattr("tessera.llm.bpe.CACHE", 40)
+    monkeypatch.setattr("tessera.llm.bpe.GROUP", 300)
+    codec, rng = Codec(PATH), random.Random(4)
+    some, odd = " \n\t''''sdrevmlAb0.,\xa0　é中", "\x1c\x00\u2003\x85᠎😀ꟊ"
+    for _ in range(60):
+        texts = ["".join(rng.choice(some if rng.random() < 0.99 else odd) for _ in range(rng.randint(0, 14))) for _ in range(60)]
+        texts += ["<|endoftext|>'s a", "", "x'll", "'ll", "a'r", "'v", "de'm", "a" * 5000 + "  ", "\0", "it's 'd"]
+        rng.shuffle(texts)
+        assert codec.encode_all(texts) == [codec.library(t).tobytes() for t in texts]
+    assert codec.past and codec.encode_all([]) == []
+
+
+def test_packing_takes_ids_as_bytes(spark):
+    rows = [(i, "it's  one text\n" * (i % 40)) for i in range(60)] + [(70, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lists, raw = (encode(docs, PATH, ["doc_id"], want=(w,)) for w in ("ids", "ids_binary"))
+    got = [sorted(map(tuple, pack(t, ids_col=c, row=64, shards=3).collect())) for t, c in ((lists, "ids"), (raw, "ids_binary"))]
+    assert got[0] == got[1] and got[0]
+    assert pack(raw, ids_col="ids_binary", row=64).count() == pack(lists, row=64).count()
