@@ -75,16 +75,30 @@ def best_fit(lengths: list[int], row: int) -> list[list[int]]:
 
 
 def pieces(tokens: DataFrame, id_col: str, ids_col: str, row: int, shards: int) -> DataFrame:
-    """(doc, start, ids binary, shard): lossless parts of at most ``row`` tokens; documents without tokens have none."""
-    raw = isinstance(tokens.schema[ids_col].dataType, BinaryType)
+    """(doc, start, part, shard): lossless parts of at most ``row`` tokens; documents without tokens have none.
 
+    Ids in bytes are cut by Spark itself, so no second Python worker stands
+    behind each of those that encode.
+    """
+    doc = F.col(id_col).cast("long").alias("doc")
+    if isinstance(tokens.schema[ids_col].dataType, BinaryType):
+        last = (F.length(ids_col) / 4 - 1).cast("long")
+        starts = F.when(last >= 0, F.sequence(F.lit(0).cast("long"), last, F.lit(row).cast("long")))
+        cut = (tokens.select(doc, F.col(ids_col).alias("_ids"), F.explode(starts).alias("start"))
+               .select("doc", "start", F.substring("_ids", (4 * F.col("start") + 1).cast("int"), F.lit(4 * row)).alias("part")))
+    else:
+        cut = tokens.select(doc, ids_col).mapInArrow(_cut_arrays(row), "doc long, start long, part binary")
+    return cut.withColumn("shard", F.pmod(F.xxhash64("doc", "start", "part"), F.lit(shards)).cast("int"))
+
+
+def _cut_arrays(row: int):
     def run(batches):
         for b in batches:
             out = [[], [], []]
             for doc, ids in zip(b.column(0).to_pylist(), b.column(1)):
                 if not ids.is_valid:
                     continue
-                x = ids.as_py() if raw else np.asarray(ids.values, np.int32).astype("<u4").tobytes()
+                x = np.asarray(ids.values, np.int32).astype("<u4").tobytes()
                 for at in range(0, len(x) // 4, row):
                     for column, v in zip(out, (doc, at, x[4 * at:4 * (at + row)])):
                         column.append(v)
@@ -93,8 +107,7 @@ def pieces(tokens: DataFrame, id_col: str, ids_col: str, row: int, shards: int)
                         out = [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["doc", "start", "part"])
 
-    cut = tokens.select(F.col(id_col).cast("long"), ids_col).mapInArrow(run, "doc long, start long, part binary")
-    return cut.withColumn("shard", F.pmod(F.xxhash64("doc", "start", "part"), F.lit(shards)).cast("int"))
+    return run
 
 
 def pack(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", row: int = ROW, pad: int = PAD, shards: int | None = None,

@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 
 from tessera.llm.bpe import Codec, encode
-from tessera.llm.packing import pack
+from tessera.llm.packing import pack, pieces
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -51,3 +52,14 @@ def test_packing_takes_ids_as_bytes(spark):
     got = [sorted(map(tuple, pack(t, ids_col=c, row=64, shards=3).collect())) for t, c in ((lists, "ids"), (raw, "ids_binary"))]
     assert got[0] == got[1] and got[0]
     assert pack(raw, ids_col="ids_binary", row=64).count() == pack(lists, row=64).count()
+
+
+def test_ids_in_bytes_are_cut_without_python(spark):
+    rows = [(i, np.arange(n, dtype="<u4").tobytes()) for i, n in enumerate((0, 1, 63, 64, 65, 200))] + [(None, b"\1\0\0\0"), (9, None)]
+    cut = pieces(spark.createDataFrame(rows, "doc_id long, ids binary"), "doc_id", "ids", 64, 3)
+    assert "InArrow" not in cut._jdf.queryExecution().executedPlan().toString()  # each such node holds a worker beside the encoder's
+    want = [(i, a, x[4 * a:4 * a + 256]) for i, x in rows if x for a in range(0, len(x) // 4, 64)]
+    got = [(r["doc"], r["start"], bytes(r["part"])) for r in cut.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    lists = spark.createDataFrame([(i, None if x is None else np.frombuffer(x, "<u4").tolist()) for i, x in rows], "doc_id long, ids array<int>")
+    assert sorted(map(str, pieces(lists, "doc_id", "ids", 64, 3).collect())) == sorted(map(str, cut.collect()))
